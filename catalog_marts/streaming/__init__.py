@@ -1,0 +1 @@
+"""No streaming operators: every input of this pipeline is a bounded dump read in batch."""
