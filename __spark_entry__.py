@@ -57,7 +57,7 @@ def _silver(spark, sf_dir, *names):
 def _rated_rows(spark, sf_dir) -> DataFrame:
     """The part of the category mart that the reports read: titles x genres with ratings."""
     titles, ratings = _silver(spark, sf_dir, "titles", "ratings")
-    return explode_category(left_join_spread(titles, weighted_rating(ratings), "title_id"))
+    return explode_category(left_join_spread(titles, "title_id", weighted_rating(ratings)))
 
 
 def _mart(spark, sf_dir) -> DataFrame:

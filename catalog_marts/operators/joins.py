@@ -6,43 +6,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _shuffle_width(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def hot_keys(df: DataFrame, key: str, tasks: int) -> DataFrame:
-    """Keys holding more than one ``tasks``-th of the rows; fewer than ``tasks`` of them exist.
-
-    An ordinary count per key: it combines before the shuffle, is exact, and gives the same
-    answer each time it is evaluated, on which :func:`left_join_spread` depends.
-    """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") * tasks > total).select(key)
-
-
-def left_join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left`` LEFT JOIN ``right`` on ``key``, exact, also if one key holds much of ``left``.
+def left_join_spread(left: DataFrame, key: str, *rights: DataFrame) -> DataFrame:
+    """``left`` LEFT JOIN each of ``rights`` on ``key``, exact, even if one key fills ``left``.
 
     Adaptive execution splits a skewed join by itself when both inputs come straight from a
-    shuffle. It cannot when the right side is an aggregate already laid out by the key, and
-    that is the case this join is for. Rows of a hot key get a part number from the task that
-    reads them (stable if that task is run again); the right side's rows of that key are
-    repeated once per part. Rows without a key match nothing and are spread the same way.
-
-    The broadcast list of hot keys has fewer entries than there are shuffle partitions: no more
-    keys than that can each hold more than such a share of the rows. ``left`` should be a stored
-    table, as its key column is read a second time.
+    shuffle. It cannot where the right side is an aggregate that already lies partitioned by the
+    key, and that is the case this join is for.
+
+    The rows of ``left`` are counted per key, an aggregate that combines before the shuffle. The
+    right sides are attached to these counts, one row per key, so none of those joins can be
+    skewed, and aggregates by ``key`` need no further shuffle. ``left`` itself is then joined
+    once. Rows of a hot key get a part number from the task that reads them (the same number if
+    that task runs again), and the attached row of that key is repeated once per part. Rows
+    without a key match nothing and are spread the same way.
+
+    A key is hot when it holds more than a shuffle partition's fair share of the rows. Fewer keys
+    than there are shuffle partitions can do so, which bounds the broadcast list of hot keys.
+    ``left`` should be a stored table, as its key column is read a second time.
     """
-    parts = _shuffle_width(left)
-    hot = F.broadcast(hot_keys(left, key, parts).withColumn("_hot", F.lit(True)))
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = left.agg(F.count(F.lit(1))).scalar()
+    counts = (
+        left.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_hot", F.col("_rows") * parts > total)
+        .drop("_rows")
+    )
 
+    attached = counts
+    for right in rights:
+        attached = attached.join(right, key, "left")
+    all_parts = F.sequence(F.lit(0), F.lit(parts - 1))
+    attached = attached.withColumn(
+        "_part", F.explode(F.when(F.col("_hot"), all_parts).otherwise(F.array(F.lit(0))))
+    ).drop("_hot")
+
+    hot = F.broadcast(counts.where(F.col("_hot")))
     part = F.pmod(F.spark_partition_id(), F.lit(parts))
     spread = F.col("_hot") | F.col(key).isNull()
-    left = left.join(hot, key, "left").withColumn("_part", F.when(spread, part).otherwise(0))
-
-    every_part = F.sequence(F.lit(0), F.lit(parts - 1))
-    right = right.join(hot, key, "left").withColumn(
-        "_part", F.explode(F.when(F.col("_hot"), every_part).otherwise(F.array(F.lit(0))))
+    numbered = (
+        left.join(hot, key, "left")
+        .withColumn("_part", F.when(spread, part).otherwise(F.lit(0)))
+        .drop("_hot")
     )
-    return left.drop("_hot").join(right.drop("_hot"), [key, "_part"], "left").drop("_part")
+    return numbered.join(attached, [key, "_part"], "left").drop("_part")

@@ -42,7 +42,7 @@ def crew_rollup(
     in many tasks, and the last one only strings finished pieces together.
     """
     listed_categories = sorted(set(chain.from_iterable(roles.values())))
-    is_listed = F.coalesce(F.col("category").isin(listed_categories), F.lit(False))
+    is_listed = F.col("category").isin(listed_categories)
 
     people = names.select("name_id", "primary_name")
     listed = (
@@ -51,7 +51,7 @@ def crew_rollup(
         .join(people, "name_id", "left")
         .drop("name_id")
     )
-    others = principals.where(~is_listed).select("title_id")
+    others = principals.where(~is_listed | F.col("category").isNull()).select("title_id")
     credits = listed.unionByName(others, allowMissingColumns=True)
 
     person = F.struct("ordering", "primary_name")

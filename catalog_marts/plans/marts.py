@@ -21,7 +21,7 @@ from catalog_marts.operators import (
 # Averages are sums in no fixed order; rounding keeps equal scores equal when they are ranked.
 SCORE_DECIMALS = 9
 
-MART_COLUMNS = ("average_rating", "num_votes", "weighted_rating", "actors", "directors",
+FACT_COLUMNS = ("average_rating", "num_votes", "weighted_rating", "actors", "directors",
                 "producers", "regions", "region_count")
 
 
@@ -34,18 +34,17 @@ def category_mart(
 ) -> DataFrame:
     """One row per title and genre with rating, crew lists and release regions.
 
-    ``ratings`` are plain ratings; the weighted rating is computed here. Rating, crew and
-    regions are first put side by side per title. The two rollups already lie partitioned by
-    title, so this costs one shuffle, that of the ratings. The titles then join once instead
-    of three times, through a join that spreads a title held by very many rows.
+    ``ratings`` are plain ratings; the weighted rating is computed here. The rollups already lie
+    partitioned by title and are put side by side there; the titles join the result once.
     """
-    facts = (
-        weighted_rating(ratings)
-        .join(crew_rollup(principals, names), "title_id", "full")
-        .join(region_rollup(akas), "title_id", "full")
+    joined = left_join_spread(
+        titles,
+        "title_id",
+        weighted_rating(ratings),
+        crew_rollup(principals, names),
+        region_rollup(akas),
     )
-    joined = left_join_spread(titles, facts, "title_id")
-    return explode_category(joined.select(*titles.columns, *MART_COLUMNS), "genres")
+    return explode_category(joined.select(*titles.columns, *FACT_COLUMNS), "genres")
 
 
 def cast_mart(

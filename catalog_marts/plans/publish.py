@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .together import run_together
+
 STATUS_SCHEMA = "table string, rows bigint, ok boolean, error string"
 PARALLELISM = 3  # fixed value: tables written at the same time
 
@@ -24,15 +25,11 @@ SERVING_TABLES = (
 )
 
 
-def _publish_one(spark: SparkSession, name: str, df: DataFrame, path: str) -> tuple:
-    """Write one table; ``rows`` is what a reader of the published table counts."""
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+def _publish_one(df: DataFrame, path: str) -> tuple[int, int]:
+    """Write one table; return the rows sent and the rows a reader of the result counts."""
     sent = Observation()
     df.observe(sent, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    expected = sent.get["rows"]
-    arrived = spark.read.schema(df.schema).parquet(path).count()
-    error = None if arrived == expected else f"wrote {expected} rows, found {arrived}"
-    return name, arrived, error is None, error
+    return sent.get["rows"], df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def publish(
@@ -43,23 +40,21 @@ def publish(
 ) -> DataFrame:
     """Write each table to ``target/<name>``; return one status row per table.
 
-    The writes are independent Spark jobs started from a few driver threads, each in a scheduler
-    pool of its own, so that under ``spark.scheduler.mode=FAIR`` a large table does not hold up
-    the small ones. A failing table does not stop the others: its row has ``ok = false``
-    and the error. Rows are counted while they are written, not by a second run of the query.
+    The writes are independent Spark jobs, ``parallelism`` of them at a time. A failing table
+    does not stop the others: its row has ``ok = false`` and the error. Rows are counted while
+    they are written, not by a second run of the query; ``rows`` is what a reader of the
+    published table counts.
     """
-    run = inheritable_thread_target(spark)(_publish_one)
+    jobs = {name: partial(_publish_one, df, f"{target}/{name}") for name, df in tables.items()}
+    counts, failures = run_together(spark, jobs, parallelism)
     status = []
-    with ThreadPoolExecutor(max(1, min(parallelism, len(tables)))) as pool:
-        jobs = {
-            name: pool.submit(run, spark, name, df, f"{target}/{name}")
-            for name, df in tables.items()
-        }
-        for name, job in jobs.items():
-            try:
-                status.append(job.result())
-            except Exception as err:  # any failure belongs to its own table's row
-                status.append((name, None, False, str(err)))
+    for name in tables:
+        if name in failures:
+            status.append((name, None, False, str(failures[name])))
+            continue
+        sent, arrived = counts[name]
+        error = None if arrived == sent else f"wrote {sent} rows, found {arrived}"
+        status.append((name, arrived, error is None, error))
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
 
