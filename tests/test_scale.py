@@ -1,0 +1,340 @@
+"""Skewed input, file layout, plan shape, and independence from partitioning.
+
+The rows come from the given tables; a third or more of them is moved onto one key.
+"""
+
+import glob
+import re
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from catalog_marts.fixtures import silver_table
+from catalog_marts.operators import (
+    crew_rollup,
+    dense_rank_spread,
+    dense_rank_window,
+    left_join_spread,
+    region_rollup,
+    top_n_per_group,
+    weighted_rating,
+)
+from catalog_marts.plans import (
+    cast_mart,
+    category_mart,
+    report_q1,
+    report_q2,
+    report_q3,
+    report_q4,
+)
+from catalog_marts.sources import GOLD_SCHEMAS, SILVER, read_table, scratch_dir, write_table
+
+SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
+
+
+def executed_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=repr)
+
+
+def near(df, digits=9):
+    return sorted(
+        (tuple(round(v, digits) if isinstance(v, float) else v for v in r) for r in
+         df.select(sorted(df.columns)).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    return spark.read.parquet(f"{SF}/lineitem.parquet").repartition(8).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", "l_extendedprice"
+    )
+
+
+@pytest.fixture(scope="module")
+def silver(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("silver")
+    tables = {}
+    for name in SILVER:
+        silver_table(spark, SF, name).write.parquet(f"{root}/{name}")
+        tables[name] = spark.read.schema(SILVER[name].schema).parquet(f"{root}/{name}")
+    return tables
+
+
+# ---- skewed joins ---------------------------------------------------------------------------
+
+
+def test_spread_join_equals_plain_join_and_splits_the_hot_key(spark, lines, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    left = lines.withColumn(
+        "k", F.when(F.col("l_returnflag") == "A", -1)
+        .when(F.col("l_partkey") > 20, F.col("l_partkey"))
+    )
+    right = lines.groupBy(F.col("l_partkey").alias("k")).agg(F.sum("l_quantity").alias("q"))
+    right = right.unionAll(spark.createDataFrame([(-1, 7.0), (None, 1.0)], right.schema))
+    more = spark.createDataFrame([(-1, "x"), (21, "y"), (21, "z")], "k long, tag string")
+
+    got = left_join_spread(left, "k", right, more)
+    assert rows(got) == rows(left.join(right, "k", "left").join(more, "k", "left"))
+    by_task = got.groupBy("k", F.spark_partition_id().alias("p")).count()
+    tasks = {r.k: r.n for r in by_task.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert tasks[-1] >= 4 and tasks[None] >= 4
+    assert all(n == 1 for k, n in tasks.items() if k not in (-1, None))
+
+
+def test_adaptive_execution_splits_the_scan_joins(spark, silver, conf, tmp_path):
+    """Reports and rollups join plain scans, the shape in which Spark splits a skewed key."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__files__maxPartitionBytes="128KB",
+    )
+    hot = F.rand(1) < 0.5
+    path = str(tmp_path / "hot")
+    silver["principals"].repartition(8).withColumn("name_id", F.when(hot, "nm1").otherwise(F.col("name_id"))) \
+        .withColumn("title_id", F.when(hot, "tt1").otherwise(F.col("title_id"))) \
+        .write.parquet(path)
+    principals = spark.read.parquet(path)
+    titles = principals.select("title_id", F.lit(2000).alias("start_year"),
+                               F.col("category").alias("title_type"))
+
+    crew = crew_rollup(principals, silver["names"])
+    crew.collect()
+    assert "SortMergeJoin(skew=true)" in executed_plan(crew)
+
+    report = report_q1(titles, silver["ratings"])
+    got = report.collect()
+    assert "SortMergeJoin(skew=true)" in executed_plan(report)
+    conf(spark__sql__adaptive__enabled="false")
+    assert report_q1(titles, silver["ratings"]).collect() == got
+    assert rows(crew_rollup(principals, silver["names"])) == rows(crew)
+
+
+def test_mart_with_copies_of_one_title(spark, silver, conf):
+    """A third of all titles are copies of one row: every copy comes out, in several tasks."""
+    conf(spark__sql__adaptive__enabled="false")
+    titles = silver["titles"]
+    one = titles.where("title_id = 'tt1'")
+    copies = spark.range(1000, numPartitions=8).crossJoin(F.broadcast(one)).drop("id")
+    t = {**silver, "titles": titles.unionAll(copies)}
+    order = ("titles", "ratings", "principals", "names", "akas")
+    mart = category_mart(*[t[n] for n in order])
+    plain = category_mart(*[silver[n] for n in order])
+    per_genre = plain.where("title_id = 'tt1'").groupBy("genres").count().collect()
+    hot = mart.where("title_id = 'tt1'")
+    assert {r.genres: r["count"] for r in hot.groupBy("genres").count().collect()} == {
+        r.genres: r["count"] * 1001 for r in per_genre}
+    assert hot.select(F.spark_partition_id()).distinct().count() >= 3
+    assert rows(hot.distinct()) == rows(plain.where("title_id = 'tt1'").distinct())
+    assert rows(mart.where("title_id <> 'tt1'")) == rows(plain.where("title_id <> 'tt1'"))
+
+
+def test_region_counts_combine_before_the_shuffle(spark, silver):
+    """A title with most of the rows sends one row per region and task, not all its rows."""
+    akas = silver["akas"].withColumn("title_id", F.lit("tt1")).repartition(4)
+    got = region_rollup(akas)
+    want = akas.where("region <> 'Unknown'").select("region").collect()
+    assert got.first().regions == ",".join(sorted(r.region for r in want))
+    got.collect()
+    plan = executed_plan(got)
+    assert re.search(r"partial_count\(1\)", plan) and "collect_set" not in plan
+
+
+# ---- ranks ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("chunks", [None, 1, 5, 16])
+def test_spread_rank_equals_window(spark, lines, chunks):
+    """Hot group, hot score, NULL scores and a NULL group."""
+    df = lines.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_quantity") > 12, "big").when(F.col("l_quantity") > 10, "mid")
+        .when(F.col("l_quantity") > 8, "small").alias("g"),
+        F.when(F.col("l_returnflag") == "A", 5.0)
+        .when(F.col("l_partkey") > 200, F.col("l_extendedprice")).alias("s"),
+    ).unionAll(spark.createDataFrame([(1, 1, "only null", None), (2, 1, "only null", None)],
+                                     "a long, b int, g string, s double"))
+    assert rows(dense_rank_spread(df, "g", "s", "r", chunks)) == rows(
+        dense_rank_window(df, "g", "s", "r"))
+
+
+def test_spread_rank_splits_hot_group_and_hot_score(spark, lines, conf):
+    conf(spark__sql__adaptive__enabled="false")
+    df = lines.select("l_orderkey", F.lit("all").alias("g"),
+                      F.when(F.col("l_returnflag") != "A", 5.0)
+                      .otherwise(F.col("l_extendedprice")).alias("s"))
+    ranked = dense_rank_spread(df, "g", "s", chunks=16)
+    sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == df.count() and max(sizes) < 0.5 * sum(sizes)
+    tied = ranked.where("s = 5.0")
+    assert tied.select("rank").distinct().count() == 1
+    assert tied.select(F.spark_partition_id()).distinct().count() >= 3
+
+
+def test_top_n_keeps_all_ties_and_nulls(spark, lines):
+    df = lines.select(
+        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("g"),
+        F.when(F.col("l_quantity") < 49, F.col("l_quantity")).otherwise(49).alias("q"),
+        F.when(F.col("l_partkey") > 100, F.col("l_partkey")).alias("p"),
+    )
+    for order, sql in [(["q desc"], "q desc nulls last"),
+                       (["q", "p desc"], "q asc nulls first, p desc nulls last")]:
+        got = top_n_per_group(df, ["g"], order, 2, "r")
+        want = df.withColumn(
+            "r", F.expr(f"dense_rank() over (partition by g order by {sql})")).where("r <= 2")
+        assert rows(got) == rows(want)
+    plan = executed_plan(top_n_per_group(df, ["g"], ["q desc"], 2, "r"))
+    assert "WindowGroupLimit" in plan
+
+
+# ---- layout ---------------------------------------------------------------------------------
+
+
+def files(path):
+    return sorted(glob.glob(f"{path}/**/*.parquet", recursive=True))
+
+
+def test_sorted_sink_has_disjoint_sorted_files(spark, silver):
+    path = scratch_dir(spark, "sorted")
+    write_table(silver["principals"], path, sort_by=["title_id", "name_id"], n_files=6)
+    ranges = []
+    for file in files(path):
+        t = pq.ParquetFile(file).read(columns=["title_id", "name_id"]).to_pylist()
+        keys = [(r["title_id"], r["name_id"]) for r in t]
+        assert keys == sorted(keys)
+        ranges.append((keys[0], keys[-1]))
+    assert len(ranges) == 6
+    ranges.sort()
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert rows(spark.read.parquet(path)) == rows(silver["principals"])
+
+
+def test_sorted_sink_spreads_copies_of_one_row(spark, silver):
+    one = silver["names"].where("name_id = 'nm7'")
+    copies = spark.range(2000, numPartitions=8).crossJoin(F.broadcast(one)).drop("id")
+    df = silver["names"].unionAll(copies)
+    path = scratch_dir(spark, "copies")
+    write_table(df, path, sort_by="name_id", n_files=8)
+    counts = [pq.ParquetFile(f).metadata.num_rows for f in files(path)]
+    assert sum(counts) == df.count() and max(counts) < 0.5 * sum(counts)
+
+
+def test_partitioned_sink_is_sorted_and_splits_a_hot_value(spark, silver, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
+    df = silver["principals"].repartition(8).select(
+        "title_id", "ordering", F.when(F.col("category") != "writer", "actor").alias("category"))
+    path = scratch_dir(spark, "partitioned")
+    write_table(df, path, "category", "ordering desc")
+    hot = files(f"{path}/category=actor")
+    assert len(hot) >= 3 and files(f"{path}/category=unknown")
+    for file in files(path):
+        got = pq.ParquetFile(file).read(columns=["ordering"]).column(0).to_pylist()
+        assert got == sorted(got, reverse=True)
+    back = spark.read.parquet(path)
+    assert rows(back) == rows(df.fillna("unknown", ["category"]))
+
+
+def test_sink_variants(spark, tmp_path):
+    df = spark.range(100).withColumn("p", (F.col("id") / 50).cast("int"))
+    for i, options in enumerate([{}, {"n_files": 3}, {"partition_by": ["p"]},
+                                 {"partition_by": "p", "max_records_per_file": 10},
+                                 {"sort_by": F.desc("id"), "n_files": 2}]):
+        path = str(tmp_path / str(i))
+        write_table(df, path, **options)
+        write_table(df, path, **options)  # replaces
+        assert rows(spark.read.parquet(path)) == rows(df)
+    assert len(files(tmp_path / "1")) == 3
+    assert len(files(tmp_path / "3")) >= 10
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class FakeContext:
+        master, applicationId = "spark://host:7077", "app-1"
+
+    class FakeSession:
+        sparkContext = FakeContext()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession(), "x")
+
+
+# ---- plans ----------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def stored_mart(spark, silver):
+    path = scratch_dir(spark, "mart")
+    mart = category_mart(*[silver[n] for n in ("titles", "ratings", "principals", "names", "akas")])
+    write_table(mart, path, ["title_type", "genres"], "weighted_rating desc")
+    return read_table(spark, path, GOLD_SCHEMAS["category_wise_movies"])
+
+
+def test_stored_mart_prunes_partitions_and_pushes_filters(stored_mart):
+    for report in (report_q2(stored_mart, "ECONOMY", 4.5, 100), report_q4(stored_mart, "ECONOMY", 100)):
+        plan = report._jdf.queryExecution().executedPlan().treeString()
+        scans = [s for s in plan.split("\n") if "FileScan" in s]
+        assert scans and all("title_type" in s.split("PartitionFilters: ")[1] for s in scans)
+        assert all("GreaterThan" in s.split("PushedFilters: ")[1] for s in scans)
+        assert all("actors" not in s for s in scans)
+    assert "TakeOrderedAndProject" in executed_plan(report_q2(stored_mart))
+
+
+def test_no_large_table_goes_to_one_task(spark, silver, stored_mart, conf):
+    """Single-task exchanges carry partial aggregates only; no Python, no cross join."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    s = silver
+    plans = [
+        weighted_rating(s["ratings"]),
+        crew_rollup(s["principals"], s["names"]),
+        region_rollup(s["akas"]),
+        category_mart(s["titles"], s["ratings"], s["principals"], s["names"], s["akas"]),
+        cast_mart(s["principals"], s["ratings"], s["names"]),
+        cast_mart(s["principals"], s["ratings"], s["names"], top_n=3),
+        report_q1(s["titles"], s["ratings"]),
+        report_q3(stored_mart, ["ring"]),
+        report_q4(stored_mart, "ECONOMY", 100),
+    ]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "CartesianProduct" not in plan
+        assert "NestedLoopJoin" not in plan
+        following = plan.split("Exchange SinglePartition")[1:]
+        for below in following:
+            assert re.match(r"[^\n]*\n[^\n]*HashAggregate\(keys=\[\], functions=\[partial_", below)
+
+
+def test_report_scans_read_only_their_columns(silver):
+    plan = executed_plan(report_q1(silver["titles"], silver["ratings"]))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)", plan)
+    assert sorted(len(s.split(",")) for s in schemas) == [3, 3]
+
+
+# ---- partitioning must not matter -----------------------------------------------------------
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "13"])
+def test_same_result_for_any_partitioning(spark, conf, partitions):
+    names = ("titles", "ratings", "principals", "names", "akas")
+    base = {n: silver_table(spark, SMALL, n) for n in names}
+
+    def results(t):
+        mart = category_mart(*[t[n] for n in names])
+        return [near(mart), near(cast_mart(t["principals"], t["ratings"], t["names"])),
+                near(report_q1(t["titles"], t["ratings"]))]
+
+    want = results(base)
+    conf(spark__sql__shuffle__partitions=partitions)
+    shuffled = {n: df.orderBy(F.rand(7)).repartition(5) for n, df in base.items()}
+    assert results(shuffled) == want
