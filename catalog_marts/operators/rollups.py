@@ -16,13 +16,12 @@ CREW_ROLES: dict[str, list[str]] = {
 }
 NO_REGION = "Unknown"  # fixed value
 
-_ORDERING_SPAN = 1000  # billing positions per first-level list
+_ORDERING_SPAN = 10_000  # billing positions per first-level list
 
 
-def _ordered_text(pairs: Column, field: str) -> Column:
-    """Join ``field`` of the collected structs, in struct order; NULL when there are none."""
-    ordered = F.transform(F.sort_array(pairs), lambda p: p[field])
-    return F.when(F.size(pairs) > 0, F.array_join(ordered, ","))
+def _listed(text: str, order_by: str) -> Column:
+    """Comma list of ``text`` in the given order; NULL entries are skipped, none gives NULL."""
+    return F.expr(f"listagg({text}, ',') within group (order by {order_by})")
 
 
 def crew_rollup(
@@ -54,35 +53,20 @@ def crew_rollup(
     others = principals.where(~is_listed | F.col("category").isNull()).select("title_id")
     credits = listed.unionByName(others, allowMissingColumns=True)
 
-    person = F.struct("ordering", "primary_name")
+    in_role = {
+        role: F.when(F.col("category").isin(list(cats)), F.col("primary_name"))
+        for role, cats in roles.items()
+    }
+    span = F.floor(F.col("ordering") / _ORDERING_SPAN)
     pieces = (
-        credits.withColumn("_span", F.floor(F.col("ordering") / _ORDERING_SPAN))
+        credits.select("title_id", "ordering", span.alias("_span"),
+                       *[name.alias(role) for role, name in in_role.items()])
         .groupBy("title_id", "_span")
-        .agg(*[
-            _ordered_text(
-                F.collect_list(
-                    F.when(
-                        F.col("category").isin(list(cats)) & F.col("primary_name").isNotNull(),
-                        person,
-                    )
-                ),
-                "primary_name",
-            ).alias(role)
-            for role, cats in roles.items()
-        ])
+        .agg(*[_listed(f"`{role}`", f"ordering, `{role}`").alias(role) for role in roles])
+    )
+    return pieces.groupBy("title_id").agg(
+        *[F.coalesce(_listed(f"`{role}`", "_span"), F.lit("")).alias(role) for role in roles]
     )
-    return pieces.groupBy("title_id").agg(*[
-        F.coalesce(
-            _ordered_text(
-                F.collect_list(
-                    F.when(F.col(role).isNotNull(), F.struct("_span", F.col(role).alias("text")))
-                ),
-                "text",
-            ),
-            F.lit(""),
-        ).alias(role)
-        for role in roles
-    ])
 
 
 def region_rollup(akas: DataFrame, distinct: bool = False) -> DataFrame:
@@ -98,14 +82,8 @@ def region_rollup(akas: DataFrame, distinct: bool = False) -> DataFrame:
     per_region = (
         akas.where(known).groupBy("title_id", "region").agg(F.count(F.lit(1)).alias("_n"))
     )
-    counted = F.sort_array(F.collect_list(F.struct("region", "_n")))
-    if distinct:
-        regions = F.transform(counted, lambda p: p["region"])
-    else:
-        regions = F.flatten(
-            F.transform(counted, lambda p: F.array_repeat(p["region"], p["_n"].cast("int")))
-        )
+    text = "region" if distinct else "array_join(array_repeat(region, cast(_n as int)), ',')"
     return per_region.groupBy("title_id").agg(
-        F.array_join(regions, ",").alias("regions"),
+        _listed(text, "region").alias("regions"),
         F.count(F.lit(1)).alias("region_count"),
     )

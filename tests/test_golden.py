@@ -83,7 +83,7 @@ def test_cast_mart_counts_name_copies_like_a_join(spark, mini):
 
 def test_crew_order_across_spans(spark):
     """Names come in billing order, also when a cast is longer than one first-level list."""
-    order = [2500, 3, 1000, 999, 1, 5000, 12, 2001, 0, None]
+    order = [25000, 3, 10000, 9999, 1, 50000, 12, 20001, 0, None]
     principals = spark.createDataFrame(
         [("t", o, f"n{o}", "actor") for o in order] + [("u", 1, "n1", "writer"),
                                                        ("v", 1, "n1", None)],
@@ -99,7 +99,7 @@ def test_crew_order_across_spans(spark):
 
 def test_crew_empty_names_are_kept(spark):
     principals = spark.createDataFrame(
-        [("t", 1, "a", "actor"), ("t", 1500, "b", "actor"), ("t", 2, "c", "editor")],
+        [("t", 1, "a", "actor"), ("t", 15000, "b", "actor"), ("t", 2, "c", "editor")],
         "title_id string, ordering int, name_id string, category string",
     )
     names = spark.createDataFrame([("a", ""), ("b", "B"), ("c", "C")],
