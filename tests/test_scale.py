@@ -28,7 +28,15 @@ from catalog_marts.plans import (
     report_q3,
     report_q4,
 )
-from catalog_marts.sources import GOLD_SCHEMAS, SILVER, read_table, scratch_dir, write_table
+from catalog_marts.sources import (
+    GOLD_SCHEMAS,
+    SILVER,
+    open_bucketed,
+    read_table,
+    scratch_dir,
+    write_bucketed,
+    write_table,
+)
 
 SF = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
@@ -117,6 +125,40 @@ def test_adaptive_execution_splits_the_scan_joins(spark, silver, conf, tmp_path)
     assert rows(crew_rollup(principals, silver["names"])) == rows(crew)
 
 
+def test_adaptive_execution_splits_the_cast_and_top_n_joins(spark, silver, conf, tmp_path):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__files__maxPartitionBytes="128KB",
+    )
+    hot = F.col("category").isin("actor", "actress", "director")
+    path = str(tmp_path / "hot")
+    silver["principals"].repartition(8).select(
+        "name_id", "category", "ordering",
+        F.when(hot, "tt1").otherwise(F.col("title_id")).alias("title_id"),
+        F.when(hot, 100000).otherwise(F.col("ordering")).alias("score"),
+    ).write.parquet(path)
+    principals = spark.read.parquet(path)
+
+    cast = cast_mart(principals, silver["ratings"], silver["names"], rank_method="window")
+    got = near(cast)
+    cast.collect()
+    assert "SortMergeJoin(skew=true)" in executed_plan(cast)
+
+    top = top_n_per_group(principals, ["title_id"], ["score desc"], 1)
+    best = rows(top)
+    assert len(best) > principals.where(hot).count()
+    top.collect()
+    assert "SortMergeJoin(skew=true)" in executed_plan(top)
+
+    conf(spark__sql__adaptive__enabled="false")
+    assert near(cast_mart(principals, silver["ratings"], silver["names"])) == got
+    assert rows(top_n_per_group(principals, ["title_id"], ["score desc"], 1)) == best
+
+
 def test_mart_with_copies_of_one_title(spark, silver, conf):
     """A third of all titles are copies of one row: every copy comes out, in several tasks."""
     conf(spark__sql__adaptive__enabled="false")
@@ -315,6 +357,40 @@ def test_no_large_table_goes_to_one_task(spark, silver, stored_mart, conf):
             assert re.match(r"[^\n]*\n[^\n]*HashAggregate\(keys=\[\], functions=\[partial_", below)
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, silver, conf, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    tables = {}
+    for name in ("titles", "ratings"):
+        path = str(tmp_path / name)
+        tables[name] = write_bucketed(silver[name], f"b_{name}", path, ["title_id"], 5)
+        assert len(files(path)) == 5
+        again = open_bucketed(spark, f"b2_{name}", path, SILVER[name].schema, ["title_id"], 5)
+        assert rows(again) == rows(silver[name])
+    report = report_q1(tables["titles"], tables["ratings"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "hashpartitioning(title_id" not in plan
+    again = report_q1(spark.table("b2_titles"), spark.table("b2_ratings"))
+    assert "hashpartitioning(title_id" not in again._jdf.queryExecution().executedPlan().toString()
+    for table in ("b_titles", "b_ratings"):
+        spark.sql(f"drop table {table}")  # external: the files stay
+    assert report.collect() == again.collect() == report_q1(
+        silver["titles"], silver["ratings"]).collect()
+
+
+def test_bucketed_table_with_a_dominating_key_is_read_plainly(spark, silver, conf, tmp_path):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB")
+    hot = silver["principals"].repartition(8).withColumn(
+        "title_id", F.when(F.col("category") != "writer", "tt1").otherwise(F.col("title_id")))
+    path = str(tmp_path / "hot")
+    stored = write_bucketed(hot, "b_hot", path, ["title_id"], 16)
+    assert rows(stored) == rows(hot)
+    assert len(files(path)) > 16  # the hot bucket was written by several tasks
+    grouped = executed_plan(stored.groupBy("title_id").count())
+    assert "hashpartitioning(title_id" in grouped
+    assert "hashpartitioning(title_id" not in executed_plan(
+        spark.table("b_hot").groupBy("title_id").count())
+
+
 def test_report_scans_read_only_their_columns(silver):
     plan = executed_plan(report_q1(silver["titles"], silver["ratings"]))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)", plan)
