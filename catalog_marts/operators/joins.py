@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+HOT_ROWS = 100_000  # a key with fewer rows never needs more than one task
+
 
 def left_join_spread(left: DataFrame, key: str, *rights: DataFrame) -> DataFrame:
     """``left`` LEFT JOIN each of ``rights`` on ``key``, exact, even if one key fills ``left``.
@@ -16,38 +18,33 @@ def left_join_spread(left: DataFrame, key: str, *rights: DataFrame) -> DataFrame
     The rows of ``left`` are counted per key, an aggregate that combines before the shuffle. The
     right sides are attached to these counts, one row per key, so none of those joins can be
     skewed, and aggregates by ``key`` need no further shuffle. ``left`` itself is then joined
-    once. Rows of a hot key get a part number from the task that reads them (the same number if
-    that task runs again), and the attached row of that key is repeated once per part. Rows
+    once. A key with more than a shuffle partition's fair share of the rows is hot and gets as
+    many parts as it has shares: its rows take a part number from the task that reads them (the
+    same number if that task runs again), and the attached row is repeated once per part. Rows
     without a key match nothing and are spread the same way.
 
-    A key is hot when it holds more than a shuffle partition's fair share of the rows. Fewer keys
-    than there are shuffle partitions can do so, which bounds the broadcast list of hot keys.
+    With ``n`` shuffle partitions fewer than ``n`` keys can exceed the fair share, which bounds
+    the broadcast list of hot keys, and the parts of all of them together are at most ``2 n``.
     ``left`` should be a stored table, as its key column is read a second time.
     """
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = left.agg(F.count(F.lit(1))).scalar()
-    counts = (
-        left.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_hot", F.col("_rows") * parts > total)
-        .drop("_rows")
-    )
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    parts = F.when(F.col("_rows") > HOT_ROWS, F.ceil(F.col("_rows") * shares / total))
+    counts = counts.withColumn("_parts", F.coalesce(parts, F.lit(1))).drop("_rows")
 
     attached = counts
     for right in rights:
         attached = attached.join(right, key, "left")
-    all_parts = F.sequence(F.lit(0), F.lit(parts - 1))
     attached = attached.withColumn(
-        "_part", F.explode(F.when(F.col("_hot"), all_parts).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+        "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    ).drop("_parts")
 
-    hot = F.broadcast(counts.where(F.col("_hot")))
-    part = F.pmod(F.spark_partition_id(), F.lit(parts))
-    spread = F.col("_hot") | F.col(key).isNull()
+    hot = F.broadcast(counts.where(F.col("_parts") > 1))
+    spread_over = F.when(F.col(key).isNull(), shares).otherwise(F.coalesce("_parts", F.lit(1)))
     numbered = (
         left.join(hot, key, "left")
-        .withColumn("_part", F.when(spread, part).otherwise(F.lit(0)))
-        .drop("_hot")
+        .withColumn("_part", F.pmod(F.spark_partition_id(), spread_over))
+        .drop("_parts")
     )
     return numbered.join(attached, [key, "_part"], "left").drop("_part")
