@@ -31,6 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--raw", help="folder with the raw dumps")
     parser.add_argument("--out", required=True, help="root of the silver and gold tables")
     parser.add_argument("--target", help="serving location")
+    parser.add_argument("--cluster", choices=["range", "hash"], default="range",
+                        help="layout of the cleaned tables; hash reads the dumps only once")
     parser.add_argument("--partitions", type=int, help="starting number of shuffle partitions")
     parser.add_argument("--parallelism", type=int, default=PARALLELISM)
     args = parser.parse_args(argv)
@@ -41,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session(partitions=args.partitions)
     if args.step == "build":
-        build_silver(spark, args.raw, args.out)
+        build_silver(spark, args.raw, args.out, cluster=args.cluster)
         build_gold(spark, args.out)
         return
     register_views(spark, args.out)

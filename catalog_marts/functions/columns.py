@@ -48,10 +48,8 @@ def bayes_score(rating: Column, votes: Column, mean: Column, prior_votes: float)
     return own * rating + prior * mean
 
 
-def sort_key(key: str | Column) -> Column:
+def sort_key(key: str) -> Column:
     """``"x"`` or ``"x desc"`` as a sort column; NULL is first ascending and last descending."""
-    if isinstance(key, Column):
-        return key
     name, _, direction = key.partition(" ")
     descending = direction.strip().lower() == "desc"
     return F.col(name).desc_nulls_last() if descending else F.col(name).asc_nulls_first()

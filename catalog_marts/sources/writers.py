@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_marts.functions import non_blank, sort_key
@@ -22,9 +22,10 @@ def write_table(
     df: DataFrame,
     path: str,
     partition_by: str | Sequence[str] | None = None,
-    sort_by: str | Column | Sequence[str | Column] | None = None,
+    sort_by: str | Sequence[str] | None = None,
     n_files: int | None = None,
     max_records_per_file: int = 0,
+    cluster: str = "range",
 ) -> None:
     """Replace the Parquet table at ``path``; the layout follows the arguments.
 
@@ -33,7 +34,9 @@ def write_table(
         disjoint key ranges and a reader can skip them by their min/max. The writing task's
         number is the last range key: it lets copies of one row, or a single hot key, be spread
         over several files. It is stable when a lost task is run again, which a random number
-        would not be.
+        would not be. Finding the ranges costs a first pass over the input; ``cluster="hash"``
+        does without: rows of one value of the first key still lie together, sorted, in files
+        of even size, but every file covers the whole key range.
     ``partition_by``
         A rebalance by the partition columns: adaptive execution splits an oversized partition
         value over several tasks and packs small ones together. The local sort leads with the
@@ -45,7 +48,10 @@ def write_table(
     ``n_files`` fixes the number of writing tasks; left out, adaptive execution sizes them.
     Never write to a path that ``df`` itself reads.
     """
-    parts, keys = _as_list(partition_by), [sort_key(k) for k in _as_list(sort_by)]
+    if cluster not in ("range", "hash"):
+        raise ValueError(f"unknown cluster {cluster!r}")
+    parts, order = _as_list(partition_by), _as_list(sort_by)
+    keys = [sort_key(k) for k in order]
     count = [n_files] if n_files else []
     types = dict(df.dtypes)
     text_parts = [p for p in parts if types[p] == "string"]
@@ -55,6 +61,8 @@ def write_table(
     if parts:
         df = df.hint("rebalance", *count, *[F.col(p) for p in parts])
         df = df.sortWithinPartitions(*parts, *keys)
+    elif keys and cluster == "hash":
+        df = df.hint("rebalance", *count, order[0].split(" ")[0]).sortWithinPartitions(*keys)
     elif keys:
         df = (
             df.withColumn("_task", F.spark_partition_id())

@@ -301,13 +301,34 @@ def test_sink_variants(spark, tmp_path):
     df = spark.range(100).withColumn("p", (F.col("id") / 50).cast("int"))
     for i, options in enumerate([{}, {"n_files": 3}, {"partition_by": ["p"]},
                                  {"partition_by": "p", "max_records_per_file": 10},
-                                 {"sort_by": F.desc("id"), "n_files": 2}]):
+                                 {"sort_by": "id desc", "n_files": 2},
+                                 {"sort_by": ["p", "id desc"], "cluster": "hash"}]):
         path = str(tmp_path / str(i))
         write_table(df, path, **options)
         write_table(df, path, **options)  # replaces
         assert rows(spark.read.parquet(path)) == rows(df)
     assert len(files(tmp_path / "1")) == 3
     assert len(files(tmp_path / "3")) >= 10
+    with pytest.raises(ValueError):
+        write_table(df, str(tmp_path / "x"), sort_by="id", cluster="other")
+
+
+def test_hash_clustered_sink_splits_a_hot_key(spark, silver, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
+    df = silver["principals"].repartition(8).select(
+        "ordering", F.when(F.col("category") != "writer", "tt1").otherwise(F.col("title_id"))
+        .alias("title_id"))
+    path = scratch_dir(spark, "hash")
+    write_table(df, path, sort_by=["title_id", "ordering"], cluster="hash")
+    assert rows(spark.read.parquet(path)) == rows(df)
+    holding = {}
+    for file in files(path):
+        t = pq.ParquetFile(file).read(columns=["title_id", "ordering"]).to_pylist()
+        keys = [(r["title_id"], r["ordering"]) for r in t]
+        assert keys == sorted(keys)
+        for title in {k[0] for k in keys}:
+            holding[title] = holding.get(title, 0) + 1
+    assert holding["tt1"] >= 3
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
