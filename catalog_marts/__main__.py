@@ -21,7 +21,7 @@ from catalog_marts.plans import (
 )
 from catalog_marts.plans.publish import PARALLELISM, SERVING_TABLES
 from catalog_marts.session import get_session
-from catalog_marts.sources import register_views
+from catalog_marts.sources import clear_scratch, register_views
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.step == "build":
         build_silver(spark, args.raw, args.out, cluster=args.cluster)
         build_gold(spark, args.out)
+        clear_scratch(spark)
         return
     register_views(spark, args.out)
     if args.step == "publish":

@@ -7,7 +7,14 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog_marts.operators import clean_table
-from catalog_marts.sources import SILVER, TableSpec, read_table, read_tsv, require_tables, write_table
+from catalog_marts.sources import (
+    SILVER,
+    TableSpec,
+    read_table,
+    read_tsv,
+    require_tables,
+    write_table,
+)
 
 from .marts import cast_mart, category_mart
 from .together import run_all

@@ -17,6 +17,7 @@ from catalog_marts.operators import (
     top_n_per_group,
     weighted_rating,
 )
+from catalog_marts.sources import scratch_copy
 
 # Averages are sums in no fixed order; rounding keeps equal scores equal when they are ranked.
 SCORE_DECIMALS = 9
@@ -91,6 +92,7 @@ def cast_mart(
     if min_titles:
         cast = cast.where(F.col("total_movies") >= min_titles)
     if top_n is not None:
-        return top_n_per_group(cast, ["category"], ["avg_weighted_rating desc"], top_n)
+        stored = scratch_copy(cast, "cast")  # read twice below
+        return top_n_per_group(stored, ["category"], ["avg_weighted_rating desc"], top_n)
     rank = dense_rank_spread if rank_method == "spread" else dense_rank_window
     return rank(cast, "category", "avg_weighted_rating")

@@ -3,11 +3,11 @@
 from .buckets import open_bucketed, write_bucketed
 from .readers import read_table, read_tsv, register_views, require_tables
 from .specs import AKAS, GOLD_SCHEMAS, NAMES, PRINCIPALS, RATINGS, SILVER, TITLES, Field, TableSpec
-from .writers import scratch_copy, scratch_dir, write_table
+from .writers import clear_scratch, scratch_copy, scratch_dir, write_table
 
 __all__ = [
     "AKAS", "GOLD_SCHEMAS", "NAMES", "PRINCIPALS", "RATINGS", "SILVER", "TITLES",
     "Field", "TableSpec",
-    "open_bucketed", "read_table", "read_tsv", "register_views", "require_tables",
+    "clear_scratch", "open_bucketed", "read_table", "read_tsv", "register_views", "require_tables",
     "scratch_copy", "scratch_dir", "write_bucketed", "write_table",
 ]

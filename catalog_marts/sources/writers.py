@@ -81,19 +81,36 @@ def write_table(
     writer.parquet(path)
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder set in ``spark.checkpoint.dir``.
+_local_folders: dict[str, str] = {}  # application id -> folder, local sessions only
 
-    Only a local session may do without the setting. Folders carry the application id, so a
-    finished run's scratch data can be removed as a whole.
-    """
+
+def _scratch_root(spark: SparkSession) -> str:
+    context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="catalog-marts-")
-    app = spark.sparkContext.applicationId
-    return f"{shared.rstrip('/')}/{app}/{label}-{uuid.uuid4().hex}"
+        if context.applicationId not in _local_folders:
+            folder = tempfile.mkdtemp(prefix="catalog-marts-")
+            _local_folders[context.applicationId] = folder
+        shared = _local_folders[context.applicationId]
+    return f"{shared.rstrip('/')}/{context.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared folder set in ``spark.checkpoint.dir``.
+
+    Only a local session may do without the setting. All scratch folders of an application lie
+    in one folder named after it, which :func:`clear_scratch` removes.
+    """
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch tables; call it when no result needs them any more."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_copy(df: DataFrame, label: str) -> DataFrame:

@@ -52,8 +52,10 @@ def catalogue(seed):
 def scores_of(ratings, prior=1000.0):
     known = [a for _, a, _ in ratings if a is not None]
     mean = sum(known) / len(known)
-    return [(t, None if a is None or v is None else v / (v + prior) * a + prior / (v + prior) * mean)
-            for t, a, v in ratings]
+    return [
+        (t, None if None in (a, v) else v / (v + prior) * a + prior / (v + prior) * mean)
+        for t, a, v in ratings
+    ]
 
 
 CREDITS = "title_id string, ordering int, name_id string, category string"
@@ -80,8 +82,12 @@ def test_crew(spark, seed):
         for role, cats in CREW_ROLES.items():
             if c in cats:
                 want[t][role] += [((o is not None, o), name) for name in by_id[n] if name]
-    text = {t: tuple(",".join(p[1] for p in sorted(w[role], key=lambda p: (p[0][0], p[0][1] or 0, p[1])))
-                     for role in CREW_ROLES) for t, w in want.items()}
+
+    def joined(found):
+        return ",".join(name for _, name in sorted(found, key=lambda p: (
+            p[0][0], p[0][1] or 0, p[1])))
+
+    text = {t: tuple(joined(w[role]) for role in CREW_ROLES) for t, w in want.items()}
     got = crew_rollup(frame(spark, credits, CREDITS), frame(spark, names, NAMES)).collect()
     assert {r.title_id: (r.actors, r.directors, r.producers) for r in got} == text
     assert len(got) == len(text)

@@ -118,7 +118,8 @@ def test_region_rollup(spark, mini):
 
 
 def test_explode_category(spark):
-    df = spark.createDataFrame([(1, "A,,B"), (2, ""), (3, None), (4, " C , ")], "id int, genres string")
+    df = spark.createDataFrame(
+        [(1, "A,,B"), (2, ""), (3, None), (4, " C , ")], "id int, genres string")
     assert rows(explode_category(df), "id", "genres") == [
         (1, "A"), (1, "B"), (1, "unknown"), (2, "unknown"), (3, "unknown"), (4, "C"),
         (4, "unknown")]

@@ -1,7 +1,10 @@
 """Raw text in, typed rows out: dirty input, NULLs, whole layers."""
 
+import os
+
 import pytest
 
+from catalog_marts.__main__ import main
 from catalog_marts.operators import clean_table
 from catalog_marts.plans import build_gold, build_silver, publish, raise_on_failure
 from catalog_marts.plans.layers import read_silver
@@ -11,9 +14,11 @@ from catalog_marts.sources import (
     RATINGS,
     SILVER,
     TITLES,
+    clear_scratch,
     read_tsv,
     register_views,
     require_tables,
+    scratch_copy,
 )
 
 HEADER = "\t".join(TITLES.raw_columns)
@@ -161,6 +166,31 @@ def test_nulls_survive_to_the_published_table(spark, built):
     assert silver["principals"].where("characters = 'Self,The Host'").count() == 1
 
 
+def test_command_line(spark, built, tmp_path, capsys):
+    out, again = str(built / "tables"), str(tmp_path / "again")
+    main(["build", "--raw", str(built), "--out", again, "--cluster", "hash"])
+    for name in SERVING_TABLES:
+        layer, table = name.split("_", 1)
+        stored = spark.read.parquet(f"{again}/{layer}/{table}").select(*spark.table(name).columns)
+        assert stored.exceptAll(spark.table(name)).count() == 0
+        assert stored.count() == spark.table(name).count()
+    main(["publish", "--out", out, "--target", str(tmp_path / "serving")])
+    assert spark.read.parquet(str(tmp_path / "serving" / "gold_category_wise_movies")).count() == 3
+    main(["report", "--out", out])
+    printed = capsys.readouterr().out
+    assert '"Star Wars" tale' in printed and "match_count" in printed and "rank_in_year" in printed
+    with pytest.raises(SystemExit):
+        main(["publish", "--out", out])
+
+
+def test_scratch_is_cleared(spark):
+    df = scratch_copy(spark.range(5), "x")
+    path = df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")
+    assert df.count() == 5 and os.path.exists(path)
+    clear_scratch(spark)
+    assert not os.path.exists(path)
+
+
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
     good = spark.range(10)
     bad = spark.range(10).selectExpr("cast(raise_error('broken input') as bigint) as id")

@@ -116,9 +116,10 @@ def test_adaptive_execution_splits_the_scan_joins(spark, silver, conf, tmp_path)
     )
     hot = F.rand(1) < 0.5
     path = str(tmp_path / "hot")
-    silver["principals"].repartition(8).withColumn("name_id", F.when(hot, "nm1").otherwise(F.col("name_id"))) \
-        .withColumn("title_id", F.when(hot, "tt1").otherwise(F.col("title_id"))) \
-        .write.parquet(path)
+    silver["principals"].repartition(8).withColumns({
+        "name_id": F.when(hot, "nm1").otherwise(F.col("name_id")),
+        "title_id": F.when(hot, "tt1").otherwise(F.col("title_id")),
+    }).write.parquet(path)
     principals = spark.read.parquet(path)
     titles = principals.select("title_id", F.lit(2000).alias("start_year"),
                                F.col("category").alias("title_type"))
@@ -359,7 +360,8 @@ def stored_mart(spark, silver):
 
 
 def test_stored_mart_prunes_partitions_and_pushes_filters(stored_mart):
-    for report in (report_q2(stored_mart, "ECONOMY", 4.5, 100), report_q4(stored_mart, "ECONOMY", 100)):
+    for report in (report_q2(stored_mart, "ECONOMY", 4.5, 100),
+                   report_q4(stored_mart, "ECONOMY", 100)):
         plan = report._jdf.queryExecution().executedPlan().treeString()
         scans = [s for s in plan.split("\n") if "FileScan" in s]
         assert scans and all("title_type" in s.split("PartitionFilters: ")[1] for s in scans)
