@@ -35,7 +35,9 @@ def dense_rank_spread(
        plus one per group.
     3. Rank inside the chunk plus that offset. No task holds more rows than one chunk.
 
-    ``chunks`` fixes the number of chunks; left out, adaptive execution sizes them.
+    ``df`` is read twice (finding the ranges takes a first pass) and should be a stored table, or
+    at least compute the same scores each time. ``chunks`` fixes the number of chunks; left out,
+    adaptive execution sizes them.
     """
     value = F.col(score)
     count = [chunks] if chunks else []
@@ -90,7 +92,8 @@ def top_n_per_group(
     shuffle and Spark drops all but the first ``n`` of a group in each task before the window,
     so a group's task sees a handful of rows however large the group is. The rows are then
     picked by joining on those values, which spreads them; adaptive execution turns that join
-    into a broadcast when the winners turn out to be few.
+    into a broadcast when the winners turn out to be few. ``df`` is read twice, so it should be a
+    stored table.
     """
     group, columns = list(group), [key.split(" ")[0] for key in order_by]
     keys = group + columns

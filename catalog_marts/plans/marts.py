@@ -91,8 +91,11 @@ def cast_mart(
     )
     if min_titles:
         cast = cast.where(F.col("total_movies") >= min_titles)
+    if rank_method == "window" and top_n is None:
+        return dense_rank_window(cast, "category", "avg_weighted_rating")
+    # Both ways below read their input twice. Stored, a mean also keeps its last digit when a
+    # lost task runs again, so no person can change places between two attempts.
+    stored = scratch_copy(cast, "cast")
     if top_n is not None:
-        stored = scratch_copy(cast, "cast")  # read twice below
         return top_n_per_group(stored, ["category"], ["avg_weighted_rating desc"], top_n)
-    rank = dense_rank_spread if rank_method == "spread" else dense_rank_window
-    return rank(cast, "category", "avg_weighted_rating")
+    return dense_rank_spread(stored, "category", "avg_weighted_rating")

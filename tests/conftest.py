@@ -12,7 +12,7 @@ from catalog_marts.session import get_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     os.environ.setdefault(
-        "PYSPARK_SUBMIT_ARGS", "--master local[8] --driver-memory 4g pyspark-shell"
+        "PYSPARK_SUBMIT_ARGS", "--master local[8,2] --driver-memory 4g pyspark-shell"
     )
     session = get_session(
         "catalog-marts-tests",
