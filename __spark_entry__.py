@@ -19,6 +19,8 @@ from catalog_marts.operators import (
     weighted_rating,
 )
 from catalog_marts.plans import (
+    build_gold,
+    build_silver,
     cast_mart,
     category_mart,
     publish,
@@ -32,6 +34,7 @@ from catalog_marts.sources import (
     SILVER,
     read_table,
     read_tsv,
+    register_views,
     scratch_dir,
     write_bucketed,
     write_table,
@@ -41,6 +44,7 @@ from catalog_marts.sources import (
 TYPE, MIN_RATING, MIN_VOTES, TOP_K = "ECONOMY", 4.7, 7000, 100
 TERMS = ("Small", "ring")
 YEARLY_VOTES, YEARLY_TOP = 5000, 3
+GOLD_VIEW = "gold_category_wise_movies"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -93,6 +97,30 @@ def _stored_cast(spark, sf_dir) -> DataFrame:
     return stored.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def _built(spark, sf_dir) -> str:
+    """Root of all layers, built from text dumps; built once per application."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} layers")
+    if key not in _stored:
+        root = scratch_dir(spark, "layers")
+        for name, spec in SILVER.items():
+            write_dump(raw_table(spark, sf_dir, name), f"{root}/raw/{spec.file}")
+        build_silver(spark, f"{root}/raw", root)
+        build_gold(spark, root)
+        _stored[key] = root
+    return _stored[key]
+
+
+def _built_gold(spark, sf_dir, name) -> DataFrame:
+    gold = read_table(spark, f"{_built(spark, sf_dir)}/gold/{name}", GOLD_SCHEMAS[name])
+    return gold.withColumn("rank", F.col("rank").cast("bigint")) if "rank" in gold.columns else gold
+
+
+def _sql(spark, sf_dir, query) -> DataFrame:
+    """A report as SQL text on the registered views."""
+    register_views(spark, _built(spark, sf_dir))
+    return spark.sql(query)
+
+
 def _sorted_roundtrip(spark, sf_dir) -> DataFrame:
     path = scratch_dir(spark, "silver-akas")
     spec = SILVER["akas"]
@@ -200,6 +228,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_partitioned_roundtrip": _stored_mart,
         "sink_cast_roundtrip": _stored_cast,
         "publish_status": _published,
+        "build_category_mart": lambda s, d: _built_gold(s, d, "category_wise_movies"),
+        "build_cast_mart": lambda s, d: _built_gold(s, d, "top_category_wise_cast"),
+        "sql_report_q1": lambda s, d: _sql(
+            s, d, _Q1.format(titles="silver_titles", ratings="silver_ratings")
+        ),
+        "sql_report_q2": lambda s, d: _sql(s, d, _Q2.format(mart=GOLD_VIEW)),
+        "sql_report_q3": lambda s, d: _sql(s, d, _Q3.format(mart=GOLD_VIEW)),
+        "sql_report_q4": lambda s, d: _sql(s, d, _Q4.format(columns="*", mart=GOLD_VIEW)),
     }
 
 
@@ -264,11 +300,11 @@ select *, cast(dense_rank() over (partition by category
 _Q1 = """
 select start_year, title_type, count(*) as total_titles,
   round(avg(average_rating), 2) as avg_rating, max(num_votes) as max_votes
-from titles join ratings using (title_id)
+from {titles} join {ratings} using (title_id)
 where start_year between 1980 and 2025 group by all"""
 
 _Q2 = f"""
-select distinct title_id, primary_title, start_year, average_rating, num_votes from mart
+select distinct title_id, primary_title, start_year, average_rating, num_votes from {{mart}}
 where title_type = '{TYPE}' and average_rating >= cast({MIN_RATING} as float)
   and num_votes >= {MIN_VOTES}
 order by average_rating desc, num_votes desc, title_id limit {TOP_K}"""
@@ -277,7 +313,7 @@ _Q3_MATCH = " or ".join(f"lower(primary_title) like '%{t.lower()}%'" for t in TE
 _Q3 = f"""
 select title_type, count(distinct title_id) as match_count,
   round(avg(average_rating), 2) as avg_rating
-from {{source}} where {_Q3_MATCH} group by title_type"""
+from {{mart}} where {_Q3_MATCH} group by title_type"""
 
 _Q4 = f"""
 select {{columns}} from (
@@ -285,7 +321,7 @@ select {{columns}} from (
     order by average_rating desc nulls last, num_votes desc nulls last) as bigint)
     as rank_in_year
   from (select distinct title_id, primary_title, start_year, average_rating, num_votes
-        from mart where title_type = '{TYPE}' and num_votes > {YEARLY_VOTES}))
+        from {{mart}} where title_type = '{TYPE}' and num_votes > {YEARLY_VOTES}))
 where rank_in_year <= {YEARLY_TOP}"""
 
 
@@ -295,8 +331,10 @@ def _over(ctes: str, body: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     """The same results as plain SQL over the given tables."""
-    q2 = _over(_MART, _Q2)
-    q3 = _over(_MART, _Q3.format(source="mart"))
+    q1 = with_tables(_Q1.format(titles="titles", ratings="ratings"))
+    q2 = _over(_MART, _Q2.format(mart="mart"))
+    q3 = _over(_MART, _Q3.format(mart="mart"))
+    q4 = _over(_MART, _Q4.format(columns="*", mart="mart"))
     mart = _over(_MART, "select * from mart")
     cast = _over(_CAST, _CAST_RANKED.format(source="people"))
     strong = "(select * from people where total_movies >= 5)"
@@ -304,19 +342,19 @@ def oracle_sql() -> dict[str, str]:
         f"select 'silver_{n}' as \"table\", count(*) as rows, true as ok from {n}" for n in SILVER
     )
     return {
-        "report_q1": with_tables(_Q1),
-        "report_q1_bucketed": with_tables(_Q1),
+        "report_q1": q1,
+        "report_q1_bucketed": q1,
         "report_q2": q2,
         "report_q3": q3,
         "report_q3_title_grain": _over(
             _MART,
-            _Q3.format(source="(select distinct title_type, title_id, primary_title, "
+            _Q3.format(mart="(select distinct title_type, title_id, primary_title, "
                               "average_rating from mart)"),
         ),
-        "report_q4": _over(_MART, _Q4.format(columns="* exclude (title_id)")),
+        "report_q4": _over(_MART, _Q4.format(columns="* exclude (title_id)", mart="mart")),
         "report_q2_stored": q2,
         "report_q3_stored": q3,
-        "report_q4_stored": _over(_MART, _Q4.format(columns="*")),
+        "report_q4_stored": q4,
         "weighted_rating": with_tables(_WEIGHTED),
         "rating_totals": with_tables(
             "select avg(average_rating) as overall_avg, "
@@ -354,4 +392,10 @@ from lineitem""",
         "sink_partitioned_roundtrip": mart,
         "sink_cast_roundtrip": cast,
         "publish_status": with_tables(status),
+        "build_category_mart": mart,
+        "build_cast_mart": cast,
+        "sql_report_q1": q1,
+        "sql_report_q2": q2,
+        "sql_report_q3": q3,
+        "sql_report_q4": q4,
     }
