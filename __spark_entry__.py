@@ -193,6 +193,19 @@ def _ranked_lines(spark, sf_dir):
     return ranked.withColumn("price_rank", F.col("price_rank").cast("bigint"))
 
 
+def _training_data():
+    """Queries and SQL of the training-data operators; both empty where these are not installed."""
+    try:
+        import corpus_pipeline
+        from catalog_marts.llm import queries as own
+    except ModuleNotFoundError as e:
+        if e.name in ("corpus_pipeline", "catalog_marts.llm"):
+            return {}, {}
+        raise
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**own.queries(), "pipeline": corpus_pipeline.run}, {**own.oracle_sql(), **sql}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator."""
     clean = {f"clean_{n}": lambda s, d, n=n: silver_table(s, d, n) for n in SILVER}
@@ -236,6 +249,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_report_q2": lambda s, d: _sql(s, d, _Q2.format(mart=GOLD_VIEW)),
         "sql_report_q3": lambda s, d: _sql(s, d, _Q3.format(mart=GOLD_VIEW)),
         "sql_report_q4": lambda s, d: _sql(s, d, _Q4.format(columns="*", mart=GOLD_VIEW)),
+        **_training_data()[0],
     }
 
 
@@ -398,4 +412,5 @@ from lineitem""",
         "sql_report_q2": q2,
         "sql_report_q3": q3,
         "sql_report_q4": q4,
+        **_training_data()[1],
     }
