@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_marts.llm.bpe import bpe_decode, bpe_encode
+from catalog_marts.llm.toxicity import toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -15,6 +16,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def token_digest(encoded: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """Number of ids, digests of the ids and of the bytes that they decode to."""
     digest = F.struct(
@@ -32,7 +37,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op6_byte_bpe": op6_byte_bpe}
+    return {"op3_toxicity": op3_toxicity, "op6_byte_bpe": op6_byte_bpe}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,8 +18,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 BLOCK = 1 << 20  # bytes hashed at a time; bounds the working arrays, not the results
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+PUNCTUATION = np.ones(256, bool)  # ASCII apart from letters and digits
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _AS_IS = np.arange(256, dtype=np.uint8)
 _LOWER = _AS_IS.copy()
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -66,13 +68,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def _blocks(data: np.ndarray, block: int) -> Iterator[tuple[int, int]]:
-    """Cuts after a space, so that no word lies in two blocks."""
+def _blocks(data: np.ndarray, breaks: np.ndarray, block: int) -> Iterator[tuple[int, int]]:
+    """Cuts after a break, so that no word lies in two blocks."""
     low = 0
     while low < len(data):
         high = min(low + block, len(data))
         while high < len(data):
-            spaces = np.flatnonzero(_SPACE[data[max(low, high - block) : high]])
+            spaces = np.flatnonzero(breaks[data[max(low, high - block) : high]])
             if len(spaces):
                 high = max(low, high - block) + int(spaces[-1]) + 1
                 break
@@ -81,8 +83,15 @@ def _blocks(data: np.ndarray, block: int) -> Iterator[tuple[int, int]]:
         low = high
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int = BLOCK) -> Words:
-    """Words of the texts that :func:`utf8` returns. ``lower`` maps A-Z to a-z first.
+def hash_words(
+    data: np.ndarray,
+    offsets: np.ndarray,
+    lower: bool = False,
+    breaks: np.ndarray = SPACE,
+    block: int = BLOCK,
+) -> Words:
+    """Words of the texts that :func:`utf8` returns. ``lower`` maps A-Z to a-z first; ``breaks``
+    marks the bytes between words.
 
     The hash of a word is a polynomial in its bytes modulo 2**64, taken from differences of one
     running sum, then mixed with the word's length; equal words have equal hashes.
@@ -91,9 +100,9 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block
     first = np.zeros(len(data) + 1, bool)
     first[offsets[:-1]] = True
     hashes, starts, ends = [], [], []
-    for low, high in _blocks(data, block):
+    for low, high in _blocks(data, breaks, block):
         part = case[data[low:high]]
-        word = ~_SPACE[part]
+        word = ~breaks[part]
         begins = word.copy()
         begins[1:] &= ~word[:-1] | first[low + 1 : high]
         finishes = word
