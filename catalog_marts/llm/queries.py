@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_marts.llm.bpe import bpe_decode, bpe_encode
+from catalog_marts.llm.curriculum import mix_sources
 from catalog_marts.llm.toxicity import toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,9 +37,63 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(bpe_encode(docs, RANKS, public_tokenizers.PATTERN))
 
 
+def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sorted by the time of the first use."""
+    mixed = mix_sources(_read(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.size("positions").cast("bigint").alias("uses"),
+        F.round(F.get("positions", F.lit(0)), 9).alias("first_position"),
+    ).orderBy("first_position", "doc_id")
+
+
+_OP9 = r"""
+with sized as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size
+  from documents),
+per_source as (
+  select *, row_number() over (order by source nulls last) - 1 as pos
+  from (select source, cast(sum(size) as bigint) as source_size from sized group by source)),
+capped as (
+  select *, cast(pos % 3 + 1 as bigint) as w, 3 * source_size as cap from per_source),
+levels as (
+  select *, cast((sum(source_size) over ()
+      - coalesce(sum(cap) over (order by cap / w, pos rows between unbounded preceding and 1 preceding), 0))
+      as bigint) / cast(sum(w) over (order by cap / w, pos rows between current row and unbounded following)
+      as bigint) as lvl
+  from capped),
+marked as (select *, cap <= lvl * w as stops from levels),
+goals as (
+  select source, source_size, pos, case when stops then cast(cap as double)
+    else min(case when not stops then lvl end) over () * w end as target
+  from marked),
+ordered as (
+  select *, cast(coalesce(sum(size) over (partition by source order by md5(coalesce(cast(doc_id as varchar), '')), size
+    rows between unbounded preceding and 1 preceding), 0) as bigint) as start
+  from sized),
+uses as (
+  select doc_id, size, source_size, target, pos, start / target as share,
+    greatest(least(cast(round(target) as bigint) - start, size), 0) as t0,
+    greatest(least(cast(round(target) as bigint) - start - source_size, size), 0) as t1,
+    greatest(least(cast(round(target) as bigint) - start - 2 * source_size, size), 0) as t2
+  from ordered join goals on ordered.source is not distinct from goals.source)
+select doc_id, size, source_size, target, t0 + t1 + t2 as taken,
+  (t0 > 0)::bigint + (t1 > 0)::bigint + (t2 > 0)::bigint as uses,
+  case when t0 <= 0 then null else round(case
+    when pos % 3 = 0 then 2 * share / (1.5 + sqrt(greatest(2.25 - 2 * share, 0)))
+    when pos % 3 = 1 then 2 * share / (0.5 + sqrt(0.25 + 2 * share))
+    when share < 0.5 then 2 * share / (0.5 + sqrt(0.25 + 4 * share))
+    else 0.5 + 2 * (share - 0.5) / (1.5 + sqrt(greatest(2.25 - 4 * (share - 0.5), 0))) end, 9) end as first_position
+from uses"""
+
+
 def queries() -> dict:
-    return {"op3_toxicity": op3_toxicity, "op6_byte_bpe": op6_byte_bpe}
+    return {
+        "op3_toxicity": op3_toxicity,
+        "op6_byte_bpe": op6_byte_bpe,
+        "op9_curriculum_mix": op9_curriculum_mix,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_curriculum_mix": _OP9}
