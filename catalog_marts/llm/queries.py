@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from catalog_marts.llm.bpe import bpe_decode, bpe_encode
 from catalog_marts.llm.curriculum import mix_sources
 from catalog_marts.llm.toxicity import toxicity
+from catalog_marts.llm.warc import read_warc, write_warc
+from catalog_marts.sources import scratch_dir
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -21,6 +23,29 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op5_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    write_warc(_read(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select(
+        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+_OP5 = """
+with hashed as (
+  select page_id, strlen(coalesce(html, '')) as bytes, sha1(coalesce(html, '')) as h from pages),
+coded as (
+  select *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      cast(cast('0x' || substr(h, cast(5 * (i // 4) + 1 as int), 5) as bigint) >> cast(5 * (3 - i % 4) as int) & 31 as int) + 1, 1)), '') as code,
+    max(page_id) over (partition by h) as last_id
+  from hashed)
+select page_id, cast(bytes as bigint) as payload_bytes, code as payload_digest,
+  case when page_id = last_id then 'response' else 'revisit' end as record_type,
+  case when page_id = last_id then null else last_id end as refers_to
+from coded"""
+
+
 def token_digest(encoded: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """Number of ids, digests of the ids and of the bytes that they decode to."""
     digest = F.struct(
@@ -90,10 +115,11 @@ from uses"""
 def queries() -> dict:
     return {
         "op3_toxicity": op3_toxicity,
+        "op5_warc_chain": op5_warc_chain,
         "op6_byte_bpe": op6_byte_bpe,
         "op9_curriculum_mix": op9_curriculum_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_curriculum_mix": _OP9}
+    return {"op5_warc_chain": _OP5, "op9_curriculum_mix": _OP9}
