@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog_marts.llm.bpe import bpe_decode, bpe_encode
 from catalog_marts.llm.curriculum import mix_sources
+from catalog_marts.llm.minmax import near_duplicates
 from catalog_marts.llm.toxicity import toxicity
 from catalog_marts.llm.warc import read_warc, write_warc
 from catalog_marts.sources import scratch_dir
@@ -23,6 +24,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op4_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir, "documents"), words=2)
+
+
 def op5_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     write_warc(_read(spark, sf_dir, "pages"), path)
@@ -115,6 +120,7 @@ from uses"""
 def queries() -> dict:
     return {
         "op3_toxicity": op3_toxicity,
+        "op4_minmax_dedup": op4_minmax_dedup,
         "op5_warc_chain": op5_warc_chain,
         "op6_byte_bpe": op6_byte_bpe,
         "op9_curriculum_mix": op9_curriculum_mix,
