@@ -14,23 +14,23 @@ def clustered(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
     return df.repartition(*keys).sortWithinPartitions(*keys, *order)
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables that never cut a group, with the bounds of their groups; rows must be clustered."""
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], keys: Sequence[str], rows: int = 0
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables that never cut a group, with the bounds of their groups; rows must be clustered.
+
+    A table has at least ``rows`` rows, if there are as many.
+    """
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        last_start = _starts(batch, keys)[-1]
-        if held and _same(held[-1], batch, keys):
-            if last_start == 0:
-                held.append(batch)
-                continue
-        if last_start or (held and not _same(held[-1], batch, keys)):
-            table = pa.Table.from_batches([*held, batch.slice(0, last_start)])
-            if table.num_rows:
-                yield _bounded(table, keys)
-            held = []
-        held.append(batch.slice(last_start))
+        last = int(_starts(batch, keys)[-1])
+        cut = last > 0 or (held and not _same(held[-1], batch, keys))
+        if cut and sum(x.num_rows for x in held) + last >= max(rows, 1):
+            yield _bounded(pa.Table.from_batches([*held, batch.slice(0, last)]), keys)
+            held, batch = [], batch.slice(last)
+        held.append(batch)
     if held:
         yield _bounded(pa.Table.from_batches(held), keys)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog_marts.llm.bpe import bpe_decode, bpe_encode
 from catalog_marts.llm.curriculum import mix_sources
+from catalog_marts.llm.lines import deduplicate_lines
 from catalog_marts.llm.minmax import near_duplicates
 from catalog_marts.llm.toxicity import toxicity
 from catalog_marts.llm.warc import read_warc, write_warc
@@ -117,6 +118,14 @@ select doc_id, size, source_size, target, t0 + t1 + t2 as taken,
 from uses"""
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of at least 0.8 similarity with an earlier line removed; the digest is of what is left."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return deduplicate_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict:
     return {
         "op3_toxicity": op3_toxicity,
@@ -124,6 +133,7 @@ def queries() -> dict:
         "op5_warc_chain": op5_warc_chain,
         "op6_byte_bpe": op6_byte_bpe,
         "op9_curriculum_mix": op9_curriculum_mix,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
