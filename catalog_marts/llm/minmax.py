@@ -3,10 +3,11 @@
 Each of 64 permutations is evaluated once per shingle and gives two signature values, the
 smallest and the largest hash. Both agree between two texts with the probability of their Jaccard
 similarity, so a signature of 128 values costs 64 evaluations. Bands of the signature bring
-similar texts together; within a band's group, signatures alone choose the pairs that are
-confirmed: first a spanning tree of the most similar pairs, then every likely pair whose texts
-are still in different components. Pairs inside one component need no confirmation, as they
-can't change the result.
+similar texts together. Within a band's group, signatures choose the pairs that are confirmed
+first, a spanning forest of the most similar ones. Texts that then still have a likely partner in
+another component meet again in their group with their full sets, where every such pair is tried
+until its components are linked. Pairs inside one component need no confirmation, as they can't
+change the result.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ from pyspark.sql import functions as F
 
 from catalog_marts.llm.components import connected_components
 from catalog_marts.llm.groups import clustered, whole_groups
+from catalog_marts.llm.sketch import Tally, build_table, places
 from catalog_marts.llm.text import hash_words, mix, pieces, utf8
 from catalog_marts.sources import scratch_copy
 
 PERMUTATIONS = 64
 BAND_ROWS = 5  # 25 bands: a pair of similarity 0.8 is missed with probability 5e-5
 MARGIN = 0.16  # pairs whose estimate is lower by more (about 4.5 deviations) are not confirmed
+MARK_BITS = 24  # of the table that marks texts to look at again: 16 MB
 CHUNK = 4096  # texts of one band's group that one task compares at a time
 
 _generator = np.random.default_rng(4)
@@ -138,21 +141,63 @@ def _spanning_pairs(least: float):
     return run
 
 
-def _cross_pairs(least: float, share: float):
-    """Per group, likely pairs of a text outside of the largest component and one of another."""
+def _candidates(least: float, share: float):
+    """The texts of a group with a likely partner in another component, one of the two being
+    outside of the group's largest component. A pair counts in the first band that it agrees in.
+    """
+    width = 2 * PERMUTATIONS // BAND_ROWS * BAND_ROWS
+
     def run(batches):
         for table, bounds in whole_groups(batches, ["band", "chunk"]):
             ids, n, sketches = table["id"].to_numpy(), table["n"].to_numpy(), _sketches(table["sketch"])
             component, minor = table["component"].to_numpy(), table["minor"].to_numpy()
-            a, b = [], []
+            number = table["number"].to_numpy()
+            wanted = np.zeros(len(ids), bool)
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
                 for x in np.flatnonzero(minor[low:high]) + low:
                     rows = np.flatnonzero(component[low:high] != component[x]) + low
-                    rows = rows[~minor[rows] | (ids[rows] < ids[x])]
                     rows = rows[np.minimum(n[rows], n[x]) >= share * np.maximum(n[rows], n[x])]
-                    rows = rows[_agree(sketches[rows], sketches[x]) >= least]
-                    a.append(np.full(len(rows), ids[x]))
-                    b.append(ids[rows])
+                    same = sketches[rows] == sketches[x]
+                    earlier = same[:, :width].reshape(len(rows), width // BAND_ROWS, BAND_ROWS)[:, : number[x]].all(2).any(1)
+                    rows = rows[(same.mean(1) >= least) & ~earlier]
+                    wanted[rows] = True
+                    wanted[x] |= len(rows) > 0
+            yield pa.RecordBatch.from_struct_array(
+                table.select(["band", "chunk", "id", "component", "minor"]).filter(pa.array(wanted)).to_struct_array().combine_chunks()
+            )
+    return run
+
+
+def _links(percent: int):
+    """Confirmed links between the components of a group: one is enough for two components."""
+    def run(batches):
+        for table, bounds in whole_groups(batches, ["band", "chunk"]):
+            ids, minor = table["id"].to_numpy(), table["minor"].to_numpy()
+            component = table["component"].to_numpy().copy()
+            lists = table["shingles"].combine_chunks()
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            sizes, a, b = np.diff(ends), [], []
+            for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+                for x in np.flatnonzero(minor[low:high]) + low:
+                    own = values[ends[x] : ends[x + 1]]
+                    while True:
+                        rows = np.flatnonzero(component[low:high] != component[x]) + low
+                        rows = rows[100 * np.minimum(sizes[rows], sizes[x]) >= percent * np.maximum(sizes[rows], sizes[x])]
+                        found = -1
+                        for at in range(0, len(rows), 64):
+                            some = rows[at : at + 64]
+                            inside = [np.isin(values[ends[r] : ends[r + 1]], own, assume_unique=True).sum() for r in some]
+                            inside = np.array(inside)
+                            similar = 100 * inside >= percent * (sizes[some] + sizes[x] - inside)
+                            if similar.any():
+                                found = some[np.argmax(similar)]
+                                break
+                        if found < 0:
+                            break
+                        a.append(ids[x : x + 1])
+                        b.append(ids[found : found + 1])
+                        group = component[low:high]
+                        group[group == component[found]] = component[x]
             yield _pairs(a, b)
     return run
 
@@ -188,7 +233,7 @@ def near_duplicates(
         F.min("id").alias("first"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
     )
     texts = scratch_copy(texts, "texts")
-    members = texts.select(F.col("first").alias("id"), "n", "sketch", F.explode("bands").alias("band"))
+    members = texts.select(F.col("first").alias("id"), "n", "sketch", F.posexplode("bands").alias("number", "band"))
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("_size"), F.min("id").alias("_least"))
     sizes = scratch_copy(sizes.where("_size > 1"), "bands")
     members = scratch_copy(members.join(sizes, "band"), "members")
@@ -217,15 +262,18 @@ def near_duplicates(
     mixed = shares.groupBy("band").agg(
         F.max_by("component", F.struct("_c", "component")).alias("_main"), F.count(F.lit(1)).alias("_comps")
     )
-    mixed = scratch_copy(mixed.where("_comps > 1"), "mixed")
+    mixed = scratch_copy(mixed.where("_comps > 1").drop("_comps"), "mixed")
     rest = members.join(mixed, "band").withColumn("minor", F.col("component") != F.col("_main"))
     rest = rest.withColumn("chunk", F.explode(F.when(
         F.col("minor"), F.sequence(F.lit(0).cast("long"), chunks - 1)
     ).otherwise(F.array(F.pmod(F.xxhash64("id"), chunks)))))
-    rest = clustered(rest.select("band", "chunk", "id", "n", "sketch", "component", "minor"), ["band", "chunk"])
-    more = rest.mapInArrow(_cross_pairs(least, percent / 100), "a long, b long").distinct()
-    more = scratch_copy(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(_confirmed(rows, more, words, percent, lower))
+    group = ["band", "chunk"]
+    rest = clustered(rest.select(*group, "number", "id", "n", "sketch", "component", "minor"), group)
+    rest = scratch_copy(rest.mapInArrow(
+        _candidates(least, percent / 100), "band long, chunk long, id long, component long, minor boolean"
+    ), "candidates")
+    rest = rest.join(_sets(rows, rest.select("id"), words, lower), "id")
+    links = links.unionByName(clustered(rest, group).mapInArrow(_links(percent), "a long, b long"))
     component = connected_components(links)
 
     named = signed.join(texts.select(*same_set, "first"), same_set, "left")
@@ -239,21 +287,39 @@ def near_duplicates(
     )
 
 
-def _confirmed(rows: DataFrame, pairs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    wanted = scratch_copy(wanted.distinct(), "wanted")
+def _marked(ids: np.ndarray) -> np.ndarray:
+    return places(mix(mix(ids.astype(np.uint64))), MARK_BITS)
+
+
+def _sets(rows: DataFrame, ids: DataFrame, words: int, lower: bool) -> DataFrame:
+    """The full sets of the texts with these ids, and of a few others; only the sets move."""
+
+    def tally(batches):
+        marks = Tally(MARK_BITS)
+        for batch in batches:
+            marks.add(_marked(batch.column("id").to_numpy()))
+        yield from marks.batches()
+
+    table = build_table(ids.mapInArrow(tally, Tally.FIELDS), MARK_BITS)
+    marks = rows.sparkSession.sparkContext.broadcast(table)
 
     def sets(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(marks.value[_marked(batch.column("id").to_numpy())] > 0))
             for part in pieces(batch, "text"):
                 found = [x.view(np.int64) for x in shingle_sets(part.column("text"), words, lower)]
                 ends = np.cumsum([0, *map(len, found)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*found, np.empty(0, np.int64)])))
                 yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "shingles"])
 
-    sets = rows.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, shingles array<long>")
-    sets = scratch_copy(sets, "sets")
+    rows = rows.where("id is not null")
+    return scratch_copy(rows.mapInArrow(sets, "id long, shingles array<long>"), "sets")
+
+
+def _confirmed(rows: DataFrame, pairs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    sets = _sets(rows, ids, words, lower)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("_s"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("_t"))
     both = pairs.join(left, "a").join(right, "b")

@@ -47,12 +47,12 @@ class Tally:
         self.counts[place] += n.astype(np.uint32)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        """The places counted, in blocks: positions in the block, and counts."""
+        """The places counted, in blocks: positions in the block, and coded counts."""
         size = min(len(self.counts), 1 << _BLOCK_BITS)
         for block, counts in enumerate(self.counts.reshape(-1, size)):
             at = np.flatnonzero(counts)
             if len(at):
-                row = [block], [at.astype("<u2").tobytes()], [counts[at].astype("<u4").tobytes()]
+                row = [block], [at.astype("<u2").tobytes()], [coded(counts[at]).tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, self.SCHEMA.types, strict=True)], self.SCHEMA.names)
 
 
@@ -64,10 +64,10 @@ def build_table(blocks: DataFrame, bits: int) -> np.ndarray:
         for table, bounds in whole_groups(batches, ["block"]):
             numbers, sums = [], []
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-                total = np.zeros(size, np.int64)
+                total = np.zeros(size)
                 for row in range(low, high):
                     at = np.frombuffer(table["at"][row].as_buffer(), "<u2")
-                    total[at] += np.frombuffer(table["n"][row].as_buffer(), "<u4")
+                    total[at] += decoded(np.frombuffer(table["n"][row].as_buffer(), np.uint8))
                 numbers.append(table["block"][low].as_py())
                 sums.append(coded(total).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(sums, pa.binary())], ["block", "bytes"])

@@ -22,12 +22,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 PUNCTUATION = np.ones(256, bool)  # ASCII apart from letters and digits
 PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
-_AS_IS = np.arange(256, dtype=np.uint8)
-_LOWER = _AS_IS.copy()
-_LOWER[ord("A") : ord("Z") + 1] += 32
-_TABLE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Words(NamedTuple):
@@ -59,15 +55,6 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            table = np.full(n, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.cumprod(table, dtype=np.uint64)
-    return _powers[0], _powers[1]
-
-
 def _blocks(data: np.ndarray, breaks: np.ndarray, block: int) -> Iterator[tuple[int, int]]:
     """Cuts after a break, so that no word lies in two blocks."""
     low = 0
@@ -93,28 +80,38 @@ def hash_words(
     """Words of the texts that :func:`utf8` returns. ``lower`` maps A-Z to a-z first; ``breaks``
     marks the bytes between words.
 
-    The hash of a word is a polynomial in its bytes modulo 2**64, taken from differences of one
-    running sum, then mixed with the word's length; equal words have equal hashes.
+    The hash takes eight bytes of a word at a time, mixing after each step, and the word's
+    length; equal words have equal hashes.
     """
-    case = _LOWER if lower else _AS_IS
     first = np.zeros(len(data) + 1, bool)
     first[offsets[:-1]] = True
+    plain = breaks is SPACE
     hashes, starts, ends = [], [], []
     for low, high in _blocks(data, breaks, block):
-        part = case[data[low:high]]
-        word = ~breaks[part]
+        part = np.zeros(high - low + 8, np.uint8)  # eight bytes can be read at every position
+        body = part[: high - low]
+        body[:] = data[low:high]
+        if lower:
+            body += ((body - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5)
+        if plain:
+            word = ~((body == 32) | ((body - np.uint8(9)) < 5))
+        else:
+            word = ~breaks[body]
         begins = word.copy()
         begins[1:] &= ~word[:-1] | first[low + 1 : high]
-        finishes = word
-        finishes[:-1] &= ~word[1:] | first[low + 1 : high]
-        start, end = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
+        word[:-1] &= ~word[1:] | first[low + 1 : high]
+        start, end = np.flatnonzero(begins), np.flatnonzero(word) + 1
         if not len(start):
             continue
-        power, inverse = _power_tables(high - low)
-        terms = _TABLE[part] * power[: high - low]
-        sums = np.cumsum(terms, dtype=np.uint64)
-        value = (sums[end - 1] - sums[start] + terms[start]) * inverse[start]
-        hashes.append(mix(value ^ ((end - start).astype(np.uint64) * np.uint64(_BASE))))
+        eight = np.lib.stride_tricks.as_strided(part[:8].view("<u8"), (high - low + 1,), (1,))
+        length = end - start
+        value = mix((eight[start] & _MASKS[np.minimum(length, 8)]) + length.astype(np.uint64) * _STEP)
+        rest, at = np.flatnonzero(length > 8), 8
+        while len(rest):
+            value[rest] = mix(value[rest] * _STEP + (eight[start[rest] + at] & _MASKS[np.minimum(length[rest] - at, 8)]))
+            at += 8
+            rest = rest[length[rest] > at]
+        hashes.append(value)
         starts.append(start + low)
         ends.append(end + low)
     if not hashes:
