@@ -10,6 +10,7 @@ from catalog_marts.llm.bpe import bpe_decode, bpe_encode
 from catalog_marts.llm.curriculum import mix_sources
 from catalog_marts.llm.lines import deduplicate_lines
 from catalog_marts.llm.minmax import near_duplicates
+from catalog_marts.llm.phrases import remove_repeats
 from catalog_marts.llm.toxicity import toxicity
 from catalog_marts.llm.warc import read_warc, write_warc
 from catalog_marts.sources import scratch_dir
@@ -68,6 +69,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(bpe_encode(docs, RANKS, public_tokenizers.PATTERN))
 
 
+def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted by the time of the first use."""
     mixed = mix_sources(_read(spark, sf_dir, "documents"))
@@ -132,6 +139,7 @@ def queries() -> dict:
         "op4_minmax_dedup": op4_minmax_dedup,
         "op5_warc_chain": op5_warc_chain,
         "op6_byte_bpe": op6_byte_bpe,
+        "op8_phrase_automata": op8_phrase_automata,
         "op9_curriculum_mix": op9_curriculum_mix,
         "op10_line_dedup": op10_line_dedup,
     }
