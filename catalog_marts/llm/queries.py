@@ -10,6 +10,7 @@ from catalog_marts.llm.bpe import bpe_decode, bpe_encode
 from catalog_marts.llm.curriculum import mix_sources
 from catalog_marts.llm.lines import deduplicate_lines
 from catalog_marts.llm.minmax import near_duplicates
+from catalog_marts.llm.multi_index import near_duplicate_vectors
 from catalog_marts.llm.phrases import remove_repeats
 from catalog_marts.llm.toxicity import toxicity
 from catalog_marts.llm.warc import read_warc, write_warc
@@ -69,6 +70,28 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(bpe_encode(docs, RANKS, public_tokenizers.PATTERN))
 
 
+def op7_multi_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+_OP7 = """
+with recursive usable as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+    and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.93),
+reached(vec_id, other) as (
+  select vec_id, vec_id from embeddings
+  union
+  select r.vec_id, l.b from reached r join links l on r.other = l.a)
+select vec_id, cast((select count(*) from links where a = vec_id) as bigint) as n_links,
+  min(other) as component_id, min(other) = vec_id as kept
+from reached group by vec_id"""
+
+
 def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
@@ -139,6 +162,7 @@ def queries() -> dict:
         "op4_minmax_dedup": op4_minmax_dedup,
         "op5_warc_chain": op5_warc_chain,
         "op6_byte_bpe": op6_byte_bpe,
+        "op7_multi_index_dedup": op7_multi_index_dedup,
         "op8_phrase_automata": op8_phrase_automata,
         "op9_curriculum_mix": op9_curriculum_mix,
         "op10_line_dedup": op10_line_dedup,
@@ -146,4 +170,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_chain": _OP5, "op9_curriculum_mix": _OP9}
+    return {"op5_warc_chain": _OP5, "op7_multi_index_dedup": _OP7, "op9_curriculum_mix": _OP9}
