@@ -10,6 +10,7 @@ from catalog_marts.llm.bpe import bpe_decode, bpe_encode
 from catalog_marts.llm.curriculum import mix_sources
 from catalog_marts.llm.lines import deduplicate_lines
 from catalog_marts.llm.minmax import near_duplicates
+from catalog_marts.llm.mtree import top_products
 from catalog_marts.llm.multi_index import near_duplicate_vectors
 from catalog_marts.llm.phrases import remove_repeats
 from catalog_marts.llm.toxicity import toxicity
@@ -23,6 +24,23 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(_read(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
+
+
+_OP2 = """
+with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from usable q join usable c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20"""
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -158,6 +176,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op2_mtree_topk": op2_mtree_topk,
         "op3_toxicity": op3_toxicity,
         "op4_minmax_dedup": op4_minmax_dedup,
         "op5_warc_chain": op5_warc_chain,
@@ -170,4 +189,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_chain": _OP5, "op7_multi_index_dedup": _OP7, "op9_curriculum_mix": _OP9}
+    return {"op2_mtree_topk": _OP2, "op5_warc_chain": _OP5, "op7_multi_index_dedup": _OP7, "op9_curriculum_mix": _OP9}
