@@ -27,7 +27,8 @@ from catalog_marts.sources import scratch_copy
 BITS = 25  # of the table of word counts: 32 MB
 MARK_BITS = 24  # of the tables that mark lines and words to look at again: 16 MB
 CHUNK = 50_000  # lines that meet at one word in one task
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+LIKELY = 0.5  # a bitmap distance up to this share of the allowed one ends a line's first search,
+TRIES = 4  # as do so many candidates; lines without success then look at all others
 _LINE = ["doc", "line", "hash"]
 _LINE_TYPE = "doc long, line int, hash long"
 
@@ -42,6 +43,9 @@ class Lines(NamedTuple):
     bounds: np.ndarray
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
 def _mark(doc: np.ndarray, line: np.ndarray, bits: int) -> np.ndarray:
     return places(mix(mix(doc.astype(np.uint64)) + line.astype(np.uint64) * _STEP), bits)
 
@@ -85,148 +89,162 @@ def _least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // (100 + percent))
 
 
-def _band(n: np.ndarray, percent: int) -> np.ndarray:
-    """Lengths of similar lines lie in the same band or in neighbouring ones."""
-    return np.floor(np.log(np.maximum(n, 1)) / np.log(100.001 / percent)).astype(np.int64) + 1
-
-
-def _banded(words: np.ndarray, band: np.ndarray) -> np.ndarray:
-    return places(mix(words + band.astype(np.uint64) * _STEP), BITS)
-
-
 def _batches(batches: Iterator[pa.RecordBatch], *tables) -> Iterator[Lines]:
     for batch in batches:
         for part in pieces(batch, "text"):
             yield split_lines(part, *tables)
 
 
-def _survey(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Every line's hash; and how many lines have a word, and how many lines of a band of lengths."""
+_SURVEY = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()), *Tally.SCHEMA])
+
+
+def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line's hash; and, at the end of a task, in how many lines the words are."""
+    def filled(batch):
+        names = batch.schema.names
+        return pa.RecordBatch.from_arrays(
+            [batch.column(f.name) if f.name in names else pa.nulls(len(batch), f.type) for f in _SURVEY], schema=_SURVEY
+        )
+
     tally = Tally(BITS)
     for lines in _batches(batches):
-        n = np.diff(lines.bounds)
         tally.add(places(lines.words, BITS))
-        tally.add(_banded(lines.words, np.repeat(_band(n, percent), n)))
-        own = pa.RecordBatch.from_arrays(
+        yield filled(pa.RecordBatch.from_arrays(
             [pa.array(lines.doc), pa.array(lines.line.astype(np.int32)), pa.array(lines.hash.view(np.int64))], _LINE
-        )
-        yield _filled(own, _SURVEY)
-    for blocks in tally.batches():
-        yield _filled(blocks, _SURVEY)
+        ))
+    yield from map(filled, tally.batches())
 
 
-_SURVEY = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()), *Tally.SCHEMA])
+#: One line at one of its prefix words. Many of them travel as one value, column by column.
+_POSTING = [("word", "<u4"), ("chunk", "<u4"), ("chunks", "<u4"), ("n", "<u4"), ("at", "<u4"), ("bits", "<u8"), ("bits2", "<u8"),
+            ("asks", "u1"), ("doc", "<i8"), ("line", "<i4"), ("hash", "<u8")]
 
 
-def _filled(batch: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
-    columns = [batch.column(f.name) if f.name in batch.schema.names else pa.nulls(batch.num_rows, f.type) for f in schema]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
-_POSTING = f"word long, chunk int, n int, at int, bits1 long, bits2 long, chunks int, asks boolean, {_LINE_TYPE}"
-
-
-def _postings(batches: Iterator[pa.RecordBatch], table, percent: int, again=None) -> Iterator[pa.RecordBatch]:
-    """The prefix words of each line at which a line of a similar length may be met.
+def _postings(batches: Iterator[pa.RecordBatch], table, percent: int, parts: int, again=None) -> Iterator[pa.RecordBatch]:
+    """The prefix words of each line that other lines have, packed by the part they meet in.
 
     ``again``: marks of the lines that look for all candidates, and of their words.
     """
     table = table.value
     again = again and again.value
-    for lines in _batches(batches, table):
-        bounds, words = lines.bounds, lines.words
-        n = np.diff(bounds)
-        if not len(n):
+    for batch in batches:
+        found = [_line_postings(lines, table, percent, again) for lines in _batches([batch], table)]
+        found = {c: np.concatenate([x[c] for x in found]) for c in found[0]} if found else {}
+        if not found or not len(found["word"]):
             continue
-        of = np.repeat(np.arange(len(n)), n)
-        at = np.arange(len(words)) - bounds[of]
-        prefix = at <= (n - -(-percent * n // 100))[of]
-        band = _band(n, percent)[of[prefix]]
-        met = sum(table[_banded(words[prefix], band + k)].astype(np.int64) for k in (-1, 0, 1)) > 1
-        if again:
-            met &= again[1][places(words[prefix], MARK_BITS)] > 0
-        chosen = np.flatnonzero(prefix)[met]
-        asks = np.ones(len(n), bool) if not again else again[0][_mark(lines.doc, lines.line, MARK_BITS)] > 0
-        bit = np.uint64(1) << (words & np.uint64(63))
-        high = (words & np.uint64(64)) > 0
-        bits1 = np.bitwise_or.reduceat(np.where(high, bit, np.uint64(0)), bounds[:-1]).view(np.int64)
-        bits2 = np.bitwise_or.reduceat(np.where(high, np.uint64(0), bit), bounds[:-1]).view(np.int64)
         # equal lines meet everywhere; the first one of the batch is enough
-        line = of[chosen]
-        first = np.lexsort((lines.line, lines.doc, lines.hash))
-        first = first[np.append(True, lines.hash[first][1:] != lines.hash[first][:-1])]
-        keep = np.isin(line, first)
-        chosen, line = chosen[keep], line[keep]
-        chunks = np.maximum(np.ceil(decoded(table[places(words[chosen], BITS)]) / CHUNK), 1).astype(np.int64)
-        chunk = (lines.hash[line] % chunks.astype(np.uint64)).astype(np.int64)
-        every_chunk = chunks
-        if again:  # lines that ask go to every chunk
-            times = np.where(asks[line], chunks, 1)
-            copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            chunk = np.where(np.repeat(asks[line], times), copy, np.repeat(chunk, times))
-            chosen, line, every_chunk = (np.repeat(v, times) for v in (chosen, line, chunks))
-        yield pa.RecordBatch.from_arrays([
-            pa.array(words[chosen].view(np.int64)), pa.array(chunk.astype(np.int32)),
-            pa.array(n[line].astype(np.int32)), pa.array(at[chosen].astype(np.int32)),
-            pa.array(bits1[line]), pa.array(bits2[line]),
-            pa.array(every_chunk.astype(np.int32)), pa.array(asks[line]),
-            pa.array(lines.doc[line]), pa.array(lines.line[line].astype(np.int32)),
-            pa.array(lines.hash[line].view(np.int64)),
-        ], ["word", "chunk", "n", "at", "bits1", "bits2", "chunks", "asks", *_LINE])
+        by = np.lexsort((found["line"], found["doc"], found["chunk"], found["word"], found["hash"]))
+        new = np.ones(len(by), bool)
+        for c in ("hash", "word", "chunk"):
+            same = found[c][by][1:] == found[c][by][:-1]
+            new[1:] = same & new[1:] if c == "hash" else new[1:] & same
+        new = np.append(True, ~new[1:])
+        by = by[new]
+        part = (mix(found["word"][by] + found["chunk"][by].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((found["line"][by], found["doc"][by], part))
+        by, part = by[order], part[order]
+        columns = [found[c][by].astype(kind) for c, kind in _POSTING]
+        bounds = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        packed = [
+            b"".join(column[low:high].tobytes() for column in columns)
+            for low, high in zip(bounds, [*bounds[1:], len(part)], strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(part[bounds]), pa.array(packed, pa.binary())], ["part", "postings"])
+
+
+def _line_postings(lines: Lines, table: np.ndarray, percent: int, again) -> dict[str, np.ndarray]:
+    bounds, words = lines.bounds, lines.words
+    n = np.diff(bounds)
+    of = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(words)) - bounds[of]
+    chosen = np.flatnonzero(at <= (n - -(-percent * n // 100))[of])
+    count = table[places(words[chosen], BITS)]
+    met = count > 1
+    if again:
+        met &= again[1][places(words[chosen], MARK_BITS)] > 0
+    chosen, count = chosen[met], count[met]
+    asks = np.ones(len(n), bool) if not again else again[0][_mark(lines.doc, lines.line, MARK_BITS)] > 0
+    bit = np.uint64(1) << (words & np.uint64(63))
+    odd = (words & np.uint64(64)) > 0
+    bits = [np.bitwise_or.reduceat(np.where(odd == k, bit, np.uint64(0)), bounds[:-1]) if len(n) else bit for k in (0, 1)]
+    line = of[chosen]
+    chunks = np.maximum(np.ceil(decoded(count) / CHUNK), 1).astype(np.int64)
+    chunk = (lines.hash[line] % chunks.astype(np.uint64)).astype(np.int64)
+    if again:  # lines that ask go to every chunk
+        times = np.where(asks[line], chunks, 1)
+        copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        chunk = np.where(np.repeat(asks[line], times), copy, np.repeat(chunk, times))
+        chosen, line, chunks = (np.repeat(v, times) for v in (chosen, line, chunks))
+    return {
+        "word": words[chosen] >> np.uint64(32), "chunk": chunk, "chunks": chunks, "n": n[line], "at": at[chosen],
+        "bits": bits[0][line], "bits2": bits[1][line], "asks": asks[line], "doc": lines.doc[line], "line": lines.line[line], "hash": lines.hash[line],
+    }
+
+
+def _unpacked(table: pa.Table) -> dict[str, np.ndarray]:
+    size = sum(np.dtype(kind).itemsize for _, kind in _POSTING)
+    columns: dict[str, list[np.ndarray]] = {c: [] for c, _ in _POSTING}
+    for value in table["postings"].combine_chunks():
+        data = value.as_buffer()
+        rows, at = data.size // size, 0
+        for c, kind in _POSTING:
+            columns[c].append(np.frombuffer(data, kind, rows, at))
+            at += rows * np.dtype(kind).itemsize
+    return {c: np.concatenate(v) for c, v in columns.items()}
 
 
 _CANDIDATE = "doc long, line int, hash long, doc2 long, line2 int, hash2 long, more boolean"
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
-    """For each line one earlier line of its group that passes the filters, or ``every`` such line.
+    """For each line earlier lines of its group that pass the filters: some, or ``every`` one.
 
-    A line of a word with several chunks that finds none comes out with itself, to ask again.
+    ``more`` tells that others may exist. A line of a word with several chunks that finds none
+    comes out with itself, to ask again.
     """
-    for table, _ in whole_groups(batches, ["word", "chunk"], rows=100_000):
-        columns = {c: table[c].to_numpy() for c in table.column_names}
-        by = np.lexsort([columns[c] for c in ("line", "doc", "hash", "chunk", "word")])
-        same = np.ones(len(by), bool)  # equal lines: the earliest
-        for c in ("word", "chunk", "hash"):
-            v = columns[c][by]
-            same[1:] &= v[1:] == v[:-1]
-        same[0] = False
-        by = by[~same]
-        by = by[np.lexsort([columns[c][by] for c in ("line", "doc", "chunk", "word")])]
-        n, at, bits1, bits2 = (columns[c][by] for c in ("n", "at", "bits1", "bits2"))
-        n, at, bits1, bits2 = n.astype(np.int64), at.astype(np.int64), bits1.view(np.uint64), bits2.view(np.uint64)
-        new = np.ones(len(by), bool)
-        new[1:] = (columns["word"][by][1:] != columns["word"][by][:-1]) | (columns["chunk"][by][1:] != columns["chunk"][by][:-1])
+    for packed, _ in whole_groups(batches, ["part"]):
+        columns = _unpacked(packed)
+        group = columns["word"].astype(np.uint64) << np.uint64(32) | columns["chunk"]
+        by = np.lexsort((columns["line"], columns["doc"], columns["hash"], group))
+        g, h = group[by], columns["hash"][by]
+        by = by[np.append(True, (g[1:] != g[:-1]) | (h[1:] != h[:-1]))]  # of equal lines the earliest
+        by = by[np.lexsort((columns["line"][by], columns["doc"][by], group[by]))]
+        columns = {c: v[by] for c, v in columns.items()}
+        n, at, bits, bits2 = columns["n"].astype(np.int64), columns["at"].astype(np.int64), columns["bits"], columns["bits2"]
+        new = np.append(True, group[by][1:] != group[by][:-1])
         start = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
-        open_ = np.flatnonzero(columns["asks"][by])
+        tried = np.zeros(len(by), np.int64)
+        open_ = np.flatnonzero(columns["asks"])
         ys, xs, back = [], [], 0
         while len(open_):
             back += 1
             open_ = open_[open_ - back >= start[open_]]
             y, x = open_, open_ - back
             least = _least_overlap(n[y] + n[x], percent)
-            ok = (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
+            ok = 100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])
             ok &= np.minimum(at[y], at[x]) + np.minimum(n[y] - at[y], n[x] - at[x]) >= least
-            apart = np.bitwise_count(bits1[y] ^ bits1[x]).astype(np.int64) + np.bitwise_count(bits2[y] ^ bits2[x])
-            ok &= apart <= n[y] + n[x] - 2 * least
+            apart = np.bitwise_count(bits[y] ^ bits[x]).astype(np.int64) + np.bitwise_count(bits2[y] ^ bits2[x])
+            allowed = n[y] + n[x] - 2 * least
+            ok &= apart <= allowed
             ys.append(y[ok])
             xs.append(x[ok])
             if not every:
-                open_ = open_[~ok]
-        if not every:  # without success here: other chunks of the word may have candidates
-            none = columns["asks"][by] & (columns["chunks"][by] > 1)
-            none[np.concatenate([*ys, np.empty(0, np.int64)])] = False
-            ys.append(np.flatnonzero(none))
-            xs.append(np.full(len(ys[-1]), -1))
+                tried[y[ok]] += 1
+                open_ = open_[~(ok & (apart <= LIKELY * allowed) | (tried[open_] >= TRIES))]
         y, x = (np.concatenate([*v, np.empty(0, np.int64)]) for v in (ys, xs))
-        more = (x > start[y]) | (columns["chunks"][by][y] > 1)
-        own = [columns[c][by][y].astype(np.int64) for c in _LINE]
-        other = [np.where(x < 0, own[k], columns[c][by][x].astype(np.int64)) for k, c in enumerate(_LINE)]
-        both = np.unique(np.stack([*own, *other, more.astype(np.int64)]), axis=1)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(both[0]), pa.array(both[1].astype(np.int32)), pa.array(both[2]),
-            pa.array(both[3]), pa.array(both[4].astype(np.int32)), pa.array(both[5]), pa.array(both[6] > 0),
-        ], [*_LINE, "doc2", "line2", "hash2", "more"])
+        last = np.arange(len(by))
+        np.minimum.at(last, y, x)
+        lone = np.flatnonzero((columns["asks"] > 0) & (columns["chunks"] > 1) & (tried == 0)) if not every else y[:0]
+        closed = np.zeros(len(by), bool)
+        closed[y] = True
+        more = (closed & (last > start) & (not every)) | (columns["chunks"] > 1)
+        y, x = np.append(y, lone), np.append(x, lone)
+        both = np.lexsort((columns["hash"][x], columns["hash"][y], more[y]))[::-1]  # the same pair by several words
+        y, x = y[both], x[both]
+        new = np.append(True, (columns["hash"][y][1:] != columns["hash"][y][:-1]) | (columns["hash"][x][1:] != columns["hash"][x][:-1]))
+        y, x = y[new[: len(y)]], x[new[: len(y)]]
+        own, other = ([pa.array(columns["doc"][v]), pa.array(columns["line"][v]), pa.array(columns["hash"][v].view(np.int64))] for v in (y, x))
+        yield pa.RecordBatch.from_arrays([*own, *other, pa.array(more[y])], [*_LINE, "doc2", "line2", "hash2", "more"])
 
 
 def _line_sets(batches: Iterator[pa.RecordBatch], marked) -> Iterator[pa.RecordBatch]:
@@ -264,8 +282,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     rows = rows.where("doc is not null and text is not null")
     share = spark.sparkContext.broadcast
-    survey = rows.mapInArrow(partial(_survey, percent=percent), f"{_LINE_TYPE}, {Tally.FIELDS}")
-    survey = scratch_copy(survey, "survey")
+    survey = scratch_copy(rows.mapInArrow(_survey, f"{_LINE_TYPE}, {Tally.FIELDS}"), "survey")
     table = share(build_table(survey.where("block is not null"), BITS))
     lines = survey.where("hash is not null").select(*_LINE)
 
@@ -289,10 +306,14 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", per
         sets = rows.mapInArrow(partial(_line_sets, marked=marked), f"{_LINE_TYPE}, words array<long>")
         return scratch_copy(sets, "lines")
 
-    postings = rows.mapInArrow(partial(_postings, table=table, percent=percent), _POSTING)
-    tried = clustered(postings, ["word", "chunk"]).mapInArrow(
-        partial(_candidates, percent=percent, every=False), _CANDIDATE
-    )
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def candidates(every: bool, again=None) -> DataFrame:
+        packed = partial(_postings, table=table, percent=percent, parts=parts, again=again)
+        packed = clustered(rows.mapInArrow(packed, "part long, postings binary"), ["part"])
+        return packed.mapInArrow(partial(_candidates, percent=percent, every=every), _CANDIDATE)
+
+    tried = candidates(every=False)
     tried = scratch_copy(tried.groupBy(*_LINE, "doc2", "line2", "hash2").agg(F.max("more").alias("more")), "tried")
     sets = sets_of(tried)
     found = scratch_copy(confirmed(tried, sets), "found")
@@ -302,12 +323,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     asking = scratch_copy(asking, "asking")
     if not asking.isEmpty():
         again = marks(asking, _marked_lines), marks(sets.join(asking, _LINE, "left_semi"), _marked_words)
-        postings = rows.mapInArrow(
-            partial(_postings, table=table, percent=percent, again=share(again)), _POSTING
-        )
-        others = clustered(postings, ["word", "chunk"]).mapInArrow(
-            partial(_candidates, percent=percent, every=True), _CANDIDATE
-        )
+        others = candidates(every=True, again=share(again))
         others = others.join(asking, _LINE, "left_semi").drop("more").distinct()
         others = scratch_copy(others.join(tried, [*_LINE, "doc2", "line2", "hash2"], "left_anti"), "others")
         found = found.unionByName(confirmed(others, sets_of(others)))
@@ -334,24 +350,27 @@ def deduplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     joined = docs.drop("n_lines", "n_removed").withColumn("_key", F.col(key).cast("long"))
     joined = joined.join(gone, F.col("_key") == F.col("_doc"), "left")
 
-    def cut(texts: pa.Array, gone: pa.Array, rows: pa.Array) -> pa.Array:
+    def own_lines(texts: pa.Array) -> pa.Array:
+        """Hashes of the lines, for keys that several rows have; their texts may differ."""
         out = []
-        for value, lines, repeated in zip(texts.to_pylist(), gone.to_pylist(), rows.to_pylist(), strict=True):
+        for value in texts.to_pylist():
             if value is None:
-                out.append({"text": None, "n_lines": 0, "n_removed": 0})
+                out.append([])
                 continue
-            drop = {(x["line"], x["hash"]) for x in lines or ()}
-            if repeated:  # other rows of the key may have other texts
-                own = split_lines(pa.RecordBatch.from_pydict({"doc": [0], "text": [value]}))
-                drop &= set(zip(own.line.tolist(), own.hash.view(np.int64).tolist(), strict=True))
-            drop = {line for line, _ in drop}
-            parts = value.split("\n")
-            kept = "\n".join(x for i, x in enumerate(parts) if i not in drop) if drop else value
-            out.append({"text": kept, "n_lines": len(parts), "n_removed": len(drop)})
-        return pa.array(out, pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64())]))
-
-    cut = F.arrow_udf(cut, "text string, n_lines long, n_removed long")
-    joined = joined.withColumn("_cut", cut(F.col(text), "_gone", "_rows"))
-    return joined.withColumns(
-        {text: F.col("_cut.text"), "n_lines": F.col("_cut.n_lines"), "n_removed": F.col("_cut.n_removed")}
-    ).drop("_cut", "_gone", "_rows", "_doc", "_key")
+            own = split_lines(pa.RecordBatch.from_pydict({"doc": [0], "text": [value]}))
+            pairs = zip(own.line.tolist(), own.hash.view(np.int64).tolist(), strict=True)
+            out.append([{"line": line, "hash": h} for line, h in pairs])
+        return pa.array(out, pa.list_(pa.struct([("line", pa.int32()), ("hash", pa.int64())])))
+
+    own_lines = F.arrow_udf(own_lines, "array<struct<line:int,hash:bigint>>")
+    shared = F.col("_rows").isNotNull()
+    gone = F.when(shared, F.array_intersect(own_lines(F.when(shared, F.col(text))), "_gone")).otherwise(F.col("_gone"))
+    joined = joined.withColumn("_lines", F.coalesce(gone["line"], F.array().cast("array<int>")))
+    parts = F.split(F.col(text), "\n", -1)
+    some = F.size("_lines") > 0
+    kept = F.concat_ws("\n", F.filter(parts, lambda _, i: ~F.array_contains("_lines", i)))
+    return joined.withColumns({
+        "n_lines": F.coalesce(F.length(F.col(text)) - F.length(F.replace(F.col(text), F.lit("\n"))) + 1, F.lit(0)).cast("long"),
+        "n_removed": F.size("_lines").cast("long"),
+        text: F.when(some, kept).otherwise(F.col(text)),
+    }).drop("_gone", "_lines", "_rows", "_doc", "_key")
