@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_marts.llm.bpe import bpe_decode, bpe_encode
+from catalog_marts.llm.chat import link_calls
 from catalog_marts.llm.curriculum import mix_sources
 from catalog_marts.llm.lines import deduplicate_lines
 from catalog_marts.llm.minmax import near_duplicates
 from catalog_marts.llm.mtree import top_products
 from catalog_marts.llm.multi_index import near_duplicate_vectors
 from catalog_marts.llm.phrases import remove_repeats
+from catalog_marts.llm.text import WORD
 from catalog_marts.llm.toxicity import toxicity
 from catalog_marts.llm.warc import read_warc, write_warc
 from catalog_marts.sources import scratch_dir
@@ -24,6 +26,70 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_QUESTION = {
+    "type": "object",
+    "required": ["query", "words"],
+    "properties": {
+        "query": {"type": "string", "minLength": 1},
+        "words": {"type": "integer", "minimum": 1, "maximum": 64},
+        "after": {"type": "array", "items": {"type": "string"}},
+    },
+    "additionalProperties": False,
+}
+
+
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user or system turn as a call that refers to the turn two before, and every assistant
+    turn as the result of the turn before it.
+    """
+    turns = _read(spark, sf_dir, "conversations")
+    name = lambda turn: F.concat_ws(":", F.lit("call"), "conv_id", turn)
+    refs = F.when(F.col("turn") >= 2, F.array(name(F.col("turn") - 2))).otherwise(F.array().cast("array<string>"))
+    words = F.regexp_count("text", F.lit(WORD))
+    calls = turns.where("role <> 'assistant'").select(
+        F.col("conv_id").alias("conv"), name(F.col("turn")).alias("id"), F.col("turn").alias("position"),
+        F.col("role").alias("name"), refs.alias("refs"),
+        F.to_json(F.struct(F.col("text").alias("query"), words.alias("words"), refs.alias("after"))).alias("arguments"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        F.col("conv_id").alias("conv"), name(F.col("turn") - 1).alias("id"), F.col("turn").alias("position"), F.col("text").alias("content")
+    )
+    return link_calls(calls, results, {"user": _QUESTION, "system": _QUESTION}).select(
+        F.col("conv").alias("conv_id"), "level", "position", F.col("id").alias("call_id"), F.col("name").alias("tool"),
+        "status", F.concat_ws("; ", "errors").alias("errors"), F.sha2(F.col("record").cast("binary"), 256).alias("record_sha256"),
+    )
+
+
+_OP1 = r"""
+with calls as (
+  select conv_id, turn, role, text, 'call:' || conv_id || ':' || turn as id,
+    case when turn >= 2 then 'call:' || conv_id || ':' || (turn - 2) end as ref,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+  from conversations where role <> 'assistant'),
+results as (
+  select conv_id, 'call:' || conv_id || ':' || (turn - 1) as id, turn, text as content
+  from conversations where role = 'assistant'),
+runs as (
+  select *, turn - 2 * row_number() over (partition by conv_id, turn % 2 order by turn) as run from calls),
+levels as (
+  select *, row_number() over (partition by conv_id, turn % 2, run order by turn) - 1 as level from runs),
+linked as (
+  select coalesce(c.conv_id, r.conv_id) as conv_id, c.level, coalesce(c.turn, r.turn) as position,
+    coalesce(c.id, r.id) as call_id, c.role as tool, c.text, c.words, c.ref, r.content, c.id is not null as called,
+    case when c.words < 1 then '$.words: below minimum' when c.words > 64 then '$.words: above maximum' end as bad_words,
+    case when c.text = '' then '$.query: too short' end as bad_query,
+    case when c.ref is not null and not exists (from calls d where d.id = c.ref) then 'unknown call ' || c.ref end as lost
+  from levels c full join results r on c.id = r.id)
+select conv_id, cast(level as bigint) as level, position, call_id, tool,
+  case when not called then 'no call' when concat_ws('; ', bad_query, bad_words, lost) <> '' then 'invalid'
+    when content is null then 'no result' else 'ok' end as status,
+  concat_ws('; ', bad_query, bad_words, lost) as errors,
+  sha256(case when called then '{"arguments":{"after":[' || coalesce('"' || ref || '"', '') || '],"query":' || to_json(text)
+      || ',"words":' || words || '},"id":"' || call_id || '","name":"' || tool || '","result":' || coalesce(to_json(content), 'null') || '}'
+    else '{"id":"' || call_id || '","result":' || to_json(content) || '}' end) as record_sha256
+from linked"""
+
+
 def op2_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(_read(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
 
@@ -176,6 +242,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_tool_calls": op1_tool_calls,
         "op2_mtree_topk": op2_mtree_topk,
         "op3_toxicity": op3_toxicity,
         "op4_minmax_dedup": op4_minmax_dedup,
@@ -189,4 +256,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mtree_topk": _OP2, "op5_warc_chain": _OP5, "op7_multi_index_dedup": _OP7, "op9_curriculum_mix": _OP9}
+    return {
+        "op1_tool_calls": _OP1,
+        "op2_mtree_topk": _OP2,
+        "op5_warc_chain": _OP5,
+        "op7_multi_index_dedup": _OP7,
+        "op9_curriculum_mix": _OP9,
+    }
