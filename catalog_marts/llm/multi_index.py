@@ -25,7 +25,7 @@ from catalog_marts.sources import scratch_copy
 SAMPLE = 8192  # vectors that the codebooks are fitted on
 PER_CELL = 512  # vectors for which a cell is planned
 MAX_WORDS = 128  # of a codebook
-RECALL = 0.9999  # of neighbours exactly at the limit; closer ones are found more surely
+RECALL = 0.999  # of neighbours exactly at the limit, from each side; closer ones are found more surely
 CHUNK = 4096  # vectors and visitors of a cell that one task compares
 
 
