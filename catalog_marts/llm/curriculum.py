@@ -40,7 +40,8 @@ def source_targets(
     Sources rank by code point, null last. All sizes together are shared by weight; a source
     stops at ``max_repeats`` times its own size, and the rest is shared again by weight. Ordered
     by what a unit of weight can take, the sources that stop come first, so two running sums
-    give the level that the others share. The windows hold one row per source.
+    give the level that the others share, the one of the first source that doesn't stop. The
+    windows hold one row per source.
     """
     by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = by_source.withColumn(
@@ -60,7 +61,7 @@ def source_targets(
         F.sum("source_size").over(everything) - F.coalesce(F.sum("_cap").over(before), F.lit(0))
     ) / F.sum("_w").over(rest)
     levelled = ranked.withColumn("_level", level).withColumn("_stops", F.col("_cap") <= F.col("_level") * F.col("_w"))
-    shared = F.min(F.when(~F.col("_stops"), F.col("_level"))).over(everything)
+    shared = F.max(F.when(~F.col("_stops"), F.col("_level"))).over(everything)
     target = F.when(F.col("_stops"), F.col("_cap").cast("double")).otherwise(shared * F.col("_w"))
     return levelled.select("source", "source_size", "source_rank", target.alias("target"))
 

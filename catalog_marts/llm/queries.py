@@ -210,7 +210,7 @@ levels as (
 marked as (select *, cap <= lvl * w as stops from levels),
 goals as (
   select source, source_size, pos, case when stops then cast(cap as double)
-    else min(case when not stops then lvl end) over () * w end as target
+    else max(case when not stops then lvl end) over () * w end as target
   from marked),
 ordered as (
   select *, cast(coalesce(sum(size) over (partition by source order by md5(coalesce(cast(doc_id as varchar), '')), size
