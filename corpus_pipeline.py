@@ -5,25 +5,75 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from catalog_marts.llm.bpe import bpe_encode
+from catalog_marts.llm.curriculum import mix_sources, training_order
+from catalog_marts.llm.lines import deduplicate_lines
+from catalog_marts.llm.minmax import near_duplicates
 from catalog_marts.llm.queries import RANKS, token_digest
+from catalog_marts.llm.toxicity import fit_toxicity, score_toxicity
+from catalog_marts.sources import scratch_copy
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below 0.5."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(docs, model, out="_toxicity").where("_toxicity < 0.5").select(*COLUMNS)
+
+
+def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line is similar to; ``n_chars`` follows the text.
+
+    A document stays even if no line does.
+    """
+    left = deduplicate_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return left.select(*COLUMNS)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: similarity 0.8 or more of five-word shingles."""
+    groups = near_duplicates(docs, words=5, percent=80).where("kept").select("doc_id").distinct()
+    kept = docs.join(groups.where("doc_id is not null"), "doc_id", "left_semi")
+    return kept.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+
+
+def in_training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per use of a document in the mix of sources, in training order.
+
+    Documents are used whole, up to three times; those that the mix has no use for go. Rows that
+    repeat an id are documents of their own.
+    """
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        same_id = Window.partitionBy("doc_id").orderBy("source", "text", "lang", "n_chars")
+        name = F.concat(name, F.lit(":"), F.row_number().over(same_id).cast("string"))
+    docs = docs.select(*COLUMNS, name.alias("_use"))
+    uses = training_order(mix_sources(docs, key="_use", whole=True)).withColumnRenamed("doc_id", "_use")
+    return uses.join(docs, "_use").orderBy("position", "_use").select(*COLUMNS)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token digests of every row."""
     return token_digest(bpe_encode(docs, RANKS, public_tokenizers.PATTERN))
 
 
-STAGES: list[tuple[str, Callable]] = [("byte_bpe", tokens)]
-ORACLE_SQL = None
+STAGES: list[tuple[str, Callable]] = [
+    ("toxicity", not_toxic),
+    ("line_dedup", new_lines),
+    ("minmax_dedup", one_of_each),
+    ("curriculum_mix", in_training_order),
+    ("byte_bpe", tokens),
+]
+ORACLE_SQL = None  # no stage but the fourth can be expressed; tests compare with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each stage's result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = scratch_copy(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
