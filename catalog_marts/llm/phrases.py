@@ -136,11 +136,11 @@ class _Chosen(NamedTuple):
     span: np.ndarray
 
 
-def _choose(spans: Spans, table: np.ndarray) -> _Chosen:
+def _choose(spans: Spans, table: np.ndarray, hot_from: int) -> _Chosen:
     """Spans at recurring anchors; those at hot anchors one window at a time."""
     count = table[places(spans.anchor, BITS)]
     some = np.flatnonzero(count > 0)
-    hot = decoded(count[some]) > HOT
+    hot = decoded(count[some]) > hot_from
     times = np.where(hot, spans.last[some] - spans.first[some] + 1, 1)
     span = np.repeat(some, times)
     step = np.arange(len(span)) - np.repeat(np.cumsum(times) - times, times)
@@ -151,13 +151,13 @@ def _choose(spans: Spans, table: np.ndarray) -> _Chosen:
     return _Chosen(key, content, first, last, span)
 
 
-def _spans(batches: Iterator[pa.RecordBatch], table, window: int, phrase: int, parts: int) -> Iterator[pa.RecordBatch]:
+def _spans(batches: Iterator[pa.RecordBatch], table, window: int, phrase: int, parts: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Words of the chosen spans, equal ones of a piece of a batch once, packed by shard."""
     table = table.value
     for batch in batches:
         for piece in pieces(batch, "text"):
             spans = find_spans(piece.column("text"), window, phrase)
-            chosen = _choose(spans, table)
+            chosen = _choose(spans, table, hot)
             content, at, times = np.unique(chosen.content, return_index=True, return_counts=True)
             part = (mix(chosen.key[at]) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -236,13 +236,13 @@ def _search(content, times, length, numbers, window: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(3)], ["content", "low", "high"])
 
 
-def _places(batches: Iterator[pa.RecordBatch], table, window: int, phrase: int) -> Iterator[pa.RecordBatch]:
+def _places(batches: Iterator[pa.RecordBatch], table, window: int, phrase: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Where the chosen spans stand: row, first word, content."""
     table = table.value
     for batch in batches:
         for piece in pieces(batch, "text"):
             spans = find_spans(piece.column("text"), window, phrase)
-            chosen = _choose(spans, table)
+            chosen = _choose(spans, table, hot)
             rows = pa.array(spans.row[chosen.span])
             first = chosen.first - spans.begin[chosen.span]
             yield pa.RecordBatch.from_arrays([
@@ -250,7 +250,9 @@ def _places(batches: Iterator[pa.RecordBatch], table, window: int, phrase: int)
             ], ["doc", "hash", "first", "content"])
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 35, phrase: int = 12) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 35, phrase: int = 12, hot: int = HOT
+) -> DataFrame:
     """Words of each text that no recurring window covers.
 
     A window is ``window`` consecutive words of one text; it recurs if its words stand anywhere
@@ -273,10 +275,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     recurring = clustered(anchors, ["part"]).mapInArrow(_recurring, Tally.FIELDS)
     table = spark.sparkContext.broadcast(build_table(recurring, BITS))
 
-    spans = rows.select("text").mapInArrow(sized(_spans, table=table, parts=parts), "part long, n long, spans binary")
+    spans = rows.select("text").mapInArrow(sized(_spans, table=table, parts=parts, hot=hot), "part long, n long, spans binary")
     located = clustered(spans, ["part"]).mapInArrow(partial(_located, window=window), "content long, low long, high long")
     located = scratch_copy(located, "located")
-    places_ = rows.mapInArrow(sized(_places, table=table), f"doc {kind}, hash long, first long, content long")
+    places_ = rows.mapInArrow(sized(_places, table=table, hot=hot), f"doc {kind}, hash long, first long, content long")
     covered = places_.join(located, "content").select(
         "doc", "hash", F.struct((F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high")).alias("_c")
     )
