@@ -92,7 +92,8 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+    with np.errstate(over="ignore"):  # far below zero the score is 0
+        return 1 / (1 + np.exp(-z))
 
 
 def _held_out(key: str, folds: int):
