@@ -5,7 +5,7 @@ so two similar lines share a word among the first few of each: their prefixes. L
 words of their prefixes; pairs whose lengths, positions of the shared word, or word bitmaps rule
 the similarity out are dropped, the rest is confirmed on the full sets. A line goes if a line
 before it is similar enough, so one confirmed earlier line is all that it takes: each line first
-tries one candidate per shared word, and only lines without success try all others.
+tries its closest candidate. Lines without success then meet the others again, with full sets.
 """
 
 from __future__ import annotations
@@ -24,11 +24,20 @@ from catalog_marts.llm.sketch import Tally, build_table, decoded, places
 from catalog_marts.llm.text import hash_words, mix, pieces, utf8
 from catalog_marts.sources import scratch_copy
 
-BITS = 25  # of the table of word counts: 32 MB
+BITS = 24  # of the table of word counts: 16 MB
 MARK_BITS = 24  # of the tables that mark lines and words to look at again: 16 MB
-CHUNK = 50_000  # lines that meet at one word in one task
-LIKELY = 0.5  # a bitmap distance up to this share of the allowed one ends a line's first search,
-TRIES = 4  # as do so many candidates; lines without success then look at all others
+
+
+class Tuning(NamedTuple):
+    """What work is done first; results are the same with all values."""
+
+    chunk: int = 5_000_000  # lines with a word from which those it is a prefix of are met in parts
+    wide: int = 96  # words from which a line has a second, wider bitmap
+    likely: float = 0.15  # up to this share of the allowed bitmap distance, and with so many words
+    long: int = 24  # or more, a candidate is similar almost surely and ends a line's search
+    tries: int = 64  # if the line has had so many candidates
+
+
 _LINE = ["doc", "line", "hash"]
 _LINE_TYPE = "doc long, line int, hash long"
 
@@ -41,6 +50,7 @@ class Lines(NamedTuple):
     hash: np.ndarray  # of the set of words
     words: np.ndarray
     bounds: np.ndarray
+    text: np.ndarray  # number of the row in the batch
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -50,6 +60,21 @@ def _mark(doc: np.ndarray, line: np.ndarray, bits: int) -> np.ndarray:
     return places(mix(mix(doc.astype(np.uint64)) + line.astype(np.uint64) * _STEP), bits)
 
 
+def _line_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where lines begin, the texts that they are in, and their numbers in these."""
+    begins = np.union1d(np.flatnonzero(data == 10) + 1, offsets[:-1])
+    begins = begins[begins < len(data)]
+    text = np.searchsorted(offsets, begins, side="right") - 1
+    return begins, text, np.arange(len(begins)) - np.searchsorted(begins, offsets)[text]
+
+
+def _with_marks(part: pa.RecordBatch, marked: np.ndarray) -> pa.RecordBatch:
+    """The rows that have a marked line."""
+    _, text, number = _line_starts(*utf8(part.column("text")))
+    hit = marked[_mark(part.column("doc").to_numpy()[text], number, MARK_BITS)] > 0
+    return part.take(pa.array(np.unique(text[hit])))
+
+
 def split_lines(part: pa.RecordBatch, order: np.ndarray | None = None, marked: np.ndarray | None = None) -> Lines:
     """Distinct words of each line of a batch of ``doc`` and ``text``, by hash or by rarity.
 
@@ -57,13 +82,9 @@ def split_lines(part: pa.RecordBatch, order: np.ndarray | None = None, marked: n
     """
     docs = part.column("doc").to_numpy()
     data, offsets = utf8(part.column("text"))
+    begins, text, number = _line_starts(data, offsets)
     words = hash_words(data, offsets, lower=True)
-    begins = np.union1d(np.flatnonzero(data == 10) + 1, offsets[:-1])
-    begins = begins[begins < len(data)]
     of_word = np.searchsorted(begins, words.starts, side="right") - 1
-    text = np.searchsorted(offsets, begins, side="right") - 1
-    first = np.searchsorted(begins, offsets)[text]
-    number = np.arange(len(begins)) - first
     hashes = words.hashes
     if marked is not None:
         keep = marked[_mark(docs[text], number, MARK_BITS)][of_word] > 0
@@ -73,7 +94,7 @@ def split_lines(part: pa.RecordBatch, order: np.ndarray | None = None, marked: n
         key |= hashes >> np.uint64(24)
     else:
         key |= (order[places(hashes, BITS)].astype(np.uint64) << np.uint64(32)) | (hashes >> np.uint64(32))
-    by = np.argsort(key, kind="stable") if len(begins) < 1 << 24 else np.lexsort((key << np.uint64(24), of_word))
+    by = np.argsort(key) if len(begins) < 1 << 24 else np.lexsort((key << np.uint64(24), of_word))
     of_word, hashes = of_word[by], hashes[by]
     new = np.ones(len(by), bool)
     new[1:] = (of_word[1:] != of_word[:-1]) | (hashes[1:] != hashes[:-1])
@@ -81,7 +102,7 @@ def split_lines(part: pa.RecordBatch, order: np.ndarray | None = None, marked: n
     bounds = np.flatnonzero(np.append(True, of_word[1:] != of_word[:-1])) if len(of_word) else np.empty(0, np.int64)
     lines = of_word[bounds]
     whole = np.add.reduceat(mix(hashes), bounds) if len(bounds) else np.empty(0, np.uint64)
-    return Lines(docs[text[lines]], number[lines], mix(whole), hashes, np.append(bounds, len(hashes)))
+    return Lines(docs[text[lines]], number[lines], mix(whole), hashes, np.append(bounds, len(hashes)), text[lines])
 
 
 def _least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
@@ -95,11 +116,13 @@ def _batches(batches: Iterator[pa.RecordBatch], *tables) -> Iterator[Lines]:
             yield split_lines(part, *tables)
 
 
-_SURVEY = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()), *Tally.SCHEMA])
+_SURVEY = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()), ("again", pa.bool_()), *Tally.SCHEMA])
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every line's hash; and, at the end of a task, in how many lines the words are."""
+    """Every line's hash, and whether its text has an equal line before it; at the end of a task,
+    in how many lines the words are.
+    """
     def filled(batch):
         names = batch.schema.names
         return pa.RecordBatch.from_arrays(
@@ -109,18 +132,71 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tally = Tally(BITS)
     for lines in _batches(batches):
         tally.add(places(lines.words, BITS))
+        by = np.lexsort((lines.line, lines.hash, lines.text))
+        again = np.zeros(len(by), bool)
+        again[by[1:]] = (lines.hash[by][1:] == lines.hash[by][:-1]) & (lines.text[by][1:] == lines.text[by][:-1])
         yield filled(pa.RecordBatch.from_arrays(
-            [pa.array(lines.doc), pa.array(lines.line.astype(np.int32)), pa.array(lines.hash.view(np.int64))], _LINE
+            [pa.array(lines.doc), pa.array(lines.line.astype(np.int32)), pa.array(lines.hash.view(np.int64)), pa.array(again)], [*_LINE, "again"]
         ))
     yield from map(filled, tally.batches())
 
 
-#: One line at one of its prefix words. Many of them travel as one value, column by column.
-_POSTING = [("word", "<u4"), ("chunk", "<u4"), ("chunks", "<u4"), ("n", "<u4"), ("at", "<u4"), ("bits", "<u8"), ("bits2", "<u8"),
-            ("asks", "u1"), ("doc", "<i8"), ("line", "<i4"), ("hash", "<u8")]
+#: One line at one of its prefix words. Many of them travel as one value, column by column, each
+#: column in the smallest type that holds its values above the least one.
+_POSTING = ["word", "chunk", "chunks", "n", "at", "bits", "bits2", "asks", "doc", "line", "hash"]
+_TYPES = ["<u1", "<u2", "<u4", "<u8"]
+
+
+def _pack(columns: list[np.ndarray], wide: np.ndarray) -> bytes:
+    parts = [np.array([len(columns[0])], "<u8").tobytes()]
+    for column in columns:
+        least = column.min()
+        above = (column - least).astype(np.uint64)
+        kind = next(k for k, t in enumerate(_TYPES) if int(above.max()) <= np.iinfo(t).max)
+        parts += [np.array([kind], "<u8").tobytes(), least.tobytes(), above.astype(_TYPES[kind]).tobytes()]
+    return b"".join([*parts, wide.astype("<u8").tobytes()])
+
+
+def _unpack(data: pa.Buffer) -> tuple[list[np.ndarray], np.ndarray]:
+    rows, at, columns = int(np.frombuffer(data, "<u8", 1)[0]), 8, []
+    for _ in _POSTING:
+        kind = _TYPES[int(np.frombuffer(data, "<u8", 1, at)[0])]
+        column = np.frombuffer(data, kind, rows, at + 16).astype(np.uint64) + np.frombuffer(data, "<u8", 1, at + 8)
+        columns.append(column)
+        at += 16 + rows * np.dtype(kind).itemsize
+    return columns, np.frombuffer(data, "<u8", -1, at) if at < data.size else np.empty(0, np.uint64)
+
+
+def _width(n: np.ndarray, least: int) -> np.ndarray:
+    """64-bit words of the second bitmap: a power of two, none for short lines."""
+    wide = 2 ** np.maximum(np.ceil(np.log2(np.maximum(n, least) / 48)), 0).astype(np.int64)
+    return np.where(n > least, wide, 0)
+
+
+def _apart(wide: np.ndarray, offset: np.ndarray, widths: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Differing bits of the second bitmaps of pairs of long lines; a wider one is folded."""
+    result = np.zeros(len(y), np.int64)
+    width_y, width_x = widths[y], widths[x]
+    width = np.minimum(width_y, width_x)
 
+    def bitmap(rows, own, size):
+        at = offset[rows][:, None] + np.arange(size)
+        folded = wide[at]
+        for k in range(1, own // size):
+            folded = folded | wide[at + k * size]
+        return folded
 
-def _postings(batches: Iterator[pa.RecordBatch], table, percent: int, parts: int, again=None) -> Iterator[pa.RecordBatch]:
+    for size, of_y, of_x in {t for t in zip(width.tolist(), width_y.tolist(), width_x.tolist(), strict=True) if t[0]}:
+        some = np.flatnonzero((width == size) & (width_y == of_y) & (width_x == of_x))
+        for part in np.array_split(some, 1 + len(some) // 4096):
+            differ = bitmap(y[part], of_y, size) ^ bitmap(x[part], of_x, size)
+            result[part] = np.bitwise_count(differ).sum(1, dtype=np.int64)
+    return result
+
+
+def _postings(
+    batches: Iterator[pa.RecordBatch], table, percent: int, parts: int, tuning: Tuning, again=None
+) -> Iterator[pa.RecordBatch]:
     """The prefix words of each line that other lines have, packed by the part they meet in.
 
     ``again``: marks of the lines that look for all candidates, and of their words.
@@ -128,36 +204,47 @@ def _postings(batches: Iterator[pa.RecordBatch], table, percent: int, parts: int
     table = table.value
     again = again and again.value
     for batch in batches:
-        found = [_line_postings(lines, table, percent, again) for lines in _batches([batch], table)]
-        found = {c: np.concatenate([x[c] for x in found]) for c in found[0]} if found else {}
-        if not found or not len(found["word"]):
+        lines = list(_batches([batch], table))
+        keep = _first_of_equal(lines)
+        found = [_line_postings(x, k, table, percent, tuning, again) for x, k in zip(lines, keep, strict=True)]
+        if not sum(len(x["word"]) for x, _ in found):
             continue
-        # equal lines meet everywhere; the first one of the batch is enough
-        by = np.lexsort((found["line"], found["doc"], found["chunk"], found["word"], found["hash"]))
-        new = np.ones(len(by), bool)
-        for c in ("hash", "word", "chunk"):
-            same = found[c][by][1:] == found[c][by][:-1]
-            new[1:] = same & new[1:] if c == "hash" else new[1:] & same
-        new = np.append(True, ~new[1:])
-        by = by[new]
-        part = (mix(found["word"][by] + found["chunk"][by].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((found["line"][by], found["doc"][by], part))
-        by, part = by[order], part[order]
-        columns = [found[c][by].astype(kind) for c, kind in _POSTING]
+        columns = [np.concatenate([x[c] for x, _ in found]) for c in _POSTING]
+        widths = _width(columns[_POSTING.index("n")], tuning.wide)
+        ends = np.append(0, np.cumsum(widths))
+        wide = np.concatenate([w for _, w in found])
+        part = (mix(columns[0] + columns[1].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
         bounds = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-        packed = [
-            b"".join(column[low:high].tobytes() for column in columns)
-            for low, high in zip(bounds, [*bounds[1:], len(part)], strict=True)
-        ]
+        packed = []
+        for low, high in zip(bounds, [*bounds[1:], len(part)], strict=True):
+            rows = order[low:high]
+            some = rows[widths[rows] > 0]
+            own = widths[some]
+            at = np.repeat(ends[some], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            packed.append(_pack([c[rows] for c in columns], wide[at]))
         yield pa.RecordBatch.from_arrays([pa.array(part[bounds]), pa.array(packed, pa.binary())], ["part", "postings"])
 
 
-def _line_postings(lines: Lines, table: np.ndarray, percent: int, again) -> dict[str, np.ndarray]:
+def _first_of_equal(lines: list[Lines]) -> list[np.ndarray]:
+    """Marks of the lines of a batch to look at: equal lines meet everywhere, the first is enough."""
+    sizes = [len(x.hash) for x in lines]
+    hashes, docs, numbers = (np.concatenate([getattr(x, f) for x in lines] or [np.empty(0, np.int64)]) for f in ("hash", "doc", "line"))
+    by = np.lexsort((numbers, docs, hashes))
+    keep = np.zeros(len(by), bool)
+    if len(by):
+        keep[by[np.append(True, hashes[by][1:] != hashes[by][:-1])]] = True
+    return np.split(keep, np.cumsum(sizes)[:-1]) if lines else []
+
+
+def _line_postings(lines: Lines, keep: np.ndarray, table: np.ndarray, percent: int, tuning: Tuning, again) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Columns of postings, and the wide bitmaps of their lines."""
     bounds, words = lines.bounds, lines.words
     n = np.diff(bounds)
     of = np.repeat(np.arange(len(n)), n)
     at = np.arange(len(words)) - bounds[of]
-    chosen = np.flatnonzero(at <= (n - -(-percent * n // 100))[of])
+    chosen = np.flatnonzero((at <= (n - -(-percent * n // 100))[of]) & keep[of])
     count = table[places(words[chosen], BITS)]
     met = count > 1
     if again:
@@ -168,93 +255,212 @@ def _line_postings(lines: Lines, table: np.ndarray, percent: int, again) -> dict
     odd = (words & np.uint64(64)) > 0
     bits = [np.bitwise_or.reduceat(np.where(odd == k, bit, np.uint64(0)), bounds[:-1]) if len(n) else bit for k in (0, 1)]
     line = of[chosen]
-    chunks = np.maximum(np.ceil(decoded(count) / CHUNK), 1).astype(np.int64)
+    chunks = np.maximum(np.ceil(decoded(count) / tuning.chunk), 1).astype(np.int64)
     chunk = (lines.hash[line] % chunks.astype(np.uint64)).astype(np.int64)
     if again:  # lines that ask go to every chunk
         times = np.where(asks[line], chunks, 1)
         copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         chunk = np.where(np.repeat(asks[line], times), copy, np.repeat(chunk, times))
         chosen, line, chunks = (np.repeat(v, times) for v in (chosen, line, chunks))
+
+    width = _width(n, tuning.wide)
+    start = np.append(0, np.cumsum(width))
+    wide = np.zeros(start[-1], np.uint64)
+    long = width[of] > 0
+    place = start[of[long]] + ((words[long] >> np.uint64(6)) % width[of[long]].astype(np.uint64)).astype(np.int64)
+    np.bitwise_or.at(wide, place, bit[long])
+    own = width[line]
+    wide = wide[np.repeat(start[line], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)]
     return {
         "word": words[chosen] >> np.uint64(32), "chunk": chunk, "chunks": chunks, "n": n[line], "at": at[chosen],
-        "bits": bits[0][line], "bits2": bits[1][line], "asks": asks[line], "doc": lines.doc[line], "line": lines.line[line], "hash": lines.hash[line],
-    }
+        "bits": bits[0][line], "bits2": bits[1][line], "asks": asks[line].astype(np.int64), "doc": lines.doc[line],
+        "line": lines.line[line], "hash": lines.hash[line] & np.uint64(0xFFFFFFFF),
+    }, wide
 
 
-def _unpacked(table: pa.Table) -> dict[str, np.ndarray]:
-    size = sum(np.dtype(kind).itemsize for _, kind in _POSTING)
-    columns: dict[str, list[np.ndarray]] = {c: [] for c, _ in _POSTING}
-    for value in table["postings"].combine_chunks():
-        data = value.as_buffer()
-        rows, at = data.size // size, 0
-        for c, kind in _POSTING:
-            columns[c].append(np.frombuffer(data, kind, rows, at))
-            at += rows * np.dtype(kind).itemsize
-    return {c: np.concatenate(v) for c, v in columns.items()}
+def _unpacked(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    found = [_unpack(value.as_buffer()) for value in table["postings"].combine_chunks()]
+    columns = [np.concatenate([f[0][k] for f in found]) for k in range(len(_POSTING))]
+    columns = dict(zip(_POSTING, columns, strict=True))
+    for c in ("chunk", "chunks", "n", "at", "asks", "doc", "line"):
+        columns[c] = columns[c].view(np.int64)
+    return columns, np.concatenate([f[1] for f in found])
 
 
-_CANDIDATE = "doc long, line int, hash long, doc2 long, line2 int, hash2 long, more boolean"
+_CANDIDATE = "doc long, line int, hash long, doc2 long, line2 int, hash2 long, apart double, others boolean, more boolean"
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
-    """For each line earlier lines of its group that pass the filters: some, or ``every`` one.
+def _candidates(batches: Iterator[pa.RecordBatch], percent: int, tuning: Tuning) -> Iterator[pa.RecordBatch]:
+    """For each line the closest earlier line of its part that passes the filters.
 
-    ``more`` tells that others may exist. A line of a word with several chunks that finds none
-    comes out with itself, to ask again.
+    ``others`` tells that there are more, which come out as rows without a partner; ``more`` that
+    the search ended early or that other chunks of a word may hold some.
     """
     for packed, _ in whole_groups(batches, ["part"]):
-        columns = _unpacked(packed)
-        group = columns["word"].astype(np.uint64) << np.uint64(32) | columns["chunk"]
-        by = np.lexsort((columns["line"], columns["doc"], columns["hash"], group))
-        g, h = group[by], columns["hash"][by]
-        by = by[np.append(True, (g[1:] != g[:-1]) | (h[1:] != h[:-1]))]  # of equal lines the earliest
-        by = by[np.lexsort((columns["line"][by], columns["doc"][by], group[by]))]
-        columns = {c: v[by] for c, v in columns.items()}
-        n, at, bits, bits2 = columns["n"].astype(np.int64), columns["at"].astype(np.int64), columns["bits"], columns["bits2"]
-        new = np.append(True, group[by][1:] != group[by][:-1])
-        start = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
-        tried = np.zeros(len(by), np.int64)
-        open_ = np.flatnonzero(columns["asks"])
-        ys, xs, back = [], [], 0
-        while len(open_):
+        columns, wide = _unpacked(packed)
+        widths = _width(columns["n"], tuning.wide)
+        group = columns["word"] << np.uint64(32) | columns["chunk"].astype(np.uint64)
+        by = np.lexsort((columns["line"], columns["doc"], columns["n"], group))
+        offset, widths = (np.cumsum(widths) - widths)[by], widths[by]
+        columns, group = {c: v[by] for c, v in columns.items()}, group[by]
+        n, at, bits, bits2, hashes = (columns[c] for c in ("n", "at", "bits", "bits2", "hash"))
+        doc, line, asks = columns["doc"], columns["line"], columns["asks"] > 0
+        tried, closed, stopped = np.zeros(len(by), np.int64), ~asks, np.zeros(len(by), bool)
+        # pairs of rows of a group whose lengths agree: a row and the ones before it, by length
+        low, back = np.arange(len(by)), 0
+        ys, xs, shares = [], [], []
+        while True:
             back += 1
-            open_ = open_[open_ - back >= start[open_]]
-            y, x = open_, open_ - back
-            least = _least_overlap(n[y] + n[x], percent)
-            ok = 100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])
-            ok &= np.minimum(at[y], at[x]) + np.minimum(n[y] - at[y], n[x] - at[x]) >= least
+            low = low[low >= back]
+            low = low[(group[low - back] == group[low]) & (100 * n[low - back] >= percent * n[low])]
+            if not len(low):
+                break
+            y, x = low, low - back
+            late = (doc[x] > doc[y]) | ((doc[x] == doc[y]) & (line[x] > line[y]))
+            y, x = np.where(late, x, y), np.where(late, y, x)  # the later line asks
+            some = ~closed[y]
+            y, x = y[some], x[some]
+            total = n[y] + n[x]
+            least = _least_overlap(total, percent)
+            allowed = total - 2 * least
             apart = np.bitwise_count(bits[y] ^ bits[x]).astype(np.int64) + np.bitwise_count(bits2[y] ^ bits2[x])
-            allowed = n[y] + n[x] - 2 * least
-            ok &= apart <= allowed
-            ys.append(y[ok])
-            xs.append(x[ok])
-            if not every:
-                tried[y[ok]] += 1
-                open_ = open_[~(ok & (apart <= LIKELY * allowed) | (tried[open_] >= TRIES))]
+            some = np.flatnonzero(apart <= allowed)
+            y, x, apart, allowed, least = y[some], x[some], apart[some], allowed[some], least[some]
+            some = np.minimum(at[y], at[x]) + np.minimum(n[y] - at[y], n[x] - at[x]) >= least
+            y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
+            if len(y) and (np.minimum(n[y], n[x]) > tuning.wide).any():
+                apart = np.maximum(apart, _apart(wide, offset, widths, y, x))
+                some = apart <= allowed
+                y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
+            # an earlier line with the same words: this one goes by that rule alone
+            equal = (hashes[y] == hashes[x]) & (apart == 0) & (n[y] == n[x])
+            ys.append(y[~equal])
+            xs.append(x[~equal])
+            shares.append((apart / np.maximum(allowed, 1))[~equal])
+            closed[y[equal]] = True
+            np.add.at(tried, y, 1)
+            strong = (apart <= tuning.likely * allowed) & (np.minimum(n[y], n[x]) >= tuning.long) & ~equal
+            enough = y[strong & (tried[y] >= tuning.tries)]
+            closed[enough] = stopped[enough] = True
         y, x = (np.concatenate([*v, np.empty(0, np.int64)]) for v in (ys, xs))
-        last = np.arange(len(by))
-        np.minimum.at(last, y, x)
-        lone = np.flatnonzero((columns["asks"] > 0) & (columns["chunks"] > 1) & (tried == 0)) if not every else y[:0]
-        closed = np.zeros(len(by), bool)
-        closed[y] = True
-        more = (closed & (last > start) & (not every)) | (columns["chunks"] > 1)
-        y, x = np.append(y, lone), np.append(x, lone)
-        both = np.lexsort((columns["hash"][x], columns["hash"][y], more[y]))[::-1]  # the same pair by several words
-        y, x = y[both], x[both]
-        new = np.append(True, (columns["hash"][y][1:] != columns["hash"][y][:-1]) | (columns["hash"][x][1:] != columns["hash"][x][:-1]))
-        y, x = y[new[: len(y)]], x[new[: len(y)]]
-        own, other = ([pa.array(columns["doc"][v]), pa.array(columns["line"][v]), pa.array(columns["hash"][v].view(np.int64))] for v in (y, x))
-        yield pa.RecordBatch.from_arrays([*own, *other, pa.array(more[y])], [*_LINE, "doc2", "line2", "hash2", "more"])
+        share = np.concatenate([*shares, np.empty(0)])
+        more = stopped | (columns["chunks"] > 1)
+        lone = np.flatnonzero(asks & (columns["chunks"] > 1) & (tried == 0))
+        y, x, share = np.append(y, lone), np.append(x, lone), np.append(share, np.full(len(lone), 9.0))
+        some = np.unique(np.concatenate([x, y[tried[y] > 1]]))  # lines that a later step may need
+        # the closest of each line in this part
+        best = np.lexsort((share, line[y], doc[y]))
+        new = np.append(True, (doc[y[best]][1:] != doc[y[best]][:-1]) | (line[y[best]][1:] != line[y[best]][:-1]))[: len(best)]
+        number = np.cumsum(new) - 1
+        several = np.bincount(number, tried[y[best]] > 1) > 0 if len(best) else np.empty(0, bool)
+        early = np.bincount(number, more[y[best]]) > 0 if len(best) else np.empty(0, bool)
+        best = best[new]
+        y, x, share = y[best], x[best], share[best]
+        of_part = np.lexsort((line[some], doc[some]))
+        some = some[of_part]
+        some = some[np.append(True, (doc[some][1:] != doc[some][:-1]) | (line[some][1:] != line[some][:-1]))[: len(some)]]
+        own = [pa.array(np.append(columns[c][y], columns[c][some]).astype(t)) for c, t in zip(_LINE, (np.int64, np.int32, np.int64), strict=True)]
+        none = pa.nulls(len(some), pa.int64())
+        other = [
+            pa.concat_arrays([pa.array(columns[c][x].astype(np.int64)), none]).cast(t)
+            for c, t in zip(_LINE, (pa.int64(), pa.int32(), pa.int64()), strict=True)
+        ]
+        nothing = np.zeros(len(some), bool)
+        yield pa.RecordBatch.from_arrays([
+            *own, *other, pa.array(np.append(share, np.zeros(len(some)))),
+            pa.array(np.append(several, nothing)), pa.array(np.append(early, nothing)),
+        ], [*_LINE, "doc2", "line2", "hash2", "apart", "others", "more"])
+
+
+_MEETING = "part long, lines binary"
+
+
+def _meetings(
+    batches: Iterator[pa.RecordBatch], table, percent: int, parts: int, tuning: Tuning, asked
+) -> Iterator[pa.RecordBatch]:
+    """Lines with full sets at each of their prefix words that asking lines have, packed by part."""
+    table, asked = table.value, asked.value
+    for batch in batches:
+        lists = batch.column("words")
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        words = lists.flatten().to_numpy().view(np.uint64)
+        n = np.diff(bounds)
+        of = np.repeat(np.arange(len(n)), n)
+        by = np.lexsort((words >> np.uint64(32), table[places(words, BITS)], of))
+        at = np.arange(len(words)) - bounds[of]
+        chosen = np.flatnonzero((at <= (n - -(-percent * n // 100))[of]) & (asked[places(words[by], MARK_BITS)] > 0))
+        word, line = words[by][chosen], of[chosen]
+        chunks = np.maximum(np.ceil(decoded(table[places(word, BITS)]) / tuning.chunk), 1).astype(np.int64)
+        asks = batch.column("asks").to_numpy(zero_copy_only=False)
+        doc, number, hashes = (batch.column(c).to_numpy().astype(np.int64) for c in _LINE)
+        times = np.where(asks[line], chunks, 1)
+        copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        own = hashes[line] % chunks
+        line, word = np.repeat(line, times), np.repeat(word, times)
+        chunk = np.where(asks[line], copy, np.repeat(own, times))
+        part = (mix((word >> np.uint64(32)) + chunk.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part, line, word, chunk = part[order], line[order], word[order], chunk[order]
+        low = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        packed = []
+        for a, b in zip(low, np.append(low[1:], len(part)), strict=False):
+            rows = line[a:b]
+            head = np.stack([word[a:b].view(np.int64), chunk[a:b], doc[rows], number[rows], hashes[rows], asks[rows].astype(np.int64), n[rows]])
+            sets = np.concatenate([words[bounds[r] : bounds[r + 1]] for r in rows])
+            packed.append(np.array([b - a], np.int64).tobytes() + head.astype(np.int64).tobytes() + sets.tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(part[low]), pa.array(packed, pa.binary())], ["part", "lines"])
+
+
+def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The asking lines that a line before them in their group is similar to."""
+    for table, _ in whole_groups(batches, ["part"]):
+        heads, sets = [], []
+        for value in table["lines"].combine_chunks():
+            data = value.as_buffer()
+            rows = int(np.frombuffer(data, np.int64, 1)[0])
+            heads.append(np.frombuffer(data, np.int64, 7 * rows, 8).reshape(7, rows))
+            sets.append(np.frombuffer(data, np.uint64, -1, 8 + 56 * rows))
+        head, words = np.concatenate(heads, axis=1), np.concatenate(sets)
+        ends = np.cumsum(head[6])
+        by = np.lexsort((head[4], head[3], head[2], head[6], head[1], head[0]))
+        head, begin = head[:, by], (ends - head[6])[by]
+        n, asks, found = head[6], head[5] > 0, np.zeros(len(by), bool)
+        low, back = np.arange(len(by)), 0
+        while True:
+            back += 1
+            low = low[low >= back]
+            low = low[(head[:2, low - back] == head[:2, low]).all(0) & (100 * n[low - back] >= percent * n[low])]
+            if not len(low):
+                break
+            y, x = low, low - back
+            late = (head[2][x] > head[2][y]) | ((head[2][x] == head[2][y]) & (head[3][x] > head[3][y]))
+            y, x = np.where(late, x, y), np.where(late, y, x)
+            different = (head[2][x] != head[2][y]) | (head[3][x] != head[3][y])
+            some = np.flatnonzero(asks[y] & ~found[y] & different)
+            for a, b in zip(y[some].tolist(), x[some].tolist(), strict=True):
+                common = np.isin(words[begin[a] : begin[a] + n[a]], words[begin[b] : begin[b] + n[b]], assume_unique=True).sum()
+                if 100 * common >= percent * (n[a] + n[b] - common):
+                    found[a] = True
+        rows = np.unique(head[2:5, found], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1].astype(np.int32)), pa.array(rows[2])], _LINE)
 
 
 def _line_sets(batches: Iterator[pa.RecordBatch], marked) -> Iterator[pa.RecordBatch]:
-    for lines in _batches(batches, None, marked.value):
+    chosen = (_with_marks(part, marked.value) for batch in batches for part in pieces(batch, "text"))
+    for lines in _batches(chosen, None, marked.value):
         yield pa.RecordBatch.from_arrays([
-            pa.array(lines.doc), pa.array(lines.line.astype(np.int32)), pa.array(lines.hash.view(np.int64)),
+            pa.array(lines.doc), pa.array(lines.line.astype(np.int32)), pa.array((lines.hash & np.uint64(0xFFFFFFFF)).view(np.int64)),
             pa.ListArray.from_arrays(pa.array(lines.bounds.astype(np.int32)), pa.array(lines.words.view(np.int64))),
         ], [*_LINE, "words"])
 
 
+def _posted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for packed, _ in whole_groups(batches, ["part"]):
+        columns, _ = _unpacked(packed)
+        rows = np.unique(np.stack([columns["doc"], columns["line"]]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1].astype(np.int32))], ["doc", "line"])
+
+
 def _marked_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tally = Tally(MARK_BITS)
     for batch in batches:
@@ -269,22 +475,24 @@ def _marked_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from tally.batches()
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """``doc``, ``line`` (from 0) and ``hash`` (of the line's words) of the lines to remove.
+def repeated_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, tuning: Tuning = Tuning()
+) -> DataFrame:
+    """``doc``, ``line`` (from 0) and ``hash`` (32 bits, of the line's words) of the lines to remove.
 
     A line goes if the corpus holds an earlier line, by key and then by number, whose set of
     words has a Jaccard similarity of ``percent`` / 100 or more with its own; whether that one
     goes too doesn't matter. Lines without words never go and remove nothing, and neither do
-    lines of rows with a null key. Rows that repeat a key stand at the same place; between lines
-    of the same key and number the hash of the words decides which is earlier.
+    lines of rows with a null key. Rows that repeat a key stand at the same place: equal lines of
+    theirs both stay unless another document has the line before.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     rows = rows.where("doc is not null and text is not null")
     share = spark.sparkContext.broadcast
-    survey = scratch_copy(rows.mapInArrow(_survey, f"{_LINE_TYPE}, {Tally.FIELDS}"), "survey")
+    survey = scratch_copy(rows.mapInArrow(_survey, f"{_LINE_TYPE}, again boolean, {Tally.FIELDS}"), "survey")
     table = share(build_table(survey.where("block is not null"), BITS))
-    lines = survey.where("hash is not null").select(*_LINE)
+    lines = survey.where("hash is not null").select(*_LINE, "again")
 
     def marks(rows: DataFrame, marked) -> np.ndarray:
         return build_table(rows.mapInArrow(marked, Tally.FIELDS), MARK_BITS)
@@ -298,79 +506,97 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", per
         itself = F.struct(*_LINE) == F.struct("doc2", "line2", "hash2")
         return both.where(similar & ~itself).select(*_LINE).distinct()
 
-    def sets_of(candidates: DataFrame) -> DataFrame:
-        wanted = candidates.select("doc", "line").unionByName(
-            candidates.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))
-        )
+    def sets_of(wanted: DataFrame) -> DataFrame:
         marked = share(marks(wanted, _marked_lines))
         sets = rows.mapInArrow(partial(_line_sets, marked=marked), f"{_LINE_TYPE}, words array<long>")
         return scratch_copy(sets, "lines")
 
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def candidates(every: bool, again=None) -> DataFrame:
-        packed = partial(_postings, table=table, percent=percent, parts=parts, again=again)
-        packed = clustered(rows.mapInArrow(packed, "part long, postings binary"), ["part"])
-        return packed.mapInArrow(partial(_candidates, percent=percent, every=every), _CANDIDATE)
-
-    tried = candidates(every=False)
-    tried = scratch_copy(tried.groupBy(*_LINE, "doc2", "line2", "hash2").agg(F.max("more").alias("more")), "tried")
-    sets = sets_of(tried)
-    found = scratch_copy(confirmed(tried, sets), "found")
-
-    # a line whose chunk or group holds other candidates, and whose own one was wrong, asks again
-    asking = tried.where("more").select(*_LINE).distinct().join(found, _LINE, "left_anti")
-    asking = scratch_copy(asking, "asking")
-    if not asking.isEmpty():
-        again = marks(asking, _marked_lines), marks(sets.join(asking, _LINE, "left_semi"), _marked_words)
-        others = candidates(every=True, again=share(again))
-        others = others.join(asking, _LINE, "left_semi").drop("more").distinct()
-        others = scratch_copy(others.join(tried, [*_LINE, "doc2", "line2", "hash2"], "left_anti"), "others")
-        found = found.unionByName(confirmed(others, sets_of(others)))
-
-    # equal lines: all but the first, and copies of lines that go
-    firsts = lines.groupBy("hash").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("_n"))
-    repeats = scratch_copy(firsts.where("_n > 1").drop("_n"), "repeats")
-    copies = lines.join(repeats, "hash").where("doc <> first.doc or line <> first.line").select(*_LINE)
-    return found.unionByName(copies).distinct()
-
-
-def deduplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+    def postings(again=None) -> DataFrame:
+        packed = partial(_postings, table=table, percent=percent, parts=parts, tuning=tuning, again=again)
+        return clustered(rows.mapInArrow(packed, "part long, postings binary"), ["part"])
+
+    def meet(sets: DataFrame, asking: DataFrame) -> DataFrame:
+        """Asking lines with a similar line before them among the lines of ``sets``."""
+        marked = sets.join(asking.withColumn("asks", F.lit(True)), _LINE, "left")
+        marked = marked.withColumn("asks", F.coalesce("asks", F.lit(False)))
+        asked = share(marks(marked.where("asks"), _marked_words))
+        packed = partial(_meetings, table=table, percent=percent, parts=parts, tuning=tuning, asked=asked)
+        packed = marked.mapInArrow(packed, _MEETING)
+        return clustered(packed, ["part"]).mapInArrow(partial(_met, percent=percent), _LINE_TYPE)
+
+    tried = postings().mapInArrow(partial(_candidates, percent=percent, tuning=tuning), _CANDIDATE)
+    tried = scratch_copy(tried, "tried")
+    lines_, pairs = tried.where("doc2 is null").select("doc", "line"), tried.where("doc2 is not null")
+    wanted = lines_.unionByName(pairs.select("doc", "line"))
+    sets = sets_of(wanted.unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))))
+    closest = F.min_by(F.struct("doc2", "line2", "hash2"), F.struct("apart", "doc2", "line2")).alias("_x")
+    asking = scratch_copy(pairs.groupBy(*_LINE).agg(
+        closest, F.max("others").alias("others"), F.max("more").alias("more"), F.count_distinct("doc2", "line2").alias("_n")
+    ).select(*_LINE, "_x.*", (F.col("others") | (F.col("_n") > 1)).alias("others"), "more"), "asking")
+    found = scratch_copy(confirmed(asking.drop("others", "more"), sets), "found")
+    left = asking.join(found, _LINE, "left_anti").where("others or more").select(*_LINE, "more")
+    left = scratch_copy(left, "left")
+    if not left.isEmpty():
+        found = scratch_copy(found.unionByName(meet(sets, left.select(*_LINE)).distinct()), "found")
+    # searches that ended at a candidate that wasn't similar after all, or words in chunks
+    left = scratch_copy(left.where("more").join(found, _LINE, "left_anti").select(*_LINE), "left")
+    if not left.isEmpty():
+        again = marks(left, _marked_lines), marks(sets.join(left, _LINE, "left_semi"), _marked_words)
+        members = postings(share(again)).mapInArrow(_posted_lines, "doc long, line int")
+        found = found.unionByName(meet(sets_of(members.distinct()), left))
+
+    # equal lines: those of later documents, and later ones of the same document
+    low = F.col("hash").bitwiseAND(0xFFFFFFFF).alias("hash")
+    repeats = lines.where("not again").groupBy("hash").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("_n"))
+    repeats = scratch_copy(repeats.where("_n > 1").drop("_n"), "repeats")
+    copies = lines.where("not again").join(repeats, "hash").where("doc <> first").select("doc", "line", low)
+    copies = copies.unionByName(lines.where("again").select("doc", "line", low))
+    return found.select(*_LINE).unionByName(copies).distinct()
+
+
+def deduplicate_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, tuning: Tuning = Tuning()
+) -> DataFrame:
     """``docs`` without the lines that :func:`repeated_lines` names.
 
     All columns stay, ``text`` is shortened, and ``n_lines`` and ``n_removed`` are added (columns
     of these names are replaced). A null text stays null and has no lines; an empty text has one
     line, without words. A document of which every line goes stays with an empty text.
     """
-    gone = repeated_lines(docs, key, text, percent).groupBy("doc").agg(
+    gone = repeated_lines(docs, key, text, percent, tuning).groupBy("doc").agg(
         F.sort_array(F.collect_set(F.struct("line", "hash"))).alias("_gone")
     )
     again = docs.groupBy(F.col(key).cast("long").alias("doc")).agg(F.count(F.lit(1)).alias("_rows"))
-    gone = gone.join(again.where("_rows > 1"), "doc", "left").withColumnRenamed("doc", "_doc")
+    again = again.where("_rows > 1")
+    gone = gone.withColumnRenamed("doc", "_doc")
     joined = docs.drop("n_lines", "n_removed").withColumn("_key", F.col(key).cast("long"))
     joined = joined.join(gone, F.col("_key") == F.col("_doc"), "left")
-
-    def own_lines(texts: pa.Array) -> pa.Array:
-        """Hashes of the lines, for keys that several rows have; their texts may differ."""
-        out = []
-        for value in texts.to_pylist():
-            if value is None:
-                out.append([])
-                continue
-            own = split_lines(pa.RecordBatch.from_pydict({"doc": [0], "text": [value]}))
-            pairs = zip(own.line.tolist(), own.hash.view(np.int64).tolist(), strict=True)
-            out.append([{"line": line, "hash": h} for line, h in pairs])
-        return pa.array(out, pa.list_(pa.struct([("line", pa.int32()), ("hash", pa.int64())])))
-
-    own_lines = F.arrow_udf(own_lines, "array<struct<line:int,hash:bigint>>")
-    shared = F.col("_rows").isNotNull()
-    gone = F.when(shared, F.array_intersect(own_lines(F.when(shared, F.col(text))), "_gone")).otherwise(F.col("_gone"))
-    joined = joined.withColumn("_lines", F.coalesce(gone["line"], F.array().cast("array<int>")))
+    lines = F.col("_gone")
+    if not again.isEmpty():  # rows that share a key may have other texts: compare the lines' words
+        joined = joined.join(again.withColumnRenamed("doc", "_shared"), F.col("_key") == F.col("_shared"), "left")
+        shared = F.col("_shared").isNotNull()
+        own = F.arrow_udf(_own_lines, "array<struct<line:int,hash:bigint>>")(F.when(shared, F.col(text)))
+        lines = F.when(shared, F.array_intersect(own, lines)).otherwise(lines)
+    joined = joined.withColumn("_lines", F.coalesce(lines["line"], F.array().cast("array<int>")))
     parts = F.split(F.col(text), "\n", -1)
-    some = F.size("_lines") > 0
     kept = F.concat_ws("\n", F.filter(parts, lambda _, i: ~F.array_contains("_lines", i)))
+    breaks = F.length(F.col(text)) - F.length(F.replace(F.col(text), F.lit("\n")))
     return joined.withColumns({
-        "n_lines": F.coalesce(F.length(F.col(text)) - F.length(F.replace(F.col(text), F.lit("\n"))) + 1, F.lit(0)).cast("long"),
+        "n_lines": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
         "n_removed": F.size("_lines").cast("long"),
-        text: F.when(some, kept).otherwise(F.col(text)),
-    }).drop("_gone", "_lines", "_rows", "_doc", "_key")
+        text: F.when(F.size("_lines") > 0, kept).otherwise(F.col(text)),
+    }).drop("_gone", "_lines", "_rows", "_doc", "_key", "_shared")
+
+
+def _own_lines(texts: pa.Array) -> pa.Array:
+    out = []
+    for value in texts.to_pylist():
+        if value is None:
+            out.append([])
+            continue
+        own = split_lines(pa.RecordBatch.from_pydict({"doc": [0], "text": [value]}))
+        hashes = (own.hash & np.uint64(0xFFFFFFFF)).tolist()
+        out.append([{"line": line, "hash": h} for line, h in zip(own.line.tolist(), hashes, strict=True)])
+    return pa.array(out, pa.list_(pa.struct([("line", pa.int32()), ("hash", pa.int64())])))

@@ -43,8 +43,13 @@ class Tally:
         self.counts = np.zeros(1 << bits, np.uint32)
 
     def add(self, place: np.ndarray, n: np.ndarray | None = None) -> None:
-        place, inverse = np.unique(place, return_inverse=True)
-        self.counts[place] += np.bincount(inverse, n, len(place)).astype(np.uint32)
+        place = place.astype(np.int32)
+        if n is None:
+            place, n = np.unique(place, return_counts=True)
+        else:
+            place, inverse = np.unique(place, return_inverse=True)
+            n = np.bincount(inverse, n, len(place))
+        self.counts[place] += n.astype(np.uint32)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         """The places counted, in blocks: positions in the block, and coded counts."""
