@@ -69,8 +69,9 @@ RAW = {
     },
     "principals": {
         "tconst": "concat('tt', cast(l_partkey as string))",
-        "ordering": "cast((year(l_shipdate) - 1995) * 3000 + month(l_shipdate) * 250 "
-                    "+ day(l_shipdate) * 8 + l_linenumber as string)",
+        "ordering": "case when l_linenumber = 7 then null else "
+                    "cast((year(l_shipdate) - 1995) * 3000 + month(l_shipdate) * 250 "
+                    "+ day(l_shipdate) * 8 + l_linenumber as string) end",
         "nconst": "concat('nm', cast(l_suppkey as string))",
         "category": "case when l_returnflag = 'A' and l_linestatus = 'F' then 'actor' "
                     "when l_returnflag = 'A' then 'actress' "

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 100_000  # a key with fewer rows never needs more than one task
-
-
 def left_join_spread(left: DataFrame, key: str, *rights: DataFrame) -> DataFrame:
     """``left`` LEFT JOIN each of ``rights`` on ``key``, exact, even if one key fills ``left``.
 
@@ -19,19 +16,19 @@ def left_join_spread(left: DataFrame, key: str, *rights: DataFrame) -> DataFrame
     right sides are attached to these counts, one row per key, so none of those joins can be
     skewed, and aggregates by ``key`` need no further shuffle. ``left`` itself is then joined
     once. A key with more than a shuffle partition's fair share of the rows is hot and gets as
-    many parts as it has shares: its rows take a part number from the task that reads them (the
-    same number if that task runs again), and the attached row is repeated once per part. Rows
-    without a key match nothing and are spread the same way.
+    many parts as it has shares: its rows take a part number from the task that reads them and
+    a hash of the row (the same number if that task runs again), and the attached row is repeated
+    once per part. So a key is split inside one reading task, too; only equal rows that one task
+    reads stay together. Rows without a key match nothing and are spread the same way.
 
     With ``n`` shuffle partitions fewer than ``n`` keys can exceed the fair share, which bounds
     the broadcast list of hot keys, and the parts of all of them together are at most ``2 n``.
     ``left`` should be a stored table, as its key column is read a second time.
     """
     shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = left.agg(F.count(F.lit(1))).scalar()
     counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    parts = F.when(F.col("_rows") > HOT_ROWS, F.ceil(F.col("_rows") * shares / total))
-    counts = counts.withColumn("_parts", F.coalesce(parts, F.lit(1))).drop("_rows")
+    total = counts.agg(F.sum("_rows")).scalar()
+    counts = counts.withColumn("_parts", F.ceil(F.col("_rows") * shares / total)).drop("_rows")
 
     attached = counts
     for right in rights:
@@ -42,9 +39,9 @@ def left_join_spread(left: DataFrame, key: str, *rights: DataFrame) -> DataFrame
 
     hot = F.broadcast(counts.where(F.col("_parts") > 1))
     spread_over = F.when(F.col(key).isNull(), shares).otherwise(F.coalesce("_parts", F.lit(1)))
+    hashed = [f.name for f in left.schema if "map<" not in f.dataType.simpleString()]
+    number = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{name}`") for name in hashed])
     numbered = (
-        left.join(hot, key, "left")
-        .withColumn("_part", F.pmod(F.spark_partition_id(), spread_over))
-        .drop("_parts")
+        left.join(hot, key, "left").withColumn("_part", F.pmod(number, spread_over)).drop("_parts")
     )
     return numbered.join(attached, [key, "_part"], "left").drop("_part")

@@ -12,19 +12,12 @@ from catalog_marts.functions import sort_key
 from catalog_marts.sources.writers import scratch_copy
 
 
-def dense_rank_window(df: DataFrame, group: str, score: str, rank: str = "rank") -> DataFrame:
-    """Dense rank by ``score`` descending, NULL last, inside ``group``: the plain window.
-
-    One task sorts each whole group; use it where groups are known to be small.
-    """
-    window = Window.partitionBy(group).orderBy(F.col(score).desc_nulls_last())
-    return df.withColumn(rank, F.dense_rank().over(window))
-
-
 def dense_rank_spread(
     df: DataFrame, group: str, score: str, rank: str = "rank", chunks: int | None = None
 ) -> DataFrame:
-    """Same result as :func:`dense_rank_window`, with every group spread over many tasks.
+    """Dense rank by ``score`` descending, NULL last, inside ``group``, for groups of any size.
+
+    The same as a window over the group, but every group is spread over many tasks.
 
     1. Rows are range-partitioned by group and descending score, the reading task's number being
        the last key, so that equal scores can be split too. Each partition is a chunk; its number

@@ -31,7 +31,7 @@ def crew_rollup(
 ) -> DataFrame:
     """One row per title in ``principals`` with a comma list of names per role.
 
-    Names appear in billing order (``ordering``, then the name). A role nobody fills is the
+    Names appear in billing order (``ordering``, NULL first, then the name). A role nobody fills is the
     empty string; a credit whose person is unknown is skipped.
 
     Only credits in a listed role need a name, so the others skip the join and merely bring

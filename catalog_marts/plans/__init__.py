@@ -2,10 +2,10 @@
 
 from .layers import build_gold, build_silver
 from .marts import cast_mart, category_mart
-from .publish import publish, raise_on_failure
+from .publish import open_published, publish, raise_on_failure
 from .reports import report_q1, report_q2, report_q3, report_q4
 
 __all__ = [
-    "build_gold", "build_silver", "cast_mart", "category_mart", "publish", "raise_on_failure",
-    "report_q1", "report_q2", "report_q3", "report_q4",
+    "build_gold", "build_silver", "cast_mart", "category_mart", "open_published", "publish",
+    "raise_on_failure", "report_q1", "report_q2", "report_q3", "report_q4",
 ]

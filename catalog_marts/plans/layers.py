@@ -13,6 +13,7 @@ from catalog_marts.sources import (
     read_table,
     read_tsv,
     require_tables,
+    scratch_scope,
     write_table,
 )
 
@@ -63,7 +64,10 @@ def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def build_gold(
     spark: SparkSession, root: str, max_records_per_file: int = 0, parallelism: int = 2
 ) -> dict[str, str]:
-    """Build both marts from ``root/silver`` into ``root/gold``."""
+    """Build both marts from ``root/silver`` into ``root/gold``.
+
+    The scratch tables of the build are removed at its end, also when it fails.
+    """
     t = read_silver(spark, root)
 
     def movies() -> str:
@@ -80,4 +84,5 @@ def build_gold(
         return path
 
     jobs = {"category_wise_movies": movies, "top_category_wise_cast": cast}
-    return run_all(spark, jobs, parallelism)
+    with scratch_scope(spark, "gold"):
+        return run_all(spark, jobs, parallelism)

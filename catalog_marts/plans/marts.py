@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from catalog_marts.operators import (
     crew_rollup,
     dense_rank_spread,
-    dense_rank_window,
     explode_category,
     left_join_spread,
     region_rollup,
@@ -53,13 +52,14 @@ def cast_mart(
     ratings: DataFrame,
     names: DataFrame,
     person_columns: Sequence[str] = ("primary_name", "birth_year", "death_year"),
-    rank_method: str = "spread",
     min_titles: int = 0,
     top_n: int | None = None,
 ) -> DataFrame:
     """Person x category with mean weighted rating, rated credits and dense rank in the category.
 
-    ``total_movies`` counts rated credits of every title type. Unrated people have a NULL mean
+    Calling this runs two jobs, which store the averages and the ranked chunks in scratch tables;
+    give it a ``scratch_scope`` that lasts until the result is stored. The mean is stored in full
+    and ranked by its first nine decimals. ``total_movies`` counts rated credits of every title type. Unrated people have a NULL mean
     and share the last rank. ``min_titles`` drops people with fewer rated credits before
     ranking; ``top_n`` keeps the first ranks only. Both are off by default.
 
@@ -68,8 +68,6 @@ def cast_mart(
     names meet a much smaller table. Identical name rows are counted once up front and that
     count multiplied in, which is what joining them one by one would add up to.
     """
-    if rank_method not in ("spread", "window"):
-        raise ValueError(f"unknown rank_method {rank_method!r}")
     person_columns = list(person_columns)
     scores = weighted_rating(ratings).select("title_id", "weighted_rating")
     credits = (
@@ -86,16 +84,15 @@ def cast_mart(
         "name_id",
         *person_columns,
         "category",
-        F.round("avg_weighted_rating", SCORE_DECIMALS).alias("avg_weighted_rating"),
+        "avg_weighted_rating",
+        F.round("avg_weighted_rating", SCORE_DECIMALS).alias("_score"),
         (F.col("_credits") * F.coalesce("_copies", F.lit(1))).alias("total_movies"),
     )
     if min_titles:
         cast = cast.where(F.col("total_movies") >= min_titles)
-    if rank_method == "window" and top_n is None:
-        return dense_rank_window(cast, "category", "avg_weighted_rating")
-    # Both ways below read their input twice. Stored, a mean also keeps its last digit when a
-    # lost task runs again, so no person can change places between two attempts.
+    # Ranking reads its input twice. Stored, a mean also keeps its last digit when a lost task
+    # runs again, so no person can change places between two attempts.
     stored = scratch_copy(cast, "cast")
     if top_n is not None:
-        return top_n_per_group(stored, ["category"], ["avg_weighted_rating desc"], top_n)
-    return dense_rank_spread(stored, "category", "avg_weighted_rating")
+        return top_n_per_group(stored, ["category"], ["_score desc"], top_n).drop("_score")
+    return dense_rank_spread(stored, "category", "_score").drop("_score")

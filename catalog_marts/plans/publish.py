@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from catalog_marts.sources import SILVER, read_table, remove_folder, write_table
+
 from .together import run_together
 
-STATUS_SCHEMA = "table string, rows bigint, ok boolean, error string"
+STATUS_SCHEMA = "table string, rows bigint, ok boolean, seconds double, error string"
+VERSION_SCHEMA = "version string, rows bigint, published double"
 PARALLELISM = 3  # fixed value: tables written at the same time
 
 # Serving tables, small ones first.
@@ -25,11 +30,40 @@ SERVING_TABLES = (
 )
 
 
-def _publish_one(df: DataFrame, path: str) -> tuple[int, int]:
-    """Write one table; return the rows sent and the rows a reader of the result counts."""
+#: Partition columns and sort key of each serving table, as in the layers.
+LAYOUT: dict[str, tuple] = {
+    **{f"silver_{name}": (spec.partition_by, spec.sort_by) for name, spec in SILVER.items()},
+    "gold_category_wise_movies": (["title_type", "genres"], "weighted_rating desc"),
+    "gold_top_category_wise_cast": ("category", "avg_weighted_rating desc"),
+}
+
+
+def _publish_one(df: DataFrame, name: str, target: str) -> tuple[int, int, float]:
+    """Write a new version of a table, count it, and record it as the current one if it is whole.
+
+    Readers keep the earlier version until then, and for good if this one fails.
+    """
+    started, spark = time.monotonic(), df.sparkSession
+    version = f"{target}/{name}/version-{uuid.uuid4().hex}"
     sent = Observation()
-    df.observe(sent, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return sent.get["rows"], df.sparkSession.read.schema(df.schema).parquet(path).count()
+    partition_by, sort_by = LAYOUT.get(name, (None, None))
+    try:
+        write_table(df, version, partition_by, sort_by, observed=sent)
+        arrived = spark.read.schema(df.schema).parquet(version).count()
+        if arrived == sent.get["rows"]:
+            entry = spark.createDataFrame([(version, arrived, time.time())], VERSION_SCHEMA)
+            entry.coalesce(1).write.mode("append").parquet(f"{target}/{name}/versions")
+    except Exception:
+        remove_folder(spark, version)
+        raise
+    return sent.get["rows"], arrived, time.monotonic() - started
+
+
+def open_published(spark: SparkSession, target: str, name: str, schema: str | None = None) -> DataFrame:
+    """The current version of a published table."""
+    versions = spark.read.schema(VERSION_SCHEMA).parquet(f"{target}/{name}/versions")
+    path = versions.agg(F.max_by("version", "published")).first()[0]
+    return read_table(spark, path, schema)
 
 
 def publish(
@@ -38,23 +72,24 @@ def publish(
     target: str,
     parallelism: int = PARALLELISM,
 ) -> DataFrame:
-    """Write each table to ``target/<name>``; return one status row per table.
+    """Write each table below ``target/<name>``; return one status row per table.
 
-    The writes are independent Spark jobs, ``parallelism`` of them at a time. A failing table
-    does not stop the others: its row has ``ok = false`` and the error. Rows are counted while
-    they are written, not by a second run of the query; ``rows`` is what a reader of the
-    published table counts.
+    The writes are independent Spark jobs, ``parallelism`` of them at a time. A serving table
+    keeps its partition folders and sort key. Each is written as a new version, which
+    :func:`open_published` finds once its rows have been counted. A failing table does not stop
+    the others: its row has ``ok = false`` and the error, and its earlier version stays current.
+    ``rows`` is what a reader of the new version counts, ``seconds`` the time it took.
     """
-    jobs = {name: partial(_publish_one, df, f"{target}/{name}") for name, df in tables.items()}
-    counts, failures = run_together(spark, jobs, parallelism)
+    jobs = {name: partial(_publish_one, df, name, target) for name, df in tables.items()}
+    done, failures = run_together(spark, jobs, parallelism)
     status = []
     for name in tables:
         if name in failures:
-            status.append((name, None, False, str(failures[name])))
+            status.append((name, None, False, None, str(failures[name])))
             continue
-        sent, arrived = counts[name]
+        sent, arrived, seconds = done[name]
         error = None if arrived == sent else f"wrote {sent} rows, found {arrived}"
-        status.append((name, arrived, error is None, error))
+        status.append((name, arrived, error is None, seconds, error))
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
 

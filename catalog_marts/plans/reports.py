@@ -109,6 +109,8 @@ def report_q3(
         F.count_distinct("title_id").alias("match_count"),
         _mean("average_rating", decimals).alias("avg_rating"),
     )
+    if max_rows is not None:  # a cap needs an order: the most matches first
+        report = report.orderBy(F.desc("match_count"), "title_type")
     return _capped(report, max_rows)
 
 

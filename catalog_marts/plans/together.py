@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
@@ -26,7 +27,10 @@ def run_together(
     target = inheritable_thread_target(spark)(call)
     results, failures = {}, {}
     with ThreadPoolExecutor(max(1, min(parallelism, len(jobs)))) as pool:
-        running = {name: pool.submit(target, name, job) for name, job in jobs.items()}
+        running = {
+            name: pool.submit(contextvars.copy_context().run, target, name, job)
+            for name, job in jobs.items()
+        }
         for name, future in running.items():
             try:
                 results[name] = future.result()

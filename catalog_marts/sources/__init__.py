@@ -1,13 +1,14 @@
 """Table specifications, readers and writers."""
 
-from .buckets import open_bucketed, write_bucketed
+from .buckets import bucket_sizes, open_bucketed, write_bucketed
 from .readers import read_table, read_tsv, register_views, require_tables
 from .specs import AKAS, GOLD_SCHEMAS, NAMES, PRINCIPALS, RATINGS, SILVER, TITLES, Field, TableSpec
-from .writers import clear_scratch, scratch_copy, scratch_dir, write_table
+from .writers import remove_folder, scratch_copy, scratch_dir, scratch_scope, write_table
 
 __all__ = [
     "AKAS", "GOLD_SCHEMAS", "NAMES", "PRINCIPALS", "RATINGS", "SILVER", "TITLES",
     "Field", "TableSpec",
-    "clear_scratch", "open_bucketed", "read_table", "read_tsv", "register_views", "require_tables",
-    "scratch_copy", "scratch_dir", "write_bucketed", "write_table",
+    "bucket_sizes", "open_bucketed", "read_table", "read_tsv", "register_views", "remove_folder",
+    "require_tables", "scratch_copy", "scratch_dir", "scratch_scope", "write_bucketed",
+    "write_table",
 ]

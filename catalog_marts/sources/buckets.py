@@ -1,9 +1,9 @@
 """Bucketed tables: joins and aggregates on the bucket key need no shuffle.
 
 Two tables bucketed alike on a key are joined bucket by bucket. One task reads a whole bucket and
-adaptive execution cannot split it, so a bucketed table is used as such only after a look at its
-bucket sizes. With a dominating key the same files are read as plain Parquet instead, and the
-join shuffles and splits as usual.
+adaptive execution cannot split it. Where :func:`bucket_sizes` shows a dominating bucket, open the
+table with ``bucketed=False``: the same files are then read as plain Parquet, and the join
+shuffles and splits as usual.
 """
 
 from __future__ import annotations
@@ -13,18 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UNEVEN = 4  # a bucket this many times the mean size counts as dominating
 
-
-def _is_even(df: DataFrame, keys: Sequence[str], n_buckets: int) -> bool:
-    """Compare bucket sizes; reads the key columns only and collects two numbers."""
-    sizes = df.groupBy(F.pmod(F.hash(*keys), F.lit(n_buckets))).agg(F.count(F.lit(1)).alias("n"))
-    largest, rows = sizes.agg(F.max("n"), F.sum("n")).first()
-    return not rows or largest * n_buckets <= UNEVEN * max(rows, n_buckets)
+def bucket_sizes(df: DataFrame, keys: Sequence[str], n_buckets: int) -> DataFrame:
+    """Rows per bucket (``bucket``, ``rows``), for the caller's choice; reads the keys only."""
+    bucket = F.pmod(F.hash(*keys), F.lit(n_buckets)).alias("bucket")
+    return df.groupBy(bucket).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def write_bucketed(
-    df: DataFrame, table: str, path: str, keys: Sequence[str], n_buckets: int
+    df: DataFrame, table: str, path: str, keys: Sequence[str], n_buckets: int, bucketed: bool = True
 ) -> DataFrame:
     """Store ``df`` at ``path`` in buckets sorted by ``keys``, as external table ``table``.
 
@@ -43,20 +40,25 @@ def write_bucketed(
         .saveAsTable(table)
     )
     columns = ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
-    return open_bucketed(df.sparkSession, table, path, columns, keys, n_buckets)
+    return open_bucketed(df.sparkSession, table, path, columns, keys, n_buckets, bucketed)
 
 
 def open_bucketed(
-    spark: SparkSession, table: str, path: str, schema: str, keys: Sequence[str], n_buckets: int
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: str,
+    keys: Sequence[str],
+    n_buckets: int,
+    bucketed: bool = True,
 ) -> DataFrame:
     """The bucketed table stored at ``path``, put into the session's catalog if it is not there.
 
-    If one bucket dominates, the frame returned reads the same files without their buckets.
+    With ``bucketed=False`` the frame returned reads the same files without their buckets.
     """
     by = ", ".join(f"`{k}`" for k in keys)
     spark.sql(
         f"create table if not exists {table} ({schema}) using parquet "
         f"clustered by ({by}) sorted by ({by}) into {int(n_buckets)} buckets location '{path}'"
     )
-    plain = spark.read.schema(schema).parquet(path)
-    return spark.table(table) if _is_even(plain, keys, n_buckets) else plain
+    return spark.table(table) if bucketed else spark.read.schema(schema).parquet(path)

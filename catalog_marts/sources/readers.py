@@ -2,25 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .specs import GOLD_SCHEMAS, SILVER
 
-TSV_OPTIONS = {"sep": "\t", "header": True, "nullValue": "\\N", "quote": "", "escape": ""}
+TSV_OPTIONS = {
+    "sep": "\t", "header": True, "nullValue": "\\N", "quote": "", "escape": "", "lineSep": "\n"
+}
 
 
-def read_tsv(spark: SparkSession, path: str) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     r"""Tab-separated text with a header line and ``\N`` for NULL; every column is text.
 
     Types are not inferred: that would read the whole dump a second time and make a value's
-    meaning depend on the other rows. Only the header line is looked at when the frame is
-    defined. Quotes and backslashes are ordinary characters, so a title that opens with ``"``
-    cannot swallow the fields after it.
+    meaning depend on the other rows. Quotes and backslashes are ordinary characters, so a title
+    that opens with ``"`` cannot swallow the fields after it; so are lone carriage returns. Lines
+    may end in CRLF.
+
+    ``columns`` are the names that the header must have, in order; left out, those of the first
+    part. Every part's header is compared with them, and reading fails on one that differs.
     """
-    return spark.read.options(**TSV_OPTIONS).csv(path)
+    found = spark.read.options(**TSV_OPTIONS).csv(path).columns
+    crlf = bool(found) and found[-1].endswith("\r")
+    names = list(columns) if columns else [*found[:-1], found[-1].removesuffix("\r")]
+    last = names[-1]
+    if crlf:
+        names[-1] += "\r"
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    df = spark.read.options(**TSV_OPTIONS, enforceSchema=False).schema(schema).csv(path)
+    if crlf:
+        text = F.regexp_replace(F.col(f"`{names[-1]}`"), "\r$", "")
+        value = F.when(~text.isin("\\N", ""), text)
+        df = df.select(*[F.col(f"`{n}`") for n in names[:-1]], value.alias(last))
+    return df
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

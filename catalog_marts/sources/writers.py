@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_marts.functions import non_blank, sort_key
@@ -26,6 +28,7 @@ def write_table(
     n_files: int | None = None,
     max_records_per_file: int = 0,
     cluster: str = "range",
+    observed: Observation | None = None,
 ) -> None:
     """Replace the Parquet table at ``path``; the layout follows the arguments.
 
@@ -46,7 +49,7 @@ def write_table(
         Plain write.
 
     ``n_files`` fixes the number of writing tasks; left out, adaptive execution sizes them.
-    Never write to a path that ``df`` itself reads.
+    ``observed`` counts the ``rows`` written. Never write to a path that ``df`` itself reads.
     """
     if cluster not in ("range", "hash"):
         raise ValueError(f"unknown cluster {cluster!r}")
@@ -73,6 +76,8 @@ def write_table(
     elif count:
         df = df.repartition(n_files)
 
+    if observed:
+        df = df.observe(observed, F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode("overwrite")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -97,20 +102,37 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{context.applicationId}"
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder set in ``spark.checkpoint.dir``.
+_scope: ContextVar[str | None] = ContextVar("scratch folder of the running job", default=None)
+
 
-    Only a local session may do without the setting. All scratch folders of an application lie
-    in one folder named after it, which :func:`clear_scratch` removes.
+@contextmanager
+def scratch_scope(spark: SparkSession, label: str = "job") -> Iterator[str]:
+    """Scratch tables made inside belong to this job and are removed when it ends, also by failure.
+
+    Those of other jobs stay. Results must be stored elsewhere before the scope ends.
     """
-    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        remove_folder(spark, folder)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove this application's scratch tables; call it when no result needs them any more."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared folder set in ``spark.checkpoint.dir``.
+
+    Only a local session may do without the setting. The folder lies in the running job's
+    :func:`scratch_scope`, or outside of one in the application's own folder, where it stays for
+    as long as the caller wants it: a lazy result may still read it.
+    """
+    return f"{_scope.get() or _scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def scratch_copy(df: DataFrame, label: str) -> DataFrame:

