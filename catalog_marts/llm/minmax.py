@@ -48,7 +48,8 @@ def shingle_sets(column: pa.Array, words: int, lower: bool = True) -> Iterator[n
     hashes = found.hashes
     joined = hashes.copy()
     for k in range(1, words):
-        joined[: len(hashes) - k] = joined[: len(hashes) - k] * _STEP + hashes[k:]
+        end = max(0, len(hashes) - k)
+        joined[:end] = joined[:end] * _STEP + hashes[k:]
     joined = mix(joined)
     for low, high in zip(found.bounds[:-1], found.bounds[1:], strict=True):
         if high - low >= words:

@@ -52,7 +52,7 @@ def _rolled(values: np.ndarray, length: int) -> np.ndarray:
                 result = block
             else:
                 moved = np.zeros_like(block)
-                moved[: len(block) - done] = block[done:]
+                moved[: max(0, len(block) - done)] = block[done:]
                 result = result * np.uint64(pow(factor, power, 2**64)) + moved
             done += power
         power *= 2
@@ -172,7 +172,7 @@ def _spans(batches: Iterator[pa.RecordBatch], table, window: int, phrase: int, p
             rows = [
                 (part[a], b - a, content[a:b].tobytes() + times[a:b].astype("<u4").tobytes()
                  + length[a:b].astype("<u4").tobytes() + numbers[ends[a] : ends[b]].tobytes())
-                for a, b in zip(low, high, strict=True)
+                for a, b in zip(low, high, strict=False)  # no spans: no part
             ]
             yield pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),

@@ -191,3 +191,12 @@ def test_tables_never_count_too_low():
     tally.add(np.array([5]), np.array([1000]))
     assert sketch.decoded(sketch.coded(tally.counts))[[0, 1, 5, 65535]].tolist()[:2] == [0, 2]
     assert sketch.decoded(sketch.coded(tally.counts))[5] >= 1001
+
+
+@pytest.mark.parametrize("count", [1, 3, 4, 8, 30, 33, 36])
+def test_tables_with_few_words(spark, count):
+    """Fewer words in a whole batch than a shingle or a window has."""
+    docs = frame(spark, [(1, " ".join(f"w{k}" for k in range(count)), "s")]).coalesce(1)
+    assert [(r["n_shingles"], r["kept"]) for r in near_duplicates(docs).collect()] == [(max(1, count - 4), True)]
+    assert [(r["n_words"], r["n_removed"]) for r in remove_repeats(docs).collect()] == [(count, 0)]
+    assert [r["n_removed"] for r in deduplicate_lines(docs).collect()] == [0]
