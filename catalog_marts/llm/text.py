@@ -121,7 +121,7 @@ def hash_words(
     return Words(np.concatenate(hashes), starts, np.concatenate(ends), np.searchsorted(starts, offsets))
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = 4 * BLOCK) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = BLOCK) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about ``limit`` bytes of text, at least one row each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     low, held = 0, 0
