@@ -25,6 +25,7 @@ from catalog_marts.llm.text import hash_words, mix, pieces, utf8
 from catalog_marts.sources import scratch_copy
 
 BITS = 24  # of the table of word counts: 16 MB
+PACK = 8 << 20  # bytes of text whose postings are packed together
 MARK_BITS = 24  # of the tables that mark lines and words to look at again: 16 MB
 
 
@@ -203,7 +204,7 @@ def _postings(
     """
     table = table.value
     again = again and again.value
-    for batch in batches:
+    for batch in (part for batch in batches for part in pieces(batch, "text", PACK)):
         lines = list(_batches([batch], table))
         keep = _first_of_equal(lines)
         found = [_line_postings(x, k, table, percent, tuning, again) for x, k in zip(lines, keep, strict=True)]
