@@ -2,9 +2,10 @@
 
 Two codebooks, one for each half of the vectors, form a grid of cells; a vector lies in the cell
 of its nearest codewords. A vector visits cells in the order of a lower bound of their distance,
-the multi-sequence of the two halves' bounds, up to the bound within which, by a calibration on a
-sample, a neighbour at the limit of similarity lies with the wanted recall. What stands in the
-cells visited is compared exactly.
+the multi-sequence of the two halves' bounds, as far as the squared distance of vectors exactly at
+the limit of similarity, so no cell that can hold a neighbour is left out. Of two cells that can
+hold neighbours of each other one is enough to meet in. What stands in the cells visited is
+compared exactly.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from catalog_marts.sources import scratch_copy
 SAMPLE = 8192  # vectors that the codebooks are fitted on
 PER_CELL = 512  # vectors for which a cell is planned
 MAX_WORDS = 128  # of a codebook
-RECALL = 0.999  # of neighbours exactly at the limit, from each side; closer ones are found more surely
 CHUNK = 4096  # vectors and visitors of a cell that one task compares
 
 
@@ -36,26 +36,21 @@ class Codebooks:
         random = np.random.default_rng(7)
         self.half = sample.shape[1] // 2
         self.books = [_fit(part, words, random) for part in self.split(sample)]
-        noise = random.normal(size=sample.shape)
-        noise -= (noise * sample).sum(1, keepdims=True) * sample
-        length = np.linalg.norm(noise, axis=1, keepdims=True)
-        noise = np.divide(noise, length, out=np.zeros_like(noise), where=length > 0)
-        moved = cosine * sample + np.sqrt(1 - cosine**2) * noise
-        bounds = sum(
-            _bounds(a, book)[0][np.arange(len(a)), _bounds(b, book)[1]]
-            for a, b, book in zip(self.split(sample), self.split(moved), self.books, strict=True)
-        )
-        self.reach = float(np.quantile(bounds, RECALL)) + 1e-9 if len(bounds) else 0.0
+        self.reach = max(0.0, 2 * (1 - cosine)) + 1e-9  # squared distance at the limit; rounding
 
     def split(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return unit[:, : self.half], unit[:, self.half :]
 
     def visits(self, unit: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
-        """Own cell, and the cells to visit, nearest first (the own one leads), of each vector."""
+        """Own cell, and the cells to visit, nearest first (the own one leads), of each vector.
+
+        Of two vectors that could visit each other's cells one does, or both.
+        """
         (one, first), (two, second) = (_bounds(x, book) for x, book in zip(self.split(unit), self.books, strict=True))
         width = len(self.books[1])
+        homes, total = first * width + second, len(self.books[0]) * width
         found = []
-        for a, b in zip(one, two, strict=True):
+        for home, a, b in zip(homes.tolist(), one, two, strict=True):
             order_a, order_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
             sorted_a, sorted_b = a[order_a], b[order_b]
             cells, heap = [], [(0.0, 0, 0)]
@@ -63,13 +58,15 @@ class Codebooks:
                 bound, i, j = heapq.heappop(heap)
                 if bound > self.reach:
                     break
-                cells.append(int(order_a[i]) * width + int(order_b[j]))
+                cell = int(order_a[i]) * width + int(order_b[j])
+                if 2 * ((cell - home) % total) <= total:  # half of all cells, as seen from the own one
+                    cells.append(cell)
                 if j + 1 < len(sorted_b):
                     heapq.heappush(heap, (sorted_a[i] + sorted_b[j + 1], i, j + 1))
                 if j == 0 and i + 1 < len(sorted_a):
                     heapq.heappush(heap, (sorted_a[i + 1] + sorted_b[0], i + 1, 0))
             found.append(cells)
-        return first * width + second, found
+        return homes, found
 
 
 def _fit(part: np.ndarray, words: int, random: np.random.Generator) -> np.ndarray:
@@ -88,12 +85,15 @@ def _squares(x: np.ndarray, book: np.ndarray) -> np.ndarray:
 
 
 def _bounds(x: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared distances to the borders with the cells of other codewords; the nearest codeword."""
+    """Squared distances to the borders with the cells of other codewords; the nearest codeword.
+
+    Nothing in such a cell is closer. Codewords too close to tell their border count as 0 away.
+    """
     squares = _squares(x, book)
     nearest = squares.argmin(1)
     between = np.sqrt(np.maximum(_squares(book, book), 0))[nearest]
     beyond = squares - squares[np.arange(len(x)), nearest][:, None]
-    return (np.maximum(beyond, 0) / (2 * np.where(between > 0, between, 1))) ** 2, nearest
+    return (np.maximum(beyond, 0) / (2 * np.where(between > 1e-4, between, np.inf))) ** 2, nearest
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -172,7 +172,8 @@ def near_duplicate_vectors(
     null for a null key); ``kept`` marks the rows whose key it is, and rows with a null key.
 
     The codebooks are fitted on ``SAMPLE`` vectors, the ones with the smallest hash; every vector
-    is indexed. A cell with many vectors or visitors is compared in blocks by several tasks, of
+    is indexed, and every link is found. The fewer cells the vectors' distances rule out, the more
+    are visited: all of them, in the worst case, so that all pairs of a label are compared. A cell with many vectors or visitors is compared in blocks by several tasks, of
     which only counts and connecting links come out.
     """
     named = vectors.select(

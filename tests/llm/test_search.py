@@ -96,5 +96,32 @@ def test_near_duplicate_vectors(spark, monkeypatch, chunk):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def test_all_links_of_flat_clusters(spark, monkeypatch, dim=3):
+    monkeypatch.setattr(multi_index, "PER_CELL", 1)  # about 30 codewords of a half
+    random = np.random.default_rng(dim)
+    plane = random.normal(size=(dim, 32))  # neighbours differ inside a subspace only
+    centres = random.normal(size=(40, dim))
+    points = centres[random.integers(0, 40, 900)] + 0.2 * random.normal(size=(900, dim))
+    rows = [(i, p, i % 2, 0) for i, p in enumerate((points @ plane).astype("float32").tolist())]
+    got = near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    units = np.array([r[1] for r in rows], float)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    labels = np.array([r[2] for r in rows])
+    links = (units @ units.T >= 0.93) & (labels[:, None] == labels)
+    np.fill_diagonal(links, False)
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(links.sum(1).tolist()))
+
+
+def test_visits_reach_every_neighbour():
+    random = np.random.default_rng(5)
+    points = random.normal(size=(2000, 4)) @ random.normal(size=(4, 64))
+    units = multi_index._unit(points + 0.02 * random.normal(size=points.shape))
+    homes, cells = multi_index.Codebooks(units, 128, 0.93).visits(units)
+    visits = [set(c) for c in cells]
+    for q, x in np.argwhere(np.triu(units @ units.T >= 0.93, 1)):
+        assert homes[x] in visits[q] or homes[q] in visits[x]
+    assert all(h in c for h, c in zip(homes, visits, strict=True))
+
+
 def test_no_vectors(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
