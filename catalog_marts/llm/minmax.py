@@ -30,6 +30,7 @@ BAND_ROWS = 5  # 25 bands: a pair of similarity 0.8 is missed with probability 5
 MARGIN = 0.16  # pairs whose estimate is lower by more (about 4.5 deviations) are not confirmed
 MARK_BITS = 24  # of the table that marks texts to look at again: 16 MB
 CHUNK = 4096  # texts of one band's group that one task compares at a time
+WHOLE = 2  # side of the texts of a group that all meet each other
 
 _generator = np.random.default_rng(4)
 _FLIP = _generator.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
@@ -145,6 +146,7 @@ def _spanning_pairs(least: float):
 def _candidates(least: float, share: float):
     """The texts of a group with a likely partner in another component, one of the two being
     outside of the group's largest component. A pair counts in the first band that it agrees in.
+    Texts of sides 0 and 1 look at each other only; those of side 0 are outside.
     """
     width = 2 * PERMUTATIONS // BAND_ROWS * BAND_ROWS
 
@@ -152,11 +154,11 @@ def _candidates(least: float, share: float):
         for table, bounds in whole_groups(batches, ["band", "chunk"]):
             ids, n, sketches = table["id"].to_numpy(), table["n"].to_numpy(), _sketches(table["sketch"])
             component, minor = table["component"].to_numpy(), table["minor"].to_numpy()
-            number = table["number"].to_numpy()
+            number, side = table["number"].to_numpy(), table["side"].to_numpy()
             wanted = np.zeros(len(ids), bool)
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-                for x in np.flatnonzero(minor[low:high]) + low:
-                    rows = np.flatnonzero(component[low:high] != component[x]) + low
+                for x in np.flatnonzero(minor[low:high] & (side[low:high] != 1)) + low:
+                    rows = np.flatnonzero(_others(component, side, low, high, x)) + low
                     rows = rows[np.minimum(n[rows], n[x]) >= share * np.maximum(n[rows], n[x])]
                     same = sketches[rows] == sketches[x]
                     earlier = same[:, :width].reshape(len(rows), width // BAND_ROWS, BAND_ROWS)[:, : number[x]].all(2).any(1)
@@ -164,25 +166,30 @@ def _candidates(least: float, share: float):
                     wanted[rows] = True
                     wanted[x] |= len(rows) > 0
             yield pa.RecordBatch.from_struct_array(
-                table.select(["band", "chunk", "id", "component", "minor"]).filter(pa.array(wanted)).to_struct_array().combine_chunks()
+                table.select(["band", "chunk", "side", "id", "component", "minor"]).filter(pa.array(wanted)).to_struct_array().combine_chunks()
             )
     return run
 
 
+def _others(component: np.ndarray, side: np.ndarray, low: int, high: int, x: int) -> np.ndarray:
+    """Marks of the texts of a group that text ``x`` meets: not linked yet, and of the other side."""
+    return (component[low:high] != component[x]) & ((side[low:high] != side[x]) | (side[x] == WHOLE))
+
+
 def _links(percent: int):
     """Confirmed links between the components of a group: one is enough for two components."""
     def run(batches):
         for table, bounds in whole_groups(batches, ["band", "chunk"]):
             ids, minor = table["id"].to_numpy(), table["minor"].to_numpy()
-            component = table["component"].to_numpy().copy()
+            component, side = table["component"].to_numpy().copy(), table["side"].to_numpy()
             lists = table["shingles"].combine_chunks()
             ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
             sizes, a, b = np.diff(ends), [], []
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-                for x in np.flatnonzero(minor[low:high]) + low:
+                for x in np.flatnonzero(minor[low:high] & (side[low:high] != 1)) + low:
                     own = values[ends[x] : ends[x + 1]]
                     while True:
-                        rows = np.flatnonzero(component[low:high] != component[x]) + low
+                        rows = np.flatnonzero(_others(component, side, low, high, x)) + low
                         rows = rows[100 * np.minimum(sizes[rows], sizes[x]) >= percent * np.maximum(sizes[rows], sizes[x])]
                         found = -1
                         for at in range(0, len(rows), 64):
@@ -203,6 +210,35 @@ def _links(percent: int):
     return run
 
 
+def _blocks(large: DataFrame, percent: int) -> DataFrame:
+    """The texts of large band groups in blocks of two chunks, ``side`` 0 and 1, or of one chunk.
+
+    Texts lie in classes of set sizes; similar ones are of the same class or of neighbouring ones.
+    Each pair of chunks of two such classes makes one block if texts outside of the group's
+    largest component (``minor``) are in the first, so every pair of texts meets once.
+    """
+    step = float(np.log(100 / min(max(percent, 1), 95)) * (1 + 1e-6))  # rounding never skips a class
+    large = large.withColumn("class", F.floor(F.log("n") / step))
+    slabs = large.groupBy("band", "class", "minor").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
+    slabs = scratch_copy(slabs, "slabs")
+    others = slabs.toDF("band", "_class", "_minor", "_parts")
+    met = slabs.where("minor").join(others, "band").where("abs(class - _class) <= 1 and (not _minor or class <= _class)")
+    met = met.withColumn("same", F.col("_minor") & (F.col("class") == F.col("_class")))
+    met = scratch_copy(met.withColumn("name", F.xxhash64("class", "_class", "_minor")), "slabs")
+    first = met.select("band", "class", "minor", "parts", "_parts", "name", "same", F.lit(0).alias("side"))
+    second = met.where("not same").select(
+        "band", F.col("_class").alias("class"), F.col("_minor").alias("minor"), F.col("_parts").alias("parts"),
+        F.col("parts").alias("_parts"), "name", "same", F.lit(1).alias("side"),
+    )
+    texts = large.join(first.unionByName(second), ["band", "class", "minor"])
+    texts = texts.withColumn("_own", F.pmod(F.xxhash64("id"), F.col("parts")))
+    texts = texts.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    turned = F.when(F.col("same"), F.col("_own") > F.col("_other")).otherwise(F.col("side") == 1)
+    block = F.xxhash64("name", F.when(turned, F.col("_other")).otherwise(F.col("_own")), F.when(turned, F.col("_own")).otherwise(F.col("_other")))
+    side = F.when(F.col("same") & (F.col("_own") == F.col("_other")), WHOLE).otherwise(turned.cast("int"))
+    return texts.withColumns({"chunk": block, "side": side})
+
+
 def _pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     a, b = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (a, b))
     return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
@@ -265,13 +301,14 @@ def near_duplicates(
     )
     mixed = scratch_copy(mixed.where("_comps > 1").drop("_comps"), "mixed")
     rest = members.join(mixed, "band").withColumn("minor", F.col("component") != F.col("_main"))
-    rest = rest.withColumn("chunk", F.explode(F.when(
-        F.col("minor"), F.sequence(F.lit(0).cast("long"), chunks - 1)
-    ).otherwise(F.array(F.pmod(F.xxhash64("id"), chunks)))))
     group = ["band", "chunk"]
-    rest = clustered(rest.select(*group, "number", "id", "n", "sketch", "component", "minor"), group)
-    rest = scratch_copy(rest.mapInArrow(
-        _candidates(least, percent / 100), "band long, chunk long, id long, component long, minor boolean"
+    columns = [*group, "side", "number", "id", "n", "sketch", "component", "minor"]
+    large = scratch_copy(rest.where(F.col("_size") > CHUNK), "large-bands")
+    rest = rest.where(F.col("_size") <= CHUNK).withColumns({"chunk": F.lit(0).cast("long"), "side": F.lit(WHOLE)}).select(*columns)
+    if not large.isEmpty():
+        rest = rest.unionByName(_blocks(large, percent).select(*columns))
+    rest = scratch_copy(clustered(rest, group).mapInArrow(
+        _candidates(least, percent / 100), "band long, chunk long, side int, id long, component long, minor boolean"
     ), "candidates")
     rest = rest.join(_sets(rows, rest.select("id"), words, lower), "id")
     links = links.unionByName(clustered(rest, group).mapInArrow(_links(percent), "a long, b long"))

@@ -82,6 +82,29 @@ def test_near_duplicates(spark, monkeypatch, words, seed):
         assert r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"])
 
 
+def test_unlinked_texts_of_a_band_are_split(spark, monkeypatch):
+    """Texts of one template that are no links, in blocks of two chunks."""
+    monkeypatch.setattr(minmax, "CHUNK", 8)
+    largest, plain = [], minmax.clustered
+
+    def watched(df, keys, *rest):
+        largest.append(df.groupBy(*keys).count().agg({"count": "max"}).first()[0] or 0)
+        return plain(df, keys, *rest)
+
+    monkeypatch.setattr(minmax, "clustered", watched)
+    pick = random.Random(6)
+    shared = [f"w{k}" for k in range(80)]
+    rows = [(i, " ".join(shared + [f"x{i}y{k}" for k in range(16 + i % 40 // 2)]), "s") for i in range(200)]
+    for i in range(200, 240):  # links of some
+        parts = rows[pick.randrange(200)][1].split(" ")
+        rows.append((i, " ".join(parts[:-4] + [f"z{i}"]), "s"))
+    sets = {i: set(text.split(" ")) for i, text, _ in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    got = near_duplicates(frame(spark, rows), words=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == reachable(sets, links)
+    assert 0 < max(largest) <= 4 * 8
+
+
 def test_repeated_key_with_other_texts(spark):
     rows = [(5, "a b c d", "s"), (5, "e f g h", "s"), (3, "e f g h", "s"), (9, "a b c d", "s")]
     got = near_duplicates(frame(spark, rows), words=2).collect()
