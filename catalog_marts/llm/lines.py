@@ -258,11 +258,6 @@ def _line_postings(lines: Lines, keep: np.ndarray, table: np.ndarray, percent: i
     line = of[chosen]
     chunks = np.maximum(np.ceil(decoded(count) / tuning.chunk), 1).astype(np.int64)
     chunk = (lines.hash[line] % chunks.astype(np.uint64)).astype(np.int64)
-    if again:  # lines that ask go to every chunk
-        times = np.where(asks[line], chunks, 1)
-        copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        chunk = np.where(np.repeat(asks[line], times), copy, np.repeat(chunk, times))
-        chosen, line, chunks = (np.repeat(v, times) for v in (chosen, line, chunks))
 
     width = _width(n, tuning.wide)
     start = np.append(0, np.cumsum(width))
@@ -379,7 +374,11 @@ _MEETING = "part long, lines binary"
 def _meetings(
     batches: Iterator[pa.RecordBatch], table, percent: int, parts: int, tuning: Tuning, asked
 ) -> Iterator[pa.RecordBatch]:
-    """Lines with full sets at each of their prefix words that asking lines have, packed by part."""
+    """Lines with full sets at each of their prefix words that asking lines have, packed by part.
+
+    The lines of a word with several chunks meet in blocks of two chunks, sides 0 and 1, and of
+    one, side 2, each of them a part of its own.
+    """
     table, asked = table.value, asked.value
     for batch in batches:
         lists = batch.column("words")
@@ -394,19 +393,20 @@ def _meetings(
         chunks = np.maximum(np.ceil(decoded(table[places(word, BITS)]) / tuning.chunk), 1).astype(np.int64)
         asks = batch.column("asks").to_numpy(zero_copy_only=False)
         doc, number, hashes = (batch.column(c).to_numpy().astype(np.int64) for c in _LINE)
-        times = np.where(asks[line], chunks, 1)
-        copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        other = np.arange(chunks.sum()) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+        line, word, chunks = (np.repeat(v, chunks) for v in (line, word, chunks))
         own = hashes[line] % chunks
-        line, word = np.repeat(line, times), np.repeat(word, times)
-        chunk = np.where(asks[line], copy, np.repeat(own, times))
-        part = (mix((word >> np.uint64(32)) + chunk.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        chunk = np.minimum(own, other) * chunks + np.maximum(own, other)
+        side = np.where(own == other, 2, own > other)
+        spot = mix(mix(word) + chunk.astype(np.uint64))
+        part = np.where(chunks > 1, parts + (spot >> np.uint64(2)).astype(np.int64), (spot % np.uint64(parts)).astype(np.int64))
         order = np.argsort(part, kind="stable")
-        part, line, word, chunk = part[order], line[order], word[order], chunk[order]
+        part, line, word, chunk, side = part[order], line[order], word[order], chunk[order], side[order]
         low = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
         packed = []
         for a, b in zip(low, np.append(low[1:], len(part)), strict=False):
             rows = line[a:b]
-            head = np.stack([word[a:b].view(np.int64), chunk[a:b], doc[rows], number[rows], hashes[rows], asks[rows].astype(np.int64), n[rows]])
+            head = np.stack([word[a:b].view(np.int64), chunk[a:b], doc[rows], number[rows], hashes[rows], asks[rows].astype(np.int64), n[rows], side[a:b]])
             sets = np.concatenate([words[bounds[r] : bounds[r + 1]] for r in rows])
             packed.append(np.array([b - a], np.int64).tobytes() + head.astype(np.int64).tobytes() + sets.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(part[low]), pa.array(packed, pa.binary())], ["part", "lines"])
@@ -419,8 +419,8 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
         for value in table["lines"].combine_chunks():
             data = value.as_buffer()
             rows = int(np.frombuffer(data, np.int64, 1)[0])
-            heads.append(np.frombuffer(data, np.int64, 7 * rows, 8).reshape(7, rows))
-            sets.append(np.frombuffer(data, np.uint64, -1, 8 + 56 * rows))
+            heads.append(np.frombuffer(data, np.int64, 8 * rows, 8).reshape(8, rows))
+            sets.append(np.frombuffer(data, np.uint64, -1, 8 + 64 * rows))
         head, words = np.concatenate(heads, axis=1), np.concatenate(sets)
         ends = np.cumsum(head[6])
         by = np.lexsort((head[4], head[3], head[2], head[6], head[1], head[0]))
@@ -437,7 +437,8 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
             late = (head[2][x] > head[2][y]) | ((head[2][x] == head[2][y]) & (head[3][x] > head[3][y]))
             y, x = np.where(late, x, y), np.where(late, y, x)
             different = (head[2][x] != head[2][y]) | (head[3][x] != head[3][y])
-            some = np.flatnonzero(asks[y] & ~found[y] & different)
+            apart = (head[7][x] != head[7][y]) | (head[7][y] == 2)
+            some = np.flatnonzero(asks[y] & ~found[y] & different & apart)
             for a, b in zip(y[some].tolist(), x[some].tolist(), strict=True):
                 common = np.isin(words[begin[a] : begin[a] + n[a]], words[begin[b] : begin[b] + n[b]], assume_unique=True).sum()
                 if 100 * common >= percent * (n[a] + n[b] - common):

@@ -2,11 +2,13 @@
 
 import random
 import re
-from collections import Counter
+from collections import Counter, namedtuple
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from catalog_marts.llm import curriculum, minmax, sketch
+from catalog_marts.llm import curriculum, lines, minmax, sketch
 from catalog_marts.llm.components import connected_components
 from catalog_marts.llm.curriculum import mix_sources, training_order
 from catalog_marts.llm.lines import Tuning, deduplicate_lines
@@ -133,6 +135,36 @@ def test_lines(spark, seed, early):
         assert (r["text"], r["n_lines"], r["n_removed"]) == want[r["doc_id"]]
 
 
+def test_asking_lines_meet_in_blocks_of_two_chunks():
+    """Lines with one word in common that all ask: every pair once, in blocks of bounded size."""
+    n, sets = 400, [[1 << 32, (k + 2) << 32] for k in range(400)]
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(np.arange(n)), pa.array(np.zeros(n, np.int32)), pa.array(np.arange(n) * 7919), pa.array(sets), pa.array([True] * n),
+    ], ["doc", "line", "hash", "words", "asks"])
+    value = namedtuple("Shared", "value")
+    table = value(np.zeros(1 << lines.BITS, np.uint8))
+    asked = value(np.zeros(1 << lines.MARK_BITS, np.uint8))
+    asked.value[lines.places(np.array([1 << 32], np.uint64), lines.MARK_BITS)] = 1
+    table.value[:] = next(k for k in range(256) if sketch.decoded(np.array([k], np.uint8))[0] >= n)
+    met, largest = Counter(), 0
+    count = float(sketch.decoded(table.value[:1])[0])
+    [out] = lines._meetings([batch], table, 40, 16, Tuning(chunk=count / 8), asked)
+    for data in out.column("lines").to_pylist():
+        rows = int(np.frombuffer(data, np.int64, 1)[0])
+        head = np.frombuffer(data, np.int64, rows * (len(data) // 8 - 1 - 2 * rows) // rows, 8).reshape(-1, rows)
+        head = head[:, head[0] == 1 << 32]
+        for block in set(head[1].tolist()):
+            group = head[:, head[1] == block]
+            largest = max(largest, group.shape[1])
+            for a in range(group.shape[1]):
+                for b in range(a):
+                    if len(head) < 8 or group[7, a] != group[7, b] or group[7, a] == 2:
+                        met[tuple(sorted((group[2, a], group[2, b])))] += 1
+    assert len(met) == n * (n - 1) // 2
+    assert set(met.values()) == {1}
+    assert largest <= 2 * 2 * n / 8
+
+
 def test_lines_of_a_repeated_key(spark):
     rows = [(1, "a b c\nd e f", "s"), (2, "a b c\nx y z", "s"), (2, "p q r\ns t u", "s")]
     got = sorted(r["text"] for r in deduplicate_lines(frame(spark, rows)).collect())
