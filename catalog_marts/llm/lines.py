@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
@@ -582,16 +583,29 @@ def deduplicate_lines(
         own = F.arrow_udf(_own_lines, "array<struct<line:int,hash:bigint>>")(F.when(shared, F.col(text)))
         lines = F.when(shared, F.array_intersect(own, lines)).otherwise(lines)
     joined = joined.withColumn("_lines", F.coalesce(lines["line"], F.array().cast("array<int>")))
-    parts = F.split(F.col(text), "\n", -1)
-    kept = F.concat_ws("\n", F.filter(parts, lambda _, i: ~F.array_contains("_lines", i)))
+    shortened = F.arrow_udf(_without, "string")(F.when(F.size("_lines") > 0, F.col(text)), F.col("_lines"))
     breaks = F.length(F.col(text)) - F.length(F.replace(F.col(text), F.lit("\n")))
     return joined.withColumns({
         "n_lines": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
         "n_removed": F.size("_lines").cast("long"),
-        text: F.when(F.size("_lines") > 0, kept).otherwise(F.col(text)),
+        text: F.when(F.size("_lines") > 0, shortened).otherwise(F.col(text)),
     }).drop("_gone", "_lines", "_rows", "_doc", "_key", "_shared")
 
 
+def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """Texts without the lines of these numbers, in time that grows with their length."""
+    out = []
+    for value, numbers in zip(texts, gone, strict=True):
+        value = value.as_py()
+        if value is not None:
+            parts = value.split("\n")
+            kept = np.ones(len(parts), bool)
+            kept[numbers.values.to_numpy(zero_copy_only=False)] = False
+            value = "\n".join(compress(parts, kept.tolist()))
+        out.append(value)
+    return pa.array(out, pa.string())
+
+
 def _own_lines(texts: pa.Array) -> pa.Array:
     out = []
     for value in texts.to_pylist():

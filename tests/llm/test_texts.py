@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, namedtuple
 
 import numpy as np
@@ -171,6 +172,17 @@ def test_lines_of_a_repeated_key(spark):
     assert got == ["a b c\nd e f", "p q r\ns t u", "x y z"]
 
 
+def test_a_text_of_many_repeated_lines(spark):
+    """Lines of one text, half of them repeated: time grows with its length, not with its square."""
+    n = 400_000
+    text = "\n".join(x for k in range(n // 2) for x in (f"w{k} v{k}", "once more"))
+    started = time.monotonic()
+    [got] = deduplicate_lines(frame(spark, [(1, text, "s")])).collect()
+    assert (got["n_lines"], got["n_removed"]) == (n, n // 2 - 1)
+    assert got["text"] == "\n".join(["w0 v0", "once more", *(f"w{k} v{k}" for k in range(1, n // 2))])
+    assert time.monotonic() - started < 60
+
+
 @pytest.mark.parametrize("hot", [1000, 0])
 def test_repeats(spark, hot):
     window = 8
