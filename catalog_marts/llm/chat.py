@@ -65,6 +65,30 @@ _KINDS = {
 }
 
 
+_NOTES = {"title", "description", "default", "examples", "$schema", "$id", "$comment", "deprecated", "readOnly", "writeOnly"}
+_CHECKED = {
+    "type", "enum", "minimum", "maximum", "minLength", "maxLength", "minItems", "maxItems", "items", "required", "properties",
+    "additionalProperties",
+}
+
+
+def supported(schema: dict, at: str = "$") -> None:
+    """Raises ValueError for a schema with anything that :func:`violations` does not check."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema must be an object here")
+    unknown = sorted(set(schema) - _CHECKED - _NOTES)
+    kinds = schema.get("type", [])
+    unknown += [f"type {k}" for k in ([kinds] if isinstance(kinds, str) else kinds) if k not in _KINDS]
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        unknown.append("additionalProperties as a schema")
+    if unknown:
+        raise ValueError(f"{at}: {', '.join(unknown)} not supported")
+    if "items" in schema:
+        supported(schema["items"], f"{at}[]")
+    for name, inner in schema.get("properties", {}).items():
+        supported(inner, f"{at}.{name}")
+
+
 def violations(value, schema: dict, at: str = "$") -> list[str]:
     """Where ``value`` breaks the schema: type, enum, bounds, lengths, required and further keys."""
     kinds = schema.get("type")
@@ -215,8 +239,11 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     with one identifier the first by position, then content, is linked. Calls that repeat an
     identifier each link with its result. A null identifier or conversation links with nothing
     and refers to nothing: the call stands alone, at level 0. Null references are ignored; so are
-    other columns. Empty tables give what the other table alone gives.
+    other columns. Empty tables give what the other table alone gives. A schema with a keyword that
+    is not checked raises an error.
     """
+    for name, schema in schemas.items():
+        supported(schema, f"schema of {name}: $")
     calls = calls.select(
         F.col("conv").cast("long").alias("conv"), F.col("id").cast("string").alias("id"), F.col("position").cast("long").alias("position"),
         F.col("name").cast("string").alias("name"), F.col("arguments").cast("string").alias("arguments"),

@@ -24,6 +24,24 @@ def test_violations(value, count):
     assert len(violations(value, SCHEMAS["f"])) == count
 
 
+@pytest.mark.parametrize("keyword, value", [
+    ("pattern", "^a"), ("const", 1), ("exclusiveMinimum", 0), ("multipleOf", 2), ("uniqueItems", True), ("anyOf", [{}]),
+    ("$ref", "#"), ("additionalProperties", {"type": "string"}), ("type", "date"), ("items", False),
+])
+def test_unsupported_keywords_raise(spark, keyword, value):
+    calls, results = spark.createDataFrame([], CALL), spark.createDataFrame([], RESULT)
+    for schema in ({keyword: value}, {"items": {keyword: value}}, {"properties": {"a": {keyword: value}}}):
+        with pytest.raises(ValueError):
+            link_calls(calls, results, {"f": schema})
+
+
+def test_notes_are_no_keywords(spark):
+    calls = spark.createDataFrame([(1, "a", 1, "f", [], '{"a":1}', 0)], CALL)
+    schema = SCHEMAS["f"] | {"title": "F", "description": "of a"}
+    [got] = link_calls(calls, spark.createDataFrame([], RESULT), {"f": schema}).collect()
+    assert got["status"] == "no result"
+
+
 def test_links(spark):
     calls = [
         (1, "b", 1, "f", ["a"], '{"a":1}', 0),
