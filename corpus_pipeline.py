@@ -45,12 +45,15 @@ def in_training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """One row per use of a document in the mix of sources, in training order.
 
     Documents are used whole, up to three times; those that the mix has no use for go. Rows that
-    repeat an id are documents of their own.
+    repeat an id are documents of their own, named by their hash; equal rows are numbered, and only
+    these share a window.
     """
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        same_id = Window.partitionBy("doc_id").orderBy("source", "text", "lang", "n_chars")
-        name = F.concat(name, F.lit(":"), F.row_number().over(same_id).cast("string"))
+        others = [c for c in COLUMNS if c != "doc_id"]
+        docs = docs.withColumn("_row", F.xxhash64(*others, *(F.col(c).isNull() for c in others)))
+        equal = Window.partitionBy("doc_id", "_row").orderBy("_row")
+        name = F.concat_ws(":", name, F.hex("_row"), F.row_number().over(equal).cast("string"))
     docs = docs.select(*COLUMNS, name.alias("_use"))
     uses = training_order(mix_sources(docs, key="_use", whole=True)).withColumnRenamed("doc_id", "_use")
     return uses.join(docs, "_use").orderBy("position", "_use").select(*COLUMNS)

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 
 import corpus_pipeline
@@ -73,6 +74,26 @@ def test_stages(spark):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == coded
 
 
+def test_rows_of_an_id_are_numbered_without_sorting_texts(spark, monkeypatch):
+    rows = [(1, f"text {k % 3}", "en", None if k % 2 else "s", 6) for k in range(12)] + [(None, "other", "en", "s", 5)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    seen = []
+
+    def taken(docs, **_):
+        seen.append(docs)
+        raise InterruptedError
+
+    monkeypatch.setattr(corpus_pipeline, "mix_sources", taken)
+    with pytest.raises(InterruptedError):
+        corpus_pipeline.in_training_order(spark, docs, SF)
+    [named] = seen
+    windows = [x for x in named._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
+    assert windows and not any("text#" in x for x in windows)
+    uses = [r["_use"] for r in named.collect()]
+    assert len(set(uses)) == len(rows)
+    assert sorted(uses) == sorted(r["_use"] for r in named.repartition(3).collect())
+
+
 def test_rows_that_repeat_an_id_or_have_none(spark):
     rows = [(1, f"one two three {k}", "en", "s", 15) for k in range(4)] + [(None, "other words here", "en", None, 16), (2, None, "en", "s", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
