@@ -13,6 +13,7 @@ from catalog_marts.llm.lines import deduplicate_lines
 from catalog_marts.llm.minmax import near_duplicates
 from catalog_marts.llm.mtree import top_products
 from catalog_marts.llm.multi_index import near_duplicate_vectors
+from catalog_marts.llm.packing import pack_sequences
 from catalog_marts.llm.phrases import remove_repeats
 from catalog_marts.llm.text import WORD
 from catalog_marts.llm.toxicity import toxicity
@@ -240,6 +241,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def queries() -> dict:
     return {
         "op1_tool_calls": op1_tool_calls,
@@ -252,6 +259,7 @@ def queries() -> dict:
         "op8_phrase_automata": op8_phrase_automata,
         "op9_curriculum_mix": op9_curriculum_mix,
         "op10_line_dedup": op10_line_dedup,
+        "op12_bin_slack_packing": op12_bin_slack_packing,
     }
 
 
