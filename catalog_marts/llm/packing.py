@@ -179,7 +179,12 @@ def _lowered(texts: pa.Array) -> pa.Array:
     mark behind it, or make up a special token.
     """
     as_is = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[\u0300-\u036f]"))
-    return pc.if_else(as_is, texts, pc.ascii_lower(texts))
+    kept = np.flatnonzero(pc.fill_null(as_is, False).to_numpy(zero_copy_only=False))
+    low, parts, at = pc.ascii_lower(texts), [], 0
+    for row in kept.tolist():  # a few; a choice by mask fails on slices of large strings
+        parts += [low.slice(at, row - at), texts.slice(row, 1)]
+        at = row + 1
+    return pa.concat_arrays([*parts, low.slice(at)]) if parts else low
 
 
 _words: dict[int, _Words] = {}  # the last vocabulary used in this worker process
