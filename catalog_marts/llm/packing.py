@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from catalog_marts.llm.segments import cut_at_spaces, gathered
-from catalog_marts.llm.text import pieces
+from catalog_marts.llm.segments import cut_at_spaces, gathered, large_strings
+from catalog_marts.llm.text import pieces, utf8
 from catalog_marts.sources import scratch_copy
 
 CAPACITY = 4096  # tokens of a sequence
@@ -163,10 +163,7 @@ class _Words:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where those of each begin and end."""
-        plain = _lowered(texts.cast(pa.large_string()))
-        for space in ("\n", "\t", "\r"):
-            plain = pc.replace_substring(plain, space, " ")
-        cut = cut_at_spaces(plain)
+        cut = cut_at_spaces(*_lowered(*utf8(texts)))
         coded = self._ids(cut.distinct.to_pylist())
         lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         starts, ids = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(coded), "<u4")
@@ -174,17 +171,20 @@ class _Words:
         return ids[gathered(starts[cut.index], lengths[cut.index])], bounds
 
 
-def _lowered(texts: pa.Array) -> pa.Array:
-    """ASCII letters in lower case, unless that could change what a letter composes to with the
-    mark behind it, or make up a special token.
+def _lowered(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Other white space as spaces, ASCII letters in lower case, unless that could change what a
+    letter composes to with the mark behind it, or make up a special token.
     """
+    low = data.copy()
+    low[(low == 9) | (low == 10) | (low == 13)] = 32
+    texts = large_strings(low, offsets)
     as_is = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[\u0300-\u036f]"))
-    kept = np.flatnonzero(pc.fill_null(as_is, False).to_numpy(zero_copy_only=False))
-    low, parts, at = pc.ascii_lower(texts), [], 0
-    for row in kept.tolist():  # a few; a choice by mask fails on slices of large strings
-        parts += [low.slice(at, row - at), texts.slice(row, 1)]
-        at = row + 1
-    return pa.concat_arrays([*parts, low.slice(at)]) if parts else low
+    kept = np.flatnonzero(as_is.to_numpy(zero_copy_only=False)).tolist()
+    bytes_kept = [low[offsets[row] : offsets[row + 1]].copy() for row in kept]  # a few
+    low += ((low - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5)
+    for row, own in zip(kept, bytes_kept, strict=True):
+        low[offsets[row] : offsets[row + 1]] = own
+    return low, offsets
 
 
 _words: dict[int, _Words] = {}  # the last vocabulary used in this worker process

@@ -17,9 +17,17 @@ class Segments(NamedTuple):
     bounds: np.ndarray
 
 
-def cut_at_spaces(texts: pa.Array) -> Segments:
-    """A null text is an empty one; an empty text has one empty part, as ``str.split(" ")`` has."""
-    parts = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), " ")
+def large_strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Texts from the bytes and offsets of :func:`catalog_marts.llm.text.utf8`, as an array that
+    begins at the first byte (some functions misread large strings that do not).
+    """
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, buffers)
+
+
+def cut_at_spaces(data: np.ndarray, offsets: np.ndarray) -> Segments:
+    """An empty text has one empty part, as ``str.split(" ")`` has."""
+    parts = pc.split_pattern(large_strings(data, offsets), " ")
     coded = parts.flatten().dictionary_encode()
     return Segments(coded.dictionary, coded.indices.to_numpy(), parts.offsets.to_numpy().astype(np.int64))
 
