@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from catalog_marts.llm.bpe import bpe_decode, bpe_encode
 from catalog_marts.llm.chat import link_calls
 from catalog_marts.llm.curriculum import mix_sources
+from catalog_marts.llm.divergence import source_divergence
 from catalog_marts.llm.lines import deduplicate_lines
 from catalog_marts.llm.minmax import near_duplicates
 from catalog_marts.llm.mtree import top_products
@@ -247,6 +248,52 @@ def op12_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op13_iceberg_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_read(spark, sf_dir, "documents"))
+
+
+_OP13 = r"""
+with docs as (
+  select row_number() over () as id, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source
+  from documents),
+occurrences as (
+  select id, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from docs),
+kept as (select lang, term from occurrences group by lang, term having count(distinct id) >= 30),
+sizes as (select lang, count(*) as v from kept group by lang),
+counts as (
+  select lang, source, term, count(*) as n from occurrences semi join kept using (lang, term) group by lang, source, term),
+totals as (
+  select g.lang, g.source, coalesce(t.total, 0)::hugeint as total, coalesce(s.v, 0)::hugeint as v
+  from (select distinct lang, source from docs) g
+  left join (select lang, source, sum(n) as total from counts group by lang, source) t using (lang, source)
+  left join sizes s using (lang)),
+shares as (
+  select t.lang, t.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (t.total + 5 * t.v) as p
+  from totals t join kept k using (lang) left join counts c using (lang, source, term)),
+whole as (
+  select lang, term, 1 + (1000000000::hugeint * (sum(n) + 5)) // (any_value(total) + 5 * any_value(v)) as q
+  from shares join (select lang, sum(total) as total, any_value(v) as v from totals group by lang) using (lang)
+  group by lang, term),
+far as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from shares a join shares b using (lang, term) where a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0) as value
+  from totals a join totals b on a.lang = b.lang and a.source <> b.source
+  left join far f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (
+  select s.lang, s.source, 'term' as part, s.term as item, s.p - w.q as value
+  from shares s join whole w using (lang, term) where s.n > 0 and s.p > w.q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank
+from ranked where part = 'pair' or rank <= 50"""
+
+
 def queries() -> dict:
     return {
         "op1_tool_calls": op1_tool_calls,
@@ -260,6 +307,7 @@ def queries() -> dict:
         "op9_curriculum_mix": op9_curriculum_mix,
         "op10_line_dedup": op10_line_dedup,
         "op12_bin_slack_packing": op12_bin_slack_packing,
+        "op13_iceberg_divergence": op13_iceberg_divergence,
     }
 
 
@@ -270,4 +318,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc_chain": _OP5,
         "op7_multi_index_dedup": _OP7,
         "op9_curriculum_mix": _OP9,
+        "op13_iceberg_divergence": _OP13,
     }
