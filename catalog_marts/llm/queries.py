@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog_marts.llm.alignment import align_tokenizers
 from catalog_marts.llm.bpe import bpe_decode, bpe_encode
 from catalog_marts.llm.chat import link_calls
 from catalog_marts.llm.curriculum import mix_sources
@@ -242,6 +243,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokenizers(docs, *files, keep_groups=False)[0].drop("groups")
+
+
 def op12_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     packed = pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
@@ -306,6 +313,7 @@ def queries() -> dict:
         "op8_phrase_automata": op8_phrase_automata,
         "op9_curriculum_mix": op9_curriculum_mix,
         "op10_line_dedup": op10_line_dedup,
+        "op11_identity_alignment": op11_identity_alignment,
         "op12_bin_slack_packing": op12_bin_slack_packing,
         "op13_iceberg_divergence": op13_iceberg_divergence,
     }
