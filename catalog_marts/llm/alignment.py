@@ -16,7 +16,7 @@ import hashlib
 import json
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 from typing import NamedTuple
 
@@ -34,7 +34,8 @@ from catalog_marts.llm.segments import Segments, cut_at_spaces, gathered
 from catalog_marts.llm.text import mix, pieces, utf8
 from catalog_marts.sources import scratch_copy
 
-BLOCK = 8 << 20  # bytes of text aligned at a time; one text at least
+BLOCK = 4 << 20  # bytes of text aligned at a time; one text at least
+ENCODED = 8192  # parts encoded at a time
 PART_PAIRS = 1_000_000  # counts of id pairs that a task adds up at a time, about
 SPACE = "▁"  # how piece vocabularies write a space
 
@@ -174,13 +175,21 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.diff(np.append(0, np.cumsum(values))[np.append(0, np.cumsum(counts))])
 
 
+def _encoded(parts: list[str], encode: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all parts, and how many each has; the encoder's own objects live for a few parts only."""
+    ids, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for low in range(0, len(parts), ENCODED):
+        lists = encode(parts[low : low + ENCODED])
+        counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        ids.append(np.fromiter(chain.from_iterable(lists), np.int64, int(counts[-1].sum())))
+    return np.concatenate(ids), np.concatenate(counts)
+
+
 def align(pair: Pair, parts: list[str]) -> Aligned:
     """Align parts; each of them stands for itself with a space before it."""
     texts = Bytes.of([b" " + t.encode() for t in parts])
-    coded = pair.first.encode_batch_fast([" " + t for t in parts], add_special_tokens=False)
-    lists_a, lists_b = [x.ids for x in coded], pair.second.encode(parts, num_threads=1)
-    n_a, n_b = (np.fromiter(map(len, x), np.int64, len(parts)) for x in (lists_a, lists_b))
-    a, b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((lists_a, n_a), (lists_b, n_b)))
+    a, n_a = _encoded(parts, lambda some: [x.ids for x in pair.first.encode_batch_fast([" " + t for t in some], add_special_tokens=False)])
+    b, n_b = _encoded(parts, lambda some: pair.second.encode(some, num_threads=1))
 
     whole = (_sums(pair.a.lengths[a], n_a) == texts.lengths) & (_sums(pair.b.lengths[b], n_b) == texts.lengths)
     a, n_a = _chosen(a, n_a, whole)
