@@ -33,9 +33,9 @@ TOP_TERMS = 50
 SCALE, SMOOTHING = 1_000_000_000, 5
 FIRST_LEVEL = 3  # bytes; every later level is twice as long
 MARK_BITS = 24  # at most 16 MB of marks, however many prefixes survive
-BLOCK = 8 << 20  # bytes of text counted at a time
+BLOCK = 4 << 20  # bytes of text counted at a time
 SOURCE_BLOCK = 64  # sources compared with each other at a time
-BUCKET_ROWS = 1_000_000  # counts that a task compares at a time, about
+BUCKET_ROWS = 20_000  # counts that a task compares at a time, about
 
 _IN_TERM = np.ones(256, bool)
 _IN_TERM[[*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = False
