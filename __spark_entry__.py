@@ -23,19 +23,26 @@ from catalog_marts.plans import (
     build_silver,
     cast_mart,
     category_mart,
+    check_keys,
+    open_version,
     publish,
+    publish_changes,
     report_q1,
     report_q2,
     report_q3,
     report_q4,
 )
+from catalog_marts.plans.contracts import RELATIONSHIPS, Relationship
+from catalog_marts.plans.leaderboard import build_leaderboard, open_leaderboard, refresh_leaderboard
 from catalog_marts.plans.publish import SERVING_TABLES
+from catalog_marts.plans.upkeep import build_mart, changes_between, open_mart, refresh_mart
 from catalog_marts.sources import (
     GOLD_SCHEMAS,
     SILVER,
     read_table,
     read_tsv,
     register_views,
+    scratch_copy,
     scratch_dir,
     write_bucketed,
     write_table,
@@ -134,6 +141,72 @@ def _published(spark, sf_dir) -> DataFrame:
     return status.select("table", "rows", "ok")
 
 
+def _keys(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Join keys of all tables; the releases stand in as a further right side, with many copies."""
+    tables = {name: silver_table(spark, sf_dir, name) for name in SILVER}
+    return check_keys(tables, (*RELATIONSHIPS, Relationship("titles", "title_id", "akas", "title_id")))
+
+
+# What happens to the titles between two publishings, in the SQL that both sides share.
+_STILL_LISTED = "coalesce(runtime_minutes % 7, 0) <> 3 or title_type <> 'PROMO'"
+_RENAMED = "case when start_year = 2011 then concat(primary_title, ' II') else primary_title end"
+
+
+def _published_twice(spark, sf_dir) -> tuple[str, DataFrame]:
+    """Titles by type and genre, published, changed and published again."""
+    root = f"{scratch_dir(spark, 'serving')}/titles"
+    titles = _silver(spark, sf_dir, "titles")[0]
+    changed = titles.where(_STILL_LISTED).withColumn("primary_title", F.expr(_RENAMED))
+    for version in (titles, changed):
+        parts = publish_changes(explode_category(version), root, ["title_type", "genres"], ["title_id"])
+    return root, parts
+
+
+# What happens to every cleaned table before a mart is brought up to date: rows go, change and come.
+_NEXT = {
+    "titles": (_STILL_LISTED, {"primary_title": _RENAMED}, "title_id like '%99'", {"title_id": "concat(title_id, 'n')"}),
+    "ratings": ("num_votes % 110 <> 50", {"num_votes": "case when title_id like '%7' then num_votes + 40 else num_votes end"},
+                "title_id like '%98'", {"title_id": "concat('tt', num_votes)"}),
+    "principals": ("coalesce(ordering % 13, 0) <> 4", {"category": "case when job = 'R' then 'director' else category end"},
+                   "title_id like '%99'", {"title_id": "concat(title_id, 'n')"}),
+    "names": ("birth_year <> 1903", {"primary_name": "case when birth_year = 1910 then concat(primary_name, ' Jr') else primary_name end"},
+              "birth_year = 1905", {"name_id": "concat(name_id, 'b')"}),
+    "akas": ("region is null or region <> 'FRANCE'", {"region": "case when language = 'asia' then 'EAST' else region end"},
+             "title_id like '%99'", {"title_id": "concat(title_id, 'n')"}),
+}
+
+
+def _next_state(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    after = {}
+    for name, (stays, changed, copied, renamed) in _NEXT.items():
+        set_to = lambda df, how: df.withColumns({c: F.expr(e) for c, e in how.items()})
+        after[name] = set_to(tables[name].where(stays), changed).unionByName(set_to(tables[name].where(copied), renamed))
+    return after
+
+
+def _two_states(spark, sf_dir) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    before = {name: scratch_copy(silver_table(spark, sf_dir, name), name) for name in SILVER}
+    return before, {name: scratch_copy(df, name) for name, df in _next_state(before).items()}
+
+
+def _kept_up(spark, sf_dir) -> DataFrame:
+    """The category mart built from the tables before, then brought up to date."""
+    before, after = _two_states(spark, sf_dir)
+    path = scratch_dir(spark, "kept-up")
+    build_mart(before, path)
+    refresh_mart(before, after, path)
+    return open_mart(spark, path)
+
+
+def _kept_up_cast(spark, sf_dir) -> DataFrame:
+    """The same for the leaderboard, whose rows come from sums."""
+    before, after = _two_states(spark, sf_dir)
+    path = scratch_dir(spark, "leaderboard")
+    build_leaderboard(before, path)
+    refresh_leaderboard(before, after, path, changes_between(before, after))
+    return open_leaderboard(spark, path).withColumn("rank", F.col("rank").cast("bigint"))
+
+
 def _sink(spark, sf_dir, **options) -> DataFrame:
     """Credits through a sink and back."""
     path = scratch_dir(spark, "sink")
@@ -257,6 +330,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_plain": lambda s, d: _sink(s, d),
         "left_join_hot_key": _hot_join,
         "publish_status": _published,
+        "mart_upkeep": _kept_up,
+        "leaderboard_upkeep": _kept_up_cast,
+        "key_contracts": lambda s, d: _keys(s, d)[0],
+        "key_orphans": lambda s, d: _keys(s, d)[1],
+        "publish_changed_parts": lambda s, d: _published_twice(s, d)[1],
+        "publish_changed_table": lambda s, d: open_version(s, _published_twice(s, d)[0]),
         "build_category_mart": lambda s, d: _built_gold(s, d, "category_wise_movies"),
         "build_cast_mart": lambda s, d: _built_gold(s, d, "top_category_wise_cast"),
         "sql_report_q1": lambda s, d: _sql(
@@ -407,6 +486,63 @@ from raw_ratings""",
 }
 
 
+# The relationships spelt out: left table, its key, right table, its key.
+_LINKS = (
+    ("principals", "name_id", "names", "name_id"), ("titles", "title_id", "ratings", "title_id"),
+    ("principals", "title_id", "ratings", "title_id"), ("ratings", "title_id", "titles", "title_id"),
+    ("principals", "title_id", "titles", "title_id"), ("akas", "title_id", "titles", "title_id"),
+    ("titles", "title_id", "akas", "title_id"),
+)
+_KEYS = " union all ".join(
+    f"""select '{lt}.{lk} -> {rt}.{rk}' as relationship, count(*) as rows, count(*) - count({lk}) as null_rows,
+  count(distinct {lk}) as keys,
+  count(distinct {lk}) filter (where {lk} not in (select {rk} from {rt} where {rk} is not null)) as orphan_keys,
+  count(*) filter (where {lk} not in (select {rk} from {rt} where {rk} is not null)) as orphan_rows,
+  (select count(distinct {rk}) from {rt}) as right_keys,
+  (select count(*) from (select {rk} from {rt} where {rk} is not null group by {rk} having count(*) > 1)) as duplicate_keys,
+  (select count({rk}) - count(distinct {rk}) from {rt}) as duplicate_rows
+from {lt}"""
+    for lt, lk, rt, rk in _LINKS
+)
+_ORPHANS = " union all ".join(
+    f"""select '{lt}.{lk} -> {rt}.{rk}' as relationship, {lk} as key, count(*) as rows
+from {lt} where {lk} not in (select {rk} from {rt} where {rk} is not null) group by {lk}"""
+    for lt, lk, rt, rk in _LINKS
+)
+
+_CHANGED = f"""
+changed as (select * replace ({_RENAMED} as primary_title) from titles where {_STILL_LISTED}),
+before as ({_EXPLODED.format(columns=_TITLE_COLUMNS, source='titles')}),
+after as ({_EXPLODED.format(columns=_TITLE_COLUMNS, source='changed')})"""
+
+_CHANGED_PARTS = """
+, old as (select title_type, genres, count(*) as n from before group by all),
+new as (select title_type, genres, count(*) as n from after group by all),
+gone as (select * from before except all select * from after),
+come as (select * from after except all select * from before),
+differs as (select title_type, genres from gone union select title_type, genres from come)
+select '{"title_type":' || to_json(p.title_type) || ',"genres":' || to_json(p.genres) || '}' as part,
+  case when new.n is null then 'removed' when d.genres is not null then 'written' else 'kept' end as action,
+  coalesce(new.n, old.n) as rows
+from (select title_type, genres from old union select title_type, genres from new) p
+left join old using (title_type, genres) left join new using (title_type, genres)
+left join differs d using (title_type, genres)"""
+
+
+def _set_to(how: dict[str, str]) -> str:
+    return ", ".join(f"{e} as {c}" for c, e in how.items())
+
+
+#: The tables after the changes, under the names of the tables, for what follows.
+_AFTER = ", ".join(
+    f"""next_{name} as (
+  select * replace ({_set_to(changed)}) from {name} where {stays}
+  union all select * replace ({_set_to(renamed)}) from {name} where {copied})"""
+    for name, (stays, changed, copied, renamed) in _NEXT.items()
+)
+_SHADOWED = ", ".join(f"{name} as (select * from next_{name})" for name in _NEXT)
+
+
 def _over(ctes: str, body: str) -> str:
     return with_tables(f", {ctes.strip()}\n{body}")
 
@@ -480,6 +616,14 @@ with silver as ({with_tables(status)})
 select * from silver
 union all select 'gold_category_wise_movies', (select count(*) from ({mart})), true
 union all select 'gold_top_category_wise_cast', (select count(*) from ({cast})), true""",
+        "mart_upkeep": _over(_AFTER, f"select * from (with {_SHADOWED}, {_MART.strip()} select * from mart)"),
+        "leaderboard_upkeep": _over(
+            _AFTER, f"select * from (with {_SHADOWED}, {_CAST.strip()} {_CAST_RANKED.format(source='people')})"
+        ),
+        "key_contracts": with_tables(_KEYS),
+        "key_orphans": with_tables(_ORPHANS),
+        "publish_changed_parts": _over(_CHANGED, _CHANGED_PARTS),
+        "publish_changed_table": _over(_CHANGED, "select * from after"),
         "sink_fixed_files": with_tables("select * from principals"),
         "sink_partitioned_unsorted": with_tables(
             "select * replace (coalesce(nullif(trim(category), ''), 'unknown') as category) "

@@ -18,14 +18,16 @@ def rating_totals(ratings: DataFrame) -> DataFrame:
     )
 
 
-def weighted_rating(ratings: DataFrame, prior_votes: float = PRIOR_VOTES) -> DataFrame:
+def weighted_rating(
+    ratings: DataFrame, prior_votes: float = PRIOR_VOTES, mean: float | None = None
+) -> DataFrame:
     """Add ``weighted_rating``: v/(v+m)*R + m/(v+m)*C, with C the mean rating of the table.
 
     C comes from a scalar subquery, i.e. a partial/final aggregate whose single number is put
     into the projection. The rating rows themselves are never shuffled; an unpartitioned window
     would bring all of them into one task. A NULL rating or vote count gives a NULL score and
-    stays out of C.
+    stays out of C. ``mean`` is C where ``ratings`` are only a part of the table.
     """
-    mean = ratings.agg(F.avg("average_rating")).scalar()
-    score = bayes_score(F.col("average_rating"), F.col("num_votes"), mean, prior_votes)
+    whole = ratings.agg(F.avg("average_rating")).scalar() if mean is None else F.lit(mean)
+    score = bayes_score(F.col("average_rating"), F.col("num_votes"), whole, prior_votes)
     return ratings.select("title_id", "average_rating", "num_votes", score.alias("weighted_rating"))

@@ -31,16 +31,18 @@ def category_mart(
     principals: DataFrame,
     names: DataFrame,
     akas: DataFrame,
+    mean: float | None = None,
 ) -> DataFrame:
     """One row per title and genre with rating, crew lists and release regions.
 
-    ``ratings`` are plain ratings; the weighted rating is computed here. The rollups already lie
+    ``ratings`` are plain ratings; the weighted rating is computed here, with ``mean`` where they
+    are only a part of the table. The rollups already lie
     partitioned by title and are put side by side there; the titles join the result once.
     """
     joined = left_join_spread(
         titles,
         "title_id",
-        weighted_rating(ratings),
+        weighted_rating(ratings, mean=mean),
         crew_rollup(principals, names),
         region_rollup(akas),
     )

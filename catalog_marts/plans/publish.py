@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import time
-import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from catalog_marts.sources import SILVER, read_table, remove_folder, write_table
+from catalog_marts.sources import SILVER
 
 from .together import run_together
+from .versions import KEEP, open_version, publish_changes
 
 STATUS_SCHEMA = "table string, rows bigint, ok boolean, seconds double, error string"
-VERSION_SCHEMA = "version string, rows bigint, published double"
 PARALLELISM = 3  # fixed value: tables written at the same time
 
 # Serving tables, small ones first.
@@ -38,32 +38,27 @@ LAYOUT: dict[str, tuple] = {
 }
 
 
-def _publish_one(df: DataFrame, name: str, target: str) -> tuple[int, int, float]:
-    """Write a new version of a table, count it, and record it as the current one if it is whole.
+def _listed(value: str | Sequence[str] | None) -> list[str]:
+    return [value] if isinstance(value, str) else list(value or [])
 
-    Readers keep the earlier version until then, and for good if this one fails.
+
+def _publish_one(df: DataFrame, name: str, target: str, keep: int) -> tuple[int, DataFrame, float]:
+    """Publish the next version of a table. Readers keep the earlier one until it is whole, and for
+    good if this one fails.
     """
-    started, spark = time.monotonic(), df.sparkSession
-    version = f"{target}/{name}/version-{uuid.uuid4().hex}"
-    sent = Observation()
-    partition_by, sort_by = LAYOUT.get(name, (None, None))
-    try:
-        write_table(df, version, partition_by, sort_by, observed=sent)
-        arrived = spark.read.schema(df.schema).parquet(version).count()
-        if arrived == sent.get["rows"]:
-            entry = spark.createDataFrame([(version, arrived, time.time())], VERSION_SCHEMA)
-            entry.coalesce(1).write.mode("append").parquet(f"{target}/{name}/versions")
-    except Exception:
-        remove_folder(spark, version)
-        raise
-    return sent.get["rows"], arrived, time.monotonic() - started
+    started = time.monotonic()
+    partition_by, sort_by = map(_listed, LAYOUT.get(name, (None, None)))
+    parts = publish_changes(df, f"{target}/{name}", partition_by, sort_by, keep)
+    rows = parts.where("action <> 'removed'").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    return rows, parts, time.monotonic() - started
 
 
 def open_published(spark: SparkSession, target: str, name: str, schema: str | None = None) -> DataFrame:
-    """The current version of a published table."""
-    versions = spark.read.schema(VERSION_SCHEMA).parquet(f"{target}/{name}/versions")
-    path = versions.agg(F.max_by("version", "published")).first()[0]
-    return read_table(spark, path, schema)
+    """The current version of a published table; ``schema`` picks and orders its columns."""
+    table = open_version(spark, f"{target}/{name}")
+    if schema is None:
+        return table
+    return table.to(StructType.fromDDL(schema))
 
 
 def publish(
@@ -71,25 +66,26 @@ def publish(
     tables: Mapping[str, DataFrame],
     target: str,
     parallelism: int = PARALLELISM,
+    keep: int = KEEP,
 ) -> DataFrame:
     """Write each table below ``target/<name>``; return one status row per table.
 
     The writes are independent Spark jobs, ``parallelism`` of them at a time. A serving table
-    keeps its partition folders and sort key. Each is written as a new version, which
-    :func:`open_published` finds once its rows have been counted. A failing table does not stop
-    the others: its row has ``ok = false`` and the error, and its earlier version stays current.
-    ``rows`` is what a reader of the new version counts, ``seconds`` the time it took.
+    keeps its partition folders and sort key. Only partitions that differ from the current version
+    are written (:func:`publish_changes`); :func:`open_published` finds the new version once its
+    contents have been compared with what was sent. A failing table does not stop the others: its
+    row has ``ok = false`` and the error, and its earlier version stays current. ``rows`` are those
+    of the new version, ``seconds`` the time it took. The newest ``keep`` versions stay readable.
     """
-    jobs = {name: partial(_publish_one, df, name, target) for name, df in tables.items()}
+    jobs = {name: partial(_publish_one, df, name, target, keep) for name, df in tables.items()}
     done, failures = run_together(spark, jobs, parallelism)
     status = []
     for name in tables:
         if name in failures:
             status.append((name, None, False, None, str(failures[name])))
-            continue
-        sent, arrived, seconds = done[name]
-        error = None if arrived == sent else f"wrote {sent} rows, found {arrived}"
-        status.append((name, arrived, error is None, seconds, error))
+        else:
+            rows, _, seconds = done[name]
+            status.append((name, rows, True, seconds, None))
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from catalog_marts.functions import non_blank, sort_key
 
+from .folders import remove_folder
+
 
 def _as_list(value) -> list:
     if value is None:
@@ -29,6 +31,7 @@ def write_table(
     max_records_per_file: int = 0,
     cluster: str = "range",
     observed: Observation | None = None,
+    only_partitions: bool = False,
 ) -> None:
     """Replace the Parquet table at ``path``; the layout follows the arguments.
 
@@ -49,7 +52,8 @@ def write_table(
         Plain write.
 
     ``n_files`` fixes the number of writing tasks; left out, adaptive execution sizes them.
-    ``observed`` counts the ``rows`` written. Never write to a path that ``df`` itself reads.
+    ``observed`` counts the ``rows`` written. With ``only_partitions`` the partitions that ``df`` has
+    rows of are replaced, the others keep their files. Never write to a path that ``df`` itself reads.
     """
     if cluster not in ("range", "hash"):
         raise ValueError(f"unknown cluster {cluster!r}")
@@ -83,6 +87,8 @@ def write_table(
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if parts:
         writer = writer.partitionBy(*parts)
+    if only_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
@@ -120,11 +126,6 @@ def scratch_scope(spark: SparkSession, label: str = "job") -> Iterator[str]:
         remove_folder(spark, folder)
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder set in ``spark.checkpoint.dir``.
 
