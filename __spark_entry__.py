@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_marts.fixtures import raw_table, silver_table, with_tables, write_dump
 from catalog_marts.operators import (
+    clean_with_rejects,
     crew_rollup,
     dense_rank_spread,
     explode_category,
@@ -133,6 +135,17 @@ def _tsv_roundtrip(spark, sf_dir) -> DataFrame:
     return read_tsv(spark, path)
 
 
+def _rejects(spark, sf_dir) -> DataFrame:
+    """What the cleaned tables could not take in from text dumps, by value."""
+    root, found = scratch_dir(spark, "dirty"), []
+    for name, spec in SILVER.items():
+        write_dump(raw_table(spark, sf_dir, name), f"{root}/{spec.file}")
+        _, bad = clean_with_rejects(spark, f"{root}/{spec.file}", spec)
+        bad = bad.groupBy("column", "raw", "reason").agg(F.count(F.lit(1)).alias("rows"))
+        found.append(bad.withColumn("table", F.lit(name)))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _published(spark, sf_dir) -> DataFrame:
     root = _built(spark, sf_dir)
     register_views(spark, root)
@@ -330,6 +343,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_plain": lambda s, d: _sink(s, d),
         "left_join_hot_key": _hot_join,
         "publish_status": _published,
+        "scan_rejects": _rejects,
         "mart_upkeep": _kept_up,
         "leaderboard_upkeep": _kept_up_cast,
         "key_contracts": lambda s, d: _keys(s, d)[0],
@@ -529,6 +543,24 @@ left join old using (title_type, genres) left join new using (title_type, genres
 left join differs d using (title_type, genres)"""
 
 
+# Values that are no number or no flag; an empty field is none.
+_TYPED = {
+    "titles": {"isAdult": "boolean", "startYear": "int", "endYear": "int", "runtimeMinutes": "int"},
+    "ratings": {"averageRating": "float", "numVotes": "int"},
+    "names": {"birthYear": "int", "deathYear": "int"},
+    "principals": {"ordering": "int"},
+    "akas": {"ordering": "int", "isOriginalTitle": "boolean"},
+}
+_NO_FLAG = "try_cast({c} as int) is null and try_cast({c} as boolean) is null"
+_REJECTS = " union all ".join(
+    f"""select '{table}' as "table", '{c}' as "column", {c} as raw, 'no {kind}' as reason, count(*) as rows
+from raw_{table} where {c} <> '' and {_NO_FLAG.format(c=c) if kind == 'boolean' else f'try_cast({c} as {kind}) is null'}
+group by {c}"""
+    for table, columns in _TYPED.items()
+    for c, kind in columns.items()
+)
+
+
 def _set_to(how: dict[str, str]) -> str:
     return ", ".join(f"{e} as {c}" for c, e in how.items())
 
@@ -616,6 +648,7 @@ with silver as ({with_tables(status)})
 select * from silver
 union all select 'gold_category_wise_movies', (select count(*) from ({mart})), true
 union all select 'gold_top_category_wise_cast', (select count(*) from ({cast})), true""",
+        "scan_rejects": with_tables(_REJECTS),
         "mart_upkeep": _over(_AFTER, f"select * from (with {_SHADOWED}, {_MART.strip()} select * from mart)"),
         "leaderboard_upkeep": _over(
             _AFTER, f"select * from (with {_SHADOWED}, {_CAST.strip()} {_CAST_RANKED.format(source='people')})"
