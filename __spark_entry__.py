@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog_marts.fixtures import raw_table, silver_table, with_tables, write_dump
 from catalog_marts.operators import (
+    build_substring_index,
     clean_with_rejects,
     crew_rollup,
     dense_rank_spread,
@@ -17,6 +18,7 @@ from catalog_marts.operators import (
     left_join_spread,
     rating_totals,
     region_rollup,
+    search_substrings,
     top_n_per_group,
     weighted_rating,
 )
@@ -53,6 +55,7 @@ from catalog_marts.sources import (
 # Report parameters that fit the value ranges of the given tables.
 TYPE, MIN_RATING, MIN_VOTES, TOP_K = "ECONOMY", 4.7, 7000, 100
 TERMS = ("Small", "ring")
+SEARCHED = (*TERMS, "dget", "t G", "W", '" x', "\\", "old widget", "nowhere")
 YEARLY_VOTES, YEARLY_TOP = 5000, 3
 GOLD_VIEW = "gold_category_wise_movies"
 
@@ -270,6 +273,18 @@ def _q4(mart, **options):
     return report.withColumn("rank_in_year", F.col("rank_in_year").cast("bigint"))
 
 
+def _searched(spark, sf_dir, terms) -> DataFrame:
+    """Titles that contain a term, from the substring index."""
+    path = scratch_dir(spark, "substrings")
+    build_substring_index(_silver(spark, sf_dir, "titles")[0], path, "title_id", "primary_title")
+    return search_substrings(spark, path, terms)
+
+
+def _q3_indexed(spark, sf_dir) -> DataFrame:
+    found = _searched(spark, sf_dir, TERMS).select(F.col("key").alias("title_id")).distinct()
+    return _q3(_rated_rows(spark, sf_dir).join(found, "title_id", "left_semi"))
+
+
 def _top_customers(spark, sf_dir):
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     spend = (
@@ -314,6 +329,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_q3": lambda s, d: _q3(_rated_rows(s, d)),
         "report_q3_title_grain": lambda s, d: _q3(_rated_rows(s, d), grain="title"),
         "report_q3_capped": lambda s, d: _q3(_rated_rows(s, d), max_rows=3),
+        "report_q3_indexed": _q3_indexed,
+        "substring_search": lambda s, d: _searched(s, d, SEARCHED),
         "report_q4": lambda s, d: _q4(_rated_rows(s, d)),
         "report_q2_stored": lambda s, d: _q2(_stored_mart(s, d)),
         "report_q3_stored": lambda s, d: _q3(_stored_mart(s, d)),
@@ -438,6 +455,12 @@ select title_type, count(distinct title_id) as match_count,
   round(avg(average_rating), 2) as avg_rating
 from {{mart}} where {_Q3_MATCH} group by title_type"""
 
+_SEARCH = " union all ".join(
+    f"""select '{t}' as term, title_id as key, primary_title as text
+from titles where contains(lower(primary_title), '{t.lower()}')"""
+    for t in SEARCHED
+)
+
 _Q4 = f"""
 select {{columns}} from (
   select *, cast(dense_rank() over (partition by start_year
@@ -604,6 +627,8 @@ def oracle_sql() -> dict[str, str]:
         "report_q3_capped": _over(
             _MART, f"{_Q3.format(mart='mart')} order by match_count desc, title_type limit 3"
         ),
+        "report_q3_indexed": q3,
+        "substring_search": with_tables(_SEARCH),
         "report_q4": _over(_MART, _Q4.format(columns="* exclude (title_id)", mart="mart")),
         "report_q2_stored": q2,
         "report_q3_stored": q3,
