@@ -50,51 +50,79 @@ class MTree:
                 break
         self.root, self.radius = below[0], radii[0]
 
-    def search(self, query: np.ndarray, own: int, k: int, least: float, scores: np.ndarray | None = None):
-        """The ``k`` best (score, id) with a score of at least ``least``; ``query`` without the extra component."""
-        whole = np.append(query, 0.0)
-        square = float(query @ query) + float(self.points[0] @ self.points[0])
-        best: list[tuple[float, int]] = []  # a heap with the worst one first
-        reach = _reach(square, least)
-        distance = float(np.linalg.norm(whole - self.root))
-        heap = [(max(distance - self.radius, 0.0), len(self.levels) - 1, 0, distance)]
-        computed = 0
+    def search(self, query: np.ndarray, own: int, k: int, least: float) -> list[tuple[float, int]]:
+        """The ``k`` best (score, id) of one query."""
+        scores, ids = self.search_all(query[None], np.array([own]), k, np.array([least]))
+        return [(s, i) for s, i in zip(scores[0].tolist(), ids[0].tolist(), strict=True) if s > -np.inf]
+
+    def search_all(self, queries: np.ndarray, own: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of the ``k`` best rows of each query, best first; -inf where there are fewer.
+
+        ``queries`` come without the extra component; results below ``least`` and rows with the id
+        ``own`` are left out. Pages are taken best first over all queries, each with the queries
+        that its bound does not rule out, so a page is compared with all of them at once.
+        """
+        lengths = (queries**2).sum(1)
+        squares = lengths + float(self.points[0] @ self.points[0])
+        slack = np.sqrt(_SLACK * (squares + 1))  # of distances, which come from products
+        scores = np.full((len(queries), k), -np.inf)
+        ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+        least, self.computed, pushed = least.astype(float), 0, 0
+        floor, reach = least.copy(), _reach(squares, least)
+
+        def apart(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+            products = queries[rows] @ centres[:, :-1].T
+            return np.sqrt(np.maximum(lengths[rows][:, None] + (centres**2).sum(1) - 2 * products, 0))
+
+        rows = np.arange(len(queries))
+        distance = apart(rows, self.root[None])[:, 0]
+        bound = np.maximum(distance - slack - self.radius, 0.0)
+        heap = [(bound.min(), 0, len(self.levels) - 1, 0, rows, bound, distance)] if len(queries) else []
         while heap:
-            bound, level, page, to_centre = heapq.heappop(heap)
-            if bound > reach:
-                break
+            _, _, level, page, rows, bound, distance = heapq.heappop(heap)
+            open_ = bound <= reach[rows]
+            if not open_.any():
+                continue
+            rows, distance = rows[open_], distance[open_]
             at = self.levels[level]
-            rows = np.arange(page * PAGE, min((page + 1) * PAGE, len(at["centre"])))
+            entries = np.arange(page * PAGE, min((page + 1) * PAGE, len(at["centre"])))
             # |d(query, parent) - d(entry, parent)| bounds the distance without computing it
-            rows = rows[np.abs(to_centre - at["to_parent"][rows]) - at["radius"][rows] <= reach]
-            computed += len(rows)
+            nearest = np.abs(distance[:, None] - at["to_parent"][entries]) - at["radius"][entries] - slack[rows][:, None]
+            wanted = nearest <= reach[rows][:, None]
+            self.computed += int(wanted.sum())
+            some = wanted.any(0)
+            entries, wanted = entries[some], wanted[:, some]
+            if not len(entries):
+                continue
             if level:
-                apart = np.linalg.norm(at["centre"][rows] - whole, axis=1)
-                nearest = np.maximum(apart - at["radius"][rows], 0.0)
-                for row, low, d in zip(rows.tolist(), nearest.tolist(), apart.tolist(), strict=True):
-                    if low <= reach:
-                        heapq.heappush(heap, (low, level - 1, row, d))
+                d = apart(rows, at["centre"][entries])
+                low = np.maximum(d - slack[rows][:, None] - at["radius"][entries], 0.0)
+                wanted &= low <= reach[rows][:, None]
+                for j, entry in enumerate(entries.tolist()):
+                    own_rows = np.flatnonzero(wanted[:, j])
+                    if len(own_rows):
+                        pushed += 1
+                        bounds = low[own_rows, j]
+                        heapq.heappush(heap, (bounds.min(), pushed, level - 1, entry, rows[own_rows], bounds, d[own_rows, j]))
                 continue
-            score = self.points[rows, :-1] @ query  # integers, exact in double precision
-            some = score >= (max(least, best[0][0]) if len(best) == k else least)
-            for value, id_ in zip(score[some].tolist(), self.ids[rows[some]].tolist(), strict=True):
-                if id_ == own:
-                    continue
-                if len(best) < k:
-                    heapq.heappush(best, (value, -id_))
-                elif (value, -id_) > best[0]:
-                    heapq.heapreplace(best, (value, -id_))
-                if len(best) == k:
-                    reach = _reach(square, max(least, best[0][0]))
-        self.computed = computed
-        return [(value, -id_) for value, id_ in best]
+            score = queries[rows] @ self.points[entries, :-1].T  # integers, exact in double precision
+            wanted &= (score >= floor[rows][:, None]) & (self.ids[entries] != own[rows][:, None])
+            better = np.flatnonzero(wanted.any(1))
+            if not len(better):
+                continue
+            rows, wanted = rows[better], wanted[better]
+            found = np.append(scores[rows], np.where(wanted, score[better], -np.inf), axis=1)
+            names = np.append(ids[rows], np.where(wanted, self.ids[entries], np.iinfo(np.int64).max), axis=1)
+            order = np.lexsort((names, -found), axis=-1)[:, :k]
+            scores[rows], ids[rows] = np.take_along_axis(found, order, 1), np.take_along_axis(names, order, 1)
+            floor[rows] = np.maximum(least[rows], scores[rows, -1])
+            reach[rows] = _reach(squares[rows], floor[rows])
+        return scores, ids
 
 
-def _reach(square: float, score: float) -> float:
+def _reach(square: np.ndarray, score: np.ndarray) -> np.ndarray:
     """The distance of a vector with this score, rounded up."""
-    if score == -np.inf:
-        return np.inf
-    return float(np.sqrt(max(square - 2 * score, 0.0) + _SLACK * abs(square)))
+    return np.sqrt(np.maximum(square - 2 * score, 0.0) + _SLACK * np.abs(square))
 
 
 def _paged(points: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -114,7 +142,7 @@ def _top(k: int):
     def run(batches):
         for table, bounds in whole_groups(batches, ["dim", "pivot", "tree", "part"]):
             asks, ids, least = table["asks"].to_numpy(), table["id"].to_numpy(), table["least"].to_numpy()
-            out = []
+            out = [[np.empty(0, np.int64)] * 3]
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
                 stored, queries = np.flatnonzero(~asks[low:high]), np.flatnonzero(asks[low:high])
                 if not len(stored) or not len(queries):
@@ -124,14 +152,12 @@ def _top(k: int):
                 squares = (points**2).sum(1)
                 points = np.append(points, np.sqrt(squares.max() - squares)[:, None], axis=1)
                 tree = MTree(points, ids[low + stored])
-                for q in queries.tolist():
-                    own = int(ids[low + q])
-                    out += [(own, id_, score) for score, id_ in tree.search(matrix[q], own, k, least[low + q])]
-            rows = np.array(out, np.float64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
-                pa.array(rows[:, 2].astype(np.int64)),
-            ], ["query_id", "vec_id", "score"])
+                own = ids[low + queries]
+                scores, found = tree.search_all(matrix[queries], own, k, least[low + queries])
+                there = scores > -np.inf
+                out.append([np.broadcast_to(own[:, None], scores.shape)[there], found[there], scores[there].astype(np.int64)])
+            columns = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
     return run
 
 
@@ -199,10 +225,10 @@ def top_products(
         size = scratch_copy(regions.select(*group, "trees").join(parts, group), "sizes")
         columns = [*group, "tree", "part", "id", "asks", "least", "vector"]
         held = stored.join(size, group).withColumns({
-            "tree": F.pmod(F.xxhash64("id", F.lit("tree")), F.col("trees")), "asks": F.lit(False), "least": F.lit(0.0),
+            "tree": F.pmod(F.xxhash64("id", "vector", F.lit("tree")), F.col("trees")), "asks": F.lit(False), "least": F.lit(0.0),
         }).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         asked = queries.join(size, group).withColumns({
-            "part": F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts")), "asks": F.lit(True),
+            "part": F.pmod(F.xxhash64("id", "vector", F.lit("part")), F.col("parts")), "asks": F.lit(True),
         }).withColumn("tree", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1)))
         both = clustered(held.select(*columns).unionByName(asked.select(*columns)), [*group, "tree", "part"])
         return both.mapInArrow(_top(k), "query_id long, vec_id long, score long")

@@ -125,3 +125,25 @@ def test_visits_reach_every_neighbour():
 
 def test_no_vectors(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_blocks_of_queries_match_single_ones():
+    random = np.random.default_rng(3)
+    points = np.floor(random.normal(size=(900, 5)) * 8)
+    points[100:140] = points[0]  # ties
+    extra = np.append(points, np.sqrt((points**2).sum(1).max() - (points**2).sum(1))[:, None], axis=1)
+    tree = MTree(extra, random.permutation(900))
+    queries, own = points[::7], np.arange(0, 900, 7)
+    least = np.where(own % 2 == 0, -np.inf, 100.0)
+    scores, ids = tree.search_all(queries, own, 6, least)
+    for q, o, low, s, i in zip(queries, own, least, scores, ids):
+        every = sorted((-float(p[:-1] @ q), int(n)) for p, n in zip(tree.points, tree.ids) if n != o and p[:-1] @ q >= low)[:6]
+        assert [(-a, b) for a, b in zip(s.tolist(), i.tolist()) if a > -np.inf] == every
+        assert sorted(tree.search(q, o, 6, low)) == sorted((-a, b) for a, b in every)
+
+
+def test_repeated_keys_are_separate_rows(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "TREE", 16)
+    rows = [(7, [float(i), 1.0], 0, 0) for i in range(200)] + [(20, [1.0, 0.0], 0, 0)]
+    got = top_products(spark.createDataFrame(rows, SCHEMA), every=20, k=3, scale=1)
+    assert [tuple(r)[1:] for r in got.orderBy("rank").collect()] == [(1, 7, 199), (2, 7, 198), (3, 7, 197)]
