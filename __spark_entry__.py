@@ -37,6 +37,7 @@ from catalog_marts.plans import (
     report_q4,
 )
 from catalog_marts.plans.contracts import RELATIONSHIPS, Relationship
+from catalog_marts.plans.lattice import build_lattice, rating_statistics
 from catalog_marts.plans.leaderboard import build_leaderboard, open_leaderboard, refresh_leaderboard
 from catalog_marts.plans.publish import SERVING_TABLES
 from catalog_marts.plans.upkeep import build_mart, changes_between, open_mart, refresh_mart
@@ -245,6 +246,24 @@ def _q1(spark, sf_dir):
     return report_q1(*_silver(spark, sf_dir, "titles", "ratings"))
 
 
+def _lattice(spark, sf_dir) -> str:
+    path = scratch_dir(spark, "lattice")
+    titles, ratings = _silver(spark, sf_dir, "titles", "ratings")
+    build_lattice(titles.join(ratings, "title_id"), path)
+    return path
+
+
+def _groupings(spark, sf_dir) -> DataFrame:
+    """Every grouping by decade and type, of the years from 1990 on, each from its own level."""
+    path, found = _lattice(spark, sf_dir), []
+    for by in (("decade", "title_type"), ("decade",), ("title_type",), ()):
+        rows = rating_statistics(spark, path, by, between={"decade": (1990, 2020)}, decimals=6)
+        missing = {"decade": F.lit(None).cast("int"), "title_type": F.lit(None).cast("string")}
+        rows = rows.withColumns({d: c for d, c in missing.items() if d not in by})
+        found.append(rows.withColumn("grouping", F.lit("-".join(by))))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _q1_bucketed(spark, sf_dir):
     """The same report on tables bucketed by title, which join without a shuffle."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -325,6 +344,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "report_q1": _q1,
         "report_q1_bucketed": _q1_bucketed,
+        "report_q1_lattice": lambda s, d: rating_statistics(
+            s, _lattice(s, d), ["start_year", "title_type"], between={"start_year": (1980, 2025)}
+        ),
+        "lattice_groupings": _groupings,
         "report_q2": lambda s, d: _q2(_rated_rows(s, d)),
         "report_q3": lambda s, d: _q3(_rated_rows(s, d)),
         "report_q3_title_grain": lambda s, d: _q3(_rated_rows(s, d), grain="title"),
@@ -443,6 +466,16 @@ select start_year, title_type, count(*) as total_titles,
 from {titles} join {ratings} using (title_id)
 where start_year between 1980 and 2025 group by all"""
 
+_GROUPINGS = """
+, rated as (
+  select title_type, cast(floor(start_year / 10) * 10 as int) as decade, average_rating, num_votes
+  from titles join ratings using (title_id)
+  where start_year between 1990 and 2029)
+select case when grouping(decade) + grouping(title_type) = 0 then 'decade-title_type' when grouping(decade) = 0 then 'decade'
+    when grouping(title_type) = 0 then 'title_type' else '' end as "grouping",
+  decade, title_type, count(*) as total_titles, round(avg(average_rating), 6) as avg_rating, max(num_votes) as max_votes
+from rated group by grouping sets ((decade, title_type), (decade), (title_type), ())"""
+
 _Q2 = f"""
 select distinct title_id, primary_title, start_year, average_rating, num_votes from {{mart}}
 where title_type = '{TYPE}' and average_rating >= cast({MIN_RATING} as float)
@@ -617,6 +650,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "report_q1": q1,
         "report_q1_bucketed": q1,
+        "report_q1_lattice": q1,
+        "lattice_groupings": with_tables(_GROUPINGS),
         "report_q2": q2,
         "report_q3": q3,
         "report_q3_title_grain": _over(
