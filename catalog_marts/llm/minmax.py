@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from catalog_marts.llm.components import connected_components
 from catalog_marts.llm.groups import clustered, whole_groups
+from catalog_marts.llm.held import release
 from catalog_marts.llm.sketch import Tally, build_table, places
 from catalog_marts.llm.text import hash_words, mix, pieces, utf8
 from catalog_marts.sources import scratch_copy
@@ -80,6 +81,7 @@ def _signatures(words: int, lower: bool):
     names = ["id", "n", "set1", "set2", "sketch", "bands"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in pieces(batch, "text"):
                 sizes, ones, twos, sketches, keys = [], [], [], [], []
@@ -293,14 +295,16 @@ def near_duplicates(
     links = scratch_copy(links, "links")
     component = connected_components(links)
 
-    members = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    members = scratch_copy(members.drop("_least"), "members")
+    # sketches join again where a band's group is of several components, which few are
+    members = members.drop("_least", "sketch").join(component, "id", "left")
+    members = scratch_copy(members.withColumn("component", F.coalesce("component", "id")), "members")
     shares = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_c"))
     mixed = shares.groupBy("band").agg(
         F.max_by("component", F.struct("_c", "component")).alias("_main"), F.count(F.lit(1)).alias("_comps")
     )
     mixed = scratch_copy(mixed.where("_comps > 1").drop("_comps"), "mixed")
     rest = members.join(mixed, "band").withColumn("minor", F.col("component") != F.col("_main"))
+    rest = rest.join(texts.select(F.col("first").alias("id"), "sketch"), "id")
     group = ["band", "chunk"]
     columns = [*group, "side", "number", "id", "n", "sketch", "component", "minor"]
     large = scratch_copy(rest.where(F.col("_size") > CHUNK), "large-bands")
