@@ -8,6 +8,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalog_marts.sources.writers import scratch_copy
+
 # Output column -> credited categories.
 CREW_ROLES: dict[str, list[str]] = {
     "actors": ["actor", "actress"],
@@ -16,7 +18,7 @@ CREW_ROLES: dict[str, list[str]] = {
 }
 NO_REGION = "Unknown"  # fixed value
 
-_ORDERING_SPAN = 10_000  # billing positions per first-level list
+LARGE_CAST = 10_000  # credits from which a title's lists are put together from pieces
 
 
 def _listed(text: str, order_by: str) -> Column:
@@ -28,6 +30,7 @@ def crew_rollup(
     principals: DataFrame,
     names: DataFrame,
     roles: Mapping[str, Sequence[str]] = CREW_ROLES,
+    large: int = LARGE_CAST,
 ) -> DataFrame:
     """One row per title in ``principals`` with a comma list of names per role.
 
@@ -36,9 +39,10 @@ def crew_rollup(
 
     Only credits in a listed role need a name, so the others skip the join and merely bring
     their title along. The join itself has a plain scan on both sides, which lets adaptive
-    execution split a person with very many credits. The lists are built in two steps, first
-    per title and span of billing positions, then per title: a title with a huge cast is sorted
-    in many tasks, and the last one only strings finished pieces together.
+    execution split a person with very many credits. Titles with more than ``large`` credits are
+    found by a count, which runs when this is called. Theirs are range-partitioned by title, order
+    and name, so that one title's credits lie in many tasks, also without billing positions or with
+    equal ones; each task strings a piece together, and the last one only joins finished pieces.
     """
     listed_categories = sorted(set(chain.from_iterable(roles.values())))
     is_listed = F.col("category").isin(listed_categories)
@@ -57,16 +61,31 @@ def crew_rollup(
         role: F.when(F.col("category").isin(list(cats)), F.col("primary_name"))
         for role, cats in roles.items()
     }
-    span = F.floor(F.col("ordering") / _ORDERING_SPAN)
-    pieces = (
-        credits.select("title_id", "ordering", span.alias("_span"),
-                       *[name.alias(role) for role, name in in_role.items()])
-        .groupBy("title_id", "_span")
-        .agg(*[_listed(f"`{role}`", f"ordering, `{role}`").alias(role) for role in roles])
-    )
-    return pieces.groupBy("title_id").agg(
-        *[F.coalesce(_listed(f"`{role}`", "_span"), F.lit("")).alias(role) for role in roles]
-    )
+    credits = credits.select("title_id", "ordering", "primary_name", *[name.alias(role) for role, name in in_role.items()])
+
+    def lists(rows: DataFrame, by: Sequence[str], order_by: str) -> DataFrame:
+        return rows.groupBy(*by).agg(*[_listed(f"`{role}`", order_by.format(role=role)).alias(role) for role in roles])
+
+    billing = "ordering, `{role}`"
+    counts = principals.groupBy("title_id").agg(F.count(F.lit(1)).alias("_credits"))
+    big = scratch_copy(counts.where(F.col("_credits") > large).select(F.col("title_id").alias("_big")), "large-casts")
+    if big.isEmpty():
+        found = lists(credits, ["title_id"], billing)
+    else:
+        same = F.col("title_id").eqNullSafe(F.col("_big"))
+        found = lists(credits.join(big, same, "left_anti"), ["title_id"], billing)
+        found = found.unionByName(lists(_pieces(credits.join(big, same, "left_semi"), lists, billing), ["title_id"], "_span"))
+    return found.select("title_id", *[F.coalesce(F.col(f"`{role}`"), F.lit("")).alias(role) for role in roles])
+
+
+def _pieces(credits: DataFrame, lists, billing: str) -> DataFrame:
+    """Lists of consecutive credits of a title, numbered by the task that has them. The reading
+    task's number is the last range key, so that equal credits can be split, too.
+    """
+    order = [F.col("title_id"), F.col("ordering").asc_nulls_first(), F.col("primary_name").asc_nulls_first()]
+    placed = credits.withColumn("_task", F.spark_partition_id()).repartitionByRange(*order, F.col("_task"))
+    placed = scratch_copy(placed.withColumn("_span", F.spark_partition_id()).drop("_task"), "credits")
+    return lists(placed, ["title_id", "_span"], billing)
 
 
 def region_rollup(akas: DataFrame, distinct: bool = False) -> DataFrame:

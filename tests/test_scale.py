@@ -462,3 +462,28 @@ def test_same_result_for_any_partitioning(spark, conf, partitions):
     conf(spark__sql__shuffle__partitions=partitions)
     shuffled = {n: df.orderBy(F.rand(7)).repartition(5) for n, df in base.items()}
     assert results(shuffled) == want
+
+
+def test_a_large_cast_lies_in_many_tasks(spark, conf, monkeypatch):
+    """One title with most credits, many of them without a billing position or with the same name."""
+    from catalog_marts.operators import rollups
+
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="2k", spark__sql__adaptive__coalescePartitions__minPartitionSize="1k")
+    spread, pieces = [], rollups._pieces
+
+    def watched(credits, lists, billing):
+        found = pieces(credits, lists, billing)
+        spread.extend(r["n"] for r in found.groupBy("title_id").agg(F.count("*").alias("n")).collect())
+        return found
+
+    monkeypatch.setattr(rollups, "_pieces", watched)
+    rows = [("big", None if i % 2 else i % 40, f"n{i % 7}", "actor" if i % 3 else "director") for i in range(3000)]
+    rows += [(f"t{i}", i, f"n{i % 9}", "actor") for i in range(50)] + [(None, None, "n1", "actor")] * 500 + [("none", 1, "n1", "writer")]
+    principals = spark.createDataFrame(rows, "title_id string, ordering int, name_id string, category string").repartition(6)
+    names = spark.createDataFrame([(f"n{i}", f"Name {i}") for i in range(7)], "name_id string, primary_name string")
+    got = {r["title_id"]: r for r in rollups.crew_rollup(principals, names, large=100).collect()}
+    assert len(spread) == 2 and max(spread) >= 5
+    plain = {r["title_id"]: r for r in rollups.crew_rollup(principals, names).collect()}
+    assert got == plain and len(got) == 53 and got["none"]["actors"] == ""
+    cast = sorted(((-1 if o is None else o), f"Name {n[1:]}") for t, o, n, c in rows if t == "big" and c == "actor")
+    assert got["big"]["actors"] == ",".join(n for _, n in cast)
