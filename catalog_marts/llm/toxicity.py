@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalog_marts.llm.held import release
 from catalog_marts.llm.text import PUNCTUATION, hash_words, pieces, utf8
 
 BITS = 18  # words fall into 2**18 features
 MAX_POSITIVE, MAX_UNLABELLED = 8_000, 16_000  # bounds of the training sample, in texts
+MAX_FEATURES = 16_384  # of a text of the sample
 MIN_Z = 4.0  # a feature is used where its shares in the two samples differ by as many deviations
 MIN_TEXTS = 3  # and where as many texts of the larger share have it
 STEPS, RATE, L2 = 300, 0.05, 2e-4
@@ -103,16 +105,20 @@ def _held_out(key: str, folds: int):
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
     label: str = "toxic", folds: int = 5,
+    max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_features: int = MAX_FEATURES,
 ) -> ToxicModel:
     """Train on rows whose ``crc32(key) % folds`` is not 0; the others are held out.
 
-    Positives: at most ``MAX_POSITIVE`` texts with a label of 1; unlabelled: at most
-    ``MAX_UNLABELLED`` other texts, whatever their label; both are those with the smallest hash
+    Positives: at most ``max_positive`` texts with a label of 1; unlabelled: at most
+    ``max_unlabelled`` other texts, whatever their label; both are those with the smallest hash
     of their key, so reruns agree. The prior is the share of label 1 among all labelled keys
-    that are not held out. The driver receives only the feature numbers of these texts.
+    that are not held out. The driver receives only the feature numbers of these texts, one text
+    per key and at most ``max_features`` of a text (those with the smallest numbers, which are
+    hashes).
 
-    A key with several labels is positive if one of them is 1; null labels and null keys are
-    left out. Without positives, or without any other text, every score is 0.
+    A key with several labels is positive if one of them is 1; of a key with several texts one is
+    taken; null labels and null keys are left out. Without positives, or without any other text,
+    every score is 0.
     """
     marks = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y"))
     marks = marks.where("_k is not null and _y is not null").where(~_held_out("_k", folds))
@@ -121,21 +127,25 @@ def fit_toxicity(
     keys = docs.select(F.col(key).alias("_k")).where("_k is not null").where(~_held_out("_k", folds))
     keys = keys.distinct().join(marks, "_k", "left").select("_k", (F.coalesce("_y", F.lit(0)) == 1).alias("_p"))
     order = F.xxhash64("_k")
-    sample = keys.where("_p").orderBy(order, "_k").limit(MAX_POSITIVE).unionByName(
-        keys.where("not _p").orderBy(order, "_k").limit(MAX_UNLABELLED)
+    sample = keys.where("_p").orderBy(order, "_k").limit(max_positive).unionByName(
+        keys.where("not _p").orderBy(order, "_k").limit(max_unlabelled)
     )
     texts = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
-    texts = texts.join(F.broadcast(sample), "_k").select("_p", "_t")  # bounded by the two limits
+    texts = texts.join(F.broadcast(sample), "_k").select("_k", "_p", "_t")  # bounded by the two limits
 
     def listed(batches):
+        release()
         for batch in batches:
             for part in pieces(batch, "_t"):
                 row, feature = features(part.column("_t"))
                 ends = np.searchsorted(row, np.arange(len(part) + 1))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("_p"), lists], ["_p", "_f"])
+                yield pa.RecordBatch.from_arrays([part.column("_k"), part.column("_p"), lists], ["_k", "_p", "_f"])
 
-    found = texts.mapInArrow(listed, "_p boolean, _f array<int>").toArrow()
+    kind = texts.schema["_k"].dataType.simpleString()
+    found = texts.mapInArrow(listed, f"_k {kind}, _p boolean, _f array<int>")
+    found = found.select("_k", "_p", F.slice("_f", 1, max_features).alias("_f"))
+    found = found.groupBy("_k").agg(F.max("_p").alias("_p"), F.min("_f").alias("_f")).drop("_k").toArrow()
     split = {True: [], False: []}
     for positive, numbers in zip(found["_p"].to_pylist(), found["_f"], strict=True):
         split[positive].append(numbers.values.to_numpy())
@@ -151,6 +161,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text", out:
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     def score(column: pa.Array) -> pa.Array:
+        release()
         weights, bias = shared.value
         wanted = weights != 0
         scores = []

@@ -103,3 +103,15 @@ def test_hidden_positives_are_discounted():
     score = lambda x: model.weights[x].sum() + model.bias
     assert np.mean([score(x) > 0 for x in unique(toxic[100:])]) > 0.95
     assert np.mean([score(x) > 0 for x in unique(clean)]) < 0.02
+
+
+def test_a_key_with_many_rows_counts_once(spark, monkeypatch):
+    """What the driver collects is bounded in texts and in features, whatever the rows of a key."""
+    from catalog_marts.llm import toxicity
+
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda positive, unlabelled, prior: seen.update(p=positive, u=unlabelled) or toxicity.ToxicModel(np.zeros(1 << toxicity.BITS), 0.0, prior))
+    docs = spark.createDataFrame([(1, f"bad word{i}") for i in range(300)] + [(k, f"fine text {k} and more") for k in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    toxicity.fit_toxicity(docs, labels, folds=1000, max_unlabelled=5, max_features=3)
+    assert len(seen["p"]) <= 1 and len(seen["u"]) == 5 and max(map(len, seen["u"])) <= 3
