@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from catalog_marts.llm.held import held
 from catalog_marts.llm.segments import cut_at_spaces, gathered, large_strings
 from catalog_marts.llm.text import pieces, utf8
 from catalog_marts.sources import scratch_copy
@@ -187,15 +188,8 @@ def _lowered(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return low, offsets
 
 
-_words: dict[int, _Words] = {}  # the last vocabulary used in this worker process
-
-
 def _encoder(vocabulary: str) -> _Words:
-    key = hash(vocabulary)
-    if key not in _words:
-        _words.clear()
-        _words[key] = _Words(Tokenizer.from_str(vocabulary))
-    return _words[key]
+    return held(("packing", hash(vocabulary)), lambda: _Words(Tokenizer.from_str(vocabulary)))
 
 
 def _cut(docs: DataFrame, vocabulary: str, capacity: int, end: int, key: str, text: str, keep_ids: bool) -> DataFrame:
