@@ -392,6 +392,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_partitioned_roundtrip": _stored_mart,
         "sink_cast_roundtrip": _stored_cast,
         "sink_fixed_files": lambda s, d: _sink(s, d, sort_by="title_id", n_files=3),
+        "sink_curve_clustered": lambda s, d: _sink(s, d, sort_by=["title_id", "name_id", "category"], cluster="curve"),
         "sink_partitioned_unsorted": lambda s, d: _sink(s, d, partition_by="category"),
         "sink_plain": lambda s, d: _sink(s, d),
         "left_join_hot_key": _hot_join,
@@ -734,6 +735,7 @@ union all select 'gold_top_category_wise_cast', (select count(*) from ({cast})),
         "publish_changed_parts": _over(_CHANGED, _CHANGED_PARTS),
         "publish_changed_table": _over(_CHANGED, "select * from after"),
         "sink_fixed_files": with_tables("select * from principals"),
+        "sink_curve_clustered": with_tables("select * from principals"),
         "sink_partitioned_unsorted": with_tables(
             "select * replace (coalesce(nullif(trim(category), ''), 'unknown') as category) "
             "from principals"

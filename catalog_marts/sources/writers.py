@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from catalog_marts.functions import non_blank, sort_key
 
+from .curve import curve_position
 from .folders import remove_folder
 
 
@@ -42,7 +43,9 @@ def write_table(
         over several files. It is stable when a lost task is run again, which a random number
         would not be. Finding the ranges costs a first pass over the input; ``cluster="hash"``
         does without: rows of one value of the first key still lie together, sorted, in files
-        of even size, but every file covers the whole key range.
+        of even size, but every file covers the whole key range. ``cluster="curve"`` sorts by
+        :func:`curve_position` instead, so that files cover small ranges of every key, and filters
+        on the second or third skip files, too; keys are ascending then.
     ``partition_by``
         A rebalance by the partition columns: adaptive execution splits an oversized partition
         value over several tasks and packs small ones together. The local sort leads with the
@@ -55,9 +58,13 @@ def write_table(
     ``observed`` counts the ``rows`` written. With ``only_partitions`` the partitions that ``df`` has
     rows of are replaced, the others keep their files. Never write to a path that ``df`` itself reads.
     """
-    if cluster not in ("range", "hash"):
+    if cluster not in ("range", "hash", "curve"):
         raise ValueError(f"unknown cluster {cluster!r}")
     parts, order = _as_list(partition_by), _as_list(sort_by)
+    if cluster == "curve":
+        if parts or any(" " in k.strip() for k in order):
+            raise ValueError("a curve takes ascending keys and no partition columns")
+        df, order = df.withColumn("_curve", curve_position(df, order)), ["_curve", *order]
     keys = [sort_key(k) for k in order]
     count = [n_files] if n_files else []
     types = dict(df.dtypes)
@@ -75,7 +82,7 @@ def write_table(
             df.withColumn("_task", F.spark_partition_id())
             .repartitionByRange(*count, *keys, F.col("_task"))
             .sortWithinPartitions(*keys)
-            .drop("_task")
+            .drop("_task", "_curve")
         )
     elif count:
         df = df.repartition(n_files)
