@@ -19,9 +19,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from catalog_marts.llm.held import held
+
 KEEP_PIECES, KEEP_BYTES, KEEP_PAIRS = 400_000, 64, 2_000_000  # bounds of a worker's caches
 LONG_TEXT = 1 << 20  # characters from which a text is split step by step
 STEP = 100_000  # pieces of a long text at a time
+ROWS = 512  # texts that a task holds the ids and bytes of
 
 
 class Vocabulary:
@@ -169,38 +172,38 @@ class Encoder(dict):
         return b"".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
 
 
-_encoders: dict[tuple[int, str], Encoder] = {}  # the last one used in this worker process
-
-
 def _encoder(rank_file: bytes, pattern: str) -> Encoder:
-    key = (hash(rank_file), pattern)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(Vocabulary(rank_file), pattern)
-    return _encoders[key]
+    return held(("bpe", hash(rank_file), pattern), lambda: Encoder(Vocabulary(rank_file), pattern))
 
 
-def _mapped(df: DataFrame, key: str, column: str, out: str, rank_file, pattern: str, what: str) -> DataFrame:
+def _mapped(df: DataFrame, key: str, column: str, outs: dict[str, str], rank_file, pattern: str) -> DataFrame:
+    """``key`` and a binary column per entry of ``outs``, whose methods are applied one after the other."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = getattr(_encoder(rank_file.value, pattern), what)
+        encoder = _encoder(rank_file.value, pattern)
+        works = [getattr(encoder, what) for what in outs.values()]
         for batch in batches:
-            values = pa.array((work(x.as_py()) for x in batch.column(1)), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], [key, out])
+            for part in (batch.slice(low, ROWS) for low in range(0, batch.num_rows, ROWS)):
+                values, columns = part.column(1).to_pylist(), [part.column(0)]
+                for work in works:
+                    values = [work(x) for x in values]
+                    columns.append(pa.array(values, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, [key, *outs])
 
-    return df.select(key, column).mapInArrow(run, f"`{key}` {kind}, `{out}` binary")
+    return df.select(key, column).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"`{out}` binary" for out in outs))
 
 
 def bpe_encode(
-    docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text", decoded: bool = False
 ) -> DataFrame:
     """Token ids of every whole text.
 
     ``ranks`` is the path of a rank file that the driver can read (the vocabulary, about 1 MB,
     goes to the executors), ``pattern`` splits a text into the pieces that are encoded one by
-    one. Returns ``key`` and ``ids``, binary: unsigned 32-bit integers, little-endian. Special
-    tokens have no meaning: their strings are ordinary text.
+    one. Returns ``key`` and ``ids``, binary: unsigned 32-bit integers, little-endian. With
+    ``decoded`` the ids are decoded again by the same task, and their bytes come out as
+    ``decoded``. Special tokens have no meaning: their strings are ordinary text.
 
     Null and empty texts have no ids (an empty value). Rows are independent: a null key is kept,
     repeated rows come out as often as they went in, other columns are ignored whatever their
@@ -208,11 +211,12 @@ def bpe_encode(
     """
     with open(ranks, "rb") as f:
         rank_file = docs.sparkSession.sparkContext.broadcast(f.read())
-    return _mapped(docs, key, text, "ids", rank_file, pattern, "encode")
+    outs = {"ids": "encode", "decoded": "decode"} if decoded else {"ids": "encode"}
+    return _mapped(docs, key, text, outs, rank_file, pattern)
 
 
 def bpe_decode(encoded: DataFrame, ranks: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """The bytes that ``ids`` stand for: ``key`` and ``decoded``, binary. Null ids: no bytes."""
     with open(ranks, "rb") as f:
         rank_file = encoded.sparkSession.sparkContext.broadcast(f.read())
-    return _mapped(encoded, key, "ids", "decoded", rank_file, pattern, "decode")
+    return _mapped(encoded, key, "ids", {"decoded": "decode"}, rank_file, pattern)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_marts.llm.alignment import align_tokenizers
-from catalog_marts.llm.bpe import bpe_decode, bpe_encode
+from catalog_marts.llm.bpe import bpe_encode
 from catalog_marts.llm.chat import link_calls
 from catalog_marts.llm.curriculum import mix_sources
 from catalog_marts.llm.divergence import source_divergence
@@ -141,20 +141,21 @@ select page_id, cast(bytes as bigint) as payload_bytes, code as payload_digest,
 from coded"""
 
 
-def token_digest(encoded: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """Number of ids, digests of the ids and of the bytes that they decode to."""
-    digest = F.struct(
+def token_digest(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """Number of ids of every text, digests of the ids and of the bytes that they decode to.
+
+    One task encodes and decodes: two Python steps in a row would take a worker each.
+    """
+    return bpe_encode(docs, ranks, pattern, decoded=True).select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe_decode(encoded.select(digest.alias("row"), "ids"), ranks, pattern, "row")
-    return decoded.select("row.*", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents")
-    return token_digest(bpe_encode(docs, RANKS, public_tokenizers.PATTERN))
+    return token_digest(_read(spark, sf_dir, "documents"))
 
 
 def op7_multi_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

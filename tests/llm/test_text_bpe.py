@@ -89,6 +89,8 @@ def test_rows_nulls_and_extra_columns(spark, reference):
     coded = bpe_encode(docs, RANKS, public_tokenizers.PATTERN)
     got = sorted((r["doc_id"] or 0, np.frombuffer(r["ids"], "<u4").tolist()) for r in coded.collect())
     assert got == sorted((k or 0, reference.encode_ordinary(t or "")) for k, t, _ in rows)
+    both = bpe_encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True).collect()
+    assert sorted((r["doc_id"] or 0, bytes(r["decoded"]).decode()) for r in both) == sorted((k or 0, t or "") for k, t, _ in rows)
     back = sorted((r["doc_id"] or 0, bytes(r["decoded"]).decode()) for r in bpe_decode(coded, RANKS, public_tokenizers.PATTERN).collect())
     assert back == sorted((k or 0, t or "") for k, t, _ in rows)
     assert bpe_encode(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
