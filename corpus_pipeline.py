@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_marts.llm.bpe import bpe_encode
 from catalog_marts.llm.curriculum import mix_sources, training_order
 from catalog_marts.llm.lines import deduplicate_lines
 from catalog_marts.llm.minmax import near_duplicates
-from catalog_marts.llm.queries import RANKS, token_digest
+from catalog_marts.llm.queries import token_digest
 from catalog_marts.llm.toxicity import fit_toxicity, score_toxicity
 from catalog_marts.sources import scratch_copy
 
@@ -34,34 +32,45 @@ def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*COLUMNS)
 
 
+def _content() -> Column:
+    """Hash of all columns of a row; NULLs count as such."""
+    return F.xxhash64(*COLUMNS, *(F.col(c).isNull() for c in COLUMNS))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: similarity 0.8 or more of five-word shingles."""
-    groups = near_duplicates(docs, words=5, percent=80).where("kept").select("doc_id").distinct()
-    kept = docs.join(groups.where("doc_id is not null"), "doc_id", "left_semi")
-    return kept.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    """One document of each group of near-duplicates: similarity 0.8 or more of five-word shingles.
+
+    A row without an id is a document of its own, which a hash of the row names; these stay only
+    where no row with an id is in their group. Of rows that repeat an id, with whatever texts, one
+    stays, that with the smallest hash.
+    """
+    unnamed = F.xxhash64(F.lit("row"), _content()).bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
+    named = docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("_id"))
+    groups = near_duplicates(named, key="_id", words=5, percent=80).where("kept").select("_id").distinct()
+    kept = named.join(scratch_copy(groups, "kept"), "_id", "left_semi")
+    several = named.groupBy("_id").count().where("count > 1").select("_id")
+    several = scratch_copy(several, "several")
+    once = kept.join(several, "_id", "left_anti").select(*COLUMNS)
+    one = kept.join(several, "_id", "left_semi").groupBy("_id").agg(F.min_by(F.struct(*COLUMNS), _content()).alias("_one"))
+    return once.unionByName(one.select("_one.*"))
 
 
 def in_training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per use of a document in the mix of sources, in training order.
 
-    Documents are used whole, up to three times; those that the mix has no use for go. Rows that
-    repeat an id are documents of their own, named by their hash; equal rows are numbered, and only
-    these share a window.
+    Documents are used whole, up to three times; those that the mix has no use for go. Every row
+    is a document, named by its id and a hash of the row; equal rows are used one by one. The
+    files are written in training order.
     """
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        others = [c for c in COLUMNS if c != "doc_id"]
-        docs = docs.withColumn("_row", F.xxhash64(*others, *(F.col(c).isNull() for c in others)))
-        equal = Window.partitionBy("doc_id", "_row").orderBy("_row")
-        name = F.concat_ws(":", name, F.hex("_row"), F.row_number().over(equal).cast("string"))
+    name = F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(_content()))
     docs = docs.select(*COLUMNS, name.alias("_use"))
     uses = training_order(mix_sources(docs, key="_use", whole=True)).withColumnRenamed("doc_id", "_use")
-    return uses.join(docs, "_use").orderBy("position", "_use").select(*COLUMNS)
+    return uses.join(docs.dropDuplicates(["_use"]), "_use").orderBy("position", "_use").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token digests of every row."""
-    return token_digest(bpe_encode(docs, RANKS, public_tokenizers.PATTERN))
+    return token_digest(docs)
 
 
 STAGES: list[tuple[str, Callable]] = [

@@ -74,29 +74,40 @@ def test_stages(spark):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == coded
 
 
-def test_rows_of_an_id_are_numbered_without_sorting_texts(spark, monkeypatch):
-    rows = [(1, f"text {k % 3}", "en", None if k % 2 else "s", 6) for k in range(12)] + [(None, "other", "en", "s", 5)] * 2
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    seen = []
-
-    def taken(docs, **_):
-        seen.append(docs)
-        raise InterruptedError
-
-    monkeypatch.setattr(corpus_pipeline, "mix_sources", taken)
-    with pytest.raises(InterruptedError):
-        corpus_pipeline.in_training_order(spark, docs, SF)
-    [named] = seen
-    windows = [x for x in named._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
-    assert windows and not any("text#" in x for x in windows)
-    uses = [r["_use"] for r in named.collect()]
-    assert len(set(uses)) == len(rows)
-    assert sorted(uses) == sorted(r["_use"] for r in named.repartition(3).collect())
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_uses_of_repeated_ids_and_equal_rows(spark):
+    rows = [(1, f"text {k % 3} of many", "en", "s", 6) for k in range(12)] + [(None, "other words", "en", "s", 5)] * 3
+    docs = spark.createDataFrame(rows, SCHEMA)
+    used = sorted(map(tuple, corpus_pipeline.in_training_order(spark, docs, SF).collect()), key=repr)
+    assert used == sorted(rows, key=repr)  # one source, so each row is used once
+    again = corpus_pipeline.in_training_order(spark, docs.repartition(5), SF)
+    assert sorted(map(tuple, again.collect()), key=repr) == used
+
+
+def test_a_repeated_id_does_not_rename_the_others(spark):
+    """The order of the mix depends on the rows themselves, not on whether some id is repeated."""
+    rows = [(k, f"word {k} and some more", "en", None if k % 2 else "s", 20) for k in range(40)]
+    order = lambda rows: [r["doc_id"] for r in corpus_pipeline.in_training_order(spark, spark.createDataFrame(rows, SCHEMA), SF).collect()]
+    first = [i for i in order(rows) if i != 7]
+    assert [i for i in order([*rows, (7, "", "en", "s", 0)]) if i != 7] == first  # a text without words
+
+
+def test_one_stays_of_rows_that_repeat_an_id_or_have_none(spark):
+    text = "one two three four five six seven eight"
+    rows = [(None, text, "en", "s", 1), (None, text, "en", "t", 1), (5, text, "en", "s", 1), (5, text, "en", "s", 1), (9, text, "en", "s", 1)]
+    rows += [(None, "quite other words stand in here", "en", "s", 1)] * 2 + [(7, None, "en", "s", 1), (7, "", "en", "s", 1), (None, None, "en", "s", 1)]
+    kept = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), SF)
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert [t for i, t in got if t == text] == [text] and (5, text) in got
+    assert got.count((None, "quite other words stand in here")) == 1
+    assert sum(i == 7 for i, _ in got) == 1 and (None, None) in got and len(got) == 4
 
 
 def test_rows_that_repeat_an_id_or_have_none(spark):
     rows = [(1, f"one two three {k}", "en", "s", 15) for k in range(4)] + [(None, "other words here", "en", None, 16), (2, None, "en", "s", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.createDataFrame(rows, SCHEMA)
     for name, stage in corpus_pipeline.STAGES:
         docs = scratch_copy(stage(spark, docs, SF), name)
     assert docs.where("doc_id is null").count() >= 1
