@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,8 +23,14 @@ CHUNK = 10_000  # calls of a conversation that one task levels at a time
 
 
 def canonical(value) -> str:
-    """JSON text with sorted keys and without blanks; whole numbers have no fraction."""
-    return json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """JSON text with sorted keys and without blanks; whole numbers have no fraction and no exponent,
+    half a surrogate pair is escaped, as it is no character.
+    """
+    return _storable(json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def _storable(text: str) -> str:
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m.group()):04x}", text)
 
 
 def _plain(value):
@@ -31,7 +38,7 @@ def _plain(value):
         return {k: _plain(v) for k, v in value.items()}
     if isinstance(value, list):
         return [_plain(v) for v in value]
-    if isinstance(value, float) and value.is_integer() and abs(value) < 1e21:
+    if isinstance(value, float) and value.is_integer():
         return int(value)
     return value
 
@@ -96,7 +103,7 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     if kinds and not any(_KINDS[k](value) for k in kinds):
         return [f"{at}: not {' or '.join(kinds)}"]
     found = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):  # true is not 1
         found.append(f"{at}: not in enum")
     if _KINDS["number"](value):
         if value < schema.get("minimum", -math.inf):
@@ -136,7 +143,7 @@ def _checked(ids: pa.Array, names: pa.Array, arguments: pa.Array, results: pa.Ar
             out.append({"errors": ["$: not JSON"], "record": None})
             continue
         schema = schemas.get(name)
-        errors = ["$: unknown tool"] if schema is None else violations(value, schema)
+        errors = ["$: unknown tool"] if schema is None else [_storable(e) for e in violations(value, schema)]
         out.append({"errors": errors, "record": canonical({"arguments": value, "id": call, "name": name, "result": result})})
     return pa.array(out, pa.struct([("errors", pa.list_(pa.string())), ("record", pa.string())]))
 
@@ -194,7 +201,7 @@ def call_levels(calls: DataFrame) -> DataFrame:
     calls = calls.groupBy("conv", "id").agg(
         F.min("position").alias("position"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("refs")))).alias("refs")
     )
-    calls = calls.withColumn("bucket", F.floor(F.col("position") / CHUNK))
+    calls = calls.withColumn("bucket", F.coalesce(F.floor(F.col("position") / CHUNK), F.lit(-1)))
     sizes = calls.groupBy("conv", "bucket").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("_n"))
     calls = calls.join(sizes, ["conv", "bucket"])
     calls = scratch_copy(calls.select(

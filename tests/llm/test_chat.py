@@ -86,3 +86,18 @@ def test_long_conversation_in_chunks(spark, monkeypatch):
     levels = call_levels(spark.createDataFrame(rows, "conv long, id string, position long, refs array<string>"))
     got = {r["id"]: r["level"] for r in levels.collect()}
     assert got == {f"c{i}": i for i in range(n)} | {f"d{i}": i + 1 for i in range(20)}
+
+
+def test_one_form_for_numbers_and_odd_strings():
+    assert canonical(parse("1e21")) == canonical(parse("1" + "0" * 21)) == "1" + "0" * 21
+    assert canonical(parse('{"q":"\\ud800x"}')) == '{"q":"\\ud800x"}'
+    assert canonical(parse('"\\ud83d\\ude00"')) == '"😀"'
+    assert violations(True, {"enum": [1]}) and not violations(1.0, {"enum": [1]}) and not violations(True, {"enum": [True]})
+
+
+def test_half_a_surrogate_pair_and_null_positions(spark):
+    calls = spark.createDataFrame([(1, "a", None, "f", None, '{"a":1}', 0), (1, "b", 3, "f", ["a"], '{"\\ud800":1}', 0), (1, "c", None, "f", ["b"], '{"a":2}', 0)], CALL)
+    got = {r["id"]: r for r in link_calls(calls, spark.createDataFrame([], RESULT), SCHEMAS).collect()}
+    assert {i: r["level"] for i, r in got.items()} == {"a": 0, "b": 1, "c": 2}
+    assert got["a"]["status"] == got["c"]["status"] == "no result" and got["b"]["status"] == "invalid"
+    assert "\\ud800" in got["b"]["record"]
