@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from catalog_marts.llm.groups import clustered, whole_groups
-from catalog_marts.llm.held import held
 from catalog_marts.llm.segments import Segments, cut_at_spaces, gathered
 from catalog_marts.llm.text import mix, pieces, utf8
 from catalog_marts.sources import scratch_copy
@@ -102,8 +101,15 @@ class Pair:
         self.written = Bytes.of([x.encode() for x in marks])  # ids as they stand in a group's text
 
 
+_loaded: dict[int, Pair] = {}  # the last vocabularies used in this worker process
+
+
 def _pair(first: str, second: bytes) -> Pair:
-    return held(("alignment", hash((first, second))), lambda: Pair(first, second))
+    key = hash((first, second))
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = Pair(first, second)
+    return _loaded[key]
 
 
 def _unjoined(parts: Segments) -> tuple[list[str], np.ndarray, np.ndarray]:
