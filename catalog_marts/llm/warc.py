@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 
 from catalog_marts.sources import scratch_copy
 
-MAGIC = "WARC/1.1\r\n"
+MARK = "WARC/1."  # of every record; files are split at it
+VERSIONS = (b"0\r\n", b"1\r\n")  # what ends the version line
 END = "\r\n\r\n"  # of a header, and of a record
 RECORD_URN = "urn:x-record:"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed values of RFC 4648
@@ -79,7 +80,7 @@ def write_warc(
     urn = lambda c: F.concat(F.lit(f"<{RECORD_URN}"), c, F.lit(">\r\n"))
     target = F.regexp_replace(F.regexp_replace("_url", "\r", "%0D"), "\n", "%0A")
     record = F.concat(
-        F.lit(MAGIC),
+        F.lit("WARC/1.1\r\n"),
         F.when(revisit, F.lit("WARC-Type: revisit\r\n")).otherwise(F.lit("WARC-Type: response\r\n")),
         F.lit("WARC-Record-ID: "), urn(F.coalesce("_key", F.lit("null"))),
         F.lit(f"WARC-Date: {date}\r\n"),
@@ -123,14 +124,16 @@ def _record_id(value: bytes | None) -> str | None:
 
 
 def parse_record(piece: bytes) -> dict:
-    """Fields of the record whose version line stood before ``piece``; the payload may be cut."""
-    head, blank, rest = piece.partition(END.encode())
+    """Fields of the record of whose version line ``piece`` is the end; the payload may be cut."""
+    if piece[:3] not in VERSIONS:
+        return {}
+    head, blank, rest = piece[3:].partition(END.encode())
     fields = _fields(head)
     length = fields.get(b"content-length", b"")
     if not blank or not length.isdigit() or len(length) > 15:
         return {}
     record = {
-        "length": len(MAGIC) + len(head) + 2 * len(END) + int(length),
+        "length": len(MARK) + 3 + len(head) + 2 * len(END) + int(length),
         "record_type": fields.get(b"warc-type", b"").decode("utf-8", "replace"),
         "record_id": _record_id(fields.get(b"warc-record-id")),
         "refers_to": _record_id(fields.get(b"warc-refers-to")),
@@ -153,8 +156,8 @@ def parse_record(piece: bytes) -> dict:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The bytes between version lines, in file order within a split."""
-    text = spark.read.option("lineSep", MAGIC).text(path)
+    """The bytes between the marks of records, in file order within a split."""
+    text = spark.read.option("lineSep", MARK).text(path)
     return text.select(
         F.col("value").cast("binary").alias("value"),
         F.col("_metadata.file_path").alias("file"),
@@ -169,17 +172,19 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int
         files, blocks = batch.column("file").to_pylist(), batch.column("block").to_pylist()
         for file, block, value in zip(files, blocks, batch.column("value"), strict=True):
             if (file, block) != split:
-                split, at = (file, block), -len(MAGIC) if block == 0 else 0
+                split, at = (file, block), -len(MARK) if block == 0 else 0
             piece = value.as_py()
+            if block == 0 and (at < 0 < len(piece) or at == 0 and piece[:3] not in VERSIONS):
+                raise ValueError(f"{file} does not begin as a WARC/1.0 or WARC/1.1 file")
             yield file, block, at, piece
-            at += len(MAGIC) + len(piece)
+            at += len(MARK) + len(piece)
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([(f.name, pa.int64() if isinstance(f.dataType, T.LongType) else pa.string()) for f in _CANDIDATE])
     rows: list[dict] = []
     for file, block, at, piece in _numbered(batches):
-        row = {"file": file, "block": block, "at": at, "size": len(MAGIC) + len(piece)}
+        row = {"file": file, "block": block, "at": at, "size": len(MARK) + len(piece)}
         rows.append(row | (parse_record(piece) if at >= 0 else {}))
         rows[-1].pop("payload", None)
         if len(rows) == 10_000:
@@ -242,14 +247,15 @@ def _chain(candidates: DataFrame) -> DataFrame:
 
 
 def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
-    """Records of uncompressed WARC files, whatever their payloads contain.
+    """Records of uncompressed WARC files of version 1.0 or 1.1, whatever their payloads contain.
 
     Returns ``file``, ``offset``, ``record_type``, ``record_id`` and ``refers_to`` (without the
     URN prefix that :func:`write_warc` gives them), ``url``, ``payload_bytes``,
     ``payload_digest`` (SHA-1 in base32, computed from the payload read; of a revisit record the
     stated one), ``intact`` (the stated digest is missing or right) and, if asked for,
     ``payload``. A header without its blank line or without a length ends the chain of its file:
-    what follows isn't reachable and isn't returned. Empty files have no records.
+    what follows isn't reachable and isn't returned. Empty files have no records; any other file
+    that does not begin with a version line is an error.
 
     A record that holds version lines in its payload lies in several pieces; these are gathered
     for the digest, and are the only payloads that move between tasks unless ``payload`` is set.
@@ -288,7 +294,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
 
     @F.udf("payload binary, payload_bytes long, payload_digest string")
     def joined(pieces):
-        record = parse_record(MAGIC.encode().join(bytes(p["value"]) for p in sorted(pieces, key=lambda p: p["piece"])))
+        record = parse_record(MARK.encode().join(bytes(p["value"]) for p in sorted(pieces, key=lambda p: p["piece"])))
         return record["payload"], record["payload_bytes"], record["payload_digest"]
 
     out = ["file", "offset", "record_type", "record_id", "refers_to", "url", "payload_bytes", "payload_digest"]

@@ -54,6 +54,23 @@ def test_small_payloads_and_empty_table(spark):
     assert read_warc(spark, path).count() == 0
 
 
+def warc_file(folder, name, data):
+    (folder / name).write_bytes(data)
+    return str(folder / name)
+
+
+def test_both_versions_and_other_files(spark, tmp_path):
+    body = b"WARC/1.0\r\nx WARC/1.7 WARC/1."
+    record = lambda v, i: b"WARC/1.%d\r\nWARC-Type: resource\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (v, i, len(body), body)
+    path = warc_file(tmp_path, "a.warc", record(0, 1) + record(1, 2) + record(0, 3))
+    got = read_warc(spark, path, payload=True).collect()
+    assert sorted((r["record_id"], bytes(r["payload"])) for r in got) == [(str(i), body) for i in (1, 2, 3)]
+    for data in (b"junk" + record(0, 1), b"WARC/1.2\r\n" + record(0, 1)[10:], b"\x1f\x8b zipped"):
+        with pytest.raises(Exception, match="does not begin as a WARC"):
+            read_warc(spark, warc_file(tmp_path, "b.warc", data)).collect()
+    assert read_warc(spark, warc_file(tmp_path, "c.warc", b"")).count() == 0
+
+
 def texts(spark, n=400, seed=1):
     pick = random.Random(seed)
     rows, labels = [], []
