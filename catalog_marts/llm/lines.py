@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_marts.llm.groups import clustered, whole_groups
+from catalog_marts.llm.held import release
+from catalog_marts.llm.segments import gathered
 from catalog_marts.llm.sketch import Tally, build_table, decoded, places
 from catalog_marts.llm.text import hash_words, mix, pieces, utf8
 from catalog_marts.sources import scratch_copy
 
 BITS = 24  # of the table of word counts: 16 MB
-PACK = 8 << 20  # bytes of text whose postings are packed together
+PACK = 4 << 20  # bytes of text whose postings are packed together
 MARK_BITS = 24  # of the tables that mark lines and words to look at again: 16 MB
 
 
@@ -131,6 +133,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(f.name) if f.name in names else pa.nulls(len(batch), f.type) for f in _SURVEY], schema=_SURVEY
         )
 
+    release()
     tally = Tally(BITS)
     for lines in _batches(batches):
         tally.add(places(lines.words, BITS))
@@ -203,6 +206,7 @@ def _postings(
 
     ``again``: marks of the lines that look for all candidates, and of their words.
     """
+    release()
     table = table.value
     again = again and again.value
     for batch in (part for batch in batches for part in pieces(batch, "text", PACK)):
@@ -413,6 +417,17 @@ def _meetings(
         yield pa.RecordBatch.from_arrays([pa.array(part[low]), pa.array(packed, pa.binary())], ["part", "lines"])
 
 
+_AT_ONCE = 500_000  # words of pairs compared at a time
+
+
+def _common(words: np.ndarray, begin: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many words the sets of each pair share: keys of pair and word that occur twice."""
+    size = int(words.max()) + 1 if len(words) else 1
+    keys = [np.repeat(np.arange(len(r)), n[r]) * size + words[gathered(begin[r], n[r])] for r in (a, b)]
+    keys = np.sort(np.concatenate(keys))
+    return np.bincount(keys[1:][keys[1:] == keys[:-1]] // size, minlength=len(a))
+
+
 def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The asking lines that a line before them in their group is similar to."""
     for table, _ in whole_groups(batches, ["part"]):
@@ -423,6 +438,7 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
             heads.append(np.frombuffer(data, np.int64, 8 * rows, 8).reshape(8, rows))
             sets.append(np.frombuffer(data, np.uint64, -1, 8 + 64 * rows))
         head, words = np.concatenate(heads, axis=1), np.concatenate(sets)
+        words = np.unique(words, return_inverse=True)[1]  # small numbers, for keys of pair and word
         ends = np.cumsum(head[6])
         by = np.lexsort((head[4], head[3], head[2], head[6], head[1], head[0]))
         head, begin = head[:, by], (ends - head[6])[by]
@@ -440,10 +456,10 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
             different = (head[2][x] != head[2][y]) | (head[3][x] != head[3][y])
             apart = (head[7][x] != head[7][y]) | (head[7][y] == 2)
             some = np.flatnonzero(asks[y] & ~found[y] & different & apart)
-            for a, b in zip(y[some].tolist(), x[some].tolist(), strict=True):
-                common = np.isin(words[begin[a] : begin[a] + n[a]], words[begin[b] : begin[b] + n[b]], assume_unique=True).sum()
-                if 100 * common >= percent * (n[a] + n[b] - common):
-                    found[a] = True
+            for part in np.array_split(some, 1 + int((n[y[some]] + n[x[some]]).sum()) // _AT_ONCE):
+                a, b = y[part], x[part]
+                common = _common(words, begin, n, a, b)
+                found[a[100 * common >= percent * (n[a] + n[b] - common)]] = True
         rows = np.unique(head[2:5, found], axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1].astype(np.int32)), pa.array(rows[2])], _LINE)
 
@@ -574,22 +590,24 @@ def deduplicate_lines(
     again = docs.groupBy(F.col(key).cast("long").alias("doc")).agg(F.count(F.lit(1)).alias("_rows"))
     again = again.where("_rows > 1")
     gone = gone.withColumnRenamed("doc", "_doc")
-    joined = docs.drop("n_lines", "n_removed").withColumn("_key", F.col(key).cast("long"))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]  # kept together, whatever their names
+    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     joined = joined.join(gone, F.col("_key") == F.col("_doc"), "left")
     lines = F.col("_gone")
     if not again.isEmpty():  # rows that share a key may have other texts: compare the lines' words
         joined = joined.join(again.withColumnRenamed("doc", "_shared"), F.col("_key") == F.col("_shared"), "left")
         shared = F.col("_shared").isNotNull()
-        own = F.arrow_udf(_own_lines, "array<struct<line:int,hash:bigint>>")(F.when(shared, F.col(text)))
+        own = F.arrow_udf(_own_lines, "array<struct<line:int,hash:bigint>>")(F.when(shared, F.col("_text")))
         lines = F.when(shared, F.array_intersect(own, lines)).otherwise(lines)
     joined = joined.withColumn("_lines", F.coalesce(lines["line"], F.array().cast("array<int>")))
-    shortened = F.arrow_udf(_without, "string")(F.when(F.size("_lines") > 0, F.col(text)), F.col("_lines"))
-    breaks = F.length(F.col(text)) - F.length(F.replace(F.col(text), F.lit("\n")))
-    return joined.withColumns({
-        "n_lines": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
-        "n_removed": F.size("_lines").cast("long"),
-        text: F.when(F.size("_lines") > 0, shortened).otherwise(F.col(text)),
-    }).drop("_gone", "_lines", "_rows", "_doc", "_key", "_shared")
+    shortened = F.arrow_udf(_without, "string")(F.when(F.size("_lines") > 0, F.col("_text")), F.col("_lines"))
+    breaks = F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("\n")))
+    joined = joined.withColumns({
+        "_breaks": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
+        "_text": F.when(F.size("_lines") > 0, shortened).otherwise(F.col("_text")),
+    })
+    kept = [F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in columns]
+    return joined.select(*kept, F.col("_breaks").alias("n_lines"), F.size("_lines").cast("long").alias("n_removed"))
 
 
 def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:

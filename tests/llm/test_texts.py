@@ -267,3 +267,13 @@ def test_tables_with_few_words(spark, count):
     assert [(r["n_shingles"], r["kept"]) for r in near_duplicates(docs).collect()] == [(max(1, count - 4), True)]
     assert [(r["n_words"], r["n_removed"]) for r in remove_repeats(docs).collect()] == [(count, 0)]
     assert [r["n_removed"] for r in deduplicate_lines(docs).collect()] == [0]
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    names = ["_key", "_doc", "_gone", "_lines", "_rows", "_shared", "_text", "_row", "a.b", "n_lines"]
+    rows = [(1, "one two\nthree", *range(10)), (2, "one two\nfour", *range(10, 20)), (2, "five", *range(20, 30)), (None, None, *range(30, 40))]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    got = {r["_key"]: r.asDict() for r in deduplicate_lines(docs).collect()}
+    assert {k: r["text"] for k, r in got.items()} == {0: "one two\nthree", 10: "four", 20: "five", 30: None}
+    assert all(r[n] == k + i for k, r in got.items() for i, n in enumerate(names[:-1]))
+    assert {k: (r["n_lines"], r["n_removed"]) for k, r in got.items()} == {0: (2, 0), 10: (2, 1), 20: (1, 0), 30: (0, 0)}
