@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from catalog_marts.llm.held import held
+from catalog_marts.llm.held import held, tidied
 
 KEEP_PIECES, KEEP_BYTES, KEEP_PAIRS = 400_000, 64, 2_000_000  # bounds of a worker's caches
 LONG_TEXT = 1 << 20  # characters from which a text is split step by step
@@ -180,6 +180,7 @@ def _mapped(df: DataFrame, key: str, column: str, outs: dict[str, str], rank_fil
     """``key`` and a binary column per entry of ``outs``, whose methods are applied one after the other."""
     kind = df.schema[key].dataType.simpleString()
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(rank_file.value, pattern)
         works = [getattr(encoder, what) for what in outs.values()]

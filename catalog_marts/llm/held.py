@@ -6,14 +6,18 @@ caches of every operator that it has worked for.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import wraps
 from typing import Any
 
+import pyarrow as pa
+
 _held: dict[tuple, Any] = {}
 
 
 def held(key: tuple, build: Callable[[], Any]) -> Any:
     """What was built for ``key``, kept until another key is asked for."""
+    pa.default_memory_pool().release_unused()  # what earlier tasks' batches took: hundreds of MB
     if key not in _held:
         _held.clear()
         _held[key] = build()
@@ -23,3 +27,17 @@ def held(key: tuple, build: Callable[[], Any]) -> Any:
 def release() -> None:
     """Called by tasks that need their memory for other things."""
     _held.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def tidied(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A task that gives back at its end what its batches took, as its worker may then be idle."""
+
+    @wraps(run)
+    def task(*args, **options) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(*args, **options)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return task

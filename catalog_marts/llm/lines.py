@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog_marts.llm.groups import clustered, whole_groups
-from catalog_marts.llm.held import release
+from catalog_marts.llm.held import release, tidied
 from catalog_marts.llm.segments import gathered
 from catalog_marts.llm.sketch import Tally, build_table, decoded, places
 from catalog_marts.llm.text import hash_words, mix, pieces, utf8
@@ -123,6 +123,7 @@ def _batches(batches: Iterator[pa.RecordBatch], *tables) -> Iterator[Lines]:
 _SURVEY = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()), ("again", pa.bool_()), *Tally.SCHEMA])
 
 
+@tidied
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every line's hash, and whether its text has an equal line before it; at the end of a task,
     in how many lines the words are.
@@ -199,6 +200,7 @@ def _apart(wide: np.ndarray, offset: np.ndarray, widths: np.ndarray, y: np.ndarr
     return result
 
 
+@tidied
 def _postings(
     batches: Iterator[pa.RecordBatch], table, percent: int, parts: int, tuning: Tuning, again=None
 ) -> Iterator[pa.RecordBatch]:
@@ -291,6 +293,7 @@ def _unpacked(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
 _CANDIDATE = "doc long, line int, hash long, doc2 long, line2 int, hash2 long, apart double, others boolean, more boolean"
 
 
+@tidied
 def _candidates(batches: Iterator[pa.RecordBatch], percent: int, tuning: Tuning) -> Iterator[pa.RecordBatch]:
     """For each line the closest earlier line of its part that passes the filters.
 
@@ -376,6 +379,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], percent: int, tuning: Tuning)
 _MEETING = "part long, lines binary"
 
 
+@tidied
 def _meetings(
     batches: Iterator[pa.RecordBatch], table, percent: int, parts: int, tuning: Tuning, asked
 ) -> Iterator[pa.RecordBatch]:
@@ -428,6 +432,7 @@ def _common(words: np.ndarray, begin: np.ndarray, n: np.ndarray, a: np.ndarray,
     return np.bincount(keys[1:][keys[1:] == keys[:-1]] // size, minlength=len(a))
 
 
+@tidied
 def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The asking lines that a line before them in their group is similar to."""
     for table, _ in whole_groups(batches, ["part"]):
@@ -464,6 +469,7 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1].astype(np.int32)), pa.array(rows[2])], _LINE)
 
 
+@tidied
 def _line_sets(batches: Iterator[pa.RecordBatch], marked) -> Iterator[pa.RecordBatch]:
     chosen = (_with_marks(part, marked.value) for batch in batches for part in pieces(batch, "text"))
     for lines in _batches(chosen, None, marked.value):

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from catalog_marts.llm.components import connected_components
 from catalog_marts.llm.groups import clustered, whole_groups
-from catalog_marts.llm.held import release
+from catalog_marts.llm.held import release, tidied
 from catalog_marts.llm.sketch import Tally, build_table, places
 from catalog_marts.llm.text import hash_words, mix, pieces, utf8
 from catalog_marts.sources import scratch_copy
@@ -80,6 +80,7 @@ def _signatures(words: int, lower: bool):
     bands = 2 * PERMUTATIONS // BAND_ROWS
     names = ["id", "n", "set1", "set2", "sketch", "bands"]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
@@ -345,6 +346,7 @@ def _sets(rows: DataFrame, ids: DataFrame, words: int, lower: bool) -> DataFrame
     table = build_table(ids.mapInArrow(tally, Tally.FIELDS), MARK_BITS)
     marks = rows.sparkSession.sparkContext.broadcast(table)
 
+    @tidied
     def sets(batches):
         for batch in batches:
             batch = batch.filter(pa.array(marks.value[_marked(batch.column("id").to_numpy())] > 0))
