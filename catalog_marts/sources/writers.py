@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from contextvars import ContextVar
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_marts.functions import non_blank, sort_key
@@ -16,6 +17,9 @@ from catalog_marts.functions import non_blank, sort_key
 from .curve import curve_position
 from .folders import remove_folder
 
+SLICES = 48  # at least, of a sorted table with a given number of files
+MOST_SLICES = 16  # of one of its files
+
 
 def _as_list(value) -> list:
     if value is None:
@@ -54,7 +58,10 @@ def write_table(
     neither
         Plain write.
 
-    ``n_files`` fixes the number of writing tasks; left out, adaptive execution sizes them.
+    ``n_files`` fixes the number of writing tasks; left out, adaptive execution sizes them. A few
+    files of a large sorted table would leave a few tasks to sort it: its ranges are then cut into
+    more slices than files, sorted and stored slice by slice in the scratch folder, and a writing
+    task only strings the slices of its file together.
     ``observed`` counts the ``rows`` written. With ``only_partitions`` the partitions that ``df`` has
     rows of are replaced, the others keep their files. Never write to a path that ``df`` itself reads.
     """
@@ -65,7 +72,7 @@ def write_table(
         if parts or any(" " in k.strip() for k in order):
             raise ValueError("a curve takes ascending keys and no partition columns")
         df, order = df.withColumn("_curve", curve_position(df, order)), ["_curve", *order]
-    keys = [sort_key(k) for k in order]
+    keys, in_slices = [sort_key(k) for k in order], False
     count = [n_files] if n_files else []
     types = dict(df.dtypes)
     text_parts = [p for p in parts if types[p] == "string"]
@@ -78,25 +85,59 @@ def write_table(
     elif keys and cluster == "hash":
         df = df.hint("rebalance", *count, order[0].split(" ")[0]).sortWithinPartitions(*keys)
     elif keys:
+        slices = _slices_per_file(df.sparkSession, n_files) if n_files else 1
         df = (
             df.withColumn("_task", F.spark_partition_id())
-            .repartitionByRange(*count, *keys, F.col("_task"))
-            .sortWithinPartitions(*keys)
-            .drop("_task", "_curve")
+            .repartitionByRange(*[n * slices for n in count], *keys, F.col("_task"))
+            .drop("_task")
         )
+        in_slices = slices > 1
+        if not in_slices:
+            df = df.sortWithinPartitions(*keys).drop("_curve")
     elif count:
         df = df.repartition(n_files)
 
-    if observed:
-        df = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-    writer = df.write.mode("overwrite")
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if parts:
-        writer = writer.partitionBy(*parts)
-    if only_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    with scratch_scope(df.sparkSession, "sink") if in_slices else nullcontext():
+        if in_slices:
+            df = _strung(df, keys, n_files).drop("_curve")
+        if observed:
+            df = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+        writer = df.write.mode("overwrite")
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        if parts:
+            writer = writer.partitionBy(*parts)
+        if only_partitions:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
+
+
+def _slices_per_file(spark: SparkSession, n_files: int) -> int:
+    shares = max(int(spark.conf.get("spark.sql.shuffle.partitions")), SLICES)
+    return min(-(-shares // n_files), MOST_SLICES)
+
+
+def _strung(ranges: DataFrame, keys: Sequence[Column], n_files: int) -> DataFrame:
+    """Range partitions as ``n_files`` sorted ones of about as many rows, without sorting them there.
+
+    Every range is sorted and stored as a file of its own, and ``coalesce(1)`` reads files one after
+    the other. (Over the sorts themselves it would run them all in the writing task.) The empty frame
+    keeps the union from putting single partitions into one.
+    """
+    spark, schema = ranges.sparkSession, ranges.schema
+    path = scratch_dir(spark, "slices")
+    numbered = ranges.withColumn("_slice", F.spark_partition_id()).sortWithinPartitions("_slice", *keys)
+    numbered.write.partitionBy("_slice").parquet(path)
+    stored = spark.read.schema(numbered.schema).parquet(path).groupBy("_slice").agg(F.count(F.lit(1)).alias("rows"))
+    found = sorted(tuple(row) for row in stored.collect())  # one row per slice
+    total, before = sum(rows for _, rows in found), 0
+    of_file: dict[int, list[DataFrame]] = {}
+    for number, rows in found:
+        slice_ = spark.read.schema(schema).parquet(f"{path}/_slice={number}")
+        of_file.setdefault((2 * before + rows) * n_files // (2 * total), []).append(slice_)
+        before += rows
+    empty = spark.createDataFrame(spark.sparkContext.emptyRDD(), schema)
+    return reduce(DataFrame.union, [reduce(DataFrame.union, of).coalesce(1) for of in of_file.values()], empty)
 
 
 _local_folders: dict[str, str] = {}  # application id -> folder, local sessions only

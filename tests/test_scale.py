@@ -9,7 +9,7 @@ from functools import reduce
 
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from catalog_marts.fixtures import silver_table
@@ -282,6 +282,26 @@ def test_sorted_sink_has_disjoint_sorted_files(spark, silver):
     assert rows(spark.read.parquet(path)) == rows(silver["principals"])
 
 
+@pytest.mark.parametrize("n", [0, 1, 4000])
+def test_writing_tasks_of_a_few_sorted_files_do_not_sort(spark, monkeypatch, tmp_path, n):
+    df = spark.range(n, numPartitions=4).select((F.col("id") * 7919 % 1009).alias("k"), "id")
+    plans, write = [], DataFrameWriter.parquet
+
+    def spied(writer, path, *args, **kwargs):
+        plans.append((path, executed_plan(writer._df)))
+        return write(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spied)
+    path = str(tmp_path / "few")
+    write_table(df, path, sort_by="k desc", n_files=3)
+    assert [" Sort [" in plan for to, plan in plans if to == path] == [False]
+    got = [pq.ParquetFile(f).read().to_pylist() for f in files(path)]
+    keys = [r["k"] for rows_of_file in got for r in rows_of_file]
+    assert keys == sorted(keys, reverse=True)  # also from one file to the next
+    assert len(got) == (3 if n > 3 else 1) and sum(map(len, got)) == n
+    assert rows(spark.read.parquet(path)) == rows(df)
+
+
 def test_sorted_sink_spreads_copies_of_one_row(spark, silver):
     copies = copies_of(silver["names"].where("name_id = 'nm7'"), 2000)
     df = silver["names"].unionAll(copies)
