@@ -32,9 +32,13 @@ MANIFEST = "part string, folder string, rows bigint, sum_a decimal(20,0), sum_b
 _BUCKET, _WRAP = "_bucket", Decimal(2**64)
 _MARKS = ["rows", "sum_a", "sum_b"]
 
+PIECE_BITS = 22  # hashes are summed in three pieces as whole numbers: 2**41 rows fit, decimals would be slow
+SUMS = ["_rows", "_a0", "_a1", "_a2", "_b0", "_b1", "_b2"]
 
-def fingerprints(df: DataFrame, by: Column, schema: T.StructType | None = None) -> DataFrame:
-    """``rows``, ``sum_a`` and ``sum_b`` of every group; equal for equal rows in any order.
+
+def hash_sums(df: DataFrame, *by: Column, schema: T.StructType | None = None) -> DataFrame:
+    """:data:`SUMS` of every group: its rows, and two sums of their hashes in pieces; equal for equal
+    rows in any order.
 
     The columns of ``schema`` count (all, if left out), in the order of their names; NULLs are
     hashed as such, doubles by their first nine decimals. Combines before the shuffle.
@@ -43,11 +47,28 @@ def fingerprints(df: DataFrame, by: Column, schema: T.StructType | None = None)
     for field in sorted(schema or df.schema, key=lambda f: f.name):
         value = F.col(f"`{field.name}`")
         values += [value.isNull(), F.round(value, DECIMALS) if isinstance(field.dataType, T.DoubleType) else value]
-    total = lambda *seed: F.sum(F.xxhash64(*seed, *values).cast("decimal(20,0)"))
+    hashed = df.select(*by, F.xxhash64(*values).alias("_a"), F.xxhash64(F.lit("b"), *values).alias("_b"))
+    sums = [F.count(F.lit(1)).alias("_rows")]
+    for mark in ("a", "b"):
+        for i in range(3):
+            piece = F.shiftrightunsigned(f"_{mark}", i * PIECE_BITS).bitwiseAND(F.lit((1 << PIECE_BITS) - 1))
+            sums.append(F.sum(piece).alias(f"_{mark}{i}"))
+    return hashed.groupBy(*[F.col(f"`{c}`") for c in hashed.columns[:-2]]).agg(*sums)
+
+
+def _marks(sums: DataFrame, by: Column, *others: Column) -> DataFrame:
+    """Sums of smaller groups as fingerprints of larger ones."""
     wrapped = lambda x: F.pmod(x, F.lit(_WRAP)).cast("decimal(20,0)")
-    return df.groupBy(by).agg(
-        F.count(F.lit(1)).alias("rows"), wrapped(total()).alias("sum_a"), wrapped(total(F.lit("b"))).alias("sum_b")
-    )
+    exact = lambda c, i: F.sum(c).cast("decimal(24,0)") * F.lit(Decimal(1 << (i * PIECE_BITS))).cast("decimal(14,0)")
+    total = lambda mark: sum((wrapped(exact(f"_{mark}{i}", i)) for i in range(1, 3)), wrapped(exact(f"_{mark}0", 0)))
+    marks = [F.sum("_rows").alias("rows"), wrapped(total("a")).alias("sum_a"), wrapped(total("b")).alias("sum_b")]
+    return sums.groupBy(by).agg(*marks, *others)
+
+
+def fingerprints(df: DataFrame, by: Column, schema: T.StructType | None = None) -> DataFrame:
+    """``rows``, ``sum_a`` and ``sum_b`` of every group: :func:`hash_sums`, put together modulo 2**64."""
+    sums = hash_sums(df, by, schema=schema)
+    return _marks(sums, F.col(f"`{sums.columns[0]}`"))
 
 
 def _split(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], buckets: int) -> tuple[DataFrame, list[str]]:
@@ -113,7 +134,7 @@ def publish_changes(
     number = _next(spark, root)
     data, manifest = f"{root}/data-{number:010d}", f"{root}/versions/{number:010d}"
     earlier = versions(spark, root)
-    now = fingerprints(stored, _label(parts, buckets))
+    now = _marks(hash_sums(stored, *[F.col(f"`{p}`") for p in parts]), _label(parts, buckets))
     empty = spark.createDataFrame([], MANIFEST)
     before = _manifest(spark, root, earlier[-1]).where("part is not null") if earlier else empty
     before = before.select("part", *[F.col(c).alias(f"old_{c}") for c in (*_MARKS, "folder")])
@@ -125,8 +146,10 @@ def publish_changes(
         written = plan.where("action = 'written'")
         folders = empty
         if not written.isEmpty():
-            fresh = stored.withColumn("_part", _label(parts, buckets))
-            fresh = fresh.join(written.select(F.col("part").alias("_part")), "_part", "left_semi").drop("_part")
+            fresh = stored
+            if not plan.where("action = 'kept'").isEmpty():
+                fresh = stored.withColumn("_part", _label(parts, buckets))
+                fresh = fresh.join(written.select(F.col("part").alias("_part")), "_part", "left_semi").drop("_part")
             write_table(fresh, data, parts, list(sort_by) or None)
             folders = scratch_copy(_arrived(spark, data, stored.schema, parts, buckets), "arrived")
             arrived = folders.select("part", *[F.col(c).alias(f"new_{c}") for c in _MARKS])
@@ -157,15 +180,20 @@ def _same(other: str) -> Column:
 
 def _files(spark: SparkSession, data: str, schema: T.StructType, *paths: str) -> DataFrame:
     """Rows of partition folders below the folder ``data``, with the folder of each row."""
-    place = F.regexp_extract("_metadata.file_path", "(data-[0-9]+(/[^/]*)*)/[^/]*$", 1)
     rows = spark.read.schema(schema).option("basePath", data).parquet(*(paths or [data]))
-    return rows.select(*[F.col(f"`{c}`") for c in schema.names], place.alias("_folder"))
+    return rows.select(*[F.col(f"`{c}`") for c in schema.names], _folder_of("_metadata.file_path").alias("_folder"))
+
+
+def _folder_of(file: str) -> Column:
+    return F.regexp_extract(file, "(data-[0-9]+(/[^/]*)*)/[^/]*$", 1)
 
 
 def _arrived(spark: SparkSession, data: str, schema: T.StructType, parts: Sequence[str], buckets: int) -> DataFrame:
-    """Fingerprints and folders of the partitions that a version wrote, from its files."""
-    rows, label = _files(spark, data, schema), _label(parts, buckets)
-    return fingerprints(rows, label, schema).join(rows.groupBy(label).agg(F.min("_folder").alias("folder")), "part")
+    """Fingerprints and folders of the partitions that a version wrote, from its files, read once."""
+    rows = spark.read.schema(schema).option("basePath", data).parquet(data)
+    file = F.col("_metadata.file_path").alias("_file")
+    sums = hash_sums(rows, *[F.col(f"`{p}`") for p in parts], file, schema=schema)
+    return _marks(sums, _label(parts, buckets), F.min(_folder_of("_file")).alias("folder"))
 
 
 def _contents(spark: SparkSession, root: str, version: int) -> tuple[dict[str, list[str]], T.StructType]:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog_marts.plans import open_version, publish_changes, verify_version
-from catalog_marts.plans.versions import fingerprints, versions
+from catalog_marts.plans.versions import _arrived, fingerprints, versions
 
 SCHEMA = "id long, kind string, year int, score double"
 
@@ -31,6 +31,29 @@ def root(tmp_path):
     return str(tmp_path / "table")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fingerprints_are_the_sums_of_hashes(spark):
+    df = spark.range(3000).selectExpr("id % 7 as g", "if(id % 5 = 0, null, id) as x", "cast(id as string) as y")
+    of = ["g is null", "g", "x is null", "x", "y is null", "y"]
+    want = df.selectExpr("g", f"cast(xxhash64({', '.join(of)}) as decimal(20,0)) as a", f"cast(xxhash64('b', {', '.join(of)}) as decimal(20,0)) as b")
+    wrap = "18446744073709551616BD"
+    want = want.groupBy("g").agg(F.count("*"), F.expr(f"pmod(sum(a), {wrap})"), F.expr(f"pmod(sum(b), {wrap})"))
+    assert rows_of(fingerprints(df, F.col("g"))) == rows_of(want)
+
+
+def test_what_arrived_is_read_once_without_sorting(spark, root):
+    df = spark.createDataFrame([(i, "k%s/=" % (i % 3), 1990, i / 7) for i in range(50)], SCHEMA).repartition(4)
+    publish_changes(df, root, ["kind"], ["year"])
+    found = _arrived(spark, f"{root}/data-0000000001", df.schema, ["kind"], 32)
+    plan = plan_of(found)
+    assert plan.count("FileScan") == 1 and plan.count("SortAggregate") <= 2  # of partitions, not of rows
+    assert "HashAggregate(keys=[kind" in plan
+    assert {r["rows"] for r in found.collect()} == {17, 16}
+
+
 def test_only_changed_partitions_are_written(spark, root):
     rows = [(1, "a b/c=%", 1990, 1.5), (2, "a b/c=%", 1991, None), (3, "é+", 1990, 2.0), (4, None, None, 0.1), (5, "gone", 2000, 1.0)]
     first = publish_changes(spark.createDataFrame(rows, SCHEMA), root, ["kind"], ["year desc"])
