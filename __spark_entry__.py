@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,7 @@ from catalog_marts.plans.contracts import RELATIONSHIPS, Relationship
 from catalog_marts.plans.lattice import build_lattice, rating_statistics
 from catalog_marts.plans.leaderboard import build_leaderboard, open_leaderboard, refresh_leaderboard
 from catalog_marts.plans.publish import SERVING_TABLES
+from catalog_marts.plans.together import run_all
 from catalog_marts.plans.upkeep import build_mart, changes_between, open_mart, refresh_mart
 from catalog_marts.sources import (
     GOLD_SCHEMAS,
@@ -205,8 +206,12 @@ def _next_state(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _two_states(spark, sf_dir) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    before = {name: scratch_copy(silver_table(spark, sf_dir, name), name) for name in SILVER}
-    return before, {name: scratch_copy(df, name) for name, df in _next_state(before).items()}
+    before = _copies(spark, {name: silver_table(spark, sf_dir, name) for name in SILVER})
+    return before, _copies(spark, _next_state(before))
+
+
+def _copies(spark, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return run_all(spark, {name: partial(scratch_copy, df, name) for name, df in tables.items()}, len(tables))
 
 
 def _kept_up(spark, sf_dir) -> DataFrame:

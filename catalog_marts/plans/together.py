@@ -24,11 +24,13 @@ def run_together(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         return job()
 
-    target = inheritable_thread_target(spark)(call)
+    def target() -> Callable:  # every thread with a copy of its own of the local properties
+        return inheritable_thread_target(spark)(call)
+
     results, failures = {}, {}
     with ThreadPoolExecutor(max(1, min(parallelism, len(jobs)))) as pool:
         running = {
-            name: pool.submit(contextvars.copy_context().run, target, name, job)
+            name: pool.submit(contextvars.copy_context().run, target(), name, job)
             for name, job in jobs.items()
         }
         for name, future in running.items():

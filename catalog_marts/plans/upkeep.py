@@ -21,7 +21,7 @@ from catalog_marts.operators.ratings import PRIOR_VOTES
 from catalog_marts.sources import GOLD_SCHEMAS, read_table, remove_folder, scratch_copy, write_table
 
 from .marts import category_mart
-from .versions import fingerprints
+from .versions import SUMS, hash_sums
 
 LAYOUT = ["title_type", "genres"]
 KEYS = {"titles": "title_id", "ratings": "title_id", "principals": "title_id", "akas": "title_id", "names": "name_id"}
@@ -30,10 +30,9 @@ STATE = "total decimal(38,12), ratings bigint"
 
 def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys whose rows differ between two states of a table: added, removed or changed in any column."""
-    marks = ("rows", "sum_a", "sum_b")
-    before = fingerprints(old, F.col(key)).select(F.col(key).alias("_key"), *[F.col(m).alias(f"old_{m}") for m in marks])
-    same = reduce(lambda a, b: a & b, [F.col(m).eqNullSafe(F.col(f"old_{m}")) for m in marks])
-    both = fingerprints(new, F.col(key)).join(before, F.col(key) == F.col("_key"), "full")
+    before = hash_sums(old, F.col(key)).select(F.col(key).alias("_key"), *[F.col(m).alias(f"old_{m}") for m in SUMS])
+    same = reduce(lambda a, b: a & b, [F.col(m).eqNullSafe(F.col(f"old_{m}")) for m in SUMS])
+    both = hash_sums(new, F.col(key)).join(before, F.col(key) == F.col("_key"), "full")
     return both.where(~same).select(F.coalesce(key, "_key").alias(key)).where(F.col(key).isNotNull())
 
 
@@ -119,7 +118,7 @@ def refresh_mart(
     fresh = category_mart(scratch_copy(own["titles"], "titles"), own["ratings"], own["principals"], new["names"], own["akas"], mean=mean)
     fresh = scratch_copy(fresh.fillna("unknown", LAYOUT), "fresh")
     mart = open_mart(spark, path)
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    folder = F.regexp_replace("_file", "/[^/]*$", "")
     stale = mart.join(touched, "title_id", "left_semi")
     parts = stale.select(*LAYOUT).unionByName(fresh.select(*LAYOUT))
     if mean != before:
@@ -133,8 +132,8 @@ def refresh_mart(
     rows = scratch_copy(rest.select(mart.columns).unionByName(fresh.select(mart.columns)), "rewritten")
 
     now = rows.groupBy(*LAYOUT).agg(F.count(F.lit(1)).alias("now"))
-    had = mart.groupBy(*LAYOUT, folder.alias("folder")).agg(F.count(F.lit(1)).alias("had"))
-    had = had.groupBy(*LAYOUT).agg(F.min("folder").alias("folder"), F.sum("had").alias("had"))
+    had = mart.groupBy(*LAYOUT, F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("had"))
+    had = had.groupBy(*LAYOUT).agg(F.min(folder).alias("folder"), F.sum("had").alias("had"))
     named = parts.join(now, LAYOUT, "left").withColumn("_changed", F.lit(True))
     action = F.when(F.col("_changed").isNull(), "kept").when(F.col("now").isNull(), "removed").otherwise("rewritten")
     status = scratch_copy(had.join(named, LAYOUT, "full").withColumn("action", action), "status")

@@ -1,6 +1,8 @@
 """Mart upkeep: the same rows as a full build, and files that nobody had to touch."""
 
 import os
+import time
+from functools import partial
 from urllib.parse import unquote
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog_marts.fixtures import silver_table
 from catalog_marts.plans.marts import category_mart
+from catalog_marts.plans.together import run_together
 from catalog_marts.plans.upkeep import affected_titles, build_mart, changed_keys, changes_between, mean_state, open_mart, refresh_mart
 
 SF = "/root/testdata/sf0.001"
@@ -19,6 +22,25 @@ def content(df):
     return sorted((tuple(r) for r in rounded.select(sorted(df.columns)).collect()), key=repr)
 
 
+def test_changed_keys_are_found_without_decimals(spark):
+    old = spark.createDataFrame([("a", 1.5, None), ("b", 1.0, 2), ("c", None, 3), (None, 1.0, 1)], "k string, x double, y int")
+    new = spark.createDataFrame([("a", 1.5, None), ("b", 1.0, None), ("c", None, 3), ("c", None, 3), ("d", 1.0, 1)], "k string, x double, y int")
+    changed = changed_keys(old, new, "k")
+    assert sorted(r["k"] for r in changed.collect()) == ["b", "c", "d"]
+    assert "decimal" not in changed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_jobs_together_have_their_own_pools(spark):
+    seen = {}
+
+    def job(name):
+        time.sleep(0.3)
+        seen[name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+
+    run_together(spark, {n: partial(job, n) for n in "abc"}, 3)
+    assert seen == {n: n for n in "abc"}
+
+
 def files_below(folder):
     return {
         os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
