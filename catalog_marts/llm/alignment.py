@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import string
 from collections.abc import Callable, Iterator
@@ -253,9 +254,14 @@ _STATE = ("n_a", "n_b", "n_groups", "n_links", "codes", "docs", "part_links", "v
 
 
 class _Counter:
-    """Documents of one task by id pairs of the identity map: the vector of the fast path."""
+    """Documents of one task by id pairs of the identity map: the vector of the fast path.
+
+    A task has one core: threads of the encoder's own would wait for each other and for those of
+    the other tasks, so they are off in its process.
+    """
 
     def __init__(self, pair: Pair):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.pair, self.vector = pair, np.zeros(len(pair.same), np.int64)
 
     def block(self, column: pa.Array, keep_groups: bool) -> dict:

@@ -1,8 +1,12 @@
 """Alignment of two tokenizers against a token by token comparison of whole texts."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -125,3 +129,21 @@ def test_only_irregular_groups_reach_the_pair_shuffle(spark):
         shared = spark.sparkContext.broadcast((f.read(), g.read()))
     blocks = alignment._blocks(docs, shared, "doc_id", "text", False)
     assert blocks.where("block is not null").agg({"pairs": "sum"}).first()[0] == 0
+
+
+def test_a_task_encodes_without_threads_of_its_own():
+    """In a process of its own, as other tests may have started the encoder's threads."""
+    code = f"""
+import os
+import pyarrow as pa
+from catalog_marts.llm.alignment import Pair, _Counter
+counter = _Counter(Pair(open({FIRST!r}).read(), open({SECOND!r}, "rb").read()))
+before = len(os.listdir("/proc/self/task"))
+state = counter.block(pa.array([f"word{{k}} of many" for k in range(5000)]), False)
+print(len(state["digests"]), len(os.listdir("/proc/self/task")) - before)
+"""
+    root = Path(__file__).resolve().parents[2]
+    env = {**os.environ, "PYTHONPATH": str(root)}
+    env.pop("TOKENIZERS_PARALLELISM", None)
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["5000", "0"], done.stderr
