@@ -112,9 +112,12 @@ def _stored_cast(spark, sf_dir) -> DataFrame:
 def _built(spark, sf_dir) -> str:
     """Root of all layers, built from text dumps."""
     root = scratch_dir(spark, "layers")
-    for name, spec in SILVER.items():
-        write_dump(raw_table(spark, sf_dir, name), f"{root}/raw/{spec.file}")
-    build_silver(spark, f"{root}/raw", root)
+    dumps = {
+        name: partial(write_dump, raw_table(spark, sf_dir, name), f"{root}/raw/{spec.file}")
+        for name, spec in SILVER.items()
+    }
+    run_all(spark, dumps, len(dumps))
+    build_silver(spark, f"{root}/raw", root, parallelism=len(SILVER))
     build_gold(spark, root)
     return root
 

@@ -111,12 +111,13 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return load("lineitem").select(*exprs)
     if name == "ratings":
         return load("lineitem").groupBy("l_partkey").agg(*exprs).drop("l_partkey")
-    places = (
-        load("supplier")
+    # One by one: Spark knows the size of each table, but not that of these three joined.
+    rows = (
+        load("lineitem")
+        .join(load("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(load("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(load("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    rows = load("lineitem").join(places, F.col("l_suppkey") == F.col("s_suppkey"))
     return rows.select(*exprs)
 
 
