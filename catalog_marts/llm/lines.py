@@ -29,6 +29,7 @@ from catalog_marts.sources import scratch_copy
 
 BITS = 24  # of the table of word counts: 16 MB
 PACK = 4 << 20  # bytes of text whose postings are packed together
+PAIRS = 16384  # of lines, looked at together at least
 MARK_BITS = 24  # of the tables that mark lines and words to look at again: 16 MB
 
 
@@ -114,6 +115,39 @@ def _least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // (100 + percent))
 
 
+def _in_order(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the lines, equal for the same line."""
+    if len(doc) and doc.min() >= 0 and doc.max() < 1 << 39 and line.max() < 1 << 24:
+        return doc << 24 | line
+    by = np.lexsort((line, doc))
+    new = np.append(True, (doc[by][1:] != doc[by][:-1]) | (line[by][1:] != line[by][:-1]))[: len(by)]
+    number = np.empty(len(by), np.int64)
+    number[by] = np.cumsum(new)
+    return number
+
+
+def _reach(group: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """How many rows before each one are of its group and not too short for it, by group and length."""
+    rows = np.arange(len(n))
+    new = np.append(True, group[1:] != group[:-1])[: len(n)]
+    size = int(n.max()) + 1 if len(n) else 1
+    number = np.cumsum(new) - 1
+    return rows - np.searchsorted(number * size + n, number * size + -(-percent * n // 100))
+
+
+def _pairs(reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows with the ones before them that they reach, the nearest first, many pairs at a time."""
+    low, back = np.arange(len(reach)), 1
+    while len(low := low[reach[low] >= back]):
+        backs = np.arange(back, min(back + max(PAIRS // len(low), 1), int(reach[low].max()) + 1))
+        y, apart = np.tile(low, len(backs)), np.repeat(backs, len(low))
+        if len(backs) > 1:
+            near = apart <= reach[y]
+            y, apart = y[near], apart[near]
+        yield y, y - apart
+        back += len(backs)
+
+
 def _batches(batches: Iterator[pa.RecordBatch], *tables) -> Iterator[Lines]:
     for batch in batches:
         for part in pieces(batch, "text"):
@@ -304,32 +338,28 @@ def _candidates(batches: Iterator[pa.RecordBatch], percent: int, tuning: Tuning)
         columns, wide = _unpacked(packed)
         widths = _width(columns["n"], tuning.wide)
         group = columns["word"] << np.uint64(32) | columns["chunk"].astype(np.uint64)
-        by = np.lexsort((columns["line"], columns["doc"], columns["n"], group))
+        where = _in_order(columns["doc"], columns["line"])
+        by = np.lexsort((where, columns["n"], group))
         offset, widths = (np.cumsum(widths) - widths)[by], widths[by]
-        columns, group = {c: v[by] for c, v in columns.items()}, group[by]
+        columns, group, where = {c: v[by] for c, v in columns.items()}, group[by], where[by]
         n, at, bits, bits2, hashes = (columns[c] for c in ("n", "at", "bits", "bits2", "hash"))
-        doc, line, asks = columns["doc"], columns["line"], columns["asks"] > 0
+        asks = columns["asks"] > 0
         tried, closed, stopped = np.zeros(len(by), np.int64), ~asks, np.zeros(len(by), bool)
         # pairs of rows of a group whose lengths agree: a row and the ones before it, by length
-        low, back = np.arange(len(by)), 0
+        margin = np.arange(2 * int(n.max()) + 1 if len(n) else 1)
+        margin = (margin - 2 * _least_overlap(margin, percent)).astype(np.int32)  # by words of both
+        short = n.astype(np.int32)
         ys, xs, shares = [], [], []
-        while True:
-            back += 1
-            low = low[low >= back]
-            low = low[(group[low - back] == group[low]) & (100 * n[low - back] >= percent * n[low])]
-            if not len(low):
-                break
-            y, x = low, low - back
-            late = (doc[x] > doc[y]) | ((doc[x] == doc[y]) & (line[x] > line[y]))
+        for y, x in _pairs(_reach(group, n, percent)):
+            apart = np.bitwise_count(bits[y] ^ bits[x]) + np.bitwise_count(bits2[y] ^ bits2[x])
+            allowed = margin[short[y] + short[x]]
+            some = np.flatnonzero(apart <= allowed)
+            y, x, apart, allowed = y[some], x[some], apart[some].astype(np.int64), allowed[some].astype(np.int64)
+            late = where[x] > where[y]
             y, x = np.where(late, x, y), np.where(late, y, x)  # the later line asks
             some = ~closed[y]
-            y, x = y[some], x[some]
-            total = n[y] + n[x]
-            least = _least_overlap(total, percent)
-            allowed = total - 2 * least
-            apart = np.bitwise_count(bits[y] ^ bits[x]).astype(np.int64) + np.bitwise_count(bits2[y] ^ bits2[x])
-            some = np.flatnonzero(apart <= allowed)
-            y, x, apart, allowed, least = y[some], x[some], apart[some], allowed[some], least[some]
+            y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
+            least = _least_overlap(n[y] + n[x], percent)
             some = np.minimum(at[y], at[x]) + np.minimum(n[y] - at[y], n[x] - at[x]) >= least
             y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
             if len(y) and (np.minimum(n[y], n[x]) > tuning.wide).any():
@@ -353,16 +383,14 @@ def _candidates(batches: Iterator[pa.RecordBatch], percent: int, tuning: Tuning)
         y, x, share = np.append(y, lone), np.append(x, lone), np.append(share, np.full(len(lone), 9.0))
         some = np.unique(np.concatenate([x, y[tried[y] > 1]]))  # lines that a later step may need
         # the closest of each line in this part
-        best = np.lexsort((share, line[y], doc[y]))
-        new = np.append(True, (doc[y[best]][1:] != doc[y[best]][:-1]) | (line[y[best]][1:] != line[y[best]][:-1]))[: len(best)]
+        best = np.lexsort((share, where[y]))
+        new = np.append(True, np.diff(where[y[best]]) > 0)[: len(best)]
         number = np.cumsum(new) - 1
         several = np.bincount(number, tried[y[best]] > 1) > 0 if len(best) else np.empty(0, bool)
         early = np.bincount(number, more[y[best]]) > 0 if len(best) else np.empty(0, bool)
         best = best[new]
         y, x, share = y[best], x[best], share[best]
-        of_part = np.lexsort((line[some], doc[some]))
-        some = some[of_part]
-        some = some[np.append(True, (doc[some][1:] != doc[some][:-1]) | (line[some][1:] != line[some][:-1]))[: len(some)]]
+        some = some[np.unique(where[some], return_index=True)[1]]
         own = [pa.array(np.append(columns[c][y], columns[c][some]).astype(t)) for c, t in zip(_LINE, (np.int64, np.int32, np.int64), strict=True)]
         none = pa.nulls(len(some), pa.int64())
         other = [
@@ -424,9 +452,8 @@ def _meetings(
 _AT_ONCE = 500_000  # words of pairs compared at a time
 
 
-def _common(words: np.ndarray, begin: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many words the sets of each pair share: keys of pair and word that occur twice."""
-    size = int(words.max()) + 1 if len(words) else 1
+def _common(words: np.ndarray, size: int, begin: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many words, numbers below ``size``, the sets of each pair share: keys of both that occur twice."""
     keys = [np.repeat(np.arange(len(r)), n[r]) * size + words[gathered(begin[r], n[r])] for r in (a, b)]
     keys = np.sort(np.concatenate(keys))
     return np.bincount(keys[1:][keys[1:] == keys[:-1]] // size, minlength=len(a))
@@ -443,19 +470,20 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
             heads.append(np.frombuffer(data, np.int64, 8 * rows, 8).reshape(8, rows))
             sets.append(np.frombuffer(data, np.uint64, -1, 8 + 64 * rows))
         head, words = np.concatenate(heads, axis=1), np.concatenate(sets)
-        words = np.unique(words, return_inverse=True)[1]  # small numbers, for keys of pair and word
-        ends = np.cumsum(head[6])
+        words = pa.array(words).dictionary_encode()  # small numbers, for keys of pair and word
+        size, words = len(words.dictionary), words.indices.to_numpy().astype(np.int64)
+        begin = np.cumsum(head[6]) - head[6]
+        bit = np.uint64(1) << (words & 63).astype(np.uint64)
+        bits = [np.bitwise_or.reduceat(np.where((words >> 6) & 1 == k, bit, np.uint64(0)), begin) for k in (0, 1)]
         by = np.lexsort((head[4], head[3], head[2], head[6], head[1], head[0]))
-        head, begin = head[:, by], (ends - head[6])[by]
+        head, begin, bits, bits2 = head[:, by], begin[by], bits[0][by], bits[1][by]
         n, asks, found = head[6], head[5] > 0, np.zeros(len(by), bool)
-        low, back = np.arange(len(by)), 0
-        while True:
-            back += 1
-            low = low[low >= back]
-            low = low[(head[:2, low - back] == head[:2, low]).all(0) & (100 * n[low - back] >= percent * n[low])]
-            if not len(low):
-                break
-            y, x = low, low - back
+        new = np.append(True, (head[:2, 1:] != head[:2, :-1]).any(0))
+        for y, x in _pairs(_reach(np.cumsum(new), n, percent)):
+            total = n[y] + n[x]  # words in one set only set other bits, or the same ones
+            apart = np.bitwise_count(bits[y] ^ bits[x]) + np.bitwise_count(bits2[y] ^ bits2[x])
+            some = np.flatnonzero(apart <= total - 2 * _least_overlap(total, percent))
+            y, x = y[some], x[some]
             late = (head[2][x] > head[2][y]) | ((head[2][x] == head[2][y]) & (head[3][x] > head[3][y]))
             y, x = np.where(late, x, y), np.where(late, y, x)
             different = (head[2][x] != head[2][y]) | (head[3][x] != head[3][y])
@@ -463,7 +491,7 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
             some = np.flatnonzero(asks[y] & ~found[y] & different & apart)
             for part in np.array_split(some, 1 + int((n[y[some]] + n[x[some]]).sum()) // _AT_ONCE):
                 a, b = y[part], x[part]
-                common = _common(words, begin, n, a, b)
+                common = _common(words, size, begin, n, a, b)
                 found[a[100 * common >= percent * (n[a] + n[b] - common)]] = True
         rows = np.unique(head[2:5, found], axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1].astype(np.int32)), pa.array(rows[2])], _LINE)
