@@ -12,12 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalog_marts.llm.groups import clustered, whole_groups
@@ -89,7 +88,7 @@ def split_lines(part: pa.RecordBatch, order: np.ndarray | None = None, marked: n
     data, offsets = utf8(part.column("text"))
     begins, text, number = _line_starts(data, offsets)
     words = hash_words(data, offsets, lower=True)
-    of_word = np.searchsorted(begins, words.starts, side="right") - 1
+    of_word = np.repeat(np.arange(len(begins)), np.diff(np.searchsorted(words.starts, begins), append=len(words.starts)))
     hashes = words.hashes
     if marked is not None:
         keep = marked[_mark(docs[text], number, MARK_BITS)][of_word] > 0
@@ -187,14 +186,18 @@ _POSTING = ["word", "chunk", "chunks", "n", "at", "bits", "bits2", "asks", "doc"
 _TYPES = ["<u1", "<u2", "<u4", "<u8"]
 
 
-def _pack(columns: list[np.ndarray], wide: np.ndarray) -> bytes:
-    parts = [np.array([len(columns[0])], "<u8").tobytes()]
+def _pack(columns: list[np.ndarray], bounds: np.ndarray, wide: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """A value for each range between bounds, with the wide bitmaps between its ends."""
+    sizes = np.diff(bounds)
+    parts = [[size.tobytes()] for size in sizes.astype("<u8")]
     for column in columns:
-        least = column.min()
-        above = (column - least).astype(np.uint64)
-        kind = next(k for k, t in enumerate(_TYPES) if int(above.max()) <= np.iinfo(t).max)
-        parts += [np.array([kind], "<u8").tobytes(), least.tobytes(), above.astype(_TYPES[kind]).tobytes()]
-    return b"".join([*parts, wide.astype("<u8").tobytes()])
+        least = np.minimum.reduceat(column, bounds[:-1])
+        above = (column - np.repeat(least, sizes)).astype(np.uint64)
+        kinds = np.searchsorted([np.iinfo(t).max for t in _TYPES[:-1]], np.maximum.reduceat(above, bounds[:-1]))
+        typed = [above.astype(t) if (kinds == k).any() else above for k, t in enumerate(_TYPES)]
+        for part, kind, low, a, b in zip(parts, kinds.tolist(), least, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            part += [kind.to_bytes(8, "little"), low.tobytes(), typed[kind][a:b].tobytes()]
+    return [b"".join([*part, wide[a:b].astype("<u8").tobytes()]) for part, a, b in zip(parts, ends[:-1], ends[1:], strict=True)]
 
 
 def _unpack(data: pa.Buffer) -> tuple[list[np.ndarray], np.ndarray]:
@@ -258,15 +261,11 @@ def _postings(
         part = (mix(columns[0] + columns[1].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         part = part[order]
-        bounds = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-        packed = []
-        for low, high in zip(bounds, [*bounds[1:], len(part)], strict=True):
-            rows = order[low:high]
-            some = rows[widths[rows] > 0]
-            own = widths[some]
-            at = np.repeat(ends[some], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
-            packed.append(_pack([c[rows] for c in columns], wide[at]))
-        yield pa.RecordBatch.from_arrays([pa.array(part[bounds]), pa.array(packed, pa.binary())], ["part", "postings"])
+        bounds = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+        wide = wide[gathered(ends[:-1][order], widths[order])]
+        ends = np.append(0, np.cumsum(widths[order]))[bounds]
+        packed = _pack([c[order] for c in columns], bounds, wide, ends)
+        yield pa.RecordBatch.from_arrays([pa.array(part[bounds[:-1]]), pa.array(packed, pa.binary())], ["part", "postings"])
 
 
 def _first_of_equal(lines: list[Lines]) -> list[np.ndarray]:
@@ -315,6 +314,11 @@ def _line_postings(lines: Lines, keep: np.ndarray, table: np.ndarray, percent: i
     }, wide
 
 
+def _each_part(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.Table]:
+    """The rows of one part after the other: unpacked they take ten times the memory."""
+    return (table.slice(low, high - low) for low, high in zip(bounds[:-1], bounds[1:], strict=True))
+
+
 def _unpacked(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
     found = [_unpack(value.as_buffer()) for value in table["postings"].combine_chunks()]
     columns = [np.concatenate([f[0][k] for f in found]) for k in range(len(_POSTING))]
@@ -334,74 +338,88 @@ def _candidates(batches: Iterator[pa.RecordBatch], percent: int, tuning: Tuning)
     ``others`` tells that there are more, which come out as rows without a partner; ``more`` that
     the search ended early or that other chunks of a word may hold some.
     """
-    for packed, _ in whole_groups(batches, ["part"]):
-        columns, wide = _unpacked(packed)
-        widths = _width(columns["n"], tuning.wide)
-        group = columns["word"] << np.uint64(32) | columns["chunk"].astype(np.uint64)
-        where = _in_order(columns["doc"], columns["line"])
-        by = np.lexsort((where, columns["n"], group))
-        offset, widths = (np.cumsum(widths) - widths)[by], widths[by]
-        columns, group, where = {c: v[by] for c, v in columns.items()}, group[by], where[by]
-        n, at, bits, bits2, hashes = (columns[c] for c in ("n", "at", "bits", "bits2", "hash"))
-        asks = columns["asks"] > 0
-        tried, closed, stopped = np.zeros(len(by), np.int64), ~asks, np.zeros(len(by), bool)
-        # pairs of rows of a group whose lengths agree: a row and the ones before it, by length
-        margin = np.arange(2 * int(n.max()) + 1 if len(n) else 1)
-        margin = (margin - 2 * _least_overlap(margin, percent)).astype(np.int32)  # by words of both
-        short = n.astype(np.int32)
-        ys, xs, shares = [], [], []
-        for y, x in _pairs(_reach(group, n, percent)):
-            apart = np.bitwise_count(bits[y] ^ bits[x]) + np.bitwise_count(bits2[y] ^ bits2[x])
-            allowed = margin[short[y] + short[x]]
-            some = np.flatnonzero(apart <= allowed)
-            y, x, apart, allowed = y[some], x[some], apart[some].astype(np.int64), allowed[some].astype(np.int64)
-            late = where[x] > where[y]
-            y, x = np.where(late, x, y), np.where(late, y, x)  # the later line asks
-            some = ~closed[y]
-            y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
-            least = _least_overlap(n[y] + n[x], percent)
-            some = np.minimum(at[y], at[x]) + np.minimum(n[y] - at[y], n[x] - at[x]) >= least
-            y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
-            if len(y) and (np.minimum(n[y], n[x]) > tuning.wide).any():
-                apart = np.maximum(apart, _apart(wide, offset, widths, y, x))
-                some = apart <= allowed
-                y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
-            # an earlier line with the same words: this one goes by that rule alone
-            equal = (hashes[y] == hashes[x]) & (apart == 0) & (n[y] == n[x])
-            ys.append(y[~equal])
-            xs.append(x[~equal])
-            shares.append((apart / np.maximum(allowed, 1))[~equal])
-            closed[y[equal]] = True
-            np.add.at(tried, y, 1)
-            strong = (apart <= tuning.likely * allowed) & (np.minimum(n[y], n[x]) >= tuning.long) & ~equal
-            enough = y[strong & (tried[y] >= tuning.tries)]
-            closed[enough] = stopped[enough] = True
-        y, x = (np.concatenate([*v, np.empty(0, np.int64)]) for v in (ys, xs))
-        share = np.concatenate([*shares, np.empty(0)])
-        more = stopped | (columns["chunks"] > 1)
-        lone = np.flatnonzero(asks & (columns["chunks"] > 1) & (tried == 0))
-        y, x, share = np.append(y, lone), np.append(x, lone), np.append(share, np.full(len(lone), 9.0))
-        some = np.unique(np.concatenate([x, y[tried[y] > 1]]))  # lines that a later step may need
-        # the closest of each line in this part
-        best = np.lexsort((share, where[y]))
-        new = np.append(True, np.diff(where[y[best]]) > 0)[: len(best)]
-        number = np.cumsum(new) - 1
-        several = np.bincount(number, tried[y[best]] > 1) > 0 if len(best) else np.empty(0, bool)
-        early = np.bincount(number, more[y[best]]) > 0 if len(best) else np.empty(0, bool)
-        best = best[new]
-        y, x, share = y[best], x[best], share[best]
-        some = some[np.unique(where[some], return_index=True)[1]]
-        own = [pa.array(np.append(columns[c][y], columns[c][some]).astype(t)) for c, t in zip(_LINE, (np.int64, np.int32, np.int64), strict=True)]
+    for table, bounds in whole_groups(batches, ["part"]):
+        found = [_closest_in_part(part, percent, tuning) for part in _each_part(table, bounds)]
+        pairs = _closest([np.concatenate(c) for c in zip(*(f[0] for f in found), strict=True)])
+        doc, line, hashes = (np.concatenate(c) for c in zip(*(f[1] for f in found), strict=True))
+        some = np.unique(_in_order(doc, line), return_index=True)[1]
         none = pa.nulls(len(some), pa.int64())
-        other = [
-            pa.concat_arrays([pa.array(columns[c][x].astype(np.int64)), none]).cast(t)
-            for c, t in zip(_LINE, (pa.int64(), pa.int32(), pa.int64()), strict=True)
-        ]
-        nothing = np.zeros(len(some), bool)
-        yield pa.RecordBatch.from_arrays([
-            *own, *other, pa.array(np.append(share, np.zeros(len(some)))),
-            pa.array(np.append(several, nothing)), pa.array(np.append(early, nothing)),
-        ], [*_LINE, "doc2", "line2", "hash2", "apart", "others", "more"])
+        own = [pa.array(np.append(a, b[some])) for a, b in zip(pairs[:3], (doc, line, hashes), strict=True)]
+        other = [pa.concat_arrays([pa.array(c), none]) for c in pairs[3:6]]
+        rest = [pa.array(np.append(c, np.zeros(len(some), c.dtype))) for c in pairs[6:]]
+        columns = [c.cast(t) for c, t in zip([*own, *other], 2 * (pa.int64(), pa.int32(), pa.int64()), strict=True)]
+        yield pa.RecordBatch.from_arrays([*columns, *rest], [*_LINE, "doc2", "line2", "hash2", "apart", "others", "more"])
+
+
+def _closest(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """One row of each line's candidates, the closest; the columns are those of ``_CANDIDATE``."""
+    doc, line, _, doc2, line2, _, apart, others, more = rows
+    own, other = _in_order(doc, line), _in_order(doc2, line2)
+    by = np.lexsort((apart, own))
+    low = np.flatnonzero(np.append(True, np.diff(own[by]) > 0)[: len(by)])
+    if not len(low):
+        return rows
+    differ = other[by] != np.repeat(other[by][low], np.diff(low, append=len(by)))
+    best = [c[by[low]] for c in rows[:7]]
+    return [*best, np.logical_or.reduceat(others[by] | differ, low), np.logical_or.reduceat(more[by], low)]
+
+
+def _closest_in_part(packed: pa.Table, percent: int, tuning: Tuning) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The closest candidates in a part, and the lines that a later step may need."""
+    columns, wide = _unpacked(packed)
+    widths = _width(columns["n"], tuning.wide)
+    group = columns["word"] << np.uint64(32) | columns["chunk"].astype(np.uint64)
+    where = _in_order(columns["doc"], columns["line"])
+    if columns["chunk"].any() or columns["n"].max(initial=0) >> 32:
+        by = np.lexsort((columns["n"], group))
+    else:
+        by = np.argsort(group | columns["n"].astype(np.uint64))
+    offset, widths = (np.cumsum(widths) - widths)[by], widths[by]
+    columns, group, where = {c: v[by] for c, v in columns.items()}, group[by], where[by]
+    n, at, bits, bits2, hashes = (columns[c] for c in ("n", "at", "bits", "bits2", "hash"))
+    asks = columns["asks"] > 0
+    tried, closed, stopped = np.zeros(len(by), np.int64), ~asks, np.zeros(len(by), bool)
+    # pairs of rows of a group whose lengths agree: a row and the ones before it, by length
+    margin = np.arange(2 * int(n.max()) + 1 if len(n) else 1)
+    margin = (margin - 2 * _least_overlap(margin, percent)).astype(np.int32)  # by words of both
+    short = n.astype(np.int32)
+    ys, xs, shares = [], [], []
+    for y, x in _pairs(_reach(group, n, percent)):
+        apart = np.bitwise_count(bits[y] ^ bits[x]) + np.bitwise_count(bits2[y] ^ bits2[x])
+        allowed = margin[short[y] + short[x]]
+        some = np.flatnonzero(apart <= allowed)
+        y, x, apart, allowed = y[some], x[some], apart[some].astype(np.int64), allowed[some].astype(np.int64)
+        late = where[x] > where[y]
+        y, x = np.where(late, x, y), np.where(late, y, x)  # the later line asks
+        some = ~closed[y]
+        y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
+        least = _least_overlap(n[y] + n[x], percent)
+        some = np.minimum(at[y], at[x]) + np.minimum(n[y] - at[y], n[x] - at[x]) >= least
+        y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
+        if len(y) and (np.minimum(n[y], n[x]) > tuning.wide).any():
+            apart = np.maximum(apart, _apart(wide, offset, widths, y, x))
+            some = apart <= allowed
+            y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
+        # an earlier line with the same words: this one goes by that rule alone
+        equal = (hashes[y] == hashes[x]) & (apart == 0) & (n[y] == n[x])
+        ys.append(y[~equal])
+        xs.append(x[~equal])
+        shares.append((apart / np.maximum(allowed, 1))[~equal])
+        closed[y[equal]] = True
+        np.add.at(tried, y, 1)
+        strong = (apart <= tuning.likely * allowed) & (np.minimum(n[y], n[x]) >= tuning.long) & ~equal
+        enough = y[strong & (tried[y] >= tuning.tries)]
+        closed[enough] = stopped[enough] = True
+    y, x = (np.concatenate([*v, np.empty(0, np.int64)]) for v in (ys, xs))
+    share = np.concatenate([*shares, np.empty(0)])
+    more = stopped | (columns["chunks"] > 1)
+    lone = np.flatnonzero(asks & (columns["chunks"] > 1) & (tried == 0))
+    y, x, share = np.append(y, lone), np.append(x, lone), np.append(share, np.full(len(lone), 9.0))
+    some = np.concatenate([x, y[tried[y] > 1]])
+    some = some[np.unique(where[some], return_index=True)[1]]
+    lines = [columns[c].astype(np.int64) for c in _LINE]
+    pairs = _closest([*(c[y] for c in lines), *(c[x] for c in lines), share, tried[y] > 1, more[y]])
+    return pairs, [c[some] for c in lines]
 
 
 _MEETING = "part long, lines binary"
@@ -462,7 +480,7 @@ def _common(words: np.ndarray, size: int, begin: np.ndarray, n: np.ndarray, a: n
 @tidied
 def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The asking lines that a line before them in their group is similar to."""
-    for table, _ in whole_groups(batches, ["part"]):
+    for table in (part for found in whole_groups(batches, ["part"]) for part in _each_part(*found)):
         heads, sets = [], []
         for value in table["lines"].combine_chunks():
             data = value.as_buffer()
@@ -508,7 +526,7 @@ def _line_sets(batches: Iterator[pa.RecordBatch], marked) -> Iterator[pa.RecordB
 
 
 def _posted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for packed, _ in whole_groups(batches, ["part"]):
+    for packed in (part for found in whole_groups(batches, ["part"]) for part in _each_part(*found)):
         columns, _ = _unpacked(packed)
         rows = np.unique(np.stack([columns["doc"], columns["line"]]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1].astype(np.int32))], ["doc", "line"])
@@ -624,38 +642,36 @@ def deduplicate_lines(
     again = docs.groupBy(F.col(key).cast("long").alias("doc")).agg(F.count(F.lit(1)).alias("_rows"))
     again = again.where("_rows > 1")
     gone = gone.withColumnRenamed("doc", "_doc")
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]  # kept together, whatever their names
-    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    joined = joined.join(gone, F.col("_key") == F.col("_doc"), "left")
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    own = {c: f"_column{i}" for i, c in enumerate(columns) if c != text}  # whatever their names; the text goes once
+    joined = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in own.items()], F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
+    joined = joined.join(gone.hint("shuffle_hash"), F.col("_key") == F.col("_doc"), "left")
     lines = F.col("_gone")
     if not again.isEmpty():  # rows that share a key may have other texts: compare the lines' words
         joined = joined.join(again.withColumnRenamed("doc", "_shared"), F.col("_key") == F.col("_shared"), "left")
         shared = F.col("_shared").isNotNull()
-        own = F.arrow_udf(_own_lines, "array<struct<line:int,hash:bigint>>")(F.when(shared, F.col("_text")))
-        lines = F.when(shared, F.array_intersect(own, lines)).otherwise(lines)
+        hashed = F.arrow_udf(_own_lines, "array<struct<line:int,hash:bigint>>")(F.when(shared, F.col("_text")))
+        lines = F.when(shared, F.array_intersect(hashed, lines)).otherwise(lines)
     joined = joined.withColumn("_lines", F.coalesce(lines["line"], F.array().cast("array<int>")))
-    shortened = F.arrow_udf(_without, "string")(F.when(F.size("_lines") > 0, F.col("_text")), F.col("_lines"))
-    breaks = F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("\n")))
+    breaks = F.octet_length("_text") - F.octet_length(F.replace(F.col("_text"), F.lit("\n")))
     joined = joined.withColumns({
         "_breaks": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
-        "_text": F.when(F.size("_lines") > 0, shortened).otherwise(F.col("_text")),
+        "_text": F.when(F.size("_lines") > 0, _without(F.col("_text"), F.col("_lines"))).otherwise(F.col("_text")),
     })
-    kept = [F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in columns]
+    kept = [F.col(own.get(c, "_text")).alias(c) for c in columns]
     return joined.select(*kept, F.col("_breaks").alias("n_lines"), F.size("_lines").cast("long").alias("n_removed"))
 
 
-def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
-    """Texts without the lines of these numbers, in time that grows with their length."""
-    out = []
-    for value, numbers in zip(texts, gone, strict=True):
-        value = value.as_py()
-        if value is not None:
-            parts = value.split("\n")
-            kept = np.ones(len(parts), bool)
-            kept[numbers.values.to_numpy(zero_copy_only=False)] = False
-            value = "\n".join(compress(parts, kept.tolist()))
-        out.append(value)
-    return pa.array(out, pa.string())
+def _without(text: Column, gone: Column) -> Column:
+    """The text without the lines of these numbers, in time that grows with its length.
+
+    The lines are bound to a variable, so that the text is split once and not for every line.
+    """
+    def rest(v: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(v["lines"]) - 1), v["gone"])
+        return F.array_join(F.transform(kept, lambda i: F.get(v["lines"], i)), "\n")
+
+    return F.transform(F.array(F.struct(F.split(text, "\n", -1).alias("lines"), gone.alias("gone"))), rest)[0]
 
 
 def _own_lines(texts: pa.Array) -> pa.Array:

@@ -43,12 +43,11 @@ class Tally:
         self.counts = np.zeros(1 << bits, np.uint32)
 
     def add(self, place: np.ndarray, n: np.ndarray | None = None) -> None:
-        place = place.astype(np.int32)
         if n is None:
-            place, n = np.unique(place, return_counts=True)
-        else:
-            place, inverse = np.unique(place, return_inverse=True)
-            n = np.bincount(inverse, n, len(place))
+            np.add.at(self.counts, place, np.uint32(1))
+            return
+        place, inverse = np.unique(place.astype(np.int32), return_inverse=True)
+        n = np.bincount(inverse, n, len(place))
         self.counts[place] += n.astype(np.uint32)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
