@@ -43,6 +43,10 @@ def crew_rollup(
     found by a count, which runs when this is called. Theirs are range-partitioned by title, order
     and name, so that one title's credits lie in many tasks, also without billing positions or with
     equal ones; each task strings a piece together, and the last one only joins finished pieces.
+
+    The join leaves a title's credits in as many tasks as it has people, so lists begun there would
+    hold one name each, and be sorted, packed and unpacked for nothing: the plain rows are brought
+    together by title, and the lists are made once. Other titles pass as one row each.
     """
     listed_categories = sorted(set(chain.from_iterable(roles.values())))
     is_listed = F.col("category").isin(listed_categories)
@@ -54,7 +58,7 @@ def crew_rollup(
         .join(people, "name_id", "left")
         .drop("name_id")
     )
-    others = principals.where(~is_listed | F.col("category").isNull()).select("title_id")
+    others = principals.where(~is_listed | F.col("category").isNull()).select("title_id").distinct()
     credits = listed.unionByName(others, allowMissingColumns=True)
 
     in_role = {
@@ -70,10 +74,10 @@ def crew_rollup(
     counts = principals.groupBy("title_id").agg(F.count(F.lit(1)).alias("_credits"))
     big = scratch_copy(counts.where(F.col("_credits") > large).select(F.col("title_id").alias("_big")), "large-casts")
     if big.isEmpty():
-        found = lists(credits, ["title_id"], billing)
+        found = lists(credits.repartition("title_id"), ["title_id"], billing)
     else:
         same = F.col("title_id").eqNullSafe(F.col("_big"))
-        found = lists(credits.join(big, same, "left_anti"), ["title_id"], billing)
+        found = lists(credits.join(big, same, "left_anti").repartition("title_id"), ["title_id"], billing)
         found = found.unionByName(lists(_pieces(credits.join(big, same, "left_semi"), lists, billing), ["title_id"], "_span"))
     return found.select("title_id", *[F.coalesce(F.col(f"`{role}`"), F.lit("")).alias(role) for role in roles])
 
@@ -95,14 +99,15 @@ def region_rollup(akas: DataFrame, distinct: bool = False) -> DataFrame:
     ``region_count`` counts different regions.
 
     Occurrences are counted per title and region first, which combines before the shuffle, so
-    even a title with a third of all rows sends only one row per region to its list.
+    even a title with a third of all rows sends only one row per region to its list. These rows are
+    brought together by title before the lists are made, which are then made once.
     """
     known = F.col("region").isNotNull() & (F.col("region") != NO_REGION)
     per_region = (
         akas.where(known).groupBy("title_id", "region").agg(F.count(F.lit(1)).alias("_n"))
     )
     text = "region" if distinct else "array_join(array_repeat(region, cast(_n as int)), ',')"
-    return per_region.groupBy("title_id").agg(
+    return per_region.repartition("title_id").groupBy("title_id").agg(
         _listed(text, "region").alias("regions"),
         F.count(F.lit(1)).alias("region_count"),
     )

@@ -213,6 +213,29 @@ def test_region_counts_combine_before_the_shuffle(spark, silver):
     assert re.search(r"partial_count\(1\)", plan) and "collect_set" not in plan
 
 
+def test_lists_are_made_once_from_rows_brought_together_by_title(spark, conf):
+    """Lists begun before the shuffle would hold a name or a region each, packed and unpacked for nothing."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    principals = spark.createDataFrame(
+        [("a", 2, "n1", "actor"), ("a", None, "n2", "actress"), ("a", 1, "n1", "director"), ("b", 1, "n1", "writer"),
+         ("b", 2, "n9", "writer"), ("c", 1, "n9", "producer"), ("d", 1, "n1", None), (None, 1, "n2", "actor"),
+         (None, None, "n1", "writer")], "title_id string, ordering int, name_id string, category string")
+    names = spark.createDataFrame([("n1", "Ann"), ("n2", "Bob"), ("n2", "Bob"), (None, "Cy")], "name_id string, primary_name string")
+    akas = spark.createDataFrame([("a", "US"), ("a", "FR"), ("a", "US"), ("b", None), ("b", "Unknown"), (None, "FR")],
+                                 "title_id string, region string")
+    crew, regions = crew_rollup(principals, names), region_rollup(akas)
+    for lists in (crew, regions):
+        made = re.findall(r"functions=\[listagg\([^\n]*\n([^\n]*)", executed_plan(lists))
+        assert len(made) == 1 and "partial_listagg" in made[0]
+    assert rows(crew.select("title_id", "actors", "directors", "producers")) == rows(spark.createDataFrame(
+        [("a", "Bob,Bob,Ann", "Ann", ""), ("b", "", "", ""), ("c", "", "", ""), ("d", "", "", ""), (None, "Bob,Bob", "", "")], crew.schema))
+    assert rows(regions) == rows(spark.createDataFrame([("a", "FR,US,US", 2), (None, "FR", 1)], regions.schema))
+    exchanges = lambda df: executed_plan(df).count("Exchange hashpartitioning(title_id")
+    counted = principals.groupBy("title_id").count()  # and a join by title takes the lists from where they are
+    joined = counted.join(crew, "title_id", "left").join(regions, "title_id", "left")
+    assert exchanges(joined) == exchanges(counted) + exchanges(crew) + exchanges(regions)
+
+
 # ---- ranks ----------------------------------------------------------------------------------
 
 
