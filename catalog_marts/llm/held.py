@@ -6,7 +6,9 @@ caches of every operator that it has worked for.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from functools import wraps
 from typing import Any
 
@@ -15,6 +17,13 @@ import pyarrow as pa
 _held: dict[tuple, Any] = {}
 
 
+def _give_back() -> None:
+    """Memory that is free goes back to the system: idle workers would keep some 100 MB of it."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def held(key: tuple, build: Callable[[], Any]) -> Any:
     """What was built for ``key``, kept until another key is asked for."""
     pa.default_memory_pool().release_unused()  # what earlier tasks' batches took: hundreds of MB
@@ -27,7 +36,7 @@ def held(key: tuple, build: Callable[[], Any]) -> Any:
 def release() -> None:
     """Called by tasks that need their memory for other things."""
     _held.clear()
-    pa.default_memory_pool().release_unused()
+    _give_back()
 
 
 def tidied(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
@@ -38,6 +47,6 @@ def tidied(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterat
         try:
             yield from run(*args, **options)
         finally:
-            pa.default_memory_pool().release_unused()
+            _give_back()
 
     return task

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalog_marts.llm.groups import clustered, whole_groups
+from catalog_marts.llm.groups import whole_groups
 from catalog_marts.llm.held import release, tidied
 from catalog_marts.llm.segments import gathered
 from catalog_marts.llm.sketch import Tally, build_table, decoded, places
@@ -364,6 +364,29 @@ def _closest(rows: list[np.ndarray]) -> list[np.ndarray]:
     return [*best, np.logical_or.reduceat(others[by] | differ, low), np.logical_or.reduceat(more[by], low)]
 
 
+class _Nearest:
+    """The closest partner of each row, the first one of equals; pairs go as soon as they are seen.
+
+    Of a line with many variants there are as many pairs as the square of their number.
+    """
+
+    def __init__(self, rows: int):
+        self.share, self.partner, self.when, self.seen = np.full(rows, np.inf), np.zeros(rows, np.int64), np.zeros(rows, np.int64), 0
+
+    def add(self, y: np.ndarray, x: np.ndarray, share: np.ndarray) -> None:
+        closer = np.flatnonzero(share < self.share[y])
+        np.minimum.at(self.share, y[closer], share[closer])
+        best = closer[share[closer] == self.share[y[closer]]][::-1]  # the first one is stored last
+        self.partner[y[best]], self.when[y[best]] = x[best], self.seen + best
+        self.seen += len(y)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, partners and shares, in the order in which they were seen."""
+        rows = np.flatnonzero(self.share < np.inf)
+        rows = rows[np.argsort(self.when[rows])]
+        return rows, self.partner[rows], self.share[rows]
+
+
 def _closest_in_part(packed: pa.Table, percent: int, tuning: Tuning) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """The closest candidates in a part, and the lines that a later step may need."""
     columns, wide = _unpacked(packed)
@@ -383,8 +406,11 @@ def _closest_in_part(packed: pa.Table, percent: int, tuning: Tuning) -> tuple[li
     margin = np.arange(2 * int(n.max()) + 1 if len(n) else 1)
     margin = (margin - 2 * _least_overlap(margin, percent)).astype(np.int32)  # by words of both
     short = n.astype(np.int32)
-    ys, xs, shares = [], [], []
+    nearest, needed = _Nearest(len(by)), np.zeros(len(by), bool)
     for y, x in _pairs(_reach(group, n, percent)):
+        if 2 * np.count_nonzero(closed) > len(closed):
+            some = np.flatnonzero(~(closed[y] & closed[x]))
+            y, x = y[some], x[some]
         apart = np.bitwise_count(bits[y] ^ bits[x]) + np.bitwise_count(bits2[y] ^ bits2[x])
         allowed = margin[short[y] + short[x]]
         some = np.flatnonzero(apart <= allowed)
@@ -402,20 +428,19 @@ def _closest_in_part(packed: pa.Table, percent: int, tuning: Tuning) -> tuple[li
             y, x, apart, allowed = y[some], x[some], apart[some], allowed[some]
         # an earlier line with the same words: this one goes by that rule alone
         equal = (hashes[y] == hashes[x]) & (apart == 0) & (n[y] == n[x])
-        ys.append(y[~equal])
-        xs.append(x[~equal])
-        shares.append((apart / np.maximum(allowed, 1))[~equal])
+        nearest.add(y[~equal], x[~equal], (apart / np.maximum(allowed, 1))[~equal])
+        needed[x[~equal]] = True
         closed[y[equal]] = True
         np.add.at(tried, y, 1)
         strong = (apart <= tuning.likely * allowed) & (np.minimum(n[y], n[x]) >= tuning.long) & ~equal
         enough = y[strong & (tried[y] >= tuning.tries)]
         closed[enough] = stopped[enough] = True
-    y, x = (np.concatenate([*v, np.empty(0, np.int64)]) for v in (ys, xs))
-    share = np.concatenate([*shares, np.empty(0)])
+    y, x, share = nearest.pairs()
     more = stopped | (columns["chunks"] > 1)
     lone = np.flatnonzero(asks & (columns["chunks"] > 1) & (tried == 0))
     y, x, share = np.append(y, lone), np.append(x, lone), np.append(share, np.full(len(lone), 9.0))
-    some = np.concatenate([x, y[tried[y] > 1]])
+    needed[lone] = needed[y[tried[y] > 1]] = True
+    some = np.flatnonzero(needed)
     some = some[np.unique(where[some], return_index=True)[1]]
     lines = [columns[c].astype(np.int64) for c in _LINE]
     pairs = _closest([*(c[y] for c in lines), *(c[x] for c in lines), share, tried[y] > 1, more[y]])
@@ -584,9 +609,14 @@ def repeated_lines(
 
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def dealt(packed: DataFrame) -> DataFrame:
+        """As many parts in each partition: by hash some would have three times as many, and a task holds them all."""
+        dealt = packed.repartitionById(parts // 4, F.pmod("part", F.lit(parts // 4)).cast("int"))
+        return dealt.sortWithinPartitions("part")
+
     def postings(again=None) -> DataFrame:
         packed = partial(_postings, table=table, percent=percent, parts=parts, tuning=tuning, again=again)
-        return clustered(rows.mapInArrow(packed, "part long, postings binary"), ["part"])
+        return dealt(rows.mapInArrow(packed, "part long, postings binary"))
 
     def meet(sets: DataFrame, asking: DataFrame) -> DataFrame:
         """Asking lines with a similar line before them among the lines of ``sets``."""
@@ -595,7 +625,7 @@ def repeated_lines(
         asked = share(marks(marked.where("asks"), _marked_words))
         packed = partial(_meetings, table=table, percent=percent, parts=parts, tuning=tuning, asked=asked)
         packed = marked.mapInArrow(packed, _MEETING)
-        return clustered(packed, ["part"]).mapInArrow(partial(_met, percent=percent), _LINE_TYPE)
+        return dealt(packed).mapInArrow(partial(_met, percent=percent), _LINE_TYPE)
 
     tried = postings().mapInArrow(partial(_candidates, percent=percent, tuning=tuning), _CANDIDATE)
     tried = scratch_copy(tried, "tried")
