@@ -1,16 +1,19 @@
 """Near-duplicate vectors by an inverted multi-index.
 
 Two codebooks, one for each half of the vectors, form a grid of cells; a vector lies in the cell
-of its nearest codewords. A vector visits cells in the order of a lower bound of their distance,
-the multi-sequence of the two halves' bounds, as far as the squared distance of vectors exactly at
-the limit of similarity, so no cell that can hold a neighbour is left out. Of two cells that can
-hold neighbours of each other one is enough to meet in. What stands in the cells visited is
-compared exactly.
+of its nearest codewords. A vector visits the cells of which a lower bound of their distance, the
+sum of the two halves' bounds, is at most the squared distance of vectors exactly at the limit of
+similarity, so no cell that can hold a neighbour is left out. What stands in the cells visited is
+compared, first in single precision with room for its error, then exactly.
+
+The cells of a label stand in blocks of neighbouring cells. A vector travels to its own block and
+once to each block with a cell to visit, not to each cell; of two blocks that can hold neighbours of
+each other one is enough to meet in. A label has few blocks, each as large as a task can hold, so
+what travels stays a few times the vectors, also where distances rule out no cell.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +23,17 @@ from pyspark.sql import functions as F
 
 from catalog_marts.llm.components import connected_components
 from catalog_marts.llm.groups import clustered, whole_groups
-from catalog_marts.llm.vectors import finite, lists_of, packed, rows_of
+from catalog_marts.llm.held import release, tidied
+from catalog_marts.llm.vectors import finite, packed, rows_of
 from catalog_marts.sources import scratch_copy
 
 SAMPLE = 8192  # vectors that the codebooks are fitted on
 PER_CELL = 512  # vectors for which a cell is planned
 MAX_WORDS = 128  # of a codebook
-CHUNK = 4096  # vectors and visitors of a cell that one task compares
+CHUNK = 4096  # vectors of a label from which it has several blocks
+SPREAD = 4  # blocks of a label, if one task could hold them all: each vector travels 2.5 times
+HELD = 1 << 24  # components of a block's vectors: 64 MB in single precision
+TILE = 1024  # vectors compared with as many others at once
 
 
 class Codebooks:
@@ -38,34 +45,38 @@ class Codebooks:
         self.books = [_fit(part, words, random) for part in self.split(sample)]
         self.reach = max(0.0, 2 * (1 - cosine)) + 1e-9  # squared distance at the limit; rounding
 
+    @classmethod
+    def flat(cls) -> Codebooks:
+        """One cell, for lengths without a sample."""
+        books = cls.__new__(cls)
+        books.half, books.books, books.reach = 0, [np.zeros((1, 0))] * 2, 0.0
+        return books
+
     def split(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return unit[:, : self.half], unit[:, self.half :]
 
-    def visits(self, unit: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
-        """Own cell, and the cells to visit, nearest first (the own one leads), of each vector.
+    @property
+    def cells(self) -> int:
+        return len(self.books[0]) * len(self.books[1])
 
-        Of two vectors that could visit each other's cells one does, or both.
-        """
+    def bounds(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bounds of the distance to the codewords of either half, and own cells."""
         (one, first), (two, second) = (_bounds(x, book) for x, book in zip(self.split(unit), self.books, strict=True))
+        return one, two, first * len(self.books[1]) + second
+
+    def within(self, one: np.ndarray, two: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Which of these cells each vector has to visit."""
         width = len(self.books[1])
-        homes, total = first * width + second, len(self.books[0]) * width
+        return one[:, cells // width] + two[:, cells % width] <= self.reach
+
+    def visits(self, unit: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+        """Own cell, and the cells to visit, nearest first (the own one leads), of each vector."""
+        one, two, homes = self.bounds(unit)
         found = []
-        for home, a, b in zip(homes.tolist(), one, two, strict=True):
-            order_a, order_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
-            sorted_a, sorted_b = a[order_a], b[order_b]
-            cells, heap = [], [(0.0, 0, 0)]
-            while heap:  # multi-sequence traversal of the grid
-                bound, i, j = heapq.heappop(heap)
-                if bound > self.reach:
-                    break
-                cell = int(order_a[i]) * width + int(order_b[j])
-                if 2 * ((cell - home) % total) <= total:  # half of all cells, as seen from the own one
-                    cells.append(cell)
-                if j + 1 < len(sorted_b):
-                    heapq.heappush(heap, (sorted_a[i] + sorted_b[j + 1], i, j + 1))
-                if j == 0 and i + 1 < len(sorted_a):
-                    heapq.heappush(heap, (sorted_a[i + 1] + sorted_b[0], i + 1, 0))
-            found.append(cells)
+        for a, b, home in zip(one, two, homes.tolist(), strict=True):
+            cells = np.flatnonzero(self.within(a[None], b[None], np.arange(self.cells))[0])
+            near = (a[:, None] + b).ravel()[cells]
+            found.append(cells[np.lexsort((near, cells != home))].tolist())
         return homes, found
 
 
@@ -107,54 +118,158 @@ def _by_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(lengths == dim))
 
 
-def _compare(cosine: float):
-    """Links of each visitor with the vectors of a cell, counted; and links that connect them."""
+def _blocks(n: int, dim: int) -> int:
+    """How many blocks the vectors of a label and length are cut into."""
+    return max(-(-n * dim // HELD), min(SPREAD, -(-n // CHUNK)))
+
+
+def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where blocks end, from the vectors of each cell: a cell, and which share of its vectors."""
+    for table, bounds in whole_groups(batches, ["label", "dim"]):
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            home, n = (table[c].to_numpy()[low:high] for c in ("home", "n"))
+            dim, ends = table["dim"][low].as_py(), np.cumsum(n)
+            blocks = _blocks(int(ends[-1]), dim)
+            cuts = np.arange(1, blocks) * (ends[-1] / blocks)
+            at = np.searchsorted(ends, cuts, side="right")
+            borders = home[at] + (cuts - ends[at] + n[at]) / n[at]
+            yield pa.RecordBatch.from_arrays(
+                [table["label"].combine_chunks()[low : low + 1], pa.array([dim], pa.int32()), pa.array([borders], pa.list_(pa.float64()))],
+                ["label", "dim", "borders"],
+            )
+
+
+def _visited(book: Codebooks, one: np.ndarray, two: np.ndarray, place: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Own block of each vector, and the other blocks that it visits; of two blocks one visits."""
+    own, blocks = np.searchsorted(borders, place, side="right"), len(borders) + 1
+    first, last = np.append(0, borders.astype(np.int64)), np.append(borders.astype(np.int64), book.cells - 1)
+    ahead = (own[:, None] - np.arange(blocks)) % blocks
+    visited = (2 * ahead < blocks) & (ahead > 0) | (2 * ahead == blocks) & (own[:, None] > np.arange(blocks))
+    for block, (a, b) in enumerate(zip(first, last, strict=True)):
+        some = np.flatnonzero(visited[:, block])
+        for rows in np.array_split(some, 1 + len(some) * int(b - a + 1) // (1 << 22)):
+            visited[rows, block] = book.within(one[rows], two[rows], np.arange(a, b + 1)).any(1)
+    return own, visited
+
+
+class _Block:
+    """The vectors of a block, and their links with each other and with its visitors."""
+
+    def __init__(self, raw: np.ndarray, key, id, copies, home, book: Codebooks | None, cosine: float):
+        self.raw, self.key, self.id, self.copies, self.home, self.book, self.cosine = raw, key, id, copies, home, book, cosine
+        self.low = np.float32(cosine - (raw.shape[1] + 8) * 2.0**-23)  # room for the error of single precision
+        self.unit = np.concatenate([_unit(raw[a : a + TILE].astype(float)).astype(np.float32) for a in range(0, len(raw), TILE)])
+        self.n, self.reached, self.links = np.zeros(len(raw)), id.copy(), []
+
+    def among(self) -> None:
+        for low in range(0, len(self.raw), TILE):
+            rows = slice(low, low + TILE)
+            self._meet(_unit(self.raw[rows].astype(float)), self.copies[rows], self.n[rows], self.reached[rows], low)
+
+    def visited(self, raw: np.ndarray, id: np.ndarray, copies: np.ndarray) -> np.ndarray:
+        """Links of visitors, counted."""
+        n, reached = np.zeros(len(raw)), id.copy()
+        for low in range(0, len(raw), TILE):
+            rows = slice(low, low + TILE)
+            self._meet(_unit(raw[rows].astype(float)), copies[rows], n[rows], reached[rows])
+        return n
+
+    def _meet(self, unit: np.ndarray, copies: np.ndarray, n: np.ndarray, reached: np.ndarray, begin: int = -1) -> None:
+        """``begin``: where the vectors stand themselves; they meet those after them."""
+        if self.book:
+            one, two, _ = self.book.bounds(unit)
+        single = unit.astype(np.float32)
+        for low in range(max(begin, 0), len(self.raw), TILE):
+            x, rows = slice(low, low + TILE), np.arange(len(unit))
+            if self.book:
+                rows = np.flatnonzero(self.book.within(one, two, np.unique(self.home[x])).any(1))
+            if not len(rows):
+                continue
+            near = (single if len(rows) == len(unit) else single[rows]) @ self.unit[x].T
+            if near.max() < self.low:
+                continue
+            i, j = np.nonzero(near >= self.low)
+            if low == begin:
+                i, j = (v[j > rows[i]] for v in (i, j))
+            i = rows[i]
+            link = self._linked(unit, i, j, x)
+            i, j = i[link], j[link]
+            if not len(i):
+                continue
+            n += np.bincount(i, self.copies[x][j], len(unit))
+            self.n[x] += np.bincount(j, copies[i], len(self.id[x]))
+            self._connect(reached, i, self.reached[x], j)
+
+    def _linked(self, unit: np.ndarray, i: np.ndarray, j: np.ndarray, x: slice) -> np.ndarray:
+        of, at = np.unique(j, return_inverse=True)
+        other = _unit(self.raw[x][of].astype(float))
+        if 8 * len(i) > len(unit) * len(of):
+            return (unit @ other.T)[i, at] >= self.cosine
+        parts = np.array_split(np.arange(len(i)), 1 + len(i) * unit.shape[1] // (1 << 20))
+        return np.concatenate([np.einsum("ij,ij->i", unit[i[p]], other[at[p]]) for p in parts]) >= self.cosine
+
+    def _connect(self, a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> None:
+        """Linked rows get the smallest id that either has; what that changes is a link to give on."""
+        of_a, of_b = np.unique(i), np.unique(j)
+        before = np.concatenate([a[of_a], b[of_b]])
+        while (a[i] != b[j]).any():
+            least = np.minimum(a[i], b[j])
+            np.minimum.at(a, i, least)
+            np.minimum.at(b, j, least)
+        after = np.concatenate([a[of_a], b[of_b]])
+        changed = np.unique(np.stack([before, after])[:, before != after], axis=1)
+        if changed.size:
+            self.links.append(changed)
+
+    def found(self, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        """The links to give on so far, and these counts."""
+        a, b = np.concatenate([*self.links, np.empty((2, 0), np.int64)], axis=1)
+        self.links = []
+        key, n = key[n > 0], np.rint(n[n > 0]).astype(np.int64)
+        none = [pa.nulls(len(v), pa.int64()) for v in (key, a)]
+        columns = [pa.concat_arrays([pa.array(v), none[0]]) for v in (a, b)] + [pa.concat_arrays([none[1], pa.array(v)]) for v in (key, n)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "key", "n"])
+
+
+def _compare(books, cosine: float):
+    """Links of the vectors of a block with each other and with its visitors, counted; and links
+    that connect them. The rows of a block come first, its visitors pass by.
+    """
+    @tidied
     def run(batches):
-        for table, bounds in whole_groups(batches, ["label", "dim", "cell", "x", "q"]):
-            visitor, copies = table["visitor"].to_numpy(), table["copies"].to_numpy().astype(np.float64)
-            ids, keys, homes = table["id"].to_numpy(), table["key"].to_numpy(), table["home"].to_numpy()
-            a, b, counted, n = [], [], [], []
-            for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-                rows = np.arange(low, high)
-                x, every = rows[~visitor[low:high]], rows[visitor[low:high]]
-                if not len(x) or not len(every):
+        release()
+        block, where, own = None, None, []
+
+        def settled() -> _Block:
+            raw = np.concatenate([rows_of(part.column("vector")) for part in own])
+            columns = (np.concatenate([part.column(c).to_numpy() for part in own]) for c in ("key", "id", "copies", "home"))
+            result = _Block(raw, *columns, books.value.get(raw.shape[1]), cosine)
+            own.clear()
+            result.among()
+            return result
+
+        for batch in batches:
+            names = ["label", "dim", "block", "visitor"]
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
+            starts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))[: keys.shape[1]]
+            for low, high in zip(starts, np.append(starts[1:], batch.num_rows), strict=False):
+                part, (*at, visitor) = batch.slice(low, high - low), keys[:, low].tolist()
+                if at != where:
+                    block = block or (settled() if own else None)
+                    if block:
+                        yield block.found(block.key, block.n)
+                    block, where = None, at
+                if not visitor:
+                    own.append(part)
                     continue
-                unit = rows_of(table["unit"].slice(low, high - low))
-                lists = table["cells"].slice(low, high - low).combine_chunks().take(pa.array(x - low))
-                of, cells = np.repeat(np.arange(len(x)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
-                for at in range(0, len(every), 2048):
-                    q = every[at : at + 2048]
-                    link = (unit[q - low] @ unit[x - low].T >= cosine) & (keys[q][:, None] != keys[x])
-                    if not link.any():
-                        continue
-                    counted.append(keys[q])
-                    n.append(link @ copies[x])
-                    for home in np.unique(homes[q[link.any(1)]]):  # vectors that don't visit them in turn
-                        meets = np.zeros(len(x), bool)
-                        meets[of[cells == home]] = True
-                        from_home = link & (homes[q] == home)[:, None] & ~meets
-                        if from_home.any():
-                            counted.append(keys[x])
-                            n.append(copies[q] @ from_home)
-                    of_q, of_x = ids[q].copy(), ids[x].copy()
-                    big = np.iinfo(np.int64).max
-                    while True:
-                        new_q = np.minimum(of_q, np.where(link, of_x, big).min(1))
-                        new_x = np.minimum(of_x, np.where(link, new_q[:, None], big).min(0))
-                        if (new_q == of_q).all() and (new_x == of_x).all():
-                            break
-                        of_q, of_x = new_q, new_x
-                    a += [ids[q], ids[x]]
-                    b += [of_q, of_x]
-            a, b, counted = (np.concatenate([*v, np.empty(0, np.int64)]) for v in (a, b, counted))
-            n = np.rint(np.concatenate([*n, np.empty(0)])).astype(np.int64)
-            keep, some = a != b, n > 0
-            yield pa.RecordBatch.from_arrays([
-                pa.concat_arrays([pa.array(a[keep]), pa.nulls(int(some.sum()), pa.int64())]),
-                pa.concat_arrays([pa.array(b[keep]), pa.nulls(int(some.sum()), pa.int64())]),
-                pa.concat_arrays([pa.nulls(int(keep.sum()), pa.int64()), pa.array(counted[some])]),
-                pa.concat_arrays([pa.nulls(int(keep.sum()), pa.int64()), pa.array(n[some])]),
-            ], ["a", "b", "key", "n"])
+                if block is None and own:
+                    block = settled()
+                if block is not None:
+                    n = block.visited(rows_of(part.column("vector")), part.column("id").to_numpy(), part.column("copies").to_numpy())
+                    yield block.found(part.column("key").to_numpy(), n)
+        block = block or (settled() if own else None)
+        if block:
+            yield block.found(block.key, block.n)
     return run
 
 
@@ -173,15 +288,17 @@ def near_duplicate_vectors(
 
     The codebooks are fitted on ``SAMPLE`` vectors, the ones with the smallest hash; every vector
     is indexed, and every link is found. The fewer cells the vectors' distances rule out, the more
-    are visited: all of them, in the worst case, so that all pairs of a label are compared. A cell with many vectors or visitors is compared in blocks by several tasks, of
-    which only counts and connecting links come out.
+    are visited: all of them, in the worst case, so that all pairs of a label are compared, each
+    once. Of a block only counts and connecting links come out. Vectors of floats travel as such.
     """
+    exact = packed(F.col(vector))
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"
     named = vectors.select(
-        F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("label"), packed(F.col(vector)).alias("vector")
+        F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("label"), (F.col(vector) if single else exact).alias("vector")
     )
     usable = F.col("id").isNotNull() & F.col("label").isNotNull() & finite(F.col("vector"))
     usable = usable & F.coalesce(F.exists("vector", lambda x: x != 0), F.lit(False))
-    named = named.withColumn("key", F.when(usable, F.xxhash64("label", "vector")))
+    named = named.withColumn("key", F.when(usable, F.xxhash64("label", packed(F.col("vector")))))
     distinct = named.where("key is not null").groupBy("key").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector")
     )
@@ -193,40 +310,65 @@ def near_duplicate_vectors(
     books = {}
     for dim in np.unique(sample["dim"].to_numpy()).tolist():
         same = rows_of(sample.filter(pa.array(sample["dim"].to_numpy() == dim))["vector"])
-        books[dim] = Codebooks(_unit(same), words, cosine)
-    shared = vectors.sparkSession.sparkContext.broadcast(books)
+        books[dim] = Codebooks(_unit(same.astype(float)), words, cosine)
+    books = vectors.sparkSession.sparkContext.broadcast(books)
 
-    def index(batches):
+    large = distinct.groupBy("label", "dim").count().where(f"count > {CHUNK} or count * dim > {HELD}")
+    large = {tuple(row) for row in large.select("label", "dim").collect()}  # of many vectors each
+    large = vectors.sparkSession.sparkContext.broadcast(large)
+
+    def placed(batches):
+        """Vectors of a length with their bounds; a length that the sample lacks has one cell."""
         for batch in batches:
-            for part in _by_length(batch):
-                dim = part.column("dim")[0].as_py()
-                unit = _unit(rows_of(part.column("vector")))
-                book = shared.value.get(dim)  # a length that the sample lacks has one cell
-                home, cells = book.visits(unit) if book else (np.zeros(len(part), np.int64), [[0]] * len(part))
-                yield pa.RecordBatch.from_arrays([
-                    *(part.column(c) for c in ("key", "id", "copies", "label", "dim")),
-                    lists_of(unit), pa.array(home, pa.int64()), pa.array(cells, pa.list_(pa.int64())),
-                ], ["key", "id", "copies", "label", "dim", "unit", "home", "cells"])
-
-    indexed = scratch_copy(distinct.mapInArrow(
-        index, "key long, id long, copies long, label long, dim int, unit array<double>, home long, cells array<long>"
-    ), "indexed")
-    cell = ["label", "dim", "cell"]
-    visits = indexed.select("label", "dim", F.explode("cells").alias("cell"))
-    visitors = visits.groupBy(*cell).agg(F.count(F.lit(1)).alias("_q"))
-    held = indexed.groupBy("label", "dim", F.col("home").alias("cell")).agg(F.count(F.lit(1)).alias("_x"))
-    large = visitors.join(held, cell).where(f"_q > {CHUNK} or _x > {CHUNK}")
-    large = scratch_copy(large, "large-cells")
-    parts = {c: F.coalesce(F.ceil(F.col(f"_{c}") / CHUNK), F.lit(1)).cast("long") for c in "xq"}
-    own = {c: F.pmod(F.xxhash64("key"), parts[c]) for c in "xq"}
-    every = {c: F.explode(F.sequence(F.lit(0).cast("long"), parts[c] - 1)) for c in "xq"}
-    columns = ["key", "id", "copies", "home", "unit", "visitor", "cells", "x", "q", *cell]
-    stays = indexed.withColumn("cell", F.col("home")).join(large, cell, "left")
-    stays = stays.withColumns({"x": own["x"], "visitor": F.lit(False)}).withColumn("q", every["q"])
-    comes = indexed.withColumn("cell", F.explode("cells")).join(large, cell, "left")
-    comes = comes.withColumns({"q": own["q"], "visitor": F.lit(True), "cells": F.array().cast("array<long>")}).withColumn("x", every["x"])
-    meet = clustered(stays.select(*columns).unionByName(comes.select(*columns)), [*cell, "x", "q"])
-    found = scratch_copy(meet.mapInArrow(_compare(cosine), "a long, b long, key long, n long"), "found")
+            for same in _by_length(batch):
+                for part in (same.slice(low, TILE) for low in range(0, len(same), TILE)):
+                    book, none = books.value.get(dim := part.column("dim")[0].as_py()), np.zeros((len(part), 1))
+                    bounds = book.bounds(_unit(rows_of(part.column("vector")).astype(float))) if book else (none, none, np.zeros(len(part), np.int64))
+                    labels = part.column("label").to_numpy()
+                    yield part, dim, book, labels, bounds
+
+    def homes(batches):
+        for _, dim, _, labels, (_, _, home) in placed(batches):
+            found, n = np.unique(np.stack([labels, home]), axis=1, return_counts=True)
+            some = np.array([(label, dim) in large.value for label in found[0].tolist()], bool)
+            dims = pa.array(np.full(int(some.sum()), dim), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(found[0][some]), dims, pa.array(found[1][some]), pa.array(n[some])], ["label", "dim", "home", "n"])
+
+    borders = {}
+    if large.value:
+        sizes = distinct.select("label", "dim", "vector").mapInArrow(homes, "label long, dim int, home long, n long")
+        sizes = sizes.groupBy("label", "dim", "home").agg(F.sum("n").alias("n"))
+        rows = clustered(sizes, ["label", "dim"], ["home"]).mapInArrow(_borders, "label long, dim int, borders array<double>").toArrow()
+        borders = {(r["label"], r["dim"]): np.array(r["borders"]) for r in rows.to_pylist() if r["borders"]}
+    borders = vectors.sparkSession.sparkContext.broadcast(borders)
+    flat = Codebooks.flat()
+
+    def index(batches):
+        for part, dim, book, labels, (one, two, home) in placed(batches):
+            place = home + (part.column("key").to_numpy() & 0xFFFFF) / (1 << 20)  # vectors of a cell are cut by hash
+            own, rows, blocks = np.zeros(len(part), np.int64), [], []
+            for label in np.unique(labels).tolist():
+                if (label, dim) in borders.value:
+                    some = np.flatnonzero(labels == label)
+                    own[some], visited = _visited(book or flat, one[some], two[some], place[some], borders.value[label, dim])
+                    row, block = np.nonzero(visited)
+                    rows.append(some[row])
+                    blocks.append(block)
+            rows, blocks = np.concatenate([np.arange(len(part)), *rows]), np.concatenate([own, *blocks])
+            by = np.argsort(rows, kind="stable")
+            ends = np.append(0, np.cumsum(np.bincount(rows, minlength=len(part))))
+            meets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(blocks[by], pa.int32()))
+            columns = [*(part.column(c) for c in ("key", "id", "copies", "label", "dim", "vector")), pa.array(home), meets]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "id", "copies", "label", "dim", "vector", "home", "meets"])
+
+    kind = distinct.schema["vector"].dataType.simpleString()
+    columns = ["key", "id", "copies", "label", "dim", "vector"]
+    indexed = distinct.select(*columns).mapInArrow(
+        index, f"key long, id long, copies long, label long, dim int, vector {kind}, home long, meets array<int>"
+    )
+    meet = indexed.select(*columns, "home", F.posexplode("meets").alias("visitor", "block")).withColumn("visitor", F.col("visitor") > 0)
+    meet = clustered(meet, ["label", "dim", "block"], ["visitor", "home"])
+    found = scratch_copy(meet.mapInArrow(_compare(books, cosine), "a long, b long, key long, n long"), "found")
 
     counts = found.where("key is not null").groupBy("key").agg(F.sum("n").alias("_n"))
     counts = scratch_copy(distinct.select("key", F.col("id").alias("first"), "copies").join(counts, "key", "left"), "counts")
